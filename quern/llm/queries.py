@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import gif_media, sharding, token_count
+from . import gif_media, near_duplicates, packing, sharding, token_count
 from .shared import ship
 
 
@@ -54,7 +54,19 @@ def op10_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.select("doc_id", "n_bytes", *digests, feature.alias("feature"))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(_table(spark, sf_dir, "documents"), "doc_id", "text", threshold=(85, 100), words=5)
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    packed = packing.pack(docs, "doc_id", "text", _vocabulary("byte_bpe_50k.json"), end_id=2, limit=1024)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op6_near_duplicates": op6_near_duplicates,
     "op8_token_counts": op8_token_counts,
     "op9_rendezvous_shards": op9_rendezvous_shards,
     "op10_gif_media": op10_gif_media,
@@ -82,4 +94,16 @@ FROM d JOIN best USING (r) JOIN crc ON crc.body = d.body
 """
 
 
-ORACLE_SQL: dict[str, str] = {"op9_rendezvous_shards": _shard_sql()}
+NEAR_SQL = r"""
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT r, unnest(list_distinct(list_transform(range(1, greatest(2, len(ws) - 3)), lambda i: array_to_string(ws[i:i + 4], ' ')))) AS sh FROM w WHERE len(ws) > 0),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+links AS (SELECT a.r AS a, b.r AS b FROM s a JOIN s b ON a.sh = b.sh AND a.r <> b.r JOIN n x ON x.r = a.r JOIN n y ON y.r = b.r
+  GROUP BY a.r, b.r, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+reach AS (SELECT r AS a, r AS b FROM w UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least_id AS (SELECT a AS r, min(w.doc_id) AS component_id FROM reach JOIN w ON w.r = reach.b GROUP BY a)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, w.doc_id = component_id AS kept FROM w JOIN least_id USING (r) LEFT JOIN n USING (r)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op6_near_duplicates": NEAR_SQL, "op9_rendezvous_shards": _shard_sql()}
