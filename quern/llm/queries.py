@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import gif_media, near_duplicates, packing, sharding, token_count
+from . import gif_media, near_duplicates, packing, quality, sentence_pieces, sharding, token_count, top_k
 from .shared import ship
 
 
@@ -54,6 +54,33 @@ def op10_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.select("doc_id", "n_bytes", *digests, feature.alias("feature"))
 
 
+#: Grades of the ratings: 0 junk, 1 fit to read but toxic, 2 good.
+GRADES, MIN_GRADE, MIN_TAIL = 3, 2, 0.3
+
+
+def quality_scores(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = _table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") * (2 - F.coalesce("toxic", F.lit(0)))).alias("grade"))
+    model = quality.train(docs, labels, "doc_id", "text", "grade", GRADES)
+    return quality.score(docs, "text", model, GRADES, MIN_GRADE, MIN_TAIL)
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality_scores(spark, _table(spark, sf_dir, "documents"), sf_dir)
+    return scored.select("doc_id", "score", "expected_grade", F.col("tail")[0].alias("p_at_least_1"), F.col("tail")[1].alias("p_at_least_2"), "kept")
+
+
+def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, docs = _vocabulary("piece_bpe_32k.model"), _table(spark, sf_dir, "documents")
+    decoded = sentence_pieces.decode(sentence_pieces.encode(docs, "doc_id", "text", path), "ids", path)
+    text = F.translate(F.coalesce("text", F.lit("")), "▁", " ")
+    return decoded.select("doc_id", F.size("ids").alias("n_ids"), "ids", "score", (F.col("decoded") == text).alias("round_trip"))
+
+
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = top_k.top_k(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 50 == 0, k=5, scale=256.0)
+    return found.select(F.col("query").alias("query_id"), "rank", "vec_id", "score")
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(_table(spark, sf_dir, "documents"), "doc_id", "text", threshold=(85, 100), words=5)
 
@@ -65,8 +92,11 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_sentence_pieces": op3_sentence_pieces,
     "op6_near_duplicates": op6_near_duplicates,
+    "op7_top_k": op7_top_k,
     "op8_token_counts": op8_token_counts,
     "op9_rendezvous_shards": op9_rendezvous_shards,
     "op10_gif_media": op10_gif_media,
@@ -106,4 +136,12 @@ least_id AS (SELECT a AS r, min(w.doc_id) AS component_id FROM reach JOIN w ON w
 SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, w.doc_id = component_id AS kept FROM w JOIN least_id USING (r) LEFT JOIN n USING (r)
 """
 
-ORACLE_SQL: dict[str, str] = {"op6_near_duplicates": NEAR_SQL, "op9_rendezvous_shards": _shard_sql()}
+TOP_K_SQL = """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score FROM v q, v c WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+n AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM n WHERE rank <= 5
+"""
+
+ORACLE_SQL: dict[str, str] = {"op7_top_k": TOP_K_SQL, "op6_near_duplicates": NEAR_SQL, "op9_rendezvous_shards": _shard_sql()}
