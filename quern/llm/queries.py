@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import gif_media, near_duplicates, packing, quality, sentence_pieces, sharding, token_count, top_k
+from . import gif_media, near_duplicates, ngram_lm, packing, quality, sentence_pieces, sharding, token_count, top_k
 from .shared import ship
 
 
@@ -76,6 +76,14 @@ def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", F.size("ids").alias("n_ids"), "ids", "score", (F.col("decoded") == text).alias("round_trip"))
 
 
+def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = lambda: F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10 == 0
+    model = ngram_lm.train(docs.where(~held_out()), "text")
+    scored = ngram_lm.score(docs, "doc_id", "text", model)
+    return scored.select("doc_id", held_out().alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score", "perplexity")
+
+
 def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = top_k.top_k(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 50 == 0, k=5, scale=256.0)
     return found.select(F.col("query").alias("query_id"), "rank", "vec_id", "score")
@@ -95,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_sentence_pieces": op3_sentence_pieces,
+    "op5_kneser_ney": op5_kneser_ney,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_top_k": op7_top_k,
     "op8_token_counts": op8_token_counts,
