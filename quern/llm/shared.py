@@ -73,3 +73,39 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def put_array(root: str, name: str, values) -> None:
+    """Write a numpy array's bytes as a file below root, whole or not at all; runs on executors, also more than once."""
+    from pyarrow import fs as arrow_fs
+
+    fs, path = arrow_fs.FileSystem.from_uri(root)
+    fs.create_dir(path, recursive=True)
+    draft = f"{path}/.{name}.{uuid.uuid4().hex}"
+    with fs.open_output_stream(draft) as out:
+        out.write(memoryview(values).cast("B") if len(values) else b"")
+    fs.move(draft, f"{path}/{name}")
+
+
+_mapped: dict[tuple[str, str], object] = {}
+
+
+def map_array(root: str, name: str, dtype: str):
+    """The array of a file below root, memory-mapped; from a store without local paths a copy is mapped."""
+    import numpy as np
+    from pyarrow import fs as arrow_fs
+
+    if (root, name) in _mapped:
+        return _mapped[root, name]
+    fs, path = arrow_fs.FileSystem.from_uri(root)
+    path = f"{path}/{name}"
+    if not fs.get_file_info(path).size:
+        return np.empty(0, dtype)
+    if not isinstance(fs, arrow_fs.LocalFileSystem):
+        copy = tempfile.NamedTemporaryFile(prefix="quern-")  # goes with the process
+        with fs.open_input_stream(path) as source:
+            shutil.copyfileobj(source, copy)
+        copy.flush()
+        path, _mapped[root, f"{name} file"] = copy.name, copy
+    _mapped[root, name] = np.memmap(path, dtype, "r")
+    return _mapped[root, name]
