@@ -12,8 +12,8 @@ what links connect. Steps:
    link with probability 4e-7; links near 1 practically never.
 4. Every bucket's members are verified on full sets against its most connected member; components.
 5. Pairs of members of a bucket that are still in different components are verified too, but for those
-   that an exact bound excludes: shingles that no other class holds cannot be shared. The bound is
-   applied to each member first (against its bucket's extremes), then to each pair; none is capped.
+   that an exact bound excludes: odd sketches of two sets differ in no more bits than the sets in
+   elements, so too many differing bits rule a link out. The bound is part of the join; none is capped.
 6. Components again, then the least id of each.
 
 No step collects links, and no step emits the pairs of a bucket whose members are already connected.
@@ -36,7 +36,9 @@ from .shared import written
 #: Ids that may be broadcast (8 bytes each); beyond that the join is shuffled.
 BROADCAST_IDS = 1_000_000
 #: Entries of a worker's cache of word hashes; it starts anew beyond that.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
+#: Bits of the sketches that bound how far two sets differ, a power of two.
+ODD_BITS = 2048
 #: Documents sketched at once.
 CHUNK = 1024
 
@@ -161,11 +163,23 @@ def sets_of(df: DataFrame, key: str, text: str, ids: DataFrame, n_ids: int, word
         hashes = WordHashes()
         for batch in batches:
             sets = [s for s in (shingle_set(t, words, hashes) for t in batch["text"]) if len(s)]
-            yield pd.DataFrame({"digest": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "shingles": [s.view(np.int64) for s in sets]})
+            yield pd.DataFrame(
+                {"digest": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "shingles": [s.view(np.int64) for s in sets], "odd": [odd_sketch(s) for s in sets]}
+            )
 
     docs = df.select(F.col(key).alias("id"), F.col(text).alias("text"))
     wanted = docs.join(F.broadcast(ids) if n_ids <= BROADCAST_IDS else ids, "id", "left_semi")
-    return wanted.select("text").mapInPandas(run, "digest binary, shingles array<long>").dropDuplicates(["digest"])
+    return wanted.select("text").mapInPandas(run, "digest binary, shingles array<long>, odd array<long>").dropDuplicates(["digest"])
+
+
+def odd_sketch(elements: np.ndarray) -> np.ndarray:
+    """ODD_BITS bits in 64-bit words: which slots an odd number of elements falls into.
+
+    An element that two sets do not share flips one bit, so the bits in which their sketches differ are
+    never more than the elements in which the sets differ.
+    """
+    count = np.bincount((elements >> np.uint64(17)).astype(np.int64) & (ODD_BITS - 1), minlength=ODD_BITS)
+    return np.packbits((count & 1).astype(np.uint8)).view(np.int64)
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -231,17 +245,13 @@ def near_duplicates(df: DataFrame, key: str, text: str, threshold: tuple[int, in
     mixed = labelled.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket")
     open_ = written(labelled.join(mixed, "bucket"), "open")
     if not open_.isEmpty():
-        shared = sets.join(open_.select("digest").distinct(), "digest", "left_semi").select("digest", F.explode("shingles").alias("s"))
-        alone = shared.groupBy("s").agg(F.count("*").alias("n"), F.min("digest").alias("digest")).where("n = 1").groupBy("digest").agg(F.count("*").alias("alone"))
-        # at most `most` of a member's shingles can be shared with another
-        bounded = written(open_.join(alone, "digest", "left").select("bucket", "digest", "comp", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("most")), "bounded")
-        least = bounded.groupBy("bucket").agg(F.min("n").alias("least"))
-        able = bounded.join(least, "bucket").where(_linked(F.col("most"), F.col("n"), F.greatest(F.col("least"), F.col("n") * part / whole), threshold)).drop("least")
-        able = written(able, "able")
-        split = able.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket")
-        left = able.join(split, "bucket")
-        x, y = left.alias("x"), left.alias("y")
-        rest = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.comp") < F.col("y.comp")) & _linked(F.least("x.most", "y.most"), F.col("x.n"), F.col("y.n"), threshold))
+        odd = [f"o{i}" for i in range(ODD_BITS // 64)]
+        marked = sets.select("digest", *[F.col("odd")[i].alias(c) for i, c in enumerate(odd)])
+        full = open_.join(marked, "digest")
+        x, y = full.alias("x"), full.alias("y")
+        differ = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in odd), F.lit(0))
+        total = F.col("x.n") + F.col("y.n")
+        rest = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.comp") < F.col("y.comp")) & (differ * (whole + part) <= total * (whole - part)))
         rest = rest.select(F.least("x.digest", "y.digest").alias("a"), F.greatest("x.digest", "y.digest").alias("b")).distinct()
         more = verified(rest.join(star_pairs, ["a", "b"], "left_anti"), sets, threshold)
         links = written(links.union(more), "links")

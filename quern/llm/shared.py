@@ -14,8 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 _shipped: set[str] = set()
 
 
+#: Rows of an Arrow batch: texts are long, and a worker holds a whole batch.
+BATCH_ROWS = 1024
+
+
 def ship(spark: SparkSession) -> None:
-    """Give executors this package, once per application; they need not have it installed."""
+    """Give executors this package, once per application (they need not have it installed), and keep Arrow batches small."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
