@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import fresh
+
 #: Entries of a worker's cache of weights; it starts anew beyond that.
 CACHE_ENTRIES = 500_000
 _TOKENS = re.compile(r"\w+|[^\w\s]+")
@@ -148,6 +150,7 @@ def score(docs: DataFrame, text: str, model: Model | None, n_grades: int, min_gr
             tails = own.tails(total)
             yield pd.DataFrame({"score": total, "expected_grade": tails.sum(axis=1), "tail": list(tails)})
 
-    out = base.withColumn("_scored", scored(F.coalesce(F.col(text), F.lit(""))))
-    part = {n: F.col("_scored")[n] for n in names[:3]}
-    return out.withColumns(part | {"kept": F.col("_scored")["tail"][min_grade - 1] >= min_tail}).drop("_scored")
+    (all_,) = fresh(base, "_scored")
+    out = base.withColumn(all_, scored(F.coalesce(F.col(text), F.lit(""))))
+    part = {n: F.col(all_)[n] for n in names[:3]}
+    return out.withColumns(part | {"kept": F.col(all_)["tail"][min_grade - 1] >= min_tail}).drop(all_)

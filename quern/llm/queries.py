@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import gif_media, near_duplicates, ngram_lm, packing, quality, sentence_pieces, sharding, token_count, top_k
+from . import gif_media, near_duplicates, ngram_lm, packing, pii, quality, sentence_pieces, sharding, token_count, top_k
 from .shared import ship
 
 
@@ -76,6 +76,15 @@ def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", F.size("ids").alias("n_ids"), "ids", "score", (F.col("decoded") == text).alias("round_trip"))
 
 
+#: The key of the permutations; whoever runs this on real data passes a secret one.
+PII_KEY = "quern"
+
+
+def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, "text", PII_KEY).withColumn("n_values", F.size("pii_kinds"))
+
+
 def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = lambda: F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10 == 0
@@ -103,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_sentence_pieces": op3_sentence_pieces,
+    "op4_pseudonyms": op4_pseudonyms,
     "op5_kneser_ney": op5_kneser_ney,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_top_k": op7_top_k,
