@@ -161,4 +161,4 @@ def path_facts(path: Column) -> dict[str, Column]:
 
 def vocab_size(name: Column) -> Column:
     """32000 from a name with 32k."""
-    return F.regexp_extract(name, r"(\d+)k", 1).cast("int") * 1000
+    return F.regexp_extract(name, r"(\d+)k", 1).try_cast("int") * 1000

@@ -94,7 +94,7 @@ def log_windows(steps: DataFrame, step: str, loss: str, tokens: str, seconds: st
 
 def latest(paths: DataFrame, path: str) -> DataFrame:
     """The checkpoint with the largest number after step_."""
-    n = F.regexp_extract(path, r"step_(\d+)/?$", 1).cast("long")
+    n = F.regexp_extract(path, r"step_(\d+)/?$", 1).try_cast("long")
     return paths.where(n.isNotNull()).agg(F.max_by(path, n).alias(path), F.max(n).alias("step"))
 
 

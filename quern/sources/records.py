@@ -9,14 +9,16 @@ from pyspark.sql import types as T
 from ..functions import chars, text
 
 #: The record table; times and hashes are texts.
+_TEXT, _LONG, _DOUBLE = T.StringType(), T.LongType(), T.DoubleType()
 RECORD = T.StructType(
-    T._parse_datatype_string(
-        "record_id string, document_id string, paragraph_id string, source_type string, source_name string, source_dataset string, source_file_name string, "
-        "source_url_or_path string, page_number int, raw_text string, cleaned_text string, final_text string, language string, script string, char_count long, "
-        "word_count long, estimated_token_count long, devanagari_ratio double, latin_ratio double, digit_ratio double, symbol_ratio double, quality_score double, "
-        "cleaning_method string, cleaning_model string, cleaning_model_version string, cleaning_status string, dedup_hash string, near_dedup_cluster_id string, "
-        "split_name string, created_at string, ingestion_run_id string"
-    ).fields
+    [
+        *[T.StructField(n, _TEXT) for n in ("record_id", "document_id", "paragraph_id", "source_type", "source_name", "source_dataset", "source_file_name", "source_url_or_path")],
+        T.StructField("page_number", T.IntegerType()),
+        *[T.StructField(n, _TEXT) for n in ("raw_text", "cleaned_text", "final_text", "language", "script")],
+        *[T.StructField(n, _LONG) for n in ("char_count", "word_count", "estimated_token_count")],
+        *[T.StructField(n, _DOUBLE) for n in ("devanagari_ratio", "latin_ratio", "digit_ratio", "symbol_ratio", "quality_score")],
+        *[T.StructField(n, _TEXT) for n in ("cleaning_method", "cleaning_model", "cleaning_model_version", "cleaning_status", "dedup_hash", "near_dedup_cluster_id", "split_name", "created_at", "ingestion_run_id")],
+    ]
 )
 
 
