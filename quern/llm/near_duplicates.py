@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import trim, written
 
 #: Ids that may be broadcast (8 bytes each); beyond that the join is shuffled.
 BROADCAST_IDS = 1_000_000
@@ -149,6 +149,8 @@ def features(df: DataFrame, key: str, text: str, words: int, bands: int, rows: i
                         "keys": [next(keys) if len(s) else np.empty(0, np.int64) for s in sets],
                     }
                 )
+        hashes.clear()
+        trim()
 
     kind = df.schema[key].dataType.simpleString()
     return df.select(F.col(key).alias("id"), F.col(text).alias("text")).mapInPandas(run, f"id {kind}, n_shingles long, digest binary, keys array<long>")
@@ -166,6 +168,8 @@ def sets_of(df: DataFrame, key: str, text: str, ids: DataFrame, n_ids: int, word
             yield pd.DataFrame(
                 {"digest": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "shingles": [s.view(np.int64) for s in sets], "odd": [odd_sketch(s) for s in sets]}
             )
+        hashes.clear()
+        trim()
 
     docs = df.select(F.col(key).alias("id"), F.col(text).alias("text"))
     wanted = docs.join(F.broadcast(ids) if n_ids <= BROADCAST_IDS else ids, "id", "left_semi")

@@ -25,10 +25,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import fresh
+from .shared import fresh, trim
 
 #: Entries of a worker's cache of weights; it starts anew beyond that.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 150_000
 _TOKENS = re.compile(r"\w+|[^\w\s]+")
 
 
@@ -111,6 +111,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, grade: str, n
         for batch in batches:
             slots = [np.unique(np.array([slot(t, buckets) for t in tokens(x or "")], np.int32)).tobytes() for x in batch["text"]]
             yield pd.DataFrame({"grade": batch["grade"], "slots": slots})
+        trim()
 
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id")
     found = texts.select("grade", "text").mapInPandas(featurise, "grade int, slots binary").collect()
@@ -149,6 +150,8 @@ def score(docs: DataFrame, text: str, model: Model | None, n_grades: int, min_gr
             total = np.array([sum(map(weight, sorted(tokens(t)))) for t in batch], np.float64)
             tails = own.tails(total)
             yield pd.DataFrame({"score": total, "expected_grade": tails.sum(axis=1), "tail": list(tails)})
+        known.clear()
+        trim()
 
     (all_,) = fresh(base, "_scored")
     out = base.withColumn(all_, scored(F.coalesce(F.col(text), F.lit(""))))
