@@ -23,7 +23,9 @@ from __future__ import annotations
 
 import bisect
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,69 +34,95 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import written
+from .shared import trim, written
 
 #: Parts of each length for ranking.
 SALTS = 256
-#: Pre-tokens kept in a worker, and the longest of them (characters).
-CACHE_ENTRIES, LONGEST_CACHED = 400_000, 64
+#: Words kept in a worker, and the longest of them (characters).
+CACHE_ENTRIES, LONGEST_CACHED = 300_000, 64
 
 _encoders: dict[str, PieceEncoder] = {}
 
 
+class Words(dict):
+    """Ids of words after a space; what is missing is encoded."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, word: str) -> bytes:
+        ids = array("I", self.encode(" " + word)).tobytes()
+        if len(word) <= LONGEST_CACHED:
+            if len(self) >= CACHE_ENTRIES:
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 class PieceEncoder:
-    """Token ids by the tokenizers library as little-endian 32-bit numbers, with a bounded cache of pre-tokens.
+    """Token ids by the tokenizers library as little-endian 32-bit numbers, with a bounded cache of words.
 
-    The cache serves byte-level BPE without a normaliser, on texts of plain Latin characters, for which
-    the pre-token pattern below is certain to cut as the library does; all else goes to the library whole.
+    In byte-level BPE without a normaliser a space before anything but white space begins a new
+    pre-token. Texts of plain Latin characters in which every space is such a one are cut there. Words
+    that the cache lacks are encoded by tiktoken over the file's own vocabulary, which gives the same ids
+    where ids are in the order of merges (checked); any other text goes to the library whole.
     """
 
     def __init__(self, path: str):
         import json
 
-        import regex
-        from tokenizers import Tokenizer
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path, self.tokenizer = path, None
         with open(path, encoding="utf-8") as f:
             config = json.load(f)
         pre = config.get("pre_tokenizer") or {}
         plain = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
-        self.cached = plain and not config.get("normalizer") and not config.get("truncation") and not config.get("padding")
-        # fixed values: the pattern of byte-level BPE, and what is certain to be cut alike by both regex engines
+        self.words = self._merger(config["model"]) if plain and not any(config.get(x) for x in ("normalizer", "truncation", "padding")) else None
+        self.added = [t["content"] for t in config.get("added_tokens", ())]
+        self.foreign = re.compile(r"[^\t\n\r -~¡-ɏ]").search
+        self.known = Words(self.words) if self.words else None
+        del config
+        trim()
+
+    @staticmethod
+    def _merger(model: dict):
+        """What gives the ids of a word by the vocabulary of a byte-level BPE; None if ids and merges are ordered differently."""
+        import tiktoken
+
+        shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+        byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
+        vocab, merges = model["vocab"], [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        base = sorted(vocab[c] for c in byte_of)
+        if model.get("dropout") or model.get("ignore_merges") or base != list(range(256)) or [vocab["".join(m)] for m in merges] != list(range(256, 256 + len(merges))):
+            return None
+        ranks = {bytes(byte_of[c] for c in token): i for token, i in vocab.items() if i < 256 + len(merges)}
+        # a fixed value: the pattern of byte-level BPE
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-        self.find = regex.compile(pattern).findall
-        added = "|".join(regex.escape(t["content"]) for t in config.get("added_tokens", ()))
-        self.other = regex.compile(r"[^\t\n\r -~¡-ɏ]" + (f"|{added}" if added else "")).search
-        self.known: dict[str, bytes] = {}
+        return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        if self.tokenizer is None:
+            from tokenizers import Tokenizer
+
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            self.tokenizer = Tokenizer.from_file(self.path)
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _plain(self, text: str) -> bool:
+        """Whether a text may be cut at its spaces."""
+        spaced = "  " in text or " \n" in text or " \t" in text or " \r" in text or text.endswith(" ")
+        return self.words is not None and not spaced and not self.foreign(text) and not any(t in text for t in self.added)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [None] * len(texts)
-        whole, parts = [], []
+        whole = [i for i, t in enumerate(texts) if not self._plain(t)]
+        library = dict(zip(whole, self._library([texts[i] for i in whole]))) if whole else {}
+        out = []
         for i, text in enumerate(texts):
-            if self.cached and not self.other(text):
-                parts.append((i, self.find(text)))
+            if i in library:
+                out.append(library[i])
             else:
-                whole.append(i)
-        if whole:
-            for i, ids in zip(whole, self._library([texts[i] for i in whole])):
-                out[i] = ids
-        for at in range(0, len(parts), 256):
-            chunk = parts[at : at + 256]
-            if len(self.known) > CACHE_ENTRIES:
-                self.known.clear()
-            new = list({p for _, ps in chunk for p in ps}.difference(self.known))
-            long = {p for p in new if len(p) > LONGEST_CACHED}
-            self.known.update(zip(new, self._library(new)))
-            get = self.known.__getitem__
-            for i, ps in chunk:
-                out[i] = b"".join(map(get, ps))
-            for p in long:
-                del self.known[p]
+                head, *words = text.split(" ")  # no space before the first
+                out.append(array("I", self.words(head)).tobytes() + b"".join(map(self.known.__getitem__, words)))
         return out
 
 
@@ -128,6 +156,7 @@ def pieces(df: DataFrame, key: str, text: str, path: str, end_id: int, limit: in
                         own = ids[4 * start : 4 * (start + length)]
                         rows.append((k, n, start, length, zlib.crc32(own), own))
                 yield pd.DataFrame(rows, columns=["id", "piece", "start", "length", "ids_crc32", "ids"]).astype({"id": part["id"].dtype})
+        trim()
 
     schema = T.StructType([T.StructField("id", id_type), *T._parse_datatype_string("piece int, start long, length long, ids_crc32 long, ids binary").fields])
     return df.select(F.col(key).alias("id"), F.col(text).alias("text")).mapInPandas(run, schema)
@@ -195,7 +224,7 @@ def pack(df: DataFrame, key: str, text: str, path: str, end_id: int, limit: int
     ranges = plan(counts, limit)
     ranges_df = spark.createDataFrame(ranges, "length long, lo long, hi long, first long, at long, per long")
     order = Window.partitionBy("length", "salt").orderBy("id", "piece", "ids_crc32", "start")
-    ranked = salted.withColumn("n", F.row_number().over(order)).join(parts.drop("count"), ["length", "salt"]).withColumn("rank", F.col("before") + F.col("n") - 1)
+    ranked = salted.withColumn("n", F.row_number().over(order)).join(parts.drop("count").hint("merge"), ["length", "salt"]).withColumn("rank", F.col("before") + F.col("n") - 1)
     placed = ranked.alias("x").join(F.broadcast(ranges_df).alias("y"), (F.col("x.length") == F.col("y.length")) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi")))
     nth = F.col("rank") - F.col("lo")
     return placed.select(
