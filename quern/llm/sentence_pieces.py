@@ -13,6 +13,7 @@ comes back as a space).
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,11 +28,27 @@ SPACE = "▁"
 #: Added to the least score of a piece for an unknown character.
 UNKNOWN_PENALTY = -10.0
 #: Pre-tokens kept in a worker, and the longest of them (characters).
-CACHE_ENTRIES, LONGEST_CACHED = 400_000, 64
+CACHE_ENTRIES, LONGEST_CACHED = 300_000, 64
 
 _codecs: dict[str, Codec] = {}
 
 
+class Words(dict):
+    """Ids of pre-tokens as native 32-bit numbers; what is missing is searched."""
+
+    def __init__(self, search):
+        super().__init__()
+        self.search = search
+
+    def __missing__(self, word: str) -> bytes:
+        ids = array("i", self.search(SPACE + word.replace(" ", SPACE))[0]).tobytes()
+        if len(word) <= LONGEST_CACHED:
+            if len(self) >= CACHE_ENTRIES:
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 class Codec:
     """Encodes and decodes with the pieces and scores of a SentencePiece model."""
 
@@ -51,11 +68,29 @@ class Codec:
             self.automaton.add_word(self.text[i], (len(self.text[i]), sp.get_score(i), i))
         self.automaton.make_automaton()
         self.single = {self.text[i] for i in plain if len(self.text[i]) == 1}
-        self.known: dict[str, tuple[bytes, float]] = {}
+        self.known = Words(self.search)
+        # by id: its part of a score (the first byte of a character carries the penalty), and whether it is no plain piece
+        self.scores = np.zeros(len(self.text))
+        self.scores[plain] = [sp.get_score(i) for i in plain]
+        self.scores[[i for b, i in self.bytes.items() if b < 0x80 or b >= 0xC0] or [self.unknown]] = self.penalty
+        self.special = np.ones(len(self.text), bool)
+        self.special[plain] = False
 
     def search(self, s: str) -> tuple[list[int], float]:
         """Ids of the best path through s, and its score."""
         n, least = len(s), float("-inf")
+        if self.single.issuperset(s):  # no unknown edges
+            best, back = [0.0, *[least] * n], [None] * (n + 1)
+            for end, match in self.automaton.iter(s):
+                value = best[end + 1 - match[0]] + match[1]
+                if value > best[end + 1]:
+                    best[end + 1], back[end + 1] = value, match
+            ids, at = [], n
+            while at:
+                ids.append(back[at][2])
+                at -= back[at][0]
+            ids.reverse()
+            return ids, best[n]
         best, piece, came = [0.0, *[least] * n], [-1] * (n + 1), [0] * (n + 1)
         odd = [i + 1 for i, c in enumerate(s) if c not in self.single]  # ends of unknown edges
         odd.append(n + 1)
@@ -76,8 +111,7 @@ class Codec:
             nxt += 1
             if best[o - 1] + self.penalty > best[o]:
                 best[o], piece[o], came[o] = best[o - 1] + self.penalty, -1, o - 1
-        ids: list[int] = []
-        at = n
+        ids, at = [], n
         while at:
             if piece[at] >= 0:
                 ids.append(piece[at])
@@ -88,28 +122,16 @@ class Codec:
             at = came[at]
         return ids[::-1], best[n]
 
-    def encode(self, text: str) -> tuple[bytes, float]:
-        """Ids as native 32-bit numbers, and the score."""
-        parts, total, known = [], 0.0, self.known
-        for word in token_count.pretokens(text):
-            found = known.get(word)
-            if found is None:
-                ids, score = self.search(SPACE + word.replace(" ", SPACE))
-                found = np.array(ids, np.int32).tobytes(), score
-                if len(word) <= LONGEST_CACHED:
-                    if len(known) >= CACHE_ENTRIES:
-                        known.clear()
-                    known[word] = found
-            parts.append(found[0])
-            total += found[1]
-        return b"".join(parts), total
-
-    def decode(self, ids: list[int]) -> str:
+    def encode(self, text: str) -> bytes:
+        """Ids as native 32-bit numbers."""
+        return b"".join(map(self.known.__getitem__, token_count.pretokens(text)))
+
+    def decode(self, ids: np.ndarray) -> str:
         """The text of ids; control pieces are silent."""
-        if self.byte_of.keys().isdisjoint(ids) and self.silent.isdisjoint(ids):
-            out = "".join(map(self.text.__getitem__, ids))
+        if not self.special[ids].any():
+            out = "".join(map(self.text.__getitem__, ids.tolist()))
         else:
-            raw = [bytes([self.byte_of[i]]) if i in self.byte_of else b"" if i in self.silent else self.text[i].encode("utf-8") for i in ids]
+            raw = [bytes([self.byte_of[i]]) if i in self.byte_of else b"" if i in self.silent else self.text[i].encode("utf-8") for i in ids.tolist()]
             out = b"".join(raw).decode("utf-8", "replace")
         return out.replace(SPACE, " ").removeprefix(" ")
 
@@ -126,14 +148,16 @@ def encode(df: DataFrame, key: str, text: str, path: str) -> DataFrame:
     fields = [T.StructField("key", df.schema[key].dataType), *T._parse_datatype_string("text string, ids array<int>, score double").fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = codec(path).encode
+        own = codec(path)
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                found = [one(t.as_py() or "") for t in part.column(1)]
-                ends = np.cumsum([0, *(len(i) // 4 for i, _ in found)]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(i for i, _ in found), np.int32)))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), ids, pa.array([s for _, s in found], pa.float64())], names=["key", "text", "ids", "score"])
+                found = [own.encode(t or "") for t in part.column(1).to_pylist()]
+                ends = np.cumsum([0, *(len(i) // 4 for i in found)])
+                flat = np.frombuffer(b"".join(found), np.int32)
+                sums = np.concatenate([[0.0], np.cumsum(own.scores[flat])])  # whole numbers in most models; else exact to rounding
+                ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), ids, pa.array(sums[ends[1:]] - sums[ends[:-1]])], names=["key", "text", "ids", "score"])
 
     out = df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, T.StructType(fields))
     return out.select(F.col("key").alias(key), F.col("text").alias(text), "ids", "score")
@@ -146,6 +170,7 @@ def decode(df: DataFrame, ids: str, path: str, out: str = "decoded") -> DataFram
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         one = codec(path).decode
         for batch in batches:
-            yield pa.array([None if i is None else one(i) for i in batch.to_pylist()], pa.string())
+            flat, ends = batch.values.to_numpy(zero_copy_only=False), batch.offsets.to_numpy()
+            yield pa.array([one(flat[a:b]) if has.as_py() else None for a, b, has in zip(ends, ends[1:], batch.is_valid())], pa.string())
 
     return df.withColumn(out, decoded(F.col(ids)))
