@@ -33,12 +33,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .near_duplicates import WordHashes, mix, word_list
-from .shared import map_array, put_array, scratch, written
+from .shared import map_array, put_array, scratch, trim, written
 
 #: Tokens sorted at once in a worker.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 #: Bytes of text per bucket of counts.
-BUCKET_BYTES = 48_000_000
+BUCKET_BYTES = 24_000_000
 #: Word numbers per file of the arrays by word number.
 RANGE = 1 << 20
 RUN = "bucket int, n int, first long, width int, steps binary, kind string, counts binary"
@@ -173,6 +173,8 @@ def chunks(batches: Iterator[pd.DataFrame], hashes: WordHashes) -> Iterator[tupl
             held, words, sizes, n = [], [], [], 0
     if held:
         yield held, np.concatenate(words), np.concatenate(sizes)
+    hashes.clear()
+    trim()
 
 
 def sequences(numbers: np.ndarray, sizes: np.ndarray, end: int, begin: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
