@@ -185,7 +185,7 @@ def decode(data: bytes) -> list[dict]:
     """The frames of a GIF, composed on its canvas under the disposal and transparency rules."""
     try:
         return list(_decode(data))
-    except (IndexError, struct.error) as e:
+    except (IndexError, ValueError, struct.error) as e:
         raise GifError(str(e)) from e
 
 
