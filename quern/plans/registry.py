@@ -5,7 +5,6 @@ The tables hold no Devanagari, so queries use the Latin script profile; Devanaga
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import chars, text
 from ..operators import dedup, links, metrics, quality, sample, shards, split
+from ..sources.shared import shared_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -520,8 +520,7 @@ def path_facts(spark, sf_dir):
 def streaming_event_windows(spark, sf_dir):
     """The same windows from a stream over the event file, drained to a Parquet sink."""
     schema = table(spark, sf_dir, "events").schema
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='quern-')}"
-    out = f"{root.rstrip('/')}/quern/stream-{uuid.uuid4().hex}"
+    out = f"{shared_root(spark)}/quern/stream-{uuid.uuid4().hex}"
     stream = spark.readStream.format("parquet").schema(schema).option("pathGlobFilter", "events.parquet").load(sf_dir)
     windows = stream.groupBy(F.window("ts", "1 hour"), "event_type").agg(F.count("*").alias("events"), F.sum("value").alias("total"))
     rows = windows.select(F.col("window.start").alias("window_start"), "event_type", "events", F.round("total", 4).alias("total"))
