@@ -5,8 +5,9 @@ cards (Luhn), IBANs (mod 97), social security numbers, calendar dates, phone num
 passwords. Each is mapped by a keyed Feistel network to another valid value of the same format: a
 permutation, so equal values get equal pseudonyms in all documents and different values different ones.
 
-- Strings: characters keep their class (digit, small or capital letter, hexadecimal) and place; each
-  round shifts one half by a keyed hash of the other. Check digits are made anew.
+- Strings: characters keep their class (digit, small or capital letter, accented ones apart, or
+  hexadecimal) and place; each round shifts one half by a keyed hash of the other. Check digits are
+  made anew. Letters of other scripts stay.
 - Numbers: a pair (l, r) in Z_a x Z_b, one shifted by a keyed hash of the other in turn: addresses
   2^16 x 2^16; dates 189 x 773, the days of a 400-year cycle (1800 to 2199), so that each is a date;
   social security numbers (898 x 99) x 9999 over the valid ones; phones of the North American plan
@@ -30,7 +31,7 @@ ROUNDS = 8
 
 # The formats, tried in this order.
 PATTERNS = {
-    "email": r"(?<![\w.%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,128}@(?:[\p{L}\p{N}-]{1,63}\.){1,8}\p{L}{2,24}(?![\p{L}\p{N}-])",
     "secret": r"(?:(?<![\w-])(?i:password|passwd|pwd|secret|token|api[_-]?key)[ \t]{0,3}[=:][ \t]{0,3}[\"']?[A-Za-z0-9_\-]{8,120}(?![\w-]))",
     "key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\w]|\.\d)",
@@ -42,7 +43,15 @@ PATTERNS = {
     "phone": r"(?<![\w+])\+[1-9]\d{0,2}(?:[ .-]?\(?\d{1,4}\)?){2,6}(?!\w|\.\d)",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789abcdef")
+# The classes within which characters move; the last one serves values of hexadecimal digits only.
+ALPHABETS = (
+    "0123456789",
+    "abcdefghijklmnopqrstuvwxyz",
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ",
+    "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ",
+    "0123456789abcdef",
+)
 _DAY0, _DAYS = "1800-01-01", 146_097
 
 
@@ -58,9 +67,12 @@ def _shift(c: Column, hexadecimal: Column, by: Column) -> Column:
         n = len(alphabet)
         return F.substring(F.lit(alphabet), (F.pmod(F.instr(F.lit(alphabet), c) - 1 + by, F.lit(n)) + 1).cast("int"), F.lit(1))
 
-    digits, small, capital, hexes = ALPHABETS
+    *classes, hexes = ALPHABETS
     within = lambda a: (c != "") & (F.instr(F.lit(a), c) > 0)
-    return F.when(hexadecimal & within(hexes), moved(hexes)).when(within(digits), moved(digits)).when(within(small), moved(small)).when(within(capital), moved(capital)).otherwise(c)
+    out = F.when(hexadecimal & within(hexes), moved(hexes))
+    for alphabet in classes:
+        out = out.when(within(alphabet), moved(alphabet))
+    return out.otherwise(c)
 
 
 def _mixed(half: Column, hashed: Column, hexadecimal: Column) -> Column:

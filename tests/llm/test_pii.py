@@ -26,7 +26,7 @@ def brute_text(s, kind, hexadecimal=False):
         own, h = turn % 2, keyed(turn, kind, parts[1 - turn % 2])
         out = ""
         for i, c in enumerate(parts[own]):
-            alphabet = next((a for a in ((pii.ALPHABETS[3],) if hexadecimal else pii.ALPHABETS[:3]) if c in a), None)
+            alphabet = next((a for a in (pii.ALPHABETS[-1:] if hexadecimal else pii.ALPHABETS[:-1]) if c in a), None)
             out += c if alphabet is None else alphabet[(alphabet.index(c) + int(h[2 * i : 2 * i + 2], 16)) % len(alphabet)]
         parts[own] = out
     return "".join(parts)
@@ -82,6 +82,15 @@ def test_formats_stay_valid(spark):
     assert len(set(got)) == len(got)  # a permutation
 
 
+def test_mail_in_other_letters(spark):
+    texts = ["el.00@mail8.example.com", "ñ.00@mail8.example.com", ".x@y.de", "a-É_ö@ü.de", "x@y.com, x@y.com."]
+    got, kinds = mapped(spark, texts)
+    for t, g, k in zip(texts[:4], got, kinds):
+        local, domain = t.split("@")
+        assert k == ["email"] and g == brute_text(local, "email") + "@" + domain and g != t
+    assert kinds[4] == ["email", "email"] and got[4].count(brute_text("x", "email") + "@y.com") == 2
+
+
 def test_equal_values_stay_linked(spark):
     (a, b, c), _ = mapped(spark, ["card 4111 1111 1111 1111.", "x 4111-1111-1111-1111 y", "4111111111111111"])
     assert re.sub(r"\D", "", a) == re.sub(r"\D", "", b) == c != "4111111111111111"
