@@ -153,7 +153,7 @@ def merge_chunks(order: Column, text: Column) -> Column:
 
 def path_facts(path: Column) -> dict[str, Column]:
     """split_name, format and compression that a file's path names."""
-    split = F.regexp_extract(path, r"(?:^|/)(train|validation|test)(?=/|$)", 1)
+    split = F.regexp_extract(path, r"(?:^|/)(?:split_name=)?(train|validation|test)(?=/|$)", 1)
     kind = F.regexp_extract(path, r"(parquet|jsonl\.gz|txt\.gz|[^./]*)$", 1)
     packed = F.when(path.endswith(".parquet"), "zstd").when(path.endswith(".gz"), "gzip").otherwise("none")
     return {"split_name": F.when(split == "", "unknown").otherwise(split), "format": kind, "compression": packed}
