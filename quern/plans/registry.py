@@ -106,16 +106,27 @@ def quality_reject_reason(spark, sf_dir):
 
 
 @query(f"""SELECT source, count(*) AS records_in, count(*) FILTER (WHERE r IS NULL) AS records_out, count(*) FILTER (WHERE r IS NOT NULL) AS records_rejected,
-  sum(n)::BIGINT AS char_count, avg(sr) AS mean_script_ratio FROM (SELECT source, {REASON} AS r, {N} AS n, {SR} AS sr FROM documents) GROUP BY source""")
+  sum(n)::BIGINT AS char_count, round(avg(sr), 6) AS mean_script_ratio FROM (SELECT source, {REASON} AS r, {N} AS n, {SR} AS sr FROM documents) GROUP BY source""")
 def source_quality_profile(spark, sf_dir):
     rows = quality.annotate(table(spark, sf_dir, "documents"), "text", RULES)
     passed = F.col("reject_reason").isNull()
     return rows.groupBy("source").agg(
         F.count("*").alias("records_in"), F.count_if(passed).alias("records_out"), F.count_if(~passed).alias("records_rejected"),
-        F.sum("char_count").alias("char_count"), F.avg("script_ratio").alias("mean_script_ratio"),
+        F.sum("char_count").alias("char_count"), F.round(F.avg("script_ratio"), 6).alias("mean_script_ratio"),
     )
 
 
+_RECORD = "source AS source_name, CASE WHEN doc_id % 7 = 0 THEN NULL ELSE doc_id::VARCHAR END AS record_id, CASE WHEN lang = 'fr' THEN 'web' ELSE 'pdf' END AS source_type, n_chars - 20 AS char_count"
+
+
+@query(f"""WITH r AS (SELECT doc_id, {_RECORD} FROM documents),
+v AS (SELECT doc_id, list_filter([CASE WHEN record_id IS NULL THEN 'record_id' END, CASE WHEN char_count < 0 THEN 'char_count' END, CASE WHEN source_type = 'web' THEN 'source_type' END], lambda x: x IS NOT NULL) AS violations FROM r)
+SELECT doc_id, array_to_string(violations, ',') AS violations FROM v WHERE len(violations) > 0""")
+def schema_violations(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").selectExpr("doc_id", *[x.replace("::VARCHAR", "").replace("ELSE doc_id END", "ELSE CAST(doc_id AS STRING) END") for x in _RECORD.split(", ")])
+    return quality.violations(rows).select("doc_id", F.array_join("violations", ",").alias("violations"))
+
+
 # Text
 
 
@@ -271,6 +282,17 @@ def lsh_near_dedup(spark, sf_dir):
     return dedup.near(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text", "doc_id").select("doc_id", "canonical_id")
 
 
+@query(f"""{_CANONICAL.replace("FROM documents)", f"FROM (SELECT * FROM documents QUALIFY row_number() OVER (PARTITION BY sha256({T}) ORDER BY doc_id) = 1))", 1)}
+SELECT doc_id, canonical_id FROM c QUALIFY row_number() OVER (PARTITION BY canonical_id ORDER BY doc_id) = 1""")
+def full_dedup(spark, sf_dir):
+    return dedup.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text", "doc_id").select("doc_id", "canonical_id")
+
+
+@query("SELECT source, min(doc_id) AS doc_id FROM documents GROUP BY source")
+def first_of_source(spark, sf_dir):
+    return dedup.keep_first(table(spark, sf_dir, "documents").select("source", "doc_id"), ["source"], ["doc_id"])
+
+
 # Splits, samples, shards, sequences
 
 
@@ -428,15 +450,17 @@ def recommended_variant(spark, sf_dir):
     return metrics.recommended(full.withColumn("vocab_size", text.vocab_size(F.col("variant_name")))).select("variant_name", "vocab_size")
 
 
-@query("SELECT event_type, exp(avg(value / 100)) AS perplexity, count(value) AS batches FROM events GROUP BY event_type")
+@query("SELECT event_type, round(exp(avg(value / 100)), 6) AS perplexity, count(value) AS batches FROM events GROUP BY event_type")
 def perplexity(spark, sf_dir):
-    return metrics.perplexity(table(spark, sf_dir, "events").withColumn("loss", F.col("value") / 100), "loss", "event_type")
+    rows = metrics.perplexity(table(spark, sf_dir, "events").withColumn("loss", F.col("value") / 100), "loss", "event_type")
+    return rows.withColumn("perplexity", F.round("perplexity", 6))
 
 
-@query("SELECT (event_id // 100)::BIGINT AS window, max(event_id + 1) AS last_step, avg(value) AS mean_loss, sum(user_id) / sum(value) AS tokens_per_second FROM events GROUP BY event_id // 100")
+@query("SELECT (event_id // 100)::BIGINT AS window, max(event_id + 1) AS last_step, round(avg(value), 6) AS mean_loss, round(sum(user_id) / sum(value), 6) AS tokens_per_second FROM events GROUP BY event_id // 100")
 def log_window_avg(spark, sf_dir):
     steps = table(spark, sf_dir, "events").withColumn("step", F.col("event_id") + 1)
-    return metrics.log_windows(steps, "step", "value", "user_id", "value", 100)
+    rows = metrics.log_windows(steps, "step", "value", "user_id", "value", 100)
+    return rows.withColumns({c: F.round(c, 6) for c in ("mean_loss", "tokens_per_second")})
 
 
 @query("SELECT 'step_' || user_id AS name, value AS loss FROM events QUALIFY row_number() OVER (ORDER BY value, 'step_' || user_id) = 1")
@@ -498,6 +522,13 @@ def link_bfs(spark, sf_dir):
     return links.crawl(edges, edges.where(F.col("source").startswith("T")).select(F.col("source").alias("title")), 3)
 
 
+@query(f"WITH {_EDGES} SELECT md5(array_to_string(list_sort(list(DISTINCT title)), '|')) AS titles, count(DISTINCT title) AS pages FROM (SELECT source AS title FROM e UNION ALL SELECT target FROM e)")
+def crawl_index(spark, sf_dir):
+    edges = _edges(spark, sf_dir)
+    index = links.crawl_index(edges.select(F.col("source").alias("title")).union(edges.select("target")))
+    return index.select(digest(F.array_join("titles", "|")).alias("titles"), "pages")
+
+
 @query(f"WITH {_EDGES} SELECT DISTINCT target AS title FROM e WHERE NOT starts_with(target, 'Th') AND NOT regexp_matches(target, '[,.]$') AND regexp_matches(target, '^[A-Za-z]') AND NOT regexp_matches(target, 'ing')")
 def link_filter(spark, sf_dir):
     titles = _edges(spark, sf_dir).select(F.col("target").alias("title")).distinct()
