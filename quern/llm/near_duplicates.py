@@ -14,6 +14,7 @@ what links connect. Steps:
 5. Pairs of members of a bucket that are still in different components are verified too, but for those
    that an exact bound excludes: odd sketches of two sets differ in no more bits than the sets in
    elements, so too many differing bits rule a link out. The bound is part of the join; none is capped.
+   Members of a bucket's largest component are compared with the others only.
 6. Components again, then the least id of each.
 
 No step collects links, and no step emits the pairs of a bucket whose members are already connected.
@@ -251,11 +252,13 @@ def near_duplicates(df: DataFrame, key: str, text: str, threshold: tuple[int, in
     if not open_.isEmpty():
         odd = [f"o{i}" for i in range(ODD_BITS // 64)]
         marked = sets.select("digest", *[F.col("odd")[i].alias(c) for i, c in enumerate(odd)])
-        full = open_.join(marked, "digest")
-        x, y = full.alias("x"), full.alias("y")
+        # a bucket's largest component (copies of one text, as a rule) meets the others only, not itself
+        main = open_.groupBy("bucket", "comp").count().groupBy("bucket").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"))
+        full = open_.join(marked, "digest").join(main, "bucket").withColumn("main", F.col("comp") == F.col("main"))
+        x, y = full.where(~F.col("main")).alias("x"), full.alias("y")
         differ = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in odd), F.lit(0))
         total = F.col("x.n") + F.col("y.n")
-        rest = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.comp") < F.col("y.comp")) & (differ * (whole + part) <= total * (whole - part)))
+        rest = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.comp") != F.col("y.comp")) & (F.col("y.main") | (F.col("x.comp") < F.col("y.comp"))) & (differ * (whole + part) <= total * (whole - part)))
         rest = rest.select(F.least("x.digest", "y.digest").alias("a"), F.greatest("x.digest", "y.digest").alias("b")).distinct()
         more = verified(rest.join(star_pairs, ["a", "b"], "left_anti"), sets, threshold)
         links = written(links.union(more), "links")
