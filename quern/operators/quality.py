@@ -91,7 +91,7 @@ def filter_links(title: Column, namespaces: list[str], exclude: str | None = Non
     return keep
 
 
-#: The record's columns that hold shares, and its enumerations.
+# The record's columns that hold shares, and its enumerations.
 RATIOS = ("devanagari_ratio", "latin_ratio", "digit_ratio", "symbol_ratio", "quality_score")
 ENUMS = {
     "source_type": ("huggingface_dataset", "pdf", "wiki"),

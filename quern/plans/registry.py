@@ -387,7 +387,8 @@ def packed_split(spark, sf_dir):
 def full_batches(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn")
     sizes = rows.groupBy("conv_id").agg(F.count("*").alias("n"))
-    part = F.floor(F.col("conv_id") / 1024)
+    ends = rows.agg(F.min("conv_id").alias("lo"), F.max("conv_id").alias("hi")).first()
+    part = F.floor((F.col("conv_id") - (ends["lo"] or 0)) * 4096 / ((ends["hi"] or 0) - (ends["lo"] or 0) + 1))  # at most 4096 ranges
     totals = sizes.groupBy(part.alias("part")).agg(F.sum("n").alias("t"))
     ahead = totals.select("part", F.coalesce(F.sum("t").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("o"), F.sum("t").over(Window.partitionBy()).alias("all"))
     local = rows.withColumn("part", part).withColumn("l", F.row_number().over(Window.partitionBy("part").orderBy("conv_id", "turn")) - 1)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import chars, text
 
-#: The record table; times and hashes are texts.
+# The record table; times and hashes are texts.
 _TEXT, _LONG, _DOUBLE = T.StringType(), T.LongType(), T.DoubleType()
 RECORD = T.StructType(
     [
@@ -70,6 +70,7 @@ def paragraph_records(pages: DataFrame, excluded: list[str], source_name: str, s
     return conform(made)
 
 
+# A fixed value: the shape of saved API answers.
 EXTRACTS = "query struct<pages: map<string, struct<pageid: long, ns: int, title: string, extract: string, links: array<struct<ns: int, title: string>>>>>"
 
 
@@ -115,6 +116,7 @@ def checkpoint(spark: SparkSession, path: str, load, force: bool = False) -> Dat
     return spark.read.parquet(path)
 
 
+# A fixed value: the fields beside a document.
 METADATA = "source_id string, source_name string, file_name string, source_category string, provided_by string, license_or_usage_note string, language string, script string, notes string"
 
 
@@ -181,6 +183,3 @@ def synthetic(spark: SparkSession, lines: list[str], rows: int = 500) -> DataFra
     base = spark.createDataFrame(list(enumerate(lines)), "_n long, text string")
     return spark.range(rows).withColumn("_n", F.col("id") % len(lines)).join(F.broadcast(base), "_n").select("id", "text")
 
-
-def tagged(df: DataFrame, **values: Column) -> DataFrame:
-    return df.withColumns(values)

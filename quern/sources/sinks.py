@@ -14,19 +14,27 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import shards
+from ..operators import order, shards
 
 _lock = threading.Lock()
 
 
-def with_shards(records: DataFrame, megabytes: float = 256, blocks: int = 1) -> DataFrame:
-    """Records with `shard` by next-fit on the bytes of final_text, in the order of record_id."""
-    from pyspark.sql import Window
+#: Records that one task fills into shards, as ids and sizes.
+BLOCK_RECORDS = 1_000_000
 
-    keyed = records.withColumn("_size", F.octet_length(F.coalesce("final_text", F.lit(""))).cast("long"))
-    numbered = keyed.withColumn("_order", F.row_number().over(Window.partitionBy("split_name").orderBy("record_id")).cast("long"))
-    placed = shards.next_fit(numbered, "split_name", "_order", "_size", int(megabytes * 1024 * 1024), blocks)
-    return numbered.join(placed, ["split_name", "_order"]).select(*records.columns, "shard")
+
+def with_shards(records: DataFrame, megabytes: float = 256, seed: int = 42) -> DataFrame:
+    """Records with `shard` by next-fit on the bytes of final_text, in the seeded order of record_id (unique).
+
+    Places and shards are found on ids and sizes; texts move once, to their shards. Each split is filled
+    in blocks of about BLOCK_RECORDS, so that no task fills a whole split.
+    """
+    sizes = records.select("split_name", "record_id", F.octet_length(F.coalesce("final_text", F.lit(""))).cast("long").alias("_size"))
+    ranked = order.rank(sizes, seed, "record_id", "_order", by=("split_name",))
+    blocks = -(-max(1, records.count()) // BLOCK_RECORDS)
+    placed = shards.next_fit(ranked, "split_name", "_order", "_size", int(megabytes * 1024 * 1024), blocks)
+    named = ranked.join(placed, ["split_name", "_order"]).select("record_id", "shard")
+    return records.join(named, "record_id").select(*records.columns, "shard")
 
 
 def export_parquet(sharded: DataFrame, path: str) -> None:
@@ -86,6 +94,7 @@ def append_csv(path: str | Path, columns: list[str], row: dict) -> None:
             writer.writerow({c: row.get(c, "") for c in columns})
 
 
+# The columns of the two logs.
 LOG = ["run_id", "timestamp", "phase", "component", "source_id", "record_id", "status", "records_in", "records_out", "records_rejected", "duration_seconds", "error_message", "notes"]
 REGISTRY = ["run_id", "timestamp", "role", "stage", "source_id", "file_path", "file_name", "format", "size_bytes", "row_count", "sha256", "compression", "notes"]
 
