@@ -29,6 +29,8 @@ from .shared import fresh, trim
 
 #: Entries of a worker's cache of weights; it starts anew beyond that.
 CACHE_ENTRIES = 150_000
+#: Labelled rows that a step of the fit holds at once.
+BLOCK_ROWS = 1024
 _TOKENS = re.compile(r"\w+|[^\w\s]+")
 
 
@@ -71,15 +73,16 @@ class Model:
 def fit(rows: list[np.ndarray], grades: np.ndarray, n_grades: int, buckets: int, steps: int = 300, rate: float = 0.1, ridge: float = 1e-6, lasso: float = 3e-4) -> Model:
     """Maximum likelihood with ridge and lasso penalties, by Adam over all rows; rows hold the buckets of each text."""
     sizes = np.array([len(r) for r in rows])
-    at, starts = np.concatenate(rows).astype(np.int64), np.concatenate([[0], np.cumsum(sizes)[:-1]])
     n, w = len(rows), np.zeros(buckets)
+    # rows in blocks, so that a step's memory is that of a block
+    blocks = [(slice(i, i + BLOCK_ROWS), np.concatenate(rows[i : i + BLOCK_ROWS]), sizes[i : i + BLOCK_ROWS]) for i in range(0, n, BLOCK_ROWS)]
     share = np.clip(np.cumsum(np.bincount(grades, minlength=n_grades))[:-1] / n, 1e-3, 1 - 1e-3)
     cuts = np.log(share / (1 - share))
     # the first threshold and the logarithms of the steps between thresholds
     free = np.concatenate([cuts[:1], np.log(np.maximum(np.diff(cuts), 0.05))])
     first, second = [np.zeros(buckets), np.zeros(len(free))], [np.zeros(buckets), np.zeros(len(free))]
     for step in range(1, steps + 1):
-        score = np.add.reduceat(w[at], starts)
+        score = np.concatenate([np.add.reduceat(w[at], np.cumsum(size) - size) for _, at, size in blocks])
         cuts = np.concatenate([free[:1], free[0] + np.cumsum(np.exp(free[1:]))])
         below = np.concatenate([np.zeros((n, 1)), 1 / (1 + np.exp(np.clip(score[:, None] - cuts[None, :], -60, 60))), np.ones((n, 1))], axis=1)
         slope = below * (1 - below)
@@ -91,7 +94,10 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, n_grades: int, buckets: int,
         np.add.at(by_cut, grades, slope[row, grades] / p / n)
         by_cut = by_cut[1:-1]
         by_free = np.concatenate([[by_cut.sum()], [by_cut[k:].sum() * np.exp(free[k]) for k in range(1, len(free))]])
-        grads = [np.bincount(at, np.repeat(by_score, sizes), buckets) + ridge * w, by_free + ridge * free]
+        by_weight = ridge * w
+        for own, at, size in blocks:
+            by_weight += np.bincount(at, np.repeat(by_score[own], size), buckets)
+        grads = [by_weight, by_free + ridge * free]
         for i, (value, g) in enumerate(zip((w, free), grads)):
             first[i] = 0.9 * first[i] + 0.1 * g
             second[i] = 0.999 * second[i] + 0.001 * g * g
@@ -119,7 +125,10 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, grade: str, n
         return None
     found = sorted((r["grade"], bytes(r["slots"])) for r in found)
     grades = np.clip(np.array([g for g, _ in found]), 0, n_grades - 1)
-    return fit([np.frombuffer(s, np.int32) for _, s in found], grades, n_grades, buckets)
+    model = fit([np.frombuffer(s, np.int32) for _, s in found], grades, n_grades, buckets)
+    del found
+    trim()
+    return model
 
 
 def score(docs: DataFrame, text: str, model: Model | None, n_grades: int, min_grade: int, min_tail: float) -> DataFrame:
