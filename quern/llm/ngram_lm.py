@@ -36,9 +36,9 @@ from .near_duplicates import WordHashes, mix, word_list
 from .shared import map_array, put_array, scratch, trim, written
 
 #: Tokens sorted at once in a worker.
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 #: Bytes of text per bucket of counts.
-BUCKET_BYTES = 24_000_000
+BUCKET_BYTES = 12_000_000
 #: Word numbers per file of the arrays by word number.
 RANGE = 1 << 20
 RUN = "bucket int, n int, first long, width int, steps binary, kind string, counts binary"
