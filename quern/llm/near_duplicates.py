@@ -37,7 +37,7 @@ from .shared import trim, written
 #: Ids that may be broadcast (8 bytes each); beyond that the join is shuffled.
 BROADCAST_IDS = 1_000_000
 #: Entries of a worker's cache of word hashes; it starts anew beyond that.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 #: Bits of the sketches that bound how far two sets differ, a power of two.
 ODD_BITS = 2048
 #: Documents sketched at once.

@@ -39,7 +39,7 @@ from .shared import trim, written
 #: Parts of each length for ranking.
 SALTS = 256
 #: Words kept in a worker, and the longest of them (characters).
-CACHE_ENTRIES, LONGEST_CACHED = 300_000, 64
+CACHE_ENTRIES, LONGEST_CACHED = 200_000, 64
 
 _encoders: dict[str, PieceEncoder] = {}
 
