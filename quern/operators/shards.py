@@ -10,9 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def fill(sizes: np.ndarray, target: int) -> np.ndarray:
-    """Next-fit: a new shard when the open one has something and the next size would exceed the target."""
-    out, shard, held = np.empty(len(sizes), np.int64), 0, 0
+#: Ids of a range that one task fills, as orders and sizes.
+RANGE_IDS = 1_000_000
+
+
+def fill(sizes: np.ndarray, target: int, held: int = 0) -> np.ndarray:
+    """Next-fit: a new shard when the open one (with `held` at first) has something and the next size would exceed the target."""
+    out, shard = np.empty(len(sizes), np.int64), 0
     for i, s in enumerate(sizes.tolist()):
         if held and held + s > target:
             shard, held = shard + 1, 0
@@ -21,30 +25,85 @@ def fill(sizes: np.ndarray, target: int) -> np.ndarray:
     return out
 
 
-def next_fit(df: DataFrame, by: str, order: str, size: str, target: int, blocks: int = 1) -> DataFrame:
-    """by, order and shard. Next-fit is a chain, so a block of a group is one task, on ids and sizes only.
+def fill_table(sizes: np.ndarray, target: int) -> dict:
+    """What a range makes of any fill it is entered with, for `carried`.
 
-    `blocks` cuts each group's order into so many equal ranges of ids that are filled on their own: exact next-fit
-    with 1; with more, each range ends with a shard that may be less full, and groups of any size are shared out.
+    The place of the first new shard falls as the fill that comes in grows, so the table has a row per such
+    place: the fill that goes out and the shards opened. Neighbours with the same outcome are one row.
+    """
+    n, ends = len(sizes), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+
+    def opens(base):
+        """The place of the next shard, if the open one begins where the running sum is `base`."""
+        return np.maximum(np.searchsorted(ends, base, "right"), np.searchsorted(ends, base + target, "right") - 1)
+
+    last, opened = np.arange(n + 1), np.append(np.ones(n, np.int64), 0)
+    after = np.append(np.minimum(opens(ends[:n]), n), n)
+    while (after < n).any():  # the chains of shards, doubled: the last shard of each and how many
+        last, opened, after = np.where(after < n, last[after], last), opened + opened[after], after[after]
+    out = ends[n] - ends[last]
+    first = int(min(opens(0), n))
+    reach = max(1, int(np.searchsorted(ends[:n], target, "left")))
+    new = np.ones(reach, bool)
+    new[1:] = (out[1:reach] != out[: reach - 1]) | (opened[1:reach] != opened[: reach - 1])
+    at = np.flatnonzero(new)
+    return {
+        "total": int(ends[n]), "empty_out": int(out[first] if first < n else ends[n]), "empty_opened": int(opened[first]),
+        "starts": ends[at].tobytes(), "outs": out[at].tobytes(), "opens": opened[at].tobytes(),
+    }
+
+
+def carried(row: dict, target: int, held: int) -> tuple[int, int]:
+    """The fill after a range with this table and the shards opened in it."""
+    if not held:
+        return row["empty_out"], row["empty_opened"]
+    if held + row["total"] <= target:
+        return held + row["total"], 0
+    starts, outs, opens = (np.frombuffer(row[c], np.int64) for c in ("starts", "outs", "opens"))
+    at = max(0, int(np.searchsorted(starts, target - held, "right")) - 1)
+    return int(outs[at]), int(opens[at])
+
+
+def next_fit(df: DataFrame, by: str, order: str, size: str, target: int, blocks: int | None = None) -> DataFrame:
+    """by, order (unique in its group) and shard: exact next-fit, in ranges of RANGE_IDS ids or in `blocks` equal ones.
+
+    Next-fit is a chain, but what a range does depends on its rows before only by the fill of the open shard.
+    So every range makes a table from the fill that comes in to the one that goes out, one task per group walks
+    these tables (a lookup for each range), and the ranges are filled with what they are entered with.
+    Ranges only share out the work: the shards are the same with any of them.
     """
     rows = df.select(by, order, F.col(size).cast("long").alias("_size"))
     bounds = rows.groupBy(by).agg(F.min(order).alias("_lo"), F.max(order).alias("_hi"))
-    width = (F.col("_hi") - F.col("_lo") + 1) / blocks
+    width = F.lit(RANGE_IDS) if blocks is None else (F.col("_hi") - F.col("_lo") + 1) / blocks
     block = F.floor((F.col(order) - F.col("_lo")) / width).cast("int")
     kind = {c: df.schema[c].dataType.simpleString() for c in (by, order)}
+    # a row per group is broadcast, so that rows are dealt by range and never by group alone
+    placed = rows.join(F.broadcast(bounds), by).withColumn("_block", block).select(by, order, "_size", "_block")
+
+    def table(rows: pd.DataFrame) -> pd.DataFrame:
+        sizes = rows.sort_values([order, "_size"])["_size"].to_numpy()
+        return pd.DataFrame([{by: rows[by].iloc[0], "_block": rows["_block"].iloc[0]} | fill_table(sizes, target)])
+
+    def walk(tables: Iterator) -> Iterator[tuple]:
+        group, shard, held = None, 0, 0
+        for row in tables:
+            if row[by] != group:
+                group, shard, held = row[by], 0, 0
+            yield row[by], row["_block"], shard, held
+            held, opened = carried(row, target, held)
+            shard += opened
 
     def place(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order, kind="stable")
-        return rows.assign(_shard=fill(rows["_size"].to_numpy(), target))[[by, order, "_block", "_shard"]]
-
-    placed = rows.join(bounds, by).withColumn("_block", block).select(by, order, "_size", "_block")
-    filled = placed.groupBy(by, "_block").applyInPandas(place, f"{by} {kind[by]}, {order} {kind[order]}, _block int, _shard long")
-    if blocks == 1:
-        return filled.select(by, order, F.col("_shard").cast("int").alias("shard"))
-    used = filled.groupBy(by, "_block").agg((F.max("_shard") + 1).alias("_used"))
-    earlier = used.alias("x").join(used.alias("y"), (F.col(f"x.{by}") == F.col(f"y.{by}")) & (F.col("y._block") < F.col("x._block")), "left")
-    base = earlier.groupBy(F.col(f"x.{by}").alias(by), F.col("x._block").alias("_block")).agg(F.coalesce(F.sum("y._used"), F.lit(0)).alias("_base"))
-    return filled.join(base, [by, "_block"]).select(by, order, (F.col("_base") + F.col("_shard")).cast("int").alias("shard"))
+        rows = rows.sort_values([order, "_size"])
+        filled = fill(rows["_size"].to_numpy(), target, int(rows["_held"].iloc[0]))
+        return rows.assign(shard=rows["_base"] + filled)[[by, order, "shard"]]
+
+    facts = "total long, empty_out long, empty_opened long, starts binary, outs binary, opens binary"
+    tables = placed.groupBy(by, "_block").applyInPandas(table, f"{by} {kind[by]}, _block int, {facts}")
+    walked = tables.repartition(by).sortWithinPartitions(by, "_block").rdd.mapPartitions(walk)
+    entered = df.sparkSession.createDataFrame(walked, f"{by} {kind[by]}, _block int, _base long, _held long")
+    ready = placed.join(entered, [by, "_block"])
+    return ready.groupBy(by, "_block").applyInPandas(place, f"{by} {kind[by]}, {order} {kind[order]}, shard int")
 
 
 def windows(tokens: DataFrame, by: str, order: str, column: str, length: int) -> DataFrame:

@@ -347,7 +347,7 @@ f AS (SELECT lang, doc_id, k, n AS held, 0 AS shard FROM d WHERE k = 1 UNION ALL
 SELECT lang, doc_id, shard FROM f""")
 def next_fit_shards(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("lang", "doc_id", F.octet_length(F.coalesce("text", F.lit(""))).alias("size"))
-    return shards.next_fit(docs, "lang", "doc_id", "size", 100_000)
+    return shards.next_fit(docs, "lang", "doc_id", "size", 100_000, blocks=64)
 
 
 _TOKENS = f"""k AS (SELECT lang, doc_id, list_concat(list_transform(regexp_extract_all({T}, '[^{S}]+'), lambda x: ('0x' || substr(md5(x), 1, 4))::INT), [0]) AS ids FROM documents),

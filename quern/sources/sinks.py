@@ -19,20 +19,15 @@ from ..operators import order, shards
 _lock = threading.Lock()
 
 
-#: Records that one task fills into shards, as ids and sizes.
-BLOCK_RECORDS = 1_000_000
-
-
 def with_shards(records: DataFrame, megabytes: float = 256, seed: int = 42) -> DataFrame:
     """Records with `shard` by next-fit on the bytes of final_text, in the seeded order of record_id (unique).
 
     Places and shards are found on ids and sizes; texts move once, to their shards. Each split is filled
-    in blocks of about BLOCK_RECORDS, so that no task fills a whole split.
+    in ranges of shards.RANGE_IDS records, so that no task fills a whole split; shards do not depend on them.
     """
     sizes = records.select("split_name", "record_id", F.octet_length(F.coalesce("final_text", F.lit(""))).cast("long").alias("_size"))
     ranked = order.rank(sizes, seed, "record_id", "_order", by=("split_name",))
-    blocks = -(-max(1, records.count()) // BLOCK_RECORDS)
-    placed = shards.next_fit(ranked, "split_name", "_order", "_size", int(megabytes * 1024 * 1024), blocks)
+    placed = shards.next_fit(ranked, "split_name", "_order", "_size", int(megabytes * 1024 * 1024))
     named = ranked.join(placed, ["split_name", "_order"]).select("record_id", "shard")
     return records.join(named, "record_id").select(*records.columns, "shard")
 
