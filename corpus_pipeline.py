@@ -11,13 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm import near_duplicates, packing, pii, queries
-from quern.llm.shared import ship, written
+from quern.llm.shared import fresh, ship, written
 
-#: Removed ids that may be broadcast (8 bytes each); beyond that the join is shuffled.
+#: Keys of removed rows that may be broadcast (25 bytes each); beyond that the join is shuffled.
 BROADCAST_IDS = 1_000_000
 
 
@@ -28,12 +28,32 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where("kept").select(*docs.columns)
 
 
+def _row_key() -> Column:
+    """What tells rows apart, in the order of ids (nulls last): null or not, id and the text's MD5, 25 bytes."""
+    i = F.col("doc_id").cast("long").bitwiseXOR(F.lit(-(1 << 63)))  # the sign first, so that bytes sort as numbers
+    ordered = F.coalesce(F.concat(F.lit("00"), F.lpad(F.hex(i), 16, "0")), F.lit("01" + "0" * 16))
+    return F.unhex(F.concat(ordered, F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
+
+
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document (the least id) of each group of near-duplicates; rows that repeat an id share its fate."""
+    """One row (of the least id; null ids come last) of each group of near-duplicates, whatever other rows have its id.
+
+    Rows without shingles are in no group and all stay.
+    """
     ship(spark)
-    found = near_duplicates.near_duplicates(docs, "doc_id", "text", threshold=(85, 100), words=5)
-    gone = written(found.where(~F.col("kept")).select("doc_id").distinct(), "gone")
-    return docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, "doc_id", "left_anti").select(*docs.columns)
+    (key,) = fresh(docs, "row_key")
+    keyed = docs.withColumn(key, _row_key())
+    found = near_duplicates.near_duplicates(keyed.select(key, "text"), key, "text", threshold=(85, 100), words=5)
+    rows = found.groupBy(key).agg(F.bool_and("kept").alias("kept"), F.max("n_shingles").alias("n"), F.count("*").alias("rows"))
+    touched = written(rows.where(~F.col("kept") | ((F.col("n") > 0) & (F.col("rows") > 1))).select(key, "kept"), "touched")
+    n = touched.count()
+    small = lambda t: F.broadcast(t) if n <= BROADCAST_IDS else t
+    out = keyed.join(small(touched.select(key)), key, "left_anti").select(*docs.columns)
+    again = touched.where("kept").select(key)
+    if again.isEmpty():
+        return out
+    one = keyed.join(small(again), key, "left_semi").groupBy(key).agg(F.min(F.struct(*docs.columns)).alias("one"))
+    return out.unionByName(one.select("one.*"))
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
