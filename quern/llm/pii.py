@@ -7,7 +7,7 @@ permutation, so equal values get equal pseudonyms in all documents and different
 
 - Strings: characters keep their class (digit, small or capital letter, accented ones apart, or
   hexadecimal) and place; each round shifts one half by a keyed hash of the other. Check digits are
-  made anew. Letters of other scripts stay.
+  made anew. Letters of other scripts stay. Secrets and local parts have any length.
 - Numbers: a pair (l, r) in Z_a x Z_b, one shifted by a keyed hash of the other in turn: addresses
   2^16 x 2^16; dates 189 x 773, the days of a 400-year cycle (1800 to 2199), so that each is a date;
   social security numbers (898 x 99) x 9999 over the valid ones; phones of the North American plan
@@ -29,13 +29,28 @@ from .shared import fresh
 
 ROUNDS = 8
 
+# The lengths of IBANs and the countries that have them (ISO 13616).
+IBANS = {
+    15: "NO", 16: "BE", 18: "DK FK FO FI GL NL SD", 19: "MK SI", 20: "AT BA EE KZ XK LT LU MN", 21: "HR LV LI CH", 22: "BH BG CR GE DE IE ME RS GB VA", 23: "GI IQ IL OM SO TL AE",
+    24: "AD CZ MD PK RO SA SK ES SE TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MR MC SM", 28: "AL AZ BY CY DO SV GT HN HU LB NI PL", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban(length: int, lands: str) -> str:
+    """The pattern of whole IBANs of these countries, in groups of four or without spaces."""
+    groups, rest = divmod(length - 4, 4)
+    return f"(?:{lands.replace(' ', '|')})\\d{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}" + (f" ?[A-Z0-9]{{{rest}}}" if rest else "") + "(?![A-Za-z0-9])"
+
+
 # The formats, tried in this order.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,128}@(?:[\p{L}\p{N}-]{1,63}\.){1,8}\p{L}{2,24}(?![\p{L}\p{N}-])",
-    "secret": r"(?:(?<![\w-])(?i:password|passwd|pwd|secret|token|api[_-]?key)[ \t]{0,3}[=:][ \t]{0,3}[\"']?[A-Za-z0-9_\-]{8,120}(?![\w-]))",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[\p{L}\p{N}-]{1,63}\.){1,126}\p{L}{2,63}(?![\p{L}\p{N}-])",
+    "secret": r"(?:(?<![\w-])(?i:password|passwd|pwd|secret|token|api[_-]?key)[ \t]{0,3}[=:][ \t]{0,3}[\"']?[A-Za-z0-9_\-]{8,}+(?![\w-]))",
     "key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\w]|\.\d)",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    # its country's length first, so that it does not run on into the next word; any length elsewhere
+    "iban": r"(?<![A-Za-z0-9])(?=[A-Z]{2}\d{2})(?:" + "|".join(_iban(n, lands) for n, lands in IBANS.items()) + r"|[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))",
     "date": r"(?<![\w.-])(?:(?:1[89]|2[01])\d\d-\d\d-\d\d|\d\d[./]\d\d[./](?:1[89]|2[01])\d\d)(?![\w-]|\.\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "card": r"(?<![\w-])(?:\d{13,19}|\d{4}(?: \d{4}){3}|\d{4}(?:-\d{4}){3}|\d{4} \d{6} \d{5}|\d{4}-\d{6}-\d{5})(?![\w-]|\.\d)",
@@ -55,9 +70,9 @@ ALPHABETS = (
 _DAY0, _DAYS = "1800-01-01", 146_097
 
 
-def _hash(key: str, turn: int, kind: Column, other: Column) -> Column:
+def _hash(key: str, turn: Column, kind: Column, other: Column) -> Column:
     """Keyed hash of the other half, as hexadecimal digits."""
-    return F.sha2(F.concat_ws("|", F.lit(key), F.lit(str(turn)), kind, other), 512)
+    return F.sha2(F.concat_ws("|", F.lit(key), turn.cast("string"), kind, other), 512)
 
 
 def _shift(c: Column, hexadecimal: Column, by: Column) -> Column:
@@ -75,19 +90,32 @@ def _shift(c: Column, hexadecimal: Column, by: Column) -> Column:
     return out.otherwise(c)
 
 
-def _mixed(half: Column, hashed: Column, hexadecimal: Column) -> Column:
-    """Every character of a half (64 at most) moved by two hexadecimal digits of the hash."""
-    by = lambda i: F.conv(F.substring(hashed, (i * 2 + 1).cast("int"), F.lit(2)), 16, 10).cast("long")
+def _hashes(hashed: Column, half: Column) -> Column:
+    """The hash for the first 64 characters of a half, and hashes of it with counters for what follows."""
+    more = F.transform(F.sequence(F.lit(1), ((F.length(half) - 1) / 64).cast("int")), lambda n: F.sha2(F.concat_ws("|", hashed, n.cast("string")), 512))
+    return F.when(F.length(half) > 64, F.concat(F.array(hashed), more)).otherwise(F.array(hashed))
+
+
+def _mixed(half: Column, hashes: Column, hexadecimal: Column) -> Column:
+    """Every character of a half moved by two hexadecimal digits of the hashes."""
+    by = lambda i: F.conv(F.substring(hashes[F.floor(i / 64).cast("int")], (i % 64 * 2 + 1).cast("int"), F.lit(2)), 16, 10).cast("long")
     return F.array_join(F.transform(F.split(half, ""), lambda c, i: _shift(c, hexadecimal, by(i))), "")
 
 
-def _feistel(x: Column, key: str, turn: int) -> Column:
-    """One round: the left half (even turns) or the right one (odd turns) of struct x is moved."""
-    own, other, modulus = ("l", "r", "a") if turn % 2 == 0 else ("r", "l", "b")
-    hashed = _hash(key, turn, x["kind"], x[other])
-    number = F.pmod(x[own].cast("long") + F.conv(F.substring(hashed, 1, 14), 16, 10).cast("long"), x[modulus])
-    new = F.when(x["a"] > 0, number.cast("string")).otherwise(_mixed(x[own], hashed, x["hexadecimal"]))
-    return x.withField(own, new)
+def _bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is made once: lambdas make what is not bound anew for every element."""
+    return F.transform(F.array(value), f)[0]
+
+
+def _feistel(x: Column, key: str, turn: Column) -> Column:
+    """One round: l of struct x is moved by a hash of r, then they change places; an even number of rounds puts them back."""
+
+    def moved(hashes: Column) -> Column:
+        number = F.pmod(x["l"].cast("long") + F.conv(F.substring(hashes[0], 1, 14), 16, 10).cast("long"), x["a"])
+        new = F.when(x["a"] > 0, number.cast("string")).otherwise(_mixed(x["l"], hashes, x["hexadecimal"]))
+        return x.withField("l", x["r"]).withField("r", new).withField("a", x["b"]).withField("b", x["a"])
+
+    return _bound(_hash(key, turn, x["kind"], x["r"]), lambda first: _bound(_hashes(first, x["l"]), moved))
 
 
 def _digits(s: Column) -> Column:
@@ -179,7 +207,7 @@ def _halves(x: Column) -> Column:
         nanp=((of10(1, 3) - 200) * 100 + of10(7, 2)).cast("string"),
     )
     right = pick(
-        F.substring(core, half + 1, F.lit(200)), ip=two(2), date=(days % 773).cast("string"), ssn=(number(6, 4) - 1).cast("string"),
+        F.substring(core, half + 1, F.length(core)), ip=two(2), date=(days % 773).cast("string"), ssn=(number(6, 4) - 1).cast("string"),
         nanp=((of10(4, 3) - 200) * 100 + of10(9, 2)).cast("string"),
     )
     zero = F.lit(0).cast("long")
@@ -217,7 +245,7 @@ def _written(x: Column) -> Column:
     iban = F.concat(land, check, _fill(F.substring(m, F.lit(5), F.lit(60)), core, "A-Z0-9"))
     size = F.length(core)
     return (
-        F.when(~x["valid"], m).when(kind == "email", F.concat(core, F.substring(m, size + 1, F.lit(400)))).when(kind == "secret", F.concat(F.substring(m, F.lit(1), F.length(m) - size), core))
+        F.when(~x["valid"], m).when(kind == "email", F.concat(core, F.substring(m, size + 1, F.length(m)))).when(kind == "secret", F.concat(F.substring(m, F.lit(1), F.length(m) - size), core))
         .when(kind == "key", F.concat(F.substring(m, F.lit(1), F.lit(4)), core)).when(kind == "ip", ip).when(kind == "iban", iban).when(kind == "date", shape).when(kind == "ssn", ssn)
         .when(kind == "card", _fill(m, F.concat(core, _check_digit(core)), "0-9")).when(kind == "nanp", nanp).when(kind == "phone", phone).otherwise(m)
     )
@@ -232,11 +260,8 @@ def _staged(column: Column, *steps: Callable[[Column], Column]) -> Column:
 def pseudonyms(matches: Column, key: str) -> Column:
     """An array of structs (kind, value, pseudonym, valid) for an array of matches."""
 
-    def turned(turn: int) -> Callable[[Column], Column]:
-        return lambda x: _feistel(x, key, turn)
-
-    rounds = [turned(t) for t in range(ROUNDS)]
-    done = _staged(matches, lambda m: F.struct(m.alias("m"), _kind(m).alias("kind")), _halves, *rounds)
+    turns = F.sequence(F.lit(0), F.lit(ROUNDS - 1))
+    done = _staged(matches, lambda m: F.struct(m.alias("m"), _kind(m).alias("kind")), _halves, lambda x: F.aggregate(turns, x, lambda y, turn: _feistel(y, key, turn)))
     return F.transform(done, lambda x: F.struct(x["kind"].alias("kind"), x["m"].alias("value"), _written(x).alias("pseudonym"), x["valid"].alias("valid")))
 
 
