@@ -109,7 +109,7 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, n_grades: int, buckets: int,
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str, text: str, grade: str, n_grades: int, buckets: int = 1 << 18, max_labelled: int = 12_000) -> Model | None:
-    """Fit on at most max_labelled rated documents; None without any."""
+    """Fit on at most max_labelled rated documents, the one of the least text hash where rows repeat an id; None without any."""
     rated = labels.select(F.col(key).alias("id"), F.col(grade).cast("int").alias("grade")).dropna().groupBy("id").agg(F.min("grade").alias("grade"))
     chosen = rated.orderBy(F.xxhash64("id"), "id").limit(max_labelled)
 
@@ -120,7 +120,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, grade: str, n
         trim()
 
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id")
-    found = texts.select("grade", "text").mapInPandas(featurise, "grade int, slots binary").collect()
+    texts = texts.groupBy("id").agg(F.min(F.struct(F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("hash"), "text", "grade")).alias("one"))
+    found = texts.select("one.grade", "one.text").mapInPandas(featurise, "grade int, slots binary").collect()
     if not found:
         return None
     found = sorted((r["grade"], bytes(r["slots"])) for r in found)
