@@ -5,24 +5,36 @@ cards (Luhn), IBANs (mod 97), social security numbers, calendar dates, phone num
 passwords. Each is mapped by a keyed Feistel network to another valid value of the same format: a
 permutation, so equal values get equal pseudonyms in all documents and different values different ones.
 
-- Strings: characters keep their class (digit, small or capital letter, accented ones apart, or
-  hexadecimal) and place; each round shifts one half by a keyed hash of the other. Check digits are
-  made anew. Letters of other scripts stay. Secrets and local parts have any length.
+- Strings: characters keep their class and place; each round shifts one half by a keyed hash of the
+  other. Classes are digits, small and capital letters and, in secrets, symbols; other letters, marks
+  and numbers move among those of their category within 64 neighbouring code points, so that every
+  script stays itself. Check digits are made anew. Secrets and local parts have any length.
 - Numbers: a pair (l, r) in Z_a x Z_b, one shifted by a keyed hash of the other in turn: addresses
   2^16 x 2^16; dates 189 x 773, the days of a 400-year cycle (1800 to 2199), so that each is a date;
+  days after the 12th, which alone are written dd/mm/yyyy, 9 x 9833, so that they stay such days;
   social security numbers (898 x 99) x 9999 over the valid ones; phones of the North American plan
   80000 x 80000 over area and exchange codes from 200.
 
+The hash is HMAC-SHA-512 under a key that the caller gives; an empty key is refused. `session_key`
+takes it from the session's setting `spark.quern.pii.key` and draws one for the session where none is
+set, so that no key is known to all; values of different runs are linked only under a key that is kept.
+The key is part of the query plan, as any literal: guard plans and event logs as the key.
+
 All in one row: matches are taken out as an array, mapped by higher-order functions, and put back
 between the pieces of the text. Null texts stay null, texts without matches stay as they are, repeated
-rows are mapped alike. Numbers that fail validation are left alone.
+rows are mapped alike, an empty table stays empty, texts of any length are mapped whole. Columns of df
+that are named like the list of kinds are replaced, all others pass. Numbers that fail validation are
+left alone. A permutation may map a value to itself (one of a single letter does so once in 26 keys):
+such a value is not listed among the kinds.
 """
 
 from __future__ import annotations
 
+import hashlib
+import secrets
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import fresh
@@ -43,10 +55,14 @@ def _iban(length: int, lands: str) -> str:
     return f"(?:{lands.replace(' ', '|')})\\d{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}" + (f" ?[A-Z0-9]{{{rest}}}" if rest else "") + "(?![A-Za-z0-9])"
 
 
+# What follows the name of a secret: after `=` any value, after `:` one of 8 characters or of 4 with a digit or symbol, as prose has colons too.
+# Neither white space nor quotes are part of it, nor closing punctuation at its end.
+_NAME, _OPEN, _END = r"(?i:password|passwd|passphrase|passcode|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?[ \t]{0,3}", r"[ \t]{0,3}[\"']?", r"[^\s\"'.,;:!?)\]}>]"
+SECRET = rf"{_NAME}(?:={_OPEN}[^\s\"']*{_END}|:{_OPEN}(?:[^\s\"']{{7,}}{_END}|(?=[^\s\"']{{0,7}}[0-9#$%&*+/=@^|~_-])[^\s\"']{{3,}}{_END}))"
 # The formats, tried in this order.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[\p{L}\p{N}-]{1,63}\.){1,126}\p{L}{2,63}(?![\p{L}\p{N}-])",
-    "secret": r"(?:(?<![\w-])(?i:password|passwd|pwd|secret|token|api[_-]?key)[ \t]{0,3}[=:][ \t]{0,3}[\"']?[A-Za-z0-9_\-]{8,}+(?![\w-]))",
+    "email": r"(?<![\p{L}\p{M}\p{N}._%+-])[\p{L}\p{M}\p{N}._%+-]++@(?:[\p{L}\p{M}\p{N}-]{1,63}\.){1,126}[\p{L}\p{M}]{2,63}(?![\p{L}\p{M}\p{N}-])",
+    "secret": SECRET,
     "key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\w]|\.\d)",
     # its country's length first, so that it does not run on into the next word; any length elsewhere
@@ -58,36 +74,66 @@ PATTERNS = {
     "phone": r"(?<![\w+])\+[1-9]\d{0,2}(?:[ .-]?\(?\d{1,4}\)?){2,6}(?!\w|\.\d)",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-# The classes within which characters move; the last one serves values of hexadecimal digits only.
-ALPHABETS = (
-    "0123456789",
-    "abcdefghijklmnopqrstuvwxyz",
-    "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
-    "àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ",
-    "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ",
-    "0123456789abcdef",
-)
+# The classes within which characters move, and those of symbols in secrets. None of these symbols closes a value.
+ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+SYMBOLS = ("-_", "#$%&*+/=@^|~")
+#: Categories of other characters that move, and the neighbours among which they do.
+CATEGORIES, BLOCK = ("Lu", "Ll", "Lt", "Lm", "Lo", "M", "N"), 64
 _DAY0, _DAYS = "1800-01-01", 146_097
+#: Days after the 12th in those 400 years, and a factor of their number.
+_LATE_DAYS, _LATE_FACTOR = _DAYS - 4800 * 12, 9
+KEY_SETTING = "spark.quern.pii.key"
+
+
+def session_key(spark: SparkSession) -> str:
+    """The key of KEY_SETTING; where it is unset, one is drawn and set for the session."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        key = secrets.token_hex(32)
+        spark.conf.set(KEY_SETTING, key)
+    return key
 
 
 def _hash(key: str, turn: Column, kind: Column, other: Column) -> Column:
-    """Keyed hash of the other half, as hexadecimal digits."""
-    return F.sha2(F.concat_ws("|", F.lit(key), turn.cast("string"), kind, other), 512)
+    """HMAC-SHA-512 of turn, kind and the other half, as hexadecimal digits."""
+    if not key:
+        raise ValueError("a key is needed")
+    raw = key.encode()
+    raw = (raw if len(raw) <= 128 else hashlib.sha512(raw).digest()).ljust(128, b"\0")
+    inner, outer = (F.lit(bytearray(b ^ pad for b in raw)) for pad in (0x36, 0x5C))
+    message = F.concat_ws("|", turn.cast("string"), kind, other).cast("binary")
+    return F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, message), 512))), 512)
 
 
-def _shift(c: Column, hexadecimal: Column, by: Column) -> Column:
-    """A character moved within its class; others stay."""
+def _shift(c: Column, symbols: Column, by: Column) -> Column:
+    """A character moved within its class."""
 
     def moved(alphabet: str) -> Column:
         n = len(alphabet)
         return F.substring(F.lit(alphabet), (F.pmod(F.instr(F.lit(alphabet), c) - 1 + by, F.lit(n)) + 1).cast("int"), F.lit(1))
 
-    *classes, hexes = ALPHABETS
     within = lambda a: (c != "") & (F.instr(F.lit(a), c) > 0)
-    out = F.when(hexadecimal & within(hexes), moved(hexes))
-    for alphabet in classes:
+    out = F.when(within(ALPHABETS[0]), moved(ALPHABETS[0]))
+    for alphabet in ALPHABETS[1:]:
         out = out.when(within(alphabet), moved(alphabet))
-    return out.otherwise(c)
+    for alphabet in SYMBOLS:
+        out = out.when(symbols & within(alphabet), moved(alphabet))
+    return out.when(F.ascii(c) > 127, _among_neighbours(c, by)).otherwise(c)
+
+
+def _among_neighbours(c: Column, by: Column) -> Column:
+    """A character moved among those of its category in its block of code points; one of no such category stays."""
+
+    def category(x: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for name in CATEGORIES:
+            out = F.when(x.rlike(rf"^\p{{{name}}}"), F.lit(name)).otherwise(out)
+        return out
+
+    first = F.floor(F.ascii(c) / BLOCK).cast("long") * BLOCK
+    block = F.transform(F.sequence(first, first + BLOCK - 1), lambda n: F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
+    own = _bound(category(c), lambda kind: F.filter(block, lambda x: category(x) == kind))
+    return F.coalesce(_bound(own, lambda chars: F.get(chars, F.pmod(F.array_position(chars, c) - 1 + by, F.size(chars)).cast("int"))), c)
 
 
 def _hashes(hashed: Column, half: Column) -> Column:
@@ -96,10 +142,10 @@ def _hashes(hashed: Column, half: Column) -> Column:
     return F.when(F.length(half) > 64, F.concat(F.array(hashed), more)).otherwise(F.array(hashed))
 
 
-def _mixed(half: Column, hashes: Column, hexadecimal: Column) -> Column:
+def _mixed(half: Column, hashes: Column, symbols: Column) -> Column:
     """Every character of a half moved by two hexadecimal digits of the hashes."""
     by = lambda i: F.conv(F.substring(hashes[F.floor(i / 64).cast("int")], (i % 64 * 2 + 1).cast("int"), F.lit(2)), 16, 10).cast("long")
-    return F.array_join(F.transform(F.split(half, ""), lambda c, i: _shift(c, hexadecimal, by(i))), "")
+    return F.array_join(F.transform(F.split(half, ""), lambda c, i: _shift(c, symbols, by(i))), "")
 
 
 def _bound(value: Column, f: Callable[[Column], Column]) -> Column:
@@ -112,7 +158,7 @@ def _feistel(x: Column, key: str, turn: Column) -> Column:
 
     def moved(hashes: Column) -> Column:
         number = F.pmod(x["l"].cast("long") + F.conv(F.substring(hashes[0], 1, 14), 16, 10).cast("long"), x["a"])
-        new = F.when(x["a"] > 0, number.cast("string")).otherwise(_mixed(x["l"], hashes, x["hexadecimal"]))
+        new = F.when(x["a"] > 0, number.cast("string")).otherwise(_mixed(x["l"], hashes, x["kind"] == "secret"))
         return x.withField("l", x["r"]).withField("r", new).withField("a", x["b"]).withField("b", x["a"])
 
     return _bound(_hash(key, turn, x["kind"], x["r"]), lambda first: _bound(_hashes(first, x["l"]), moved))
@@ -161,9 +207,29 @@ def _parsed_date(m: Column) -> Column:
     return F.when(iso, _date(part(9, 2), part(6, 2), part(1, 4))).when(dots & same, second).when(same, F.coalesce(first, second))
 
 
-def _month_first(m: Column) -> Column:
+def _day_first(m: Column) -> Column:
+    """Whether a date is written dd/mm/yyyy: with slashes and, as its day is none of a month, not mm/dd/yyyy."""
     part = lambda i, n: F.substring(m, i, n)
-    return _date(part(4, 2), part(1, 2), part(7, 4)).isNotNull()
+    return (m.substr(3, 1) == "/") & _date(part(4, 2), part(1, 2), part(7, 4)).isNull()
+
+
+def _days_before(months: Column) -> Column:
+    """Days after the 12th in that many months from the first day on."""
+    return F.datediff(F.add_months(F.lit(_DAY0).cast("date"), months.cast("int")), F.lit(_DAY0).cast("date")) - 12 * months
+
+
+def _late_rank(day: Column) -> Column:
+    """The place of a day among those after the 12th."""
+    months = (F.year(day) - 1800) * 12 + F.month(day) - 1
+    return (_days_before(months) + F.dayofmonth(day) - 13).cast("long")
+
+
+def _late_day(rank: Column) -> Column:
+    """The day of a place among those after the 12th: its month is near the mean, the last that begins at or before it."""
+    guess = F.floor(rank * 4800 / _LATE_DAYS)
+    near = F.filter(F.sequence(guess - 3, guess + 3), lambda n: (n >= 0) & (n < 4800))
+    month = _bound(near, lambda n: F.array_max(F.filter(n, lambda k: _days_before(k) <= rank)))
+    return _bound(month, lambda n: F.date_add(F.add_months(F.lit(_DAY0).cast("date"), n.cast("int")), (rank - _days_before(n) + 12).cast("int")))
 
 
 def _kind(m: Column) -> Column:
@@ -175,11 +241,11 @@ def _kind(m: Column) -> Column:
 
 
 def _halves(x: Column) -> Column:
-    """struct x (m, kind) with its permuted halves l and r, moduli a and b (0: strings), hexadecimal, and valid."""
+    """struct x (m, kind) with its permuted halves l and r, moduli a and b (0: strings), late (a date dd/mm/yyyy) and valid."""
     m, kind = x["m"], x["kind"]
     d = _digits(m)
     local = F.substring_index(m, "@", 1)
-    secret = F.regexp_extract(m, r"([A-Za-z0-9_\-]+)$", 1)
+    secret = F.regexp_replace(m, f"^{_NAME}[=:]{_OPEN}", "")
     bban = F.substring(F.regexp_replace(m, " ", ""), F.lit(5), F.lit(40))
     national = F.regexp_replace(m, r"^\+[1-9]\d{0,2}", "")
     core = (
@@ -188,7 +254,9 @@ def _halves(x: Column) -> Column:
     )
     octets = F.split(m, r"\.")
     two = lambda i: (octets[i].cast("long") * 256 + octets[i + 1].cast("long")).cast("string")
-    days = F.datediff(_parsed_date(m), F.lit(_DAY0).cast("date")).cast("long")
+    late = (kind == "date") & _day_first(m)
+    days = F.when(late, _late_rank(_parsed_date(m))).otherwise(F.datediff(_parsed_date(m), F.lit(_DAY0).cast("date")).cast("long"))
+    years, rest = (F.when(late, F.lit(x)).otherwise(F.lit(y)).cast("long") for x, y in ((_LATE_FACTOR, 189), (_LATE_DAYS // _LATE_FACTOR, 773)))
     number = lambda i, n: F.substring(d, F.lit(i), F.lit(n)).cast("long")
     area = number(1, 3)
     area_no = F.when(area > 666, area - 2).otherwise(area - 1)
@@ -203,11 +271,11 @@ def _halves(x: Column) -> Column:
         return out
 
     left = pick(
-        F.substring(core, F.lit(1), half), ip=two(0), date=F.floor(days / 773).cast("string"), ssn=(area_no * 99 + number(4, 2) - 1).cast("string"),
+        F.substring(core, F.lit(1), half), ip=two(0), date=F.floor(days / rest).cast("string"), ssn=(area_no * 99 + number(4, 2) - 1).cast("string"),
         nanp=((of10(1, 3) - 200) * 100 + of10(7, 2)).cast("string"),
     )
     right = pick(
-        F.substring(core, half + 1, F.length(core)), ip=two(2), date=(days % 773).cast("string"), ssn=(number(6, 4) - 1).cast("string"),
+        F.substring(core, half + 1, F.length(core)), ip=two(2), date=(days % rest).cast("string"), ssn=(number(6, 4) - 1).cast("string"),
         nanp=((of10(4, 3) - 200) * 100 + of10(9, 2)).cast("string"),
     )
     zero = F.lit(0).cast("long")
@@ -218,9 +286,9 @@ def _halves(x: Column) -> Column:
     )
     return F.struct(
         m.alias("m"), kind.alias("kind"), left.alias("l"), right.alias("r"),
-        pick(zero, ip=F.lit(1 << 16).cast("long"), date=F.lit(189).cast("long"), ssn=F.lit(898 * 99).cast("long"), nanp=F.lit(80_000).cast("long")).alias("a"),
-        pick(zero, ip=F.lit(1 << 16).cast("long"), date=F.lit(773).cast("long"), ssn=F.lit(9999).cast("long"), nanp=F.lit(80_000).cast("long")).alias("b"),
-        ((kind == "secret") & core.rlike("^[0-9a-f]+$")).alias("hexadecimal"), F.coalesce(valid, F.lit(False)).alias("valid"),
+        pick(zero, ip=F.lit(1 << 16).cast("long"), date=years, ssn=F.lit(898 * 99).cast("long"), nanp=F.lit(80_000).cast("long")).alias("a"),
+        pick(zero, ip=F.lit(1 << 16).cast("long"), date=rest, ssn=F.lit(9999).cast("long"), nanp=F.lit(80_000).cast("long")).alias("b"),
+        F.coalesce(late, F.lit(False)).alias("late"), F.coalesce(valid, F.lit(False)).alias("valid"),
     )
 
 
@@ -230,8 +298,8 @@ def _written(x: Column) -> Column:
     left, right = x["l"].cast("long"), x["r"].cast("long")
     pad = lambda n, width: F.lpad(n.cast("string"), width, "0")
     day = F.date_add(F.lit(_DAY0).cast("date"), (left * 773 + right).cast("int"))
-    shape = F.when(m.substr(5, 1) == "-", F.date_format(day, "yyyy-MM-dd")).when(m.substr(3, 1) == ".", F.date_format(day, "dd.MM.yyyy"))
-    shape = shape.when(_month_first(m), F.date_format(day, "MM/dd/yyyy")).otherwise(F.date_format(day, "dd/MM/yyyy"))
+    shape = F.when(x["late"], F.date_format(_late_day(left * (_LATE_DAYS // _LATE_FACTOR) + right), "dd/MM/yyyy"))
+    shape = shape.when(m.substr(5, 1) == "-", F.date_format(day, "yyyy-MM-dd")).when(m.substr(3, 1) == ".", F.date_format(day, "dd.MM.yyyy")).otherwise(F.date_format(day, "MM/dd/yyyy"))
     area = F.floor(left / 99) + 1
     ssn = F.concat_ws("-", pad(F.when(area >= 666, area + 1).otherwise(area), 3), pad(left % 99 + 1, 2), pad(right + 1, 4))
     ip = F.concat_ws(".", F.floor(left / 256), left % 256, F.floor(right / 256), right % 256)
@@ -271,7 +339,7 @@ def pseudonymise(df: DataFrame, text: str, key: str, found: str = "pii_kinds") -
     # one array element binds the matches, so that they are mapped once
     bound = F.transform(F.array(pseudonyms(F.regexp_extract_all(t, F.lit(ANY), F.lit(0)), key)), lambda done: F.struct(
         F.concat(F.array_join(F.zip_with(F.split(t, ANY, -1), done["pseudonym"], lambda piece, p: F.concat(piece, F.coalesce(p, F.lit("")))), "")).alias("text"),
-        F.transform(F.filter(done, lambda x: x["valid"]), lambda x: x["kind"]).alias("kinds"),
+        F.transform(F.filter(done, lambda x: x["valid"] & (x["pseudonym"] != x["value"])), lambda x: x["kind"]).alias("kinds"),
     ))[0]
     none = F.struct(t.alias("text"), F.array().cast("array<string>").alias("kinds"))
     (both,) = fresh(df, "_pii")

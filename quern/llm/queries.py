@@ -76,13 +76,9 @@ def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", F.size("ids").alias("n_ids"), "ids", "score", (F.col("decoded") == text).alias("round_trip"))
 
 
-#: The key of the permutations; whoever runs this on real data passes a secret one.
-PII_KEY = "quern"
-
-
 def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.pseudonymise(docs, "text", PII_KEY).withColumn("n_values", F.size("pii_kinds"))
+    return pii.pseudonymise(docs, "text", pii.session_key(spark)).withColumn("n_values", F.size("pii_kinds"))
 
 
 def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ def test_stages(spark):
     want = {k for k, _, c in brute(rows) if k == c}
     assert {r["doc_id"] for r in got["near_duplicates"].collect()} == want
     masked = {r["doc_id"]: r for r in got["pseudonyms"].collect()}
-    direct = {r["doc_id"]: r["text"] for r in pii.pseudonymise(got["near_duplicates"], "text", queries.PII_KEY).collect()}
+    direct = {r["doc_id"]: r["text"] for r in pii.pseudonymise(got["near_duplicates"], "text", pii.session_key(spark)).collect()}
     assert {k: r["text"] for k, r in masked.items()} == direct and all(r["n_chars"] == len(r["text"]) for r in masked.values())
     pieces = got["best_fit_packing"]
     ids = packing.encoder(path("byte_bpe_50k.json")).encode([r["text"] for r in masked.values()])
