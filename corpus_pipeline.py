@@ -58,7 +58,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with pseudonyms for private values; n_chars follows the text."""
-    mapped = pii.pseudonymise(docs, "text", queries.PII_KEY)
+    mapped = pii.pseudonymise(docs, "text", pii.session_key(spark))
     return mapped.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
