@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..sources.shared import ship
 from .chars import LINE_END, SPACE, SPACE_IN_LINE, strip
 
 # A fixed value: symbols that carry no text.
@@ -17,6 +18,8 @@ _EXTRACT_HEADING = r"==+[ \t\n\x0b\f\r]*([^\n]*?)[ \t\n\x0b\f\r]*==+"
 
 
 def _form(name: str):
+    ship()
+
     @F.pandas_udf("string")
     def normalised(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
@@ -123,26 +126,31 @@ def chunks(text: Column, size: int = 6000, overlap: int = 200) -> Column:
     return F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.substring(text, i * step + 1, F.lit(size)))
 
 
-def paragraph_chunks(text: str, size: int = 6000, overlap: int = 200) -> list[str]:
-    """Windows that end at the last blank line inside them if there is one. The start always advances."""
-    out, start = [], 0
-    if len(text) <= size:
-        return [text]
-    while start + size < len(text):
-        end = start + size
-        cut = text.rfind("\n\n", start, end)
-        end = cut if cut > start else end
-        out.append(text[start:end])
-        start = max(start + 1, end - overlap)
-    return [*out, text[start:]]
-
-
 def chunks_at_paragraphs(text: Column, size: int = 6000, overlap: int = 200) -> Column:
-    @F.pandas_udf("array<string>")
-    def cut(batch: pd.Series) -> pd.Series:
-        return batch.map(lambda t: paragraph_chunks(t or "", size, overlap))
+    """Windows of at most `size` characters that end before the last blank line inside them, if one follows their start.
+
+    A window begins `overlap` characters before the end of the last one, and always after its begin.
+    """
 
-    return cut(text)
+    def windows(t: Column) -> Column:
+        n = F.length(t)
+        step = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<begin:int,end:int>>").alias("done"))
+
+        def advance(state: Column) -> Column:
+            at = state["at"]
+            # the last pair of line feeds within the window, found from its end
+            back = F.instr(F.reverse(F.substring(t, at + 1, F.lit(size))), "\n\n")
+            cut = at + size - 1 - back
+            end = F.when((back > 0) & (cut > at), cut).otherwise(at + size)
+            to = lambda e: F.struct(F.greatest(at + 1, e - overlap).alias("at"), F.concat(state["done"], F.array(F.struct(at.alias("begin"), e.cast("int").alias("end")))).alias("done"))
+            return F.transform(F.array(end), to)[0]
+
+        more = F.sequence(F.lit(0), F.greatest(F.lit(0), n - size))  # a window advances by a character at least
+        walked = F.aggregate(more, step, lambda state, _: F.when(state["at"] + size < n, advance(state)).otherwise(state))
+        parts = lambda s: F.concat(F.transform(s["done"], lambda w: F.substring(t, w["begin"] + 1, w["end"] - w["begin"])), F.array(F.substring(t, s["at"] + 1, n)))
+        return F.transform(F.array(walked), parts)[0]
+
+    return F.transform(F.array(F.coalesce(text, F.lit(""))), windows)[0]
 
 
 def merge_chunks(order: Column, text: Column) -> Column:

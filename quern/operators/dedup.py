@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import chars
+from ..sources.shared import held, ship, written
 
 PRIME = 2_147_483_647
 PERMUTATIONS, BANDS = 128, 8
@@ -20,14 +21,18 @@ def dedup_hash(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
 
 
-def exact(df: DataFrame, text: str, order: str) -> DataFrame:
-    """df with dedup_hash, without rows whose text an earlier row (by `order`) has.
+def first_of(df: DataFrame, by: str, order: str) -> DataFrame:
+    """One row per value of `by`: the least by `order` (nulls last), then by a hash of the row, so that equal rows are one.
 
-    The least order of each hash is an aggregate (reduced before the shuffle); only it meets the rows again.
+    An aggregate: rows are reduced before the shuffle, and a value that many rows share costs its partial results.
     """
-    hashed = df.withColumn("dedup_hash", dedup_hash(F.col(text)))
-    first = hashed.groupBy("dedup_hash").agg(F.min(order).alias("_first"))
-    return hashed.join(first, "dedup_hash").where(F.col(order) == F.col("_first")).select(*df.columns, "dedup_hash")
+    place = F.struct(F.col(order).isNull(), F.col(order), F.xxhash64(*df.columns))
+    return df.groupBy(F.col(by).alias("_by")).agg(F.min_by(F.struct(*df.columns), place).alias("_row")).select("_row.*")
+
+
+def exact(df: DataFrame, text: str, order: str) -> DataFrame:
+    """df with dedup_hash, one row per text: the earliest by `order`. Null texts are empty; null orders come last."""
+    return first_of(df.withColumn("dedup_hash", dedup_hash(F.col(text))), "dedup_hash", order)
 
 
 def unseen(df: DataFrame, history: DataFrame) -> DataFrame:
@@ -52,46 +57,60 @@ def permutations() -> tuple[np.ndarray, np.ndarray]:
     return (i * 1_103_515_245 + 12_345) % (PRIME - 1) + 1, (i * 69_069 + 1) % PRIME
 
 
-def signature(words: list[str], size: int = 3) -> np.ndarray:
-    """The least value of each permutation over the shingles' hashes."""
-    runs = {" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))}
-    h = np.array([int.from_bytes(hashlib.md5(r.encode()).digest()[:4], "big") % PRIME for r in runs], np.int64)
+def shingle_hashes(words: Column, size: int = 3) -> Column:
+    """The leading 32 bits of MD5 of every run of `size` words, below PRIME (runs that repeat repeat)."""
+
+    def runs(w: Column) -> Column:
+        n = F.greatest(F.lit(1), F.size(w) - size + 1)
+        return F.transform(F.sequence(F.lit(1), n), lambda i: F.conv(F.substring(F.md5(F.array_join(F.slice(w, i, size), " ").cast("binary")), 1, 8), 16, 10).cast("long") % PRIME)
+
+    return F.transform(F.array(words), runs)[0]  # the one element binds the words
+
+
+def signature(hashes: np.ndarray) -> np.ndarray:
+    """The least value of each permutation over the hashes of shingles. PRIME is 2^31 - 1, so a remainder is a sum of bits above and below."""
     a, b = permutations()
     out = np.full(PERMUTATIONS, PRIME, np.int64)
-    for at in range(0, len(h), 512):  # bounded memory for long texts
-        np.minimum(out, ((h[at : at + 512, None] * a[None, :] + b[None, :]) % PRIME).min(axis=0), out)
+    for at in range(0, len(hashes), 256):  # bounded memory for long texts
+        x = hashes[at : at + 256, None] * a[None, :] + b[None, :]
+        for _ in range(2):
+            x = (x & PRIME) + (x >> 31)
+        np.minimum(out, np.where(x == PRIME, 0, x).min(axis=0), out)
     return out
 
 
-def band_keys(words: Column) -> Column:
-    """A key per band of a list of words."""
+def band_keys(hashes: Column) -> Column:
+    """A key per band of the hashes of a text's shingles."""
     rows = PERMUTATIONS // BANDS
+    ship()
 
     @F.pandas_udf("array<string>")
     def keys(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            signed = [signature(list(w)) for w in batch]
+            signed = [signature(np.unique(h)) for h in batch]
             yield pd.Series([[f"{b}:" + hashlib.md5(",".join(map(str, s[b * rows : (b + 1) * rows])).encode()).hexdigest() for b in range(BANDS)] for s in signed])
 
-    return keys(words)
+    return keys(hashes)
 
 
 def canonical(df: DataFrame, key: str, text: str) -> DataFrame:
     """df with canonical_id: the least id (as text) among the rows that share a band with this one.
 
-    Each bucket passes on its least id only, so a bucket costs what its rows cost, however large.
+    Equal texts are one from the start, and each bucket passes on its least id only, so copies and buckets
+    cost what their rows cost, however many. Rows without an id take one of their bucket, or their text's hash.
     """
-    keyed = df.select(F.col(key).cast("string").alias("_id"), F.explode(band_keys(chars.words(F.col(text)))).alias("_band"))
+    body = F.coalesce(F.col(text), F.lit(""))
+    one = df.groupBy(F.md5(body.cast("binary")).alias("_text")).agg(F.min(F.col(key).cast("string")).alias("_id"), F.min(body).alias("_body"))
+    hashed = held(one, "_hashes", shingle_hashes(chars.words(F.col("_body"))))
+    keyed = written(hashed.select("_text", "_id", F.explode(band_keys(F.col("_hashes"))).alias("_band")), "bands")
     least = keyed.groupBy("_band").agg(F.min("_id").alias("_least"))
-    found = keyed.join(least, "_band").groupBy("_id").agg(F.min("_least").alias("canonical_id"))
-    return df.join(found, df[key].cast("string") == found["_id"]).drop("_id")
+    found = keyed.join(least, "_band").groupBy("_text").agg(F.coalesce(F.min("_least"), F.concat(F.lit("#"), F.col("_text"))).alias("canonical_id"))
+    return df.withColumn("_text", F.md5(body.cast("binary"))).join(found, "_text").drop("_text")
 
 
 def near(df: DataFrame, key: str, text: str, order: str) -> DataFrame:
-    """df with canonical_id, one row (the first by `order`) per canonical id. Links do not chain."""
-    found = canonical(df, key, text)
-    first = found.groupBy("canonical_id").agg(F.min(order).alias("_first"))
-    return found.join(first, "canonical_id").where(F.col(order) == F.col("_first")).select(*df.columns, "canonical_id")
+    """df with canonical_id, one row (the first by `order`, nulls last) per canonical id. Links do not chain."""
+    return first_of(canonical(df, key, text), "canonical_id", order)
 
 
 def deduplicate(df: DataFrame, key: str, text: str, order: str) -> DataFrame:

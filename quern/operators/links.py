@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import written
+
 
 def page_links(pages: DataFrame, title: Column, html: Column) -> DataFrame:
     """Edges (source, target) of the pages' own links, without repeats."""
@@ -24,13 +26,27 @@ def crawl(edges: DataFrame, seeds: DataFrame, max_depth: int, max_pages: int | N
         found = edges.join(frontier.select(F.col("title").alias("source")), "source").select(F.col("target").alias("title")).distinct()
         frontier = found.join(visited.select("title"), "title", "left_anti").withColumn("depth", F.lit(depth))
         if depth < max_depth:
-            frontier = frontier.checkpoint() if frontier.sparkSession.conf.get("spark.checkpoint.dir", None) else frontier.cache()
+            frontier = written(frontier, "frontier")
             if frontier.isEmpty():
                 break
         visited = visited.unionByName(frontier)
     return visited if max_pages is None else visited.orderBy("depth", "title").limit(max_pages)
 
 
+def crawl_seeds(edges: DataFrame, seeds: DataFrame, max_depth: int) -> DataFrame:
+    """seed, title and depth: a crawl from each title of `seeds` (`title`) of its own, so that a page reached from two seeds comes twice."""
+    tagged = edges.select("source", "target")
+    visited = seeds.select(F.col("title").alias("seed"), "title").distinct().withColumn("depth", F.lit(0))
+    frontier = visited
+    for depth in range(1, max_depth + 1):
+        found = tagged.join(frontier.select("seed", F.col("title").alias("source")), "source").select("seed", F.col("target").alias("title")).distinct()
+        frontier = written(found.join(visited.select("seed", "title"), ["seed", "title"], "left_anti").withColumn("depth", F.lit(depth)), "frontier")
+        if frontier.isEmpty():
+            break
+        visited = visited.unionByName(frontier)
+    return visited
+
+
 def crawl_index(visited: DataFrame) -> DataFrame:
     """One row: the sorted titles and their number."""
     return visited.agg(F.array_sort(F.collect_set("title")).alias("titles"), F.countDistinct("title").alias("pages"))

@@ -75,11 +75,25 @@ def recommended(reports: DataFrame, preferred: int = 32_000, gate: dict[str, flo
     return best
 
 
-def perplexity(losses: DataFrame, loss: str, *by: str) -> DataFrame:
-    """exp of the mean loss; 1 without losses."""
+def perplexity(losses: DataFrame, loss: str, *by: str, order: str | None = None, first: int | None = None) -> DataFrame:
+    """exp of the mean loss; 1 without losses. With `first`, of that many batches by `order`."""
+    if first is not None:
+        losses = losses.withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy(order))).where(F.col("_n") <= first)
     return losses.groupBy(*by).agg(F.exp(F.coalesce(F.avg(loss), F.lit(0.0))).alias("perplexity"), F.count(loss).alias("batches"))
 
 
+def sample_averages(samples: DataFrame, text: Column, script: chars.Script, ids: Column, unknown: int) -> DataFrame:
+    """One row over generated samples: mean share of the script (each to three places) and mean number of unknown ids; 0 without any."""
+    ratio, unknowns = F.round(chars.script_ratio(text, script), 3), F.size(F.filter(ids, lambda i: i == unknown))
+    zero = lambda c: F.coalesce(F.avg(c), F.lit(0.0))
+    return samples.agg(zero(ratio).alias("script_ratio"), zero(unknowns).alias("unknowns"), F.count("*").alias("samples"))
+
+
+def reported(variants: DataFrame, reports: DataFrame) -> DataFrame:
+    """The variants (vocab_size) that have a report of their size."""
+    return variants.join(reports.select("vocab_size").distinct(), "vocab_size", "left_semi")
+
+
 def score_band(perplexity: Column) -> Column:
     return F.when(perplexity < 50, "excellent").when(perplexity < 100, "good").when(perplexity < 200, "fair").otherwise("poor")
 

@@ -1,38 +1,66 @@
-"""Seeded orders and running sums over them, without a task that sees all rows.
+"""Seeded and natural orders, and running sums over them, without a task that sees all rows.
 
-A seeded shuffle is the order of md5(seed:id). Its leading hexadecimal digits cut it into even buckets
-whose totals are summed first, so that a bucket knows what precedes it.
+A seeded shuffle is the order of md5(seed:id); the natural order is that of a whole number. Either is a
+fraction of a range, which cuts the rows into as many even buckets as their number asks for; the
+buckets' totals are summed first, so that a bucket knows what precedes it. (Ids that crowd in few places
+of their range make uneven buckets in the natural order.)
+
+Null keys are rows as others: first in the natural order, as the empty key in a seeded one.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Leading hexadecimal digits of the buckets: 256 of them.
-DIGITS = 2
+#: Rows of a bucket, about.
+BUCKET_ROWS = 100_000
 
 
 def shuffle_key(seed: int, key: Column) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary"))
-
-
-def running(df: DataFrame, seed: int, key: str, value: Column, out: str, by: tuple[str, ...] = ()) -> DataFrame:
-    """df with `out`: the sum of value over the rows before this one in the seeded order of key (within `by`)."""
-    order = df.withColumns({"_h": shuffle_key(seed, F.col(key)), "_v": value}).withColumn("_b", F.substring("_h", 1, DIGITS))
-    totals = order.groupBy(*by, "_b").agg(F.sum("_v").alias("_t"))
-    ahead = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(*by, "_b", F.coalesce(F.sum("_t").over(ahead), F.lit(0)).alias("_o"))
-    local = Window.partitionBy(*by, "_b").orderBy("_h", key).rowsBetween(Window.unboundedPreceding, -1)
-    # by is matched null-safely: a null group is a group
-    one, two = order.withColumn("_l", F.coalesce(F.sum("_v").over(local), F.lit(0))).alias("x"), totals.alias("y")
-    same = F.col("x._b") == F.col("y._b")
-    for c in by:
-        same &= F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}"))
-    return one.join(F.broadcast(two) if not by else two, same).select(*[F.col(f"x.{c}") for c in df.columns], (F.col("_o") + F.col("_l")).alias(out))
-
-
-def rank(df: DataFrame, seed: int, key: str, out: str = "rank", by: tuple[str, ...] = ()) -> DataFrame:
-    """df with the place (from 1) of each row in the seeded order."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit(""))).cast("binary"))
+
+
+def running(df: DataFrame, seed: int | None, key: str, value: Column, out: str, by: tuple[str, ...] = (), rows: int = BUCKET_ROWS) -> DataFrame:
+    """df with `out`: the sum of value over the rows before this one (within `by`) in the seeded order of key or, without a seed, its natural order.
+
+    `rows` is the size of a bucket: fewer where rows are large.
+    """
+    k = F.col(key)
+    facts = [F.count("*").alias("_n"), *([F.min(key).cast("double").alias("_lo"), F.max(key).cast("double").alias("_hi")] if seed is None else [])]
+    names = [f"_by{i}" for i in range(len(by))]
+    matched = lambda: reduce(lambda x, y: x & y, (F.col(c).eqNullSafe(F.col(n)) for c, n in zip(by, names)))
+    if by:  # a null group is a group
+        bounds = df.groupBy(*[F.col(c).alias(n) for c, n in zip(by, names)]).agg(*facts)
+        known = df.join(bounds, matched()).drop(*names)
+    else:
+        found = df.agg(*facts).first().asDict()
+        known = df.withColumns({c: F.lit(v) for c, v in found.items()})
+    if seed is None:
+        part = F.coalesce((k - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1), F.lit(0.0))
+    else:
+        part = F.conv(F.substring(shuffle_key(seed, k), 1, 8), 16, 10).cast("double") / float(1 << 32)
+    order = [shuffle_key(seed, k), k] if seed is not None else [k]
+    placed = known.withColumn("_b", F.floor(part * F.ceil(F.col("_n") / rows)).cast("long")).withColumn("_v", value)
+    totals = placed.groupBy(*[F.col(c).alias(n) for c, n in zip(by, names)], F.col("_b").alias("_bucket")).agg(F.sum("_v").alias("_t"))
+    ahead = Window.partitionBy(*names).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*names, "_bucket", F.coalesce(F.sum("_t").over(ahead), F.lit(0)).alias("_o"))
+    local = Window.partitionBy(*by, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = placed.withColumn("_l", F.coalesce(F.sum("_v").over(local), F.lit(0)))
+    same = F.col("_b") == F.col("_bucket")
+    return summed.join(totals, same & matched() if by else same).select(*df.columns, (F.col("_o") + F.col("_l")).alias(out))
+
+
+def rank(df: DataFrame, seed: int | None, key: str, out: str = "rank", by: tuple[str, ...] = ()) -> DataFrame:
+    """df with the place (from 1) of each row in the order."""
     ranked = running(df, seed, key, F.lit(1).cast("long"), out, by)
     return ranked.withColumn(out, F.col(out) + 1)
+
+
+def buffer_shuffle(df: DataFrame, key: str, buffer: int, seed: int, out: str = "place") -> DataFrame:
+    """df with the place (from 0) of each row in a shuffle through a buffer: runs of `buffer` rows in the natural order of key, each in seeded order."""
+    runs = running(df, None, key, F.lit(1).cast("long"), "_run").withColumn("_run", F.floor(F.col("_run") / buffer))
+    within = Window.partitionBy("_run").orderBy(shuffle_key(seed, F.col(key)), key)
+    return runs.withColumn(out, F.col("_run") * buffer + F.row_number().over(within) - 1).drop("_run")

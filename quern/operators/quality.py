@@ -21,6 +21,8 @@ class QualityRules:
     max_digits: float = 0.30
     max_symbols: float = 0.25
     reject_tables: bool = True
+    script_weight: float = 0.7
+    length_weight: float = 0.3
 
 
 def annotate(df: DataFrame, column: str, rules: QualityRules) -> DataFrame:
@@ -30,7 +32,7 @@ def annotate(df: DataFrame, column: str, rules: QualityRules) -> DataFrame:
     reason = F.when(F.col("script_ratio") < rules.min_ratio, "script_ratio").when(F.col("char_count") < rules.min_chars, "too_short").when(F.col("char_count") > rules.max_chars, "too_long")
     if rules.reject_tables:
         reason = reason.when(F.col("digit_ratio") > rules.max_digits, "digits").when(F.col("symbol_ratio") > rules.max_symbols, "symbols")
-    return out.withColumns({"quality_score": chars.quality_score(F.col("script_ratio"), F.col("char_count")), "reject_reason": reason})
+    return out.withColumns({"quality_score": chars.quality_score(F.col("script_ratio"), F.col("char_count"), rules.script_weight, rules.length_weight), "reject_reason": reason})
 
 
 def split_passed(annotated: DataFrame) -> tuple[DataFrame, DataFrame]:

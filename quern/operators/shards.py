@@ -6,10 +6,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import ship
+from .order import running
 
+#: Rows with token arrays that one task places.
+ROW_BUCKET = 20_000
 #: Ids of a range that one task fills, as orders and sizes.
 RANGE_IDS = 1_000_000
 
@@ -77,6 +81,7 @@ def next_fit(df: DataFrame, by: str, order: str, size: str, target: int, blocks:
     width = F.lit(RANGE_IDS) if blocks is None else (F.col("_hi") - F.col("_lo") + 1) / blocks
     block = F.floor((F.col(order) - F.col("_lo")) / width).cast("int")
     kind = {c: df.schema[c].dataType.simpleString() for c in (by, order)}
+    ship(df.sparkSession)
     # a row per group is broadcast, so that rows are dealt by range and never by group alone
     placed = rows.join(F.broadcast(bounds), by).withColumn("_block", block).select(by, order, "_size", "_block")
 
@@ -107,15 +112,13 @@ def next_fit(df: DataFrame, by: str, order: str, size: str, target: int, blocks:
 
 
 def windows(tokens: DataFrame, by: str, order: str, column: str, length: int) -> DataFrame:
-    """Sequences of exactly `length` tokens: a group's token arrays in order, cut across their borders; the tail is dropped.
+    """Sequences of exactly `length` tokens: a group's token arrays in order (a whole number, unique in its group), cut across their borders; the tail is dropped.
 
-    Rows give by, sequence (from 0) and input_ids. Offsets are running sums; each row is cut into the
-    parts that fall into one sequence, so a shuffle moves parts, not tokens.
+    Rows give by, sequence (from 0) and input_ids. Offsets are running sums over buckets of the order; each
+    row is cut into the parts that fall into one sequence, so a shuffle moves parts, not tokens.
     """
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    placed = tokens.where(F.size(column) > 0).withColumn("_at", F.coalesce(F.sum(F.size(column)).over(w), F.lit(0)))
+    full = tokens.select(by, order, column).where(F.size(column) > 0)
+    placed = running(full, None, order, F.size(column).cast("long"), "_at", by=(by,), rows=ROW_BUCKET)
     first, last = F.floor(F.col("_at") / length), F.floor((F.col("_at") + F.size(column) - 1) / length)
     parts = placed.withColumn("_seq", F.explode(F.sequence(first, last)))
     start = F.greatest(F.lit(0), F.col("_seq") * length - F.col("_at"))
@@ -125,6 +128,58 @@ def windows(tokens: DataFrame, by: str, order: str, column: str, length: int) ->
     return whole.where(F.size("input_ids") == length)
 
 
+def batches(sequences: DataFrame, part: str, order: str, column: str, size: int, factor: int = 1) -> DataFrame:
+    """batch, place (in its batch, from 0) and input_ids of full batches of `size`: the parts in sorted order, one after the other.
+
+    `order` counts a part's sequences from 0. With a factor, that many neighbours (across parts) are one
+    sequence. What does not fill a sequence or a batch is dropped.
+    """
+    ends = sequences.groupBy(part).agg((F.max(order) + 1).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row per part
+    numbered = sequences.join(ends.select(part, before.alias("_o")), part).select((F.col("_o") + F.col(order)).alias("_k"), column)
+    if factor > 1:
+        rows = numbered.groupBy(F.floor(F.col("_k") / factor).alias("_g")).agg(F.array_sort(F.collect_list(F.struct("_k", column))).alias("_all"))
+        numbered = rows.where(F.size("_all") == factor).select(F.col("_g").alias("_k"), F.flatten(F.transform("_all", lambda x: x[column])).alias(column))
+    full = F.floor((F.coalesce(F.lit(numbered.agg(F.max("_k")).first()[0]), F.lit(-1)) + 1) / size)
+    batch = F.floor(F.col("_k") / size)
+    return numbered.where(batch < full).select(batch.alias("batch"), (F.col("_k") % size).cast("int").alias("place"), column)
+
+
+def full_batches(df: DataFrame, key: str, order: list[str], size: int) -> DataFrame:
+    """df with `batch`: rows by key (a whole number), then `order`, in full batches; the rest is dropped."""
+    sizes = df.groupBy(key).agg(F.count("*").alias("_n"))
+    ahead = running(sizes, None, key, F.col("_n"), "_before")
+    total = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    local = F.row_number().over(Window.partitionBy(key).orderBy(*order)) - 1
+    same = df.withColumn("_l", local).alias("x").join(ahead.select(F.col(key).alias("_key"), "_before"), F.col(f"x.{key}").eqNullSafe(F.col("_key")))
+    numbered = same.withColumn("_k", F.col("_before") + F.col("_l")).where(F.col("_k") < total // size * size)
+    return numbered.select(*df.columns, F.floor(F.col("_k") / size).alias("batch"))
+
+
+def chunked_lines(df: DataFrame, order: str, text: str, chunk: int, most: int, shortest: int = 20) -> DataFrame:
+    """order, line (JSON with its line feed), size and chunk of a download: texts of at least `shortest` characters, up to `most` bytes, in chunks of `chunk` bytes.
+
+    Rows come in the order of `order` (a whole number, unique). The first line that would exceed `most` ends
+    the download. A chunk ends before the line that would exceed it; a larger line has a chunk of its own.
+    """
+    fit = df.where(F.length(text) >= shortest).select(order, F.concat(F.to_json(F.struct(F.col(text).alias("text"))), F.lit("\n")).alias("line"))
+    sized = fit.withColumn("size", F.octet_length("line").cast("long"))
+    taken = running(sized.select(order, "size"), None, order, F.col("size"), "_before").where(F.col("_before") + F.col("size") <= most)
+    placed = next_fit(taken.select(F.lit("lines").alias("_all"), order, "size"), "_all", order, "size", chunk)
+    return sized.join(placed.select(order, F.col("shard").alias("chunk")), order)
+
+
+def download_counts(df: DataFrame, lines: DataFrame, order: str, text: str, shortest: int = 20) -> DataFrame:
+    """One row of a download's counters: rows seen (up to the line that ended it), rows and bytes written, chunks."""
+    done = lines.agg(F.count("*").alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"), F.coalesce(F.max("chunk") + 1, F.lit(0)).alias("chunks"), F.max(order).alias("last")).first()
+    after = F.lit(True) if done["last"] is None else F.col(order) > done["last"]
+    ended = df.where((F.length(text) >= shortest) & after).agg(F.min(order)).first()[0]
+    seen = df if ended is None else df.where(F.col(order) <= ended)
+    return seen.agg(
+        F.count("*").alias("rows_seen"), F.lit(done["n"]).cast("long").alias("rows_written"), F.lit(done["bytes"]).cast("long").alias("text_bytes"), F.lit(done["chunks"]).cast("int").alias("chunks")
+    )
+
+
 def joined_windows(sequences: DataFrame, by: str, factor: int) -> DataFrame:
     """`factor` neighbouring sequences as one; what is left over is dropped."""
     group = F.floor(F.col("sequence") / factor)
@@ -147,6 +202,7 @@ def file_manifest(files: DataFrame) -> DataFrame:
 
 def encode(df: DataFrame, column: str, path: str, out: str = "ids", end_id: int | None = None) -> DataFrame:
     """df with the ids of a tokenizers file (loaded once per worker) and, if given, an end id after them."""
+    ship()
 
     @F.pandas_udf("array<int>")
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -163,6 +219,7 @@ def encode(df: DataFrame, column: str, path: str, out: str = "ids", end_id: int
 
 def decode(df: DataFrame, column: str, path: str, out: str = "text", skip_special: bool = True) -> DataFrame:
     """df with the text of ids."""
+    ship()
 
     @F.pandas_udf("string")
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

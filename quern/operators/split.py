@@ -29,6 +29,18 @@ def by_document(df: DataFrame, document: str, seed: int = 42, validation: float
     return df.alias("x").join(named.alias("y"), same).select(*kept, F.col("y.split_name"))
 
 
+def by_stratum(df: DataFrame, document: str, stratum: str, seed: int = 42, validation: float = 0.01, test: float = 0.01) -> DataFrame:
+    """df with split_name, the same for all rows of a document, split within each stratum (the least one of a document) by the rule of by_document."""
+    ids = df.groupBy(F.col(document).alias("_document")).agg(F.min(stratum).alias("_stratum"))
+    sizes = ids.groupBy(F.col("_stratum").alias("_s")).agg(F.count("*").alias("_n"))
+    ranked = rank(ids, seed, "_document", "_rank", by=("_stratum",)).join(sizes, F.col("_stratum").eqNullSafe(F.col("_s")))
+    part = lambda share: F.greatest(F.lit(1), F.bround(F.col("_n") * share))
+    name = F.when(F.col("_rank") <= F.col("_n") - part(validation) - part(test), "train").when(F.col("_rank") <= F.col("_n") - part(test), "validation").otherwise("test")
+    named = ranked.select("_document", name.alias("_split"))
+    kept = [c for c in df.columns if c != "split_name"]
+    return df.join(named, F.col(document).eqNullSafe(F.col("_document"))).select(*kept, F.col("_split").alias("split_name"))
+
+
 def by_file(df: DataFrame, file: str, sequence: str, seed: int = 42, share: float = 0.02, least: int = 4) -> DataFrame:
     """df of packed sequences with split_name: per file a pool of max(least, share), half of it validation, half test.
 

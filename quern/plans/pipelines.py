@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, field, fields, replace
+import os
+from contextlib import nullcontext
+from dataclasses import dataclass, field, fields, is_dataclass, replace
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,18 +13,22 @@ from pyspark.sql import functions as F
 
 from ..functions import chars, text
 from ..operators import dedup, metrics, quality, sample, shards, split
+from ..operators.quality import CleaningRules, QualityRules
 from ..sources import records, sinks
+from ..sources.shared import exists, written
 
 SCRIPTS = {s.name: s for s in (chars.DEVANAGARI, chars.LATIN_SCRIPT)}
 
 
 @dataclass(frozen=True)
 class Settings:
-    """What all three pipelines can be told; `load` reads it from JSON or YAML."""
+    """What all three pipelines can be told. `load` reads it from JSON or YAML; quality, cleaning and calls are sections of their own."""
 
     version: str = "v1"
     run_id: str = "run"
     source_name: str = "corpus"
+    sources: tuple[str, ...] = ("dataset", "documents")  # those that are on
+    language: str = "hi"
     script: str = "Devanagari"
     remove_urls: bool = True
     near_duplicates: bool = True
@@ -31,28 +37,60 @@ class Settings:
     seed: int = 42
     shard_mb: float = 256.0
     formats: tuple[str, ...] = ("parquet", "jsonl", "txt")
+    metadata: bool = True
+    separator: str = "\n\n"
     sample_gb: float = 5.0
     sequence_length: int = 512
-    specials: tuple[str, ...] = field(default=("<pad>", "<unk>", "<s>", "</s>"))
+    specials: tuple[str, ...] = ("<pad>", "<unk>", "<s>", "</s>")
+    quality: QualityRules = field(default_factory=QualityRules)
+    cleaning: CleaningRules = field(default_factory=CleaningRules)
+    calls: records.CallPolicy = field(default_factory=records.CallPolicy)
 
     @property
     def profile(self) -> chars.Script:
         return SCRIPTS[self.script]
 
+    @property
+    def rules(self) -> QualityRules:
+        return replace(self.quality, script=self.profile)
 
-def load(path: str | Path) -> Settings:
-    """Settings of a file; names that it lacks keep their defaults, names that are none are refused."""
-    raw = Path(path).read_text(encoding="utf-8")
-    if str(path).endswith((".yaml", ".yml")):
+
+#: The version may come from the environment.
+VERSION_VARIABLE = "QUERN_VERSION"
+
+
+def _read(path: Path) -> dict:
+    raw = path.read_text(encoding="utf-8")
+    if path.suffix in (".yaml", ".yml"):
         import yaml
 
-        values = yaml.safe_load(raw) or {}
-    else:
-        values = json.loads(raw)
-    known = {f.name for f in fields(Settings)}
+        return yaml.safe_load(raw) or {}
+    return json.loads(raw)
+
+
+def _with(old, values: dict):
+    """A dataclass with values set, sections within it likewise; names that it lacks are refused."""
+    known = {f.name for f in fields(old)}
     if odd := sorted(set(values) - known):
         raise ValueError(f"unknown settings: {', '.join(odd)}")
-    return replace(Settings(), **{k: tuple(v) if isinstance(v, list) else v for k, v in values.items()})
+    made = {k: _with(getattr(old, k), v) if is_dataclass(getattr(old, k)) and isinstance(v, dict) else tuple(v) if isinstance(v, list) else v for k, v in values.items()}
+    return replace(old, **made)
+
+
+def load(path: str | Path) -> Settings:
+    """Settings of a file; names that it lacks keep their defaults, names that are none are refused.
+
+    A section that the file lacks may have a file of its own beside it (quality.json for quality).
+    """
+    path = Path(path)
+    values = _read(path)
+    for section in ("quality", "cleaning", "calls"):
+        beside = path.with_name(section + path.suffix)
+        if section not in values and beside.exists() and beside != path:
+            values[section] = _read(beside)
+    if version := os.environ.get(VERSION_VARIABLE):
+        values["version"] = version
+    return _with(Settings(), values)
 
 
 def normalised(rows: DataFrame, settings: Settings) -> DataFrame:
@@ -64,8 +102,8 @@ def normalised(rows: DataFrame, settings: Settings) -> DataFrame:
 
 def filtered(rows: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
     """Records that pass the quality rules, and those that do not (with reject_reason)."""
-    found = quality.annotate(rows, "final_text", quality.QualityRules(script=settings.profile)).withColumn("devanagari_ratio", F.col("script_ratio"))
-    passed, rejected = quality.split_passed(found)
+    found = quality.annotate(rows, "final_text", settings.rules).withColumn("devanagari_ratio", F.col("script_ratio"))
+    passed, rejected = quality.split_passed(written(found, "annotated"))  # both parts are read from what is annotated once
     return records.conform(passed), rejected
 
 
@@ -73,35 +111,51 @@ def deduplicated(rows: DataFrame, settings: Settings) -> DataFrame:
     """Without exact and near-duplicates, the first by record_id kept."""
     first = dedup.exact(rows.drop("dedup_hash"), "final_text", "record_id")
     if settings.near_duplicates:
-        first = dedup.near(first, "record_id", "final_text", "record_id").withColumn("near_dedup_cluster_id", F.col("canonical_id"))
+        first = dedup.near(written(first, "exact"), "record_id", "final_text", "record_id").withColumn("near_dedup_cluster_id", F.col("canonical_id"))
     return records.conform(first)
 
 
-def ingest(spark: SparkSession, settings: Settings, out: str, dataset: DataFrame | None = None, documents: DataFrame | None = None) -> DataFrame:
-    """Records of all sources, split and exported below `out`; the split profile is returned.
+def ingest(spark: SparkSession, settings: Settings, out: str, dataset: DataFrame | None = None, documents: DataFrame | None = None, log: sinks.RunLog | None = None) -> DataFrame:
+    """Records of all sources that are on, split and exported below `out`; the split profile is returned.
 
     `dataset` (id, text) is taken as it is; `documents` (records of pages or paragraphs) are normalised,
-    filtered and deduplicated first. What the filter rejects goes to quarantine.
+    filtered and deduplicated first. What the filter rejects goes to quarantine. Every exported file is
+    named by version, split and shard, listed in the manifest and registered with its rows and checksum.
     """
+    step = log.timed if log else lambda *_: nullcontext()
     parts = []
-    if dataset is not None:
-        parts.append(records.dataset_records(dataset, settings.source_name, script=settings.script, run_id=settings.run_id))
-    if documents is not None:
-        passed, rejected = filtered(normalised(documents, settings), settings)
-        sinks.quarantine(rejected, f"{out}/quarantine", settings.run_id)
-        parts.append(deduplicated(passed, settings))
+    if dataset is not None and "dataset" in settings.sources:
+        parts.append(records.dataset_records(dataset, settings.source_name, settings.language, settings.script, settings.run_id))
+    if documents is not None and "documents" in settings.sources:
+        with step("filter", "documents"):
+            passed, rejected = filtered(normalised(documents, settings), settings)
+            sinks.quarantine(rejected, f"{out}/quarantine", settings.run_id)
+        with step("deduplicate", "documents"):
+            parts.append(written(deduplicated(passed, settings), "deduplicated"))
     if not parts:
         raise ValueError("no source")
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    sharded = sinks.with_shards(split.by_document(rows, "document_id", settings.seed, settings.validation, settings.test), settings.shard_mb)
-    sharded.write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/staged/{settings.version}")  # computed once for all formats
+    with step("split", "records"):
+        # computed once, for sizes, shards and all formats
+        named = written(split.by_document(rows, "document_id", settings.seed, settings.validation, settings.test), "split")
+        sinks.with_shards(named, settings.shard_mb).write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/staged/{settings.version}")
     staged = spark.read.parquet(f"{out}/staged/{settings.version}")
-    writers = {"parquet": sinks.export_parquet, "jsonl": sinks.export_json_lines, "txt": sinks.export_text}
+    writers = {
+        "parquet": sinks.export_parquet, "jsonl": lambda rows, path: sinks.export_json_lines(rows, path, settings.metadata), "txt": lambda rows, path: sinks.export_text(rows, path, settings.separator),
+    }
     for kind in settings.formats:
-        writers[kind](staged, f"{out}/final/{kind}")
-    sinks.manifest(spark, f"{out}/final").write.mode("overwrite").json(f"{out}/reports/manifest")
-    profile = metrics.profile(staged, spark)
-    profile.write.mode("overwrite").json(f"{out}/reports/profile")
+        with step("export", kind):
+            writers[kind](staged, f"{out}/final/{kind}")
+            sinks.name_files(spark, f"{out}/final/{kind}", settings.version, kind)
+    ratios = {"train": 1 - settings.validation - settings.test, "validation": settings.validation, "test": settings.test}
+    with step("manifest", "files"):
+        files = written(sinks.manifest(spark, f"{out}/final"), "manifest")
+        files.write.mode("overwrite").json(f"{out}/reports/manifest")
+        sinks.manifest_head(staged, settings.version, settings.language, settings.script, ratios).write.mode("overwrite").json(f"{out}/reports/manifest_head")
+        counts = staged.groupBy("split_name", "shard").agg(F.count("*").alias("row_count"))
+        sinks.file_registry(files, counts, settings.run_id).write.mode("append").option("header", True).csv(f"{out}/logs/file_registry")
+        profile = metrics.profile(staged, spark)
+        profile.write.mode("overwrite").json(f"{out}/reports/profile")
     return profile
 
 
@@ -144,9 +198,7 @@ def tokenize(spark: SparkSession, settings: Settings, source: str, tokenizer: st
     )
     fit = rows.where(quality.training_text(F.col("t"), settings.profile))
     done = None
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    target = hadoop.Path(f"{out}/sequences")
-    if target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
+    if exists(spark, f"{out}/sequences"):
         done = spark.read.parquet(f"{out}/sequences").select("file").distinct()
         fit = fit.join(done, "file", "left_anti")
     packed = shards.windows(shards.encode(fit, "t", tokenizer, "ids", end_id), "file", "line", "ids", settings.sequence_length)

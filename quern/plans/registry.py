@@ -385,15 +385,8 @@ def packed_split(spark, sf_dir):
 
 @query("SELECT (row_number() OVER (ORDER BY conv_id, turn) - 1) // 8 AS batch, conv_id, turn FROM conversations QUALIFY row_number() OVER (ORDER BY conv_id, turn) <= (SELECT count(*) // 8 * 8 FROM conversations)")
 def full_batches(spark, sf_dir):
-    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn")
-    sizes = rows.groupBy("conv_id").agg(F.count("*").alias("n"))
-    ends = rows.agg(F.min("conv_id").alias("lo"), F.max("conv_id").alias("hi")).first()
-    part = F.floor((F.col("conv_id") - (ends["lo"] or 0)) * 4096 / ((ends["hi"] or 0) - (ends["lo"] or 0) + 1))  # at most 4096 ranges
-    totals = sizes.groupBy(part.alias("part")).agg(F.sum("n").alias("t"))
-    ahead = totals.select("part", F.coalesce(F.sum("t").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("o"), F.sum("t").over(Window.partitionBy()).alias("all"))
-    local = rows.withColumn("part", part).withColumn("l", F.row_number().over(Window.partitionBy("part").orderBy("conv_id", "turn")) - 1)
-    numbered = local.join(F.broadcast(ahead), "part").withColumn("k", F.col("o") + F.col("l"))
-    return numbered.where(F.col("k") < F.floor(F.col("all") / 8) * 8).select(F.floor(F.col("k") / 8).alias("batch"), "conv_id", "turn")
+    rows = shards.full_batches(table(spark, sf_dir, "conversations").select("conv_id", "turn"), "conv_id", ["turn"], 8)
+    return rows.select("batch", "conv_id", "turn")
 
 
 @query(f"""SELECT source, doc_id, 'bypass' AS path FROM documents WHERE lang = 'en' UNION ALL SELECT source, doc_id, 'filtered' AS path FROM documents WHERE lang <> 'en' AND ({REASON}) IS NULL""")

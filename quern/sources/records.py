@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+from dataclasses import dataclass
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import chars, text
+from .shared import exists, held, ship
 
 # The record table; times and hashes are texts.
 _TEXT, _LONG, _DOUBLE = T.StringType(), T.LongType(), T.DoubleType()
@@ -74,17 +80,43 @@ def paragraph_records(pages: DataFrame, excluded: list[str], source_name: str, s
 EXTRACTS = "query struct<pages: map<string, struct<pageid: long, ns: int, title: string, extract: string, links: array<struct<ns: int, title: string>>>>>"
 
 
+def pages_of(answers: DataFrame, column: str) -> DataFrame:
+    """title and extract of API answers held in a column."""
+    return answers.select(F.explode(F.map_values(F.from_json(column, EXTRACTS)["query"]["pages"])).alias("p")).select("p.title", "p.extract")
+
+
+def links_of(answers: DataFrame, column: str) -> DataFrame:
+    """source and target of link answers; the answers that continue one another give their pages' links once."""
+    pages = answers.select(F.explode(F.map_values(F.from_json(column, EXTRACTS)["query"]["pages"])).alias("p"))
+    return pages.select(F.col("p.title").alias("source"), F.explode("p.links.title").alias("target")).distinct()
+
+
 def fetched_pages(spark: SparkSession, path: str) -> DataFrame:
-    """title and extract of saved API answers."""
-    rows = spark.read.schema(EXTRACTS).option("multiLine", True).json(path)
-    return rows.select(F.explode(F.map_values("query.pages")).alias("p")).select("p.title", "p.extract")
+    """title and extract of saved API answers, one a file."""
+    return pages_of(spark.read.option("wholetext", True).text(path), "value")
 
 
 def fetched_links(spark: SparkSession, path: str) -> DataFrame:
-    """source and target of saved link answers."""
-    rows = spark.read.schema(EXTRACTS).option("multiLine", True).json(path)
-    pages = rows.select(F.explode(F.map_values("query.pages")).alias("p"))
-    return pages.select(F.col("p.title").alias("source"), F.explode("p.links.title").alias("target")).distinct()
+    """source and target of saved link answers, one a file."""
+    return links_of(spark.read.option("wholetext", True).text(path), "value")
+
+
+def fetched(titles: DataFrame, column: str, fetch: Callable[[str], str], policy: CallPolicy | None = None) -> DataFrame:
+    """title and answer (null where it stays out) of an injected function that fetches one title, under a call policy. A title that fails counts as visited."""
+    ship(titles.sparkSession)
+    call = (policy or CallPolicy()).guard(fetch)
+
+    @F.pandas_udf("string")
+    def answer(batch: pd.Series) -> pd.Series:
+        def one(title):
+            try:
+                return call(title)
+            except CallError:
+                return None
+
+        return batch.map(one, na_action="ignore")
+
+    return titles.select(F.col(column).alias("title"), answer(F.col(column)).alias("answer"))
 
 
 def texts(spark: SparkSession, path: str, column: str = "final_text") -> DataFrame:
@@ -109,9 +141,7 @@ def sentences(spark: SparkSession, path: str) -> DataFrame:
 
 def checkpoint(spark: SparkSession, path: str, load, force: bool = False) -> DataFrame:
     """The Parquet table at path if it is there (and not forced), else what load() gives, written there."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    target = hadoop.Path(path)
-    if force or not target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
+    if force or not exists(spark, path):
         load().write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)
 
@@ -134,34 +164,74 @@ def pdf_sources(spark: SparkSession, root: str, require_metadata: bool = True) -
 
 
 def extract_pages(sources: DataFrame, extractors: list) -> DataFrame:
-    """document_id, page_number, text, engine of binary files. Each extractor is (name, function from bytes to page texts);
-    if one fails on a file the next takes the whole file, and a file that defeats all gives no rows."""
+    """document_id, page_number, text, engine and error of binary files. Each extractor is (name, function from bytes to page texts);
+    if one fails on a file the next takes the whole file; a file that defeats all gives one row with the last `error` and no page."""
+    ship(sources.sparkSession)
 
     def run(batches):
-        import pandas as pd
-
         for batch in batches:
             rows = []
             for source, content in zip(batch["source_id"], batch["content"]):
+                error = "no engine"
                 for name, extract in extractors:
                     try:
-                        rows += [(source, i + 1, t, name) for i, t in enumerate(extract(bytes(content)))]
+                        rows += [(source, i + 1, t, name, None) for i, t in enumerate(extract(bytes(content)))]
                         break
-                    except Exception:  # noqa: S112 - the next engine takes it
-                        continue
-            yield pd.DataFrame(rows, columns=["document_id", "page_number", "text", "engine"])
+                    except Exception as e:  # noqa: BLE001 - the next engine takes it
+                        error = f"{name}: {e}"
+                else:
+                    rows.append((source, None, None, None, error))
+            found = pd.DataFrame(rows, columns=["document_id", "page_number", "text", "engine", "error"])
+            yield found.astype({"page_number": "Int32"})
+
+    return sources.select("source_id", "content").mapInPandas(run, "document_id string, page_number int, text string, engine string, error string")
+
+
+class CallError(RuntimeError):
+    """A call that failed for good."""
+
+
+@dataclass(frozen=True)
+class CallPolicy:
+    """How an outside service is called: at most `attempts` times where `transient` errors occur, with waits of base, 2 base, 4 base ... seconds; any other error is final at once."""
+
+    enabled: bool = True
+    attempts: int = 3
+    base_seconds: float = 2.0
+    transient: tuple[type[Exception], ...] = (TimeoutError, ConnectionError)
+
+    def guard(self, call: Callable[[str], str]) -> Callable[[str], str]:
+        def tried(value: str) -> str:
+            for n in range(self.attempts):
+                try:
+                    return call(value)
+                except self.transient as e:
+                    last = e
+                    if n + 1 < self.attempts:
+                        time.sleep(self.base_seconds * 2**n)
+                except Exception as e:
+                    raise CallError(str(e)) from e
+            raise CallError(f"no answer in {self.attempts} attempts") from last
+
+        return tried
 
-    return sources.select("source_id", "content").mapInPandas(run, "document_id string, page_number int, text string, engine string")
 
+def cleaned_by(df: DataFrame, column: str, clean: Callable[[str], str], size: int = 6000, overlap: int = 200, out: str = "cleaned_text", policy: CallPolicy | None = None) -> DataFrame:
+    """df with `column` cleaned by an injected function of one text, window by window (paragraph-aware), joined by blank lines.
 
-def cleaned_by(df: DataFrame, column: str, clean, size: int = 6000, overlap: int = 200, out: str = "cleaned_text") -> DataFrame:
-    """df with `column` cleaned by an injected function of one text, window by window (paragraph-aware), joined by blank lines."""
+    A policy that is not enabled takes the column as it is. Calls that fail for good fail the job.
+    """
+    policy = policy or CallPolicy()
+    if not policy.enabled:
+        return df.withColumn(out, F.col(column))
+    ship(df.sparkSession)
+    call = policy.guard(clean)
 
     @F.pandas_udf("string")
-    def cleaned(batch):
-        return batch.map(lambda t: "\n\n".join(clean(c) for c in text.paragraph_chunks(t or "", size, overlap)).strip())
+    def cleaned(batch: pd.Series) -> pd.Series:
+        return batch.map(lambda windows: "\n\n".join(call(w) for w in windows).strip())
 
-    return df.withColumn(out, cleaned(F.col(column)))
+    return held(df, "_windows", text.chunks_at_paragraphs(F.col(column), size, overlap)).withColumn(out, cleaned(F.col("_windows"))).drop("_windows")
 
 
 def reports(spark: SparkSession, paths: list[str]) -> DataFrame:

@@ -1,12 +1,35 @@
-"""The folder that driver and executors share."""
+"""The folder that driver and executors share, tables written there, and this package on the executors."""
 
 from __future__ import annotations
 
 import atexit
 import shutil
 import tempfile
+import uuid
+import zipfile
+from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession | None = None) -> None:
+    """Give executors this package, once per application: they need not have it installed."""
+    spark = spark or SparkSession.active()
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    folder = Path(tempfile.mkdtemp())
+    archive = folder / f"{root.name}_package.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    _shipped.add(app)
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -21,3 +44,37 @@ def shared_root(spark: SparkSession) -> str:
     atexit.register(shutil.rmtree, made, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", f"file://{made}")
     return f"file://{made}"
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder."""
+    return f"{shared_root(spark)}/quern/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
+    """Write df as Parquet to the shared folder and read it again: lineage ends there."""
+    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    df.write.option("compression", compression).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def held(df: DataFrame, name: str, column: Column) -> DataFrame:
+    """df with a column that is made before what uses it: Spark does not take a Python function out of an expression with lambdas in its arguments."""
+    return df.withColumn(name, F.explode(F.array(column)))
+
+
+def filesystem(spark: SparkSession, path: str):
+    """Spark's file system of a path, and the path in its terms."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, target = filesystem(spark, path)
+    return fs.exists(target)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a path with all below it."""
+    fs, target = filesystem(spark, path)
+    fs.delete(target, True)

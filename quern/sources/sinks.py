@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import order, shards
+from .shared import filesystem
 
 _lock = threading.Lock()
 
@@ -49,6 +50,63 @@ def export_text(sharded: DataFrame, path: str, separator: str = "\n\n") -> None:
     lines.repartition("split_name", "shard").write.mode("overwrite").option("compression", "gzip").option("lineSep", separator).partitionBy("split_name", "shard").text(path)
 
 
+# The ends of exported files' names.
+ENDINGS = {"parquet": ".parquet", "jsonl": ".jsonl.gz", "txt": ".txt.gz"}
+
+
+def name_files(spark: SparkSession, folder: str, version: str, kind: str) -> list[tuple[str, str, int]]:
+    """Give the files of an export by split_name and shard the names split/version_split_00000.kind; split, path and shard of each.
+
+    Renames only, a call per file.
+    """
+    fs, root = filesystem(spark, folder)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    out = []
+    for split in [s.getPath() for s in fs.listStatus(root) if s.getPath().getName().startswith("split_name=")]:
+        name = split.getName().split("=", 1)[1]
+        fs.mkdirs(path(root, name))
+        for shard in (s.getPath() for s in fs.listStatus(split)):
+            n = int(shard.getName().split("=", 1)[1])
+            for part in (s.getPath() for s in fs.listStatus(shard) if not s.getPath().getName().startswith(("_", "."))):
+                target = path(path(root, name), f"{version}_{name}_{n:05d}{ENDINGS[kind]}")
+                if not fs.rename(part, target):
+                    raise OSError(f"{target} is in the way")
+                out.append((name, target.toString(), n))
+        fs.delete(split, True)
+    return sorted(out)
+
+
+def manifest_head(records: DataFrame, version: str, language: str, script: str, ratios: dict[str, float]) -> DataFrame:
+    """One row: version, time, language, script, the sources that the records name, and the ratios of the splits."""
+    sources = records.select("source_name", "source_type").distinct()
+    return sources.agg(F.array_sort(F.collect_list(F.struct("source_name", "source_type"))).alias("sources")).select(
+        F.lit(version).alias("corpus_version"), F.lit(_now()).alias("created_at"), F.lit(language).alias("language"), F.lit(script).alias("script"), "sources",
+        F.struct(*[F.lit(float(v)).alias(k) for k, v in ratios.items()]).alias("splits"),
+    )
+
+
+def file_registry(files: DataFrame, counts: DataFrame, run_id: str, role: str = "output", stage: str = "export") -> DataFrame:
+    """A row of REGISTRY for each file of a manifest; `counts` (split_name, shard, row_count) has what an export's shards hold."""
+    shard = F.regexp_extract("path", r"_(\d{5})\.[^/]*$", 1).try_cast("int")
+    rows = files.withColumn("shard", shard).join(counts, ["split_name", "shard"], "left")
+    made = {
+        "run_id": F.lit(run_id), "timestamp": F.lit(_now()), "role": F.lit(role), "stage": F.lit(stage), "source_id": F.lit(""), "file_path": F.col("path"),
+        "file_name": F.element_at(F.split("path", "/"), -1), "format": F.col("format"), "size_bytes": F.col("size_bytes"), "row_count": F.col("row_count"), "sha256": F.col("sha256"),
+        "compression": F.col("compression"), "notes": F.concat(F.lit("split="), "split_name", F.lit(",shard_index="), F.col("shard").cast("string")),
+    }
+    return rows.select(*[made[c].alias(c) for c in REGISTRY])
+
+
+def evaluation_report(step: int, validation: float, test: float, averages: dict, samples: list[dict]) -> str:
+    """The report of an evaluation: perplexities, averages over samples, and the samples."""
+    facts = {
+        "Validation Perplexity": f"{validation:.2f}", "Test Perplexity": f"{test:.2f}", "Avg script ratio (generated)": f"{averages['script_ratio']:.3f}", "Avg UNK tokens per sample": f"{averages['unknowns']:.1f}",
+    }
+    table = markdown_table([{"Metric": k, "Value": v} for k, v in facts.items()], "Evaluation Report", f"Checkpoint step: {step}")
+    shown = [f"## Sample {i}\n\nPrompt: {s['prompt']}\n\nGenerated: {s['generated']}\n" for i, s in enumerate(samples, 1)]
+    return "\n".join([table, *shown])
+
+
 def quarantine(rows: DataFrame, path: str, run_id: str) -> None:
     """Append rejected rows of a run; nothing is written without any."""
     if not rows.isEmpty():

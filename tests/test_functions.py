@@ -1,5 +1,6 @@
 """Column functions against plain Python models, Devanagari included."""
 
+import random
 import re
 import unicodedata
 
@@ -92,12 +93,24 @@ def test_extract(spark):
     assert got == ["intro\n\nKeep\nbody\n\nNext\nmore\n\nSee\nend", ""]
 
 
-def test_chunks():
-    t = "a" * 50 + "\n\n" + "b" * 50
-    parts = text.paragraph_chunks(t, 60, 10)
-    assert parts[0] == "a" * 50 and parts[-1].endswith("b")
-    assert len(text.paragraph_chunks("ab\n\n" + "c" * 100, 20, 15)) < 100  # a break near the start does not stall it
-    assert text.paragraph_chunks("short", 60, 10) == ["short"]
+def windows_of(t, size, overlap):
+    """The windows by their definition."""
+    out, at = [], 0
+    while at + size < len(t):
+        breaks = [i for i in range(at + 1, at + size - 1) if t[i : i + 2] == "\n\n"]
+        end = breaks[-1] if breaks else at + size
+        out.append(t[at:end])
+        at = max(at + 1, end - overlap)
+    return [*out, t[at:]]
+
+
+def test_chunks_at_paragraphs(spark):
+    r = random.Random(2)
+    cases = ["a" * 50 + "\n\n" + "b" * 50, "ab\n\n" + "c" * 100, "short", "", None, "\n" * 200, "é" * 61, "x" * 60] + ["".join(r.choice("ab\n\n\n") for _ in range(r.randint(1, 400))) for _ in range(60)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "i int, t string")
+    for size, overlap in ((60, 10), (20, 15), (7, 0)):
+        got = [x["c"] for x in df.select("i", text.chunks_at_paragraphs(F.col("t"), size, overlap).alias("c")).orderBy("i").collect()]
+        assert got == [windows_of(t or "", size, overlap) for t in cases]
 
 
 def test_chunks_and_merge(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import chars
 from quern.operators import quality, split
-from quern.sources import records, sinks
+from quern.sources import packaging, records, sinks
 from quern.streaming import ingest
 
 
@@ -84,6 +84,83 @@ def test_cleaned_by(spark):
     assert [r["c"] for r in records.cleaned_by(df, "t", str.upper, out="c").collect()] == ["AB", ""]
 
 
+def test_call_policy(spark):
+    calls = []
+
+    def flaky(t):
+        calls.append(t)
+        if len(calls) < 3:
+            raise TimeoutError("late")
+        return t.upper()
+
+    assert records.CallPolicy(base_seconds=0).guard(flaky)("a") == "A" and len(calls) == 3
+
+    def never(_):
+        calls.append(1)
+        raise TimeoutError("late")
+
+    calls.clear()
+    with pytest.raises(records.CallError):
+        records.CallPolicy(attempts=2, base_seconds=0).guard(never)("a")
+    assert len(calls) == 2
+    calls.clear()
+
+    def refuses(_):
+        calls.append(1)
+        raise ValueError("no")
+
+    with pytest.raises(records.CallError):
+        records.CallPolicy(base_seconds=0).guard(refuses)("a")
+    assert len(calls) == 1
+    df = spark.createDataFrame([("ab",), (None,)], "t string")
+    off = records.cleaned_by(df, "t", never, out="c", policy=records.CallPolicy(enabled=False))
+    assert [r["c"] for r in off.collect()] == ["ab", None]
+    with pytest.raises(Exception, match="no answer in 1 attempts"):
+        records.cleaned_by(df, "t", never, out="c", policy=records.CallPolicy(attempts=1)).collect()
+
+    def some(t):
+        if t == "b":
+            raise ValueError
+        return t + "!"
+
+    got = records.fetched(spark.createDataFrame([("a",), ("b",)], "title string"), "title", some)
+    assert {r["title"]: r["answer"] for r in got.collect()} == {"a": "a!", "b": None}
+
+
+def test_extraction_that_fails(spark):
+    def fails(_):
+        raise RuntimeError("broken")
+
+    row = records.extract_pages(spark.createDataFrame([("d", bytearray(b"x"))], "source_id string, content binary"), [("one", fails)]).first()
+    assert row["error"] == "one: broken" and row["text"] is None
+
+
+def test_package(spark, tmp_path):
+    source = tmp_path / "vocab_32000"
+    with pytest.raises(FileNotFoundError):
+        packaging.package(source, tmp_path / "out", "v1", source, source, source)
+    source.mkdir()
+    for name in packaging.FILES:
+        (source / name).write_text("{}")
+    (source / "tokenizer_metadata.json").write_text('{"vocab_size": 32000}')
+    for name in ("c.yaml", "r.json", "c.md"):
+        (tmp_path / name).write_text(name)
+    log = sinks.RunLog(tmp_path / "log.csv", "r")
+    out = packaging.package(source, tmp_path / "out", "v7", tmp_path / "c.yaml", tmp_path / "r.json", tmp_path / "c.md", log, tmp_path / "reg.csv")
+    assert (out / "VERSION").read_text() == "v7" and "32000" in (out / "README.md").read_text() and (out / packaging.COMPARISON).read_text() == "c.md"
+    sums = json.loads((out / "checksums.json").read_text())
+    assert set(sums) == {*packaging.FILES, packaging.CONFIG, packaging.VALIDATION, packaging.COMPARISON, "VERSION", "README.md"}
+    assert len((tmp_path / "reg.csv").read_text().splitlines()) == 1 + len(sums) + 1
+    (tmp_path / "validation_vocab_8.json").write_text("{}")
+    assert list(packaging.reports_of(tmp_path, [8, 16])) == [8]
+
+
+def test_evaluation_report():
+    text = sinks.evaluation_report(5, 12.345, 13.0, {"script_ratio": 0.5, "unknowns": 1.25}, [{"prompt": "p", "generated": "g"}])
+    assert "12.35" in text or "12.34" in text
+    assert "| Avg UNK tokens per sample | 1.2 |" in text and "Sample 1" in text and "step: 5" in text
+
+
 def test_exports(spark, tmp_path):
     rows = records.dataset_records(spark.createDataFrame([(f"d{i}", f"text {i} " * 20) for i in range(40)], "id string, text string"), "s")
     named = split.by_document(rows, "document_id", 1, 0.1, 0.1)
@@ -97,7 +174,15 @@ def test_exports(spark, tmp_path):
     assert lines.count() == 40 and {"text", "record_id"} <= set(lines.columns)
     parts = b"".join(gzip.open(p).read() for p in (tmp_path / "final/txt").rglob("*.gz"))
     assert parts.count(b"\n\n") == 40
+    named = sinks.name_files(spark, str(tmp_path / "final/parquet"), "v1", "parquet")
+    assert all(p.endswith(f"{split_name}/v1_{split_name}_{n:05d}.parquet") for split_name, p, n in named) and len(named) == len({p for _, p, _ in named})
+    assert spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "final/parquet")).count() == 40
     files = sinks.manifest(spark, str(tmp_path / "final"))
+    counts = sharded.groupBy("split_name", "shard").agg(F.count("*").alias("row_count"))
+    registry = sinks.file_registry(files.where("format = 'parquet'"), counts, "r")
+    assert registry.columns == sinks.REGISTRY and registry.agg(F.sum("row_count")).first()[0] == 40 and registry.count() == len(named)
+    head = sinks.manifest_head(sharded, "v1", "hi", "Devanagari", {"train": 0.8, "validation": 0.1, "test": 0.1}).first()
+    assert [tuple(x) for x in head["sources"]] == [("s", "huggingface_dataset")] and head["splits"]["test"] == 0.1
     assert files.count() > 3 and all(len(r["sha256"]) == 64 for r in files.collect())
     assert list(sums := sinks.checksum_map(spark, str(tmp_path / "final"))) == sorted(sums)
 

@@ -39,6 +39,26 @@ def test_exact_keeps_first(spark):
     assert sorted(r["id"] for r in dedup.exact(df, "text", "id").collect()) == [1, 2, 4]
 
 
+def test_exact_and_near_with_nulls_and_repeats(spark):
+    rows = [(1, "a"), (1, "a"), (None, "only here"), (2, "b"), (None, "b"), (None, "only here"), (None, None), (3, "")]
+    df = spark.createDataFrame(rows, "id int, text string")
+    want = [(1, "a"), (2, "b"), (3, ""), (None, "only here")]
+    assert sorted(((r["id"], r["text"]) for r in dedup.exact(df, "text", "id").collect()), key=repr) == sorted(want, key=repr)
+    for found in (dedup.near(df, "id", "text", "id"), dedup.deduplicate(df, "id", "text", "id")):
+        assert sorted(((r["id"], r["text"]) for r in found.collect()), key=repr) == sorted(want, key=repr)
+    assert dedup.canonical(df, "id", "text").count() == len(rows)
+
+
+def test_shingle_hashes(spark):
+    texts = ["", "a", "a b", "a b c d", "x y x y x y"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r["h"] for r in df.select("i", dedup.shingle_hashes(chars.words(F.col("t"))).alias("h")).orderBy("i").collect()]
+    for t, hashes in zip(texts, got):
+        w = t.split()
+        runs = [" ".join(w[i : i + 3]) for i in range(max(1, len(w) - 2))]
+        assert hashes == [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) % dedup.PRIME for x in runs]
+
+
 def test_shingles(spark):
     df = spark.createDataFrame([(0, ""), (1, "a"), (2, "a b"), (3, "a b c"), (4, "a b c a b c"), (5, None)], "i int, t string")
     got = [r["s"] for r in df.select("i", dedup.shingles(F.col("t")).alias("s")).orderBy("i").collect()]
@@ -60,7 +80,7 @@ def test_signature_is_a_minimum():
     words = "a b c d e".split()
     a, b = dedup.permutations()
     hashes = [int(hashlib.md5(" ".join(words[i : i + 3]).encode()).hexdigest()[:8], 16) % dedup.PRIME for i in range(3)]
-    assert dedup.signature(words).tolist() == [min((int(x) * h + int(y)) % dedup.PRIME for h in hashes) for x, y in zip(a, b)]
+    assert dedup.signature(np.array(hashes)).tolist() == [min((int(x) * h + int(y)) % dedup.PRIME for h in hashes) for x, y in zip(a, b)]
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 50])
@@ -93,6 +113,70 @@ def test_running_sums(spark):
             total += v
 
 
+def test_running_keeps_null_keys_and_the_natural_order(spark):
+    rows = [(k, g, n) for n, (k, g) in enumerate([(None, "a"), (5, "a"), (2, "a"), (None, None), (9, None), (7, "b")], 1)]
+    df = spark.createDataFrame(rows, "k long, g string, v long")
+    got = {r["v"]: r["o"] for r in order.running(df, None, "k", F.col("v"), "o", by=("g",), rows=1).collect()}
+    assert got == {1: 0, 3: 1, 2: 4, 4: 0, 5: 4, 6: 0}
+    assert sorted(r["o"] for r in order.running(df, None, "k", F.lit(1), "o", rows=2).collect()) == list(range(6))
+    assert sorted(r["o"] for r in order.running(df, 3, "k", F.lit(1), "o", rows=2).collect()) == list(range(6))
+    assert order.running(df.limit(0), None, "k", F.lit(1), "o").count() == order.running(df.limit(0), 1, "k", F.lit(1), "o", by=("g",)).count() == 0
+    assert sample.budget(df.withColumn("t", F.lit("x")), "k", "t", 10**9).count() == len(rows)
+
+
+def test_buffer_shuffle(spark):
+    got = sorted((r["place"], r["id"]) for r in order.buffer_shuffle(spark.range(100), "id", 30, 7).collect())
+    assert [p for p, _ in got] == list(range(100)) and [i for _, i in got] != list(range(100))
+    for at in range(0, 100, 30):
+        assert {i for p, i in got if at <= p < at + 30} == set(range(at, min(100, at + 30)))
+
+
+def test_batches(spark):
+    rows = [("p0", i, [i]) for i in range(5)] + [("p1", i, [10 + i]) for i in range(8)]
+    df = spark.createDataFrame(rows, "part string, n long, ids array<int>")
+    flat = [r[2][0] for r in rows]
+    one = sorted((r["batch"], r["place"], r["ids"]) for r in shards.batches(df, "part", "n", "ids", 4).collect())
+    assert [x[2] for x in one] == [[v] for v in flat[:12]] and {x[0] for x in one} == {0, 1, 2}
+    two = sorted((r["batch"], r["place"], r["ids"]) for r in shards.batches(df, "part", "n", "ids", 2, factor=3).collect())
+    assert [x[2] for x in two] == [flat[i : i + 3] for i in range(0, 12, 3)]
+    assert shards.batches(df.limit(0), "part", "n", "ids", 2).count() == 0
+
+
+def test_chunked_lines(spark):
+    r = random.Random(4)
+    texts = ["x" * r.randint(0, 60) for _ in range(80)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, text string")
+    lines, total, held, chunk, seen = [], 0, 0, 0, 0
+    for i, t in enumerate(texts):
+        seen += 1
+        if len(t) < 20:
+            continue
+        n = len(t) + 12
+        if total + n > 2000:
+            break
+        if held + n > 300 and held:
+            chunk, held = chunk + 1, 0
+        held, total = held + n, total + n
+        lines.append((i, n, chunk))
+    found = shards.chunked_lines(df, "i", "text", 300, 2000).cache()
+    assert sorted((x["i"], x["size"], x["chunk"]) for x in found.collect()) == lines
+    assert tuple(shards.download_counts(df, found, "i", "text").first()) == (seen, len(lines), total, chunk + 1)
+    all_ = shards.chunked_lines(df, "i", "text", 300, 10**9)
+    assert shards.download_counts(df, all_, "i", "text").first()["rows_seen"] == 80
+    assert tuple(shards.download_counts(df, shards.chunked_lines(df, "i", "text", 300, 1), "i", "text").first())[1:] == (0, 0, 0)
+
+
+def test_strata(spark):
+    df = spark.createDataFrame([(i, f"s{i % 3}" if i % 7 else None, p) for i in range(120) for p in range(2)], "d long, s string, p int")
+    rows = split.by_stratum(df, "d", "s", 3, 0.1, 0.1).collect()
+    assert len(rows) == 240
+    for s in (None, "s0", "s1", "s2"):
+        ids = {r["d"]: r["split_name"] for r in rows if r["s"] == s}
+        n = len(ids)
+        part = max(1, round(n * 0.1))
+        assert sorted(ids.values()) == sorted(["train"] * (n - 2 * part) + ["validation"] * part + ["test"] * part)
+
+
 def test_budgets(spark):
     df = spark.createDataFrame([(i, "x" * 9) for i in range(100)], "i int, t string")
     assert sample.budget(df, "i", "t", 95).count() == 10 and sample.budget(df, "i", "t", 95, overshoot=False).count() == 9
@@ -168,6 +252,12 @@ def test_crawl(spark):
     assert links.crawl_index(links.crawl(edges, seeds, 9)).first()["titles"] == ["a", "b", "c", "d"]
 
 
+def test_crawl_seeds(spark):
+    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("x", "b"), ("c", "a")], "source string, target string")
+    got = sorted((r["seed"], r["title"], r["depth"]) for r in links.crawl_seeds(edges, spark.createDataFrame([("a",), ("x",)], "title string"), 2).collect())
+    assert got == [("a", "a", 0), ("a", "b", 1), ("a", "c", 2), ("x", "b", 1), ("x", "c", 2), ("x", "x", 0)]
+
+
 def test_violations(spark):
     df = spark.createDataFrame([("r", "pdf", 1, 0.5), (None, "web", -1, 1.5)], "record_id string, source_type string, char_count long, quality_score double")
     assert [r["violations"] for r in quality.violations(df).collect()] == [["record_id", "char_count", "quality_score", "source_type"]]

@@ -7,7 +7,7 @@ import pytest
 
 from quern.__main__ import main
 from quern.plans import pipelines
-from quern.sources import records
+from quern.sources import records, sinks
 
 HINDI = "यह एक अच्छा और लंबा वाक्य है जो जाँच के लिए लिखा गया है"
 
@@ -16,14 +16,22 @@ def test_ingest(spark, tmp_path):
     dataset = spark.createDataFrame([(f"d{i}", f"{HINDI} {i}") for i in range(30)], "id string, text string")
     pages = spark.createDataFrame([(f"t {i}", None, f"{HINDI} " * 3 + f"\n\n{'english only text ' * 9}\n\n{HINDI} {i} {HINDI}") for i in range(6)], "title string, url string, extract string")
     settings = pipelines.Settings(shard_mb=0.01, validation=0.1, test=0.1)
-    rows = pipelines.ingest(spark, settings, str(tmp_path), dataset, records.paragraph_records(pages, [], "w")).collect()
+    log = sinks.RunLog(tmp_path / "log.csv", "run")
+    rows = pipelines.ingest(spark, settings, str(tmp_path), dataset, records.paragraph_records(pages, [], "w"), log).collect()
     # the first paragraph is the same on all pages, the English one is rejected
     assert sum(r["records"] for r in rows) == 30 + 1 + 6 and all(r["records"] for r in rows)
     assert spark.read.parquet(str(tmp_path / "quarantine")).count() == 6
-    assert spark.read.parquet(str(tmp_path / "final/parquet")).count() == 37
+    assert spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "final/parquet")).count() == 37
+    assert (tmp_path / "final/txt/train/v1_train_00000.txt.gz").exists() and (tmp_path / "log.csv").read_text().count("completed") == 7
+    head = spark.read.json(str(tmp_path / "reports/manifest_head")).first()
+    assert head["corpus_version"] == "v1" and {s["source_type"] for s in head["sources"]} == {"huggingface_dataset", "wiki"}
+    registry = spark.read.option("header", True).csv(str(tmp_path / "logs/file_registry"))
+    assert registry.where("format = 'parquet'").agg({"row_count": "sum"}).first()[0] == 37 and registry.where("sha256 IS NULL").count() == 0
     assert spark.read.json(str(tmp_path / "reports/manifest")).where("split_name = 'train'").count() > 0
     with pytest.raises(ValueError):
         pipelines.ingest(spark, settings, str(tmp_path))
+    with pytest.raises(ValueError):
+        pipelines.ingest(spark, pipelines.Settings(sources=("documents",)), str(tmp_path), dataset)
 
 
 def test_tokenizer_steps(spark, tmp_path):
@@ -58,6 +66,15 @@ def test_tokenize(spark, tmp_path):
 def test_settings_and_dry_run(tmp_path, capsys):
     (tmp_path / "s.json").write_text('{"seed": 7, "formats": ["jsonl"]}')
     assert pipelines.load(tmp_path / "s.json") == pipelines.Settings(seed=7, formats=("jsonl",))
+    (tmp_path / "quality.json").write_text('{"min_chars": 5, "script_weight": 0.5}')
+    loaded = pipelines.load(tmp_path / "s.json")
+    assert loaded.rules.min_chars == 5 and loaded.rules.script_weight == 0.5 and loaded.rules.script.name == "Devanagari"
+    (tmp_path / "quality.json").unlink()
+    (tmp_path / "n.json").write_text('{"quality": {"max_digits": 0.5}, "calls": {"attempts": 1}}')
+    assert pipelines.load(tmp_path / "n.json").quality.max_digits == 0.5 and pipelines.load(tmp_path / "n.json").calls.attempts == 1
+    (tmp_path / "odd.json").write_text('{"quality": {"none": 1}}')
+    with pytest.raises(ValueError):
+        pipelines.load(tmp_path / "odd.json")
     (tmp_path / "bad.json").write_text('{"sead": 7}')
     with pytest.raises(ValueError):
         pipelines.load(tmp_path / "bad.json")
