@@ -29,8 +29,8 @@ def running(df: DataFrame, seed: int | None, key: str, value: Column, out: str,
     `rows` is the size of a bucket: fewer where rows are large.
     """
     k = F.col(key)
-    facts = [F.count("*").alias("_n"), *([F.min(key).cast("double").alias("_lo"), F.max(key).cast("double").alias("_hi")] if seed is None else [])]
-    names = [f"_by{i}" for i in range(len(by))]
+    facts = [F.count("*").alias("_order_n"), *([F.min(key).cast("double").alias("_order_lo"), F.max(key).cast("double").alias("_order_hi")] if seed is None else [])]
+    names = [f"_order_by{i}" for i in range(len(by))]
     matched = lambda: reduce(lambda x, y: x & y, (F.col(c).eqNullSafe(F.col(n)) for c, n in zip(by, names)))
     if by:  # a null group is a group
         bounds = df.groupBy(*[F.col(c).alias(n) for c, n in zip(by, names)]).agg(*facts)
@@ -39,18 +39,18 @@ def running(df: DataFrame, seed: int | None, key: str, value: Column, out: str,
         found = df.agg(*facts).first().asDict()
         known = df.withColumns({c: F.lit(v) for c, v in found.items()})
     if seed is None:
-        part = F.coalesce((k - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1), F.lit(0.0))
+        part = F.coalesce((k - F.col("_order_lo")) / (F.col("_order_hi") - F.col("_order_lo") + 1), F.lit(0.0))
     else:
         part = F.conv(F.substring(shuffle_key(seed, k), 1, 8), 16, 10).cast("double") / float(1 << 32)
     order = [shuffle_key(seed, k), k] if seed is not None else [k]
-    placed = known.withColumn("_b", F.floor(part * F.ceil(F.col("_n") / rows)).cast("long")).withColumn("_v", value)
-    totals = placed.groupBy(*[F.col(c).alias(n) for c, n in zip(by, names)], F.col("_b").alias("_bucket")).agg(F.sum("_v").alias("_t"))
-    ahead = Window.partitionBy(*names).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(*names, "_bucket", F.coalesce(F.sum("_t").over(ahead), F.lit(0)).alias("_o"))
-    local = Window.partitionBy(*by, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    summed = placed.withColumn("_l", F.coalesce(F.sum("_v").over(local), F.lit(0)))
-    same = F.col("_b") == F.col("_bucket")
-    return summed.join(totals, same & matched() if by else same).select(*df.columns, (F.col("_o") + F.col("_l")).alias(out))
+    placed = known.withColumn("_order_b", F.floor(part * F.ceil(F.col("_order_n") / rows)).cast("long")).withColumn("_order_v", value)
+    totals = placed.groupBy(*[F.col(c).alias(n) for c, n in zip(by, names)], F.col("_order_b").alias("_order_bucket")).agg(F.sum("_order_v").alias("_order_t"))
+    ahead = Window.partitionBy(*names).orderBy("_order_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*names, "_order_bucket", F.coalesce(F.sum("_order_t").over(ahead), F.lit(0)).alias("_order_o"))
+    local = Window.partitionBy(*by, "_order_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = placed.withColumn("_order_l", F.coalesce(F.sum("_order_v").over(local), F.lit(0)))
+    same = F.col("_order_b") == F.col("_order_bucket")
+    return summed.join(totals, same & matched() if by else same).select(*df.columns, (F.col("_order_o") + F.col("_order_l")).alias(out))
 
 
 def rank(df: DataFrame, seed: int | None, key: str, out: str = "rank", by: tuple[str, ...] = ()) -> DataFrame:
@@ -61,6 +61,6 @@ def rank(df: DataFrame, seed: int | None, key: str, out: str = "rank", by: tuple
 
 def buffer_shuffle(df: DataFrame, key: str, buffer: int, seed: int, out: str = "place") -> DataFrame:
     """df with the place (from 0) of each row in a shuffle through a buffer: runs of `buffer` rows in the natural order of key, each in seeded order."""
-    runs = running(df, None, key, F.lit(1).cast("long"), "_run").withColumn("_run", F.floor(F.col("_run") / buffer))
-    within = Window.partitionBy("_run").orderBy(shuffle_key(seed, F.col(key)), key)
-    return runs.withColumn(out, F.col("_run") * buffer + F.row_number().over(within) - 1).drop("_run")
+    runs = running(df, None, key, F.lit(1).cast("long"), "_order_run").withColumn("_order_run", F.floor(F.col("_order_run") / buffer))
+    within = Window.partitionBy("_order_run").orderBy(shuffle_key(seed, F.col(key)), key)
+    return runs.withColumn(out, F.col("_order_run") * buffer + F.row_number().over(within) - 1).drop("_order_run")

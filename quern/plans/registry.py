@@ -152,13 +152,14 @@ def _lines(t: str) -> str:
     return rf"string_split(regexp_replace({t}, '\r\n|[\x0b\f\r\x1c-\x1e\x{{85}}\x{{2028}}\x{{2029}}]', E'\n', 'g'), E'\n')"
 
 
-@query(f"""
-WITH l AS (SELECT r, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM (SELECT row_number() OVER () AS r, doc_id, {_lines(_CLEAN)} AS ls FROM documents)),
+NORMALISED = f"""WITH l AS (SELECT r, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM (SELECT row_number() OVER () AS r, doc_id, {_lines(_CLEAN)} AS ls FROM documents)),
 g AS (SELECT *, pos - row_number() OVER (PARTITION BY r, line ORDER BY pos) AS island FROM l),
 c AS (SELECT *, count(*) OVER (PARTITION BY r, line, island) AS n, row_number() OVER (PARTITION BY r, line, island ORDER BY pos) AS k FROM g),
-kept AS (SELECT * FROM c WHERE n < 3 OR k = 1 OR NOT regexp_matches(line, '[^{S}]'))
-SELECT doc_id, md5({_strip("t")}) AS digest, length({_strip("t")})::BIGINT AS char_count
-FROM (SELECT r, doc_id, string_agg(regexp_replace(line, '[{S}]+$', ''), E'\\n' ORDER BY pos) AS t FROM kept GROUP BY r, doc_id)""")
+kept AS (SELECT * FROM c WHERE n < 3 OR k = 1 OR NOT regexp_matches(line, '[^{S}]')),
+joined AS (SELECT r, doc_id, string_agg(regexp_replace(line, '[{S}]+$', ''), E'\\n' ORDER BY pos) AS t FROM kept GROUP BY r, doc_id)"""
+
+
+@query(f"{NORMALISED} SELECT doc_id, md5({_strip('t')}) AS digest, length({_strip('t')})::BIGINT AS char_count FROM joined")
 def normalised_text(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").select("doc_id", text.normalise(F.coalesce("text", F.lit(""))).alias("t"))
     return rows.select("doc_id", digest(F.col("t")).alias("digest"), F.length("t").cast("long").alias("char_count"))
@@ -224,12 +225,6 @@ def fixed_chunks(spark, sf_dir):
     return rows.select("doc_id", "chunk", digest(F.col("t")).alias("digest"))
 
 
-@query()
-def paragraph_aware_chunks(spark, sf_dir):
-    rows = _conversations(spark, sf_dir).select("conv_id", F.posexplode(text.chunks_at_paragraphs(F.col("t"))).alias("chunk", "t"))
-    return rows.select("conv_id", "chunk", F.length("t").alias("chars"), digest(F.col("t")).alias("digest"))
-
-
 @query(f"SELECT conv_id, md5({_strip('t')}) AS digest FROM {_CONVERSATION}")
 def chunk_merge(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").where("text IS NOT NULL")
@@ -237,13 +232,6 @@ def chunk_merge(spark, sf_dir):
     return merged.select("conv_id", digest(F.col("t")).alias("digest"))
 
 
-@query()
-def nfkc_words(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("doc_id", text.nfkc_words(F.coalesce("text", F.lit(""))).alias("t"))
-    fit = quality.sampled_text(F.col("t"), chars.LATIN_SCRIPT)
-    return rows.select("doc_id", digest(F.col("t")).alias("digest"), fit.alias("fit_for_sample"), quality.training_text(F.col("t"), chars.LATIN_SCRIPT).alias("fit_for_training"))
-
-
 # Duplicates
 
 
@@ -334,12 +322,6 @@ def prefix_budget_strict(spark, sf_dir):
     return sample.budget(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text", 500_000, SEED, overshoot=False).select("doc_id")
 
 
-@query()
-def tokenizer_sample(spark, sf_dir):
-    rows = sample.tokenizer_sample(table(spark, sf_dir, "documents"), "doc_id", "text", chars.LATIN_SCRIPT, 500_000, SEED)
-    return rows.select("doc_id", digest(F.col("value")).alias("digest"))
-
-
 @query(f"""WITH RECURSIVE d AS (SELECT lang, doc_id, strlen({T}) AS n, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS k FROM documents),
 f AS (SELECT lang, doc_id, k, n AS held, 0 AS shard FROM d WHERE k = 1 UNION ALL
   SELECT d.lang, d.doc_id, d.k, CASE WHEN f.held > 0 AND f.held + d.n > 100000 THEN d.n ELSE f.held + d.n END, f.shard + CASE WHEN f.held > 0 AND f.held + d.n > 100000 THEN 1 ELSE 0 END
@@ -419,31 +401,6 @@ def token_metrics(spark, sf_dir):
     return metrics.token_metrics(docs.withColumn("ids", ids), F.col("text"), F.col("ids"), 0, F.array_join("w", " "))
 
 
-@query()
-def tokenizer_round_trip(spark, sf_dir):
-    """Metrics of a real tokenizer over all documents, by language."""
-    import public_tokenizers
-
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text"))
-    back = shards.decode(shards.encode(docs, "text", path), "ids", path, "back")
-    n = F.size("ids")
-    return back.groupBy("lang").agg(
-        F.count("*").alias("docs"), (F.sum(F.length("text")) / F.sum(n)).alias("chars_per_token"), (F.sum(n) / F.sum(chars.word_count(F.col("text")))).alias("tokens_per_word"),
-        F.avg((F.col("back") == F.col("text")).cast("double")).alias("roundtrip_success_rate"),
-    )
-
-
-_VARIANTS = [("24k", 24_000, 0.0, 4.66, 1.159), ("32k", 32_000, 0.0, 4.788, 1.128), ("48k", 48_000, 0.0, 4.904, 1.102), ("8k", 8_000, 0.002, 3.5, 2.0)]
-
-
-@query("SELECT '32k' AS variant_name, 32000 AS vocab_size FROM (SELECT 1) x")
-def recommended_variant(spark, sf_dir):
-    rows = spark.createDataFrame(_VARIANTS, "variant_name string, vocab_size int, unk_rate double, chars_per_token double, tokens_per_word double")
-    full = rows.withColumns({"roundtrip_success_rate": F.lit(1.0), "devanagari_char_coverage": F.lit(1.0), "special_token_split_failures": F.lit(0)})
-    return metrics.recommended(full.withColumn("vocab_size", text.vocab_size(F.col("variant_name")))).select("variant_name", "vocab_size")
-
-
 @query("SELECT event_type, round(exp(avg(value / 100)), 6) AS perplexity, count(value) AS batches FROM events GROUP BY event_type")
 def perplexity(spark, sf_dir):
     rows = metrics.perplexity(table(spark, sf_dir, "events").withColumn("loss", F.col("value") / 100), "loss", "event_type")

@@ -93,12 +93,12 @@ def links_of(answers: DataFrame, column: str) -> DataFrame:
 
 def fetched_pages(spark: SparkSession, path: str) -> DataFrame:
     """title and extract of saved API answers, one a file."""
-    return pages_of(spark.read.option("wholetext", True).text(path), "value")
+    return pages_of(spark.read.text(path, wholetext=True), "value")
 
 
 def fetched_links(spark: SparkSession, path: str) -> DataFrame:
     """source and target of saved link answers, one a file."""
-    return links_of(spark.read.option("wholetext", True).text(path), "value")
+    return links_of(spark.read.text(path, wholetext=True), "value")
 
 
 def fetched(titles: DataFrame, column: str, fetch: Callable[[str], str], policy: CallPolicy | None = None) -> DataFrame:
