@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.shared import ship
+from ..sources.shared import ship, written
 from .order import running
 
 #: Rows with token arrays that one task places.
@@ -117,8 +117,9 @@ def windows(tokens: DataFrame, by: str, order: str, column: str, length: int) ->
     Rows give by, sequence (from 0) and input_ids. Offsets are running sums over buckets of the order; each
     row is cut into the parts that fall into one sequence, so a shuffle moves parts, not tokens.
     """
-    full = tokens.select(by, order, column).where(F.size(column) > 0)
-    placed = running(full, None, order, F.size(column).cast("long"), "_at", by=(by,), rows=ROW_BUCKET)
+    # written, as tokens are dear: sums read the sizes alone
+    full = written(tokens.select(by, order, column, F.size(column).cast("long").alias("_size")).where("_size > 0"), "tokens")
+    placed = running(full, None, order, F.col("_size"), "_at", by=(by,), rows=ROW_BUCKET)
     first, last = F.floor(F.col("_at") / length), F.floor((F.col("_at") + F.size(column) - 1) / length)
     parts = placed.withColumn("_seq", F.explode(F.sequence(first, last)))
     start = F.greatest(F.lit(0), F.col("_seq") * length - F.col("_at"))
