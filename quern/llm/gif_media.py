@@ -2,10 +2,17 @@
 
 `store` writes byte payloads losslessly as indexed GIF images (one byte, one pixel; grey palette).
 `frames` decodes any GIF column into one row per frame with timing, the frame's indices, the composed
-canvas and a colour histogram. `load` reads a stored payload back through the same decoder.
+canvas and a colour histogram. `load` reads a stored payload back through the same decoder, as digests
+and a list of its timed frames with their histograms.
 
-Null or broken media give one row with `error` set and no frame. Interlaced images, local palettes,
-all disposal methods, clear codes at any place and deferred clears are handled.
+Frames leave the decoder one by one, so that a worker holds one canvas. A canvas or an image of more than
+`max_pixels` (MAX_PIXELS unless told otherwise) is an error, as its header alone could ask for any memory.
+
+Null, empty, broken and too large media never fail a job: `frames` gives the frames before the fault and a
+row with `error` and no frame, `load` gives null digests and `error` (and no error for a null). Repeated
+rows are decoded as often as they occur, an empty table gives no rows; columns of df named like those made
+are replaced. Interlaced images, local palettes, all disposal methods, clear codes at any place and
+deferred clears are handled.
 """
 
 from __future__ import annotations
@@ -17,13 +24,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .shared import fresh
 
 #: Pixels in a row and rows in a frame that `store` writes.
 WIDTH, ROWS = 64, 2048
 #: Hundredths of a second that `store` gives each frame.
 DELAY = 10
+#: Pixels of a canvas or an image, at most: 3 bytes each.
+MAX_PIXELS = 1 << 24
 LEVELS = 4
 FRAME_SCHEMA = (
     "frame int, n_frames int, left int, top int, width int, height int, delay_cs int, disposal int, transparent int, "
@@ -181,15 +194,17 @@ def _histogram(rgb: np.ndarray) -> np.ndarray:
     return np.bincount((level[:, 0] * LEVELS + level[:, 1]) * LEVELS + level[:, 2], minlength=LEVELS**3)
 
 
-def decode(data: bytes) -> list[dict]:
-    """The frames of a GIF, composed on its canvas under the disposal and transparency rules."""
+def decode(data: bytes, max_pixels: int = MAX_PIXELS) -> Iterator[dict]:
+    """The frames of a GIF one by one, composed on its canvas under the disposal and transparency rules."""
     try:
-        return list(_decode(data))
+        yield from _decode(data, max_pixels)
+    except GifError:
+        raise
     except (IndexError, ValueError, struct.error) as e:
         raise GifError(str(e)) from e
 
 
-def _decode(data: bytes) -> Iterator[dict]:
+def _decode(data: bytes, max_pixels: int) -> Iterator[dict]:
     if data[:6] not in (b"GIF87a", b"GIF89a"):
         raise GifError("no GIF signature")
     canvas_w, canvas_h, flags, _, _ = struct.unpack_from("<HHBBB", data, 6)
@@ -215,6 +230,8 @@ def _decode(data: bytes) -> Iterator[dict]:
         at += 1
         return b"".join(parts)
 
+    if canvas_w * canvas_h > max_pixels:
+        raise GifError(f"a canvas of more than {max_pixels} pixels")
     shared = palette(flags)
     canvas = np.zeros((canvas_h, canvas_w, 3), np.uint8)
     delay, disposal, transparent, n = 0, 0, -1, 0
@@ -235,6 +252,8 @@ def _decode(data: bytes) -> Iterator[dict]:
             raise GifError("an unknown block")
         left, top, w, h, local = struct.unpack_from("<HHHHB", data, at)
         at += 9
+        if w * h > max_pixels:
+            raise GifError(f"an image of more than {max_pixels} pixels")
         own = palette(local)
         colours = own if own is not None else shared
         if colours is None:
@@ -283,54 +302,74 @@ def store(df: DataFrame, payload: str, out: str = "media") -> DataFrame:
     return df.withColumn(out, stored(F.col(payload)))
 
 
-def frames(df: DataFrame, media: str) -> DataFrame:
+def frames(df: DataFrame, media: str, max_pixels: int = MAX_PIXELS) -> DataFrame:
     """One row per frame: the other columns of df and those of FRAME_SCHEMA (names that df has are replaced)."""
-    names = [x.split(" ")[0] for x in FRAME_SCHEMA.split(", ")]
+    made = T._parse_datatype_string(FRAME_SCHEMA).fields
+    names = [f.name for f in made]
+    kept = [c for c in df.columns if c not in names and c != media]
+    (raw,) = fresh(df, "_media")
+    types = [pa.int32() if f.dataType == T.IntegerType() else pa.binary() if f.dataType == T.BinaryType() else pa.list_(pa.int32()) if f.name == "histogram" else pa.string() for f in made]
 
-    @F.pandas_udf("array<struct<" + ", ".join(x.replace(" ", ":", 1) for x in FRAME_SCHEMA.split(", ")) + ">>")
-    def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for data in batch:
-                try:
-                    found = decode(b"" if data is None else bytes(data))
-                    rows.append([dict.fromkeys(names) | f | {"n_frames": len(found), "histogram": f["histogram"].tolist()} for f in found])
-                except GifError as e:
-                    rows.append([dict.fromkeys(names) | {"error": str(e)}])
-            yield pd.Series(rows)
+            for i in range(batch.num_rows):
+                own = [c.slice(i, 1) for c in batch.columns[:-1]]
+                for row in _rows(batch.column(batch.num_columns - 1)[i].as_py() or b"", max_pixels):
+                    yield pa.RecordBatch.from_arrays([*own, *[pa.array([row.get(n)], t) for n, t in zip(names, types)]], names=[*kept, *names])
 
-    kept = [c for c in df.columns if c not in names and c != media]
-    return df.select(*kept, F.explode(decoded(F.col(media))).alias("_f")).select(*kept, *[F.col("_f")[n].alias(n) for n in names])
+    schema = T.StructType([*[df.schema[c] for c in kept], *made])
+    return df.select(*kept, F.col(media).alias(raw)).mapInArrow(run, schema)
 
 
-LOADED = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, n_frames int, duration_cs int, histogram array<long>"
+def _rows(data: bytes, max_pixels: int) -> Iterator[dict]:
+    """The frames of a GIF, then a row with the fault if there is one."""
+    try:
+        for frame in decode(data, max_pixels):
+            yield frame | {"histogram": frame["histogram"].tolist()}
+    except GifError as e:
+        yield {"error": str(e)}
+
 
+LOADED = (
+    "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, n_frames int, duration_cs int, histogram array<long>, "
+    "frames array<struct<frame:int,start_cs:int,delay_cs:int,histogram:array<int>>>, error string"
+)
 
-def load(df: DataFrame, media: str, out: str = "loaded") -> DataFrame:
-    """df with the struct `out` (LOADED): what the stored GIF decodes to, as sums over the whole media value.
 
-    Only digests leave the worker; the payload itself is the frames' `indices` in order.
+def loaded(data: bytes | None, max_pixels: int = MAX_PIXELS) -> dict:
+    """The fields of LOADED for one value."""
+    if data is None:
+        return {}
+    digest, tail, size, time, tally, shown = hashlib.sha256(), b"", 0, 0, np.zeros(LEVELS**3, np.int64), []
+    whole = {"media_bytes": len(data), "media_sha256": hashlib.sha256(data).hexdigest()}
+    try:
+        for f in decode(data, max_pixels):
+            body = f["indices"]
+            digest.update(body)
+            tail = (tail + body[-64:])[-64:]
+            size += len(body)
+            shown.append({"frame": f["frame"], "start_cs": time, "delay_cs": f["delay_cs"], "histogram": f["histogram"].tolist()})
+            time += f["delay_cs"]
+            tally += f["histogram"]
+    except GifError as e:
+        return whole | {"error": str(e)}
+    return whole | {
+        "payload_bytes": size, "payload_sha256": digest.hexdigest(), "tail_crc32": zlib.crc32(tail), "n_frames": len(shown), "duration_cs": time, "histogram": tally.tolist(), "frames": shown,
+    }
+
+
+def load(df: DataFrame, media: str, out: str = "loaded", max_pixels: int = MAX_PIXELS) -> DataFrame:
+    """df with the struct `out` (LOADED): what the stored GIF decodes to, as sums over the whole media value and as a list of its timed frames.
+
+    Digests and histograms leave the worker; the payload itself is the frames' `indices` in order.
     """
+    kind = T._parse_datatype_string(LOADED)
 
-    @F.pandas_udf("struct<" + ", ".join(x.replace(" ", ":", 1) for x in LOADED.split(", ")) + ">")
+    @F.pandas_udf(kind)
     def read(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for data in batch:
-                if data is None:
-                    rows.append((None,) * 8)
-                    continue
-                data = bytes(data)
-                digest, tail, size, shown, time, tally = hashlib.sha256(), b"", 0, 0, 0, np.zeros(LEVELS**3, np.int64)
-                for f in decode(data):
-                    body = f["indices"]
-                    digest.update(body)
-                    tail = (tail + body[-64:])[-64:]
-                    size += len(body)
-                    shown += 1
-                    time += f["delay_cs"]
-                    tally += f["histogram"]
-                rows.append((size, digest.hexdigest(), zlib.crc32(tail), len(data), hashlib.sha256(data).hexdigest(), shown, time, tally.tolist()))
-            yield pd.DataFrame(rows, columns=[x.split(" ")[0] for x in LOADED.split(", ")])
+            rows = [loaded(None if data is None else bytes(data), max_pixels) for data in batch]
+            columns = {f.name: pd.Series([r.get(f.name) for r in rows], dtype="Int64" if f.dataType in (T.LongType(), T.IntegerType()) else object) for f in kind.fields}
+            yield pd.DataFrame(columns)
 
     return df.withColumn(out, read(F.col(media)))

@@ -51,7 +51,7 @@ def op10_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = F.col("loaded")
     feature = F.concat_ws("|", x["n_frames"], x["duration_cs"], F.array_join(F.transform(x["histogram"], lambda v: v.cast("string")), ","))
     digests = [x[c].alias(c) for c in ("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256")]
-    return media.select("doc_id", "n_bytes", *digests, feature.alias("feature"))
+    return media.select("doc_id", "n_bytes", *digests, feature.alias("feature"), x["frames"].alias("frames"))
 
 
 #: Grades of the ratings: 0 junk, 1 fit to read but toxic, 2 good.
