@@ -8,8 +8,8 @@ Features are present or absent: words, beginnings of longer words, runs of symbo
 (capitals, symbols, repeated words and lines, length). They are hashed into `buckets` weights.
 
 The fit takes at most `max_labelled` labelled rows (those with the least hash of their id; a documented
-bound). Scoring covers every row and whole texts. Null texts count as empty; null ids are scored too;
-repeated rows score alike. Labels with a null id or grade are ignored, an id rated more than once counts
+bound). Scoring covers every row and whole texts, of any length. Null texts count as empty; null ids are
+scored too; repeated rows score alike; an empty table stays empty; `scored` keeps every column of docs. Labels with a null id or grade are ignored, an id rated more than once counts
 with its least grade. Without any label the scores are null and everything is kept.
 """
 
@@ -132,17 +132,15 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, grade: str, n
     return model
 
 
-def score(docs: DataFrame, text: str, model: Model | None, n_grades: int, min_grade: int, min_tail: float) -> DataFrame:
-    """docs with score, expected_grade, tail (P(grade >= k) for k from 1) and kept (P(grade >= min_grade) >= min_tail)."""
-    names = ("score", "expected_grade", "tail", "kept")
-    base = docs.select(*[c for c in docs.columns if c not in names])
+def scored(docs: DataFrame, text: str, model: Model | None, n_grades: int, min_grade: int, min_tail: float, out: str) -> DataFrame:
+    """docs with the struct `out`: score, expected_grade, tail (P(grade >= k) for k from 1) and kept (P(grade >= min_grade) >= min_tail)."""
+    kind = "struct<score:double,expected_grade:double,tail:array<double>>"
     if model is None:
-        none = F.lit(None)
-        return base.withColumns({"score": none.cast("double"), "expected_grade": none.cast("double"), "tail": none.cast("array<double>"), "kept": F.lit(True)})
+        return docs.withColumn(out, F.lit(None).cast(kind)).withColumn(out, F.struct(f"{out}.*", F.lit(True).alias("kept")))
     sent = docs.sparkSession.sparkContext.broadcast((model.weights, model.thresholds))
 
-    @F.pandas_udf("struct<score:double,expected_grade:double,tail:array<double>>")
-    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(kind)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = Model(*sent.value)
         buckets, known = len(own.weights), {}
 
@@ -163,7 +161,13 @@ def score(docs: DataFrame, text: str, model: Model | None, n_grades: int, min_gr
         known.clear()
         trim()
 
-    (all_,) = fresh(base, "_scored")
-    out = base.withColumn(all_, scored(F.coalesce(F.col(text), F.lit(""))))
-    part = {n: F.col(all_)[n] for n in names[:3]}
-    return out.withColumns(part | {"kept": F.col(all_)["tail"][min_grade - 1] >= min_tail}).drop(all_)
+    found = docs.withColumn(out, run(F.coalesce(F.col(text), F.lit(""))))
+    return found.withColumn(out, F.struct(f"{out}.*", (F.col(out)["tail"][min_grade - 1] >= min_tail).alias("kept")))
+
+
+def score(docs: DataFrame, text: str, model: Model | None, n_grades: int, min_grade: int, min_tail: float) -> DataFrame:
+    """docs with the columns of `scored`; those that docs has under these names are replaced."""
+    names = ("score", "expected_grade", "tail", "kept")
+    (all_,) = fresh(docs, "_scored")
+    found = scored(docs, text, model, n_grades, min_grade, min_tail, all_)
+    return found.select(*[c for c in docs.columns if c not in names], *[F.col(all_)[n].alias(n) for n in names])

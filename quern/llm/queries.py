@@ -58,14 +58,14 @@ def op10_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 GRADES, MIN_GRADE, MIN_TAIL = 3, 2, 0.3
 
 
-def quality_scores(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.Model | None:
     labels = _table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") * (2 - F.coalesce("toxic", F.lit(0)))).alias("grade"))
-    model = quality.train(docs, labels, "doc_id", "text", "grade", GRADES)
-    return quality.score(docs, "text", model, GRADES, MIN_GRADE, MIN_TAIL)
+    return quality.train(docs, labels, "doc_id", "text", "grade", GRADES)
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = quality_scores(spark, _table(spark, sf_dir, "documents"), sf_dir)
+    docs = _table(spark, sf_dir, "documents")
+    scored = quality.score(docs, "text", quality_model(spark, docs, sf_dir), GRADES, MIN_GRADE, MIN_TAIL)
     return scored.select("doc_id", "score", "expected_grade", F.col("tail")[0].alias("p_at_least_1"), F.col("tail")[1].alias("p_at_least_2"), "kept")
 
 

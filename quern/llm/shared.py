@@ -2,52 +2,29 @@
 
 from __future__ import annotations
 
-import atexit
 import shutil
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
+from collections import OrderedDict
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.shared import shared_root
-
-_shipped: set[str] = set()
+from ..sources import shared
+from ..sources.shared import delete, scratch, written
 
+__all__ = ["delete", "fresh", "map_array", "put_array", "scratch", "ship", "trim", "written"]
 
 #: Rows of an Arrow batch: texts are long, and a worker holds a whole batch.
 BATCH_ROWS = 512
+#: Files that a worker keeps mapped.
+MAPPED_FILES = 512
 
 
 def ship(spark: SparkSession) -> None:
-    """Give executors this package, once per application (they need not have it installed), and keep Arrow batches small."""
+    """Give executors this package, and keep Arrow batches small: the session's maxRecordsPerBatch is lowered to BATCH_ROWS."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    app = spark.sparkContext.applicationId
-    if app in _shipped:
-        return
-    root = Path(__file__).resolve().parents[1]
-    folder = Path(tempfile.mkdtemp())
-    archive = folder / f"{root.name}_package.zip"
-    with zipfile.ZipFile(archive, "w") as out:
-        for path in sorted(root.rglob("*.py")):
-            out.write(path, path.relative_to(root.parent))
-    spark.sparkContext.addPyFile(str(archive))
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    _shipped.add(app)
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_root(spark)}/quern/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
-    """Write df as Parquet to the shared folder and read it again: lineage ends there."""
-    spark, path = df.sparkSession, scratch(df.sparkSession, name)
-    df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    shared.ship(spark)
 
 
 def trim() -> None:
@@ -62,13 +39,6 @@ def trim() -> None:
         pass  # another C library
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    """Remove a path below the shared folder, through Spark's file system API."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names like the given ones that do not clash with those of df."""
     taken = {c.lower() for c in df.columns}
@@ -93,25 +63,31 @@ def put_array(root: str, name: str, values) -> None:
     fs.move(draft, f"{path}/{name}")
 
 
-_mapped: dict[tuple[str, str], object] = {}
+_mapped: OrderedDict[tuple[str, str], tuple] = OrderedDict()
 
 
 def map_array(root: str, name: str, dtype: str):
-    """The array of a file below root, memory-mapped; from a store without local paths a copy is mapped."""
+    """The array of a file below root, memory-mapped; from a store without local paths a copy is mapped.
+
+    A worker keeps the MAPPED_FILES last used; older mappings (and copies) go.
+    """
     import numpy as np
     from pyarrow import fs as arrow_fs
 
     if (root, name) in _mapped:
-        return _mapped[root, name]
+        _mapped.move_to_end((root, name))
+        return _mapped[root, name][0]
     fs, path = arrow_fs.FileSystem.from_uri(root)
-    path = f"{path}/{name}"
+    path, copy = f"{path}/{name}", None
     if not fs.get_file_info(path).size:
         return np.empty(0, dtype)
     if not isinstance(fs, arrow_fs.LocalFileSystem):
-        copy = tempfile.NamedTemporaryFile(prefix="quern-")  # goes with the process
+        copy = tempfile.NamedTemporaryFile(prefix="quern-")  # goes with its mapping
         with fs.open_input_stream(path) as source:
             shutil.copyfileobj(source, copy)
         copy.flush()
-        path, _mapped[root, f"{name} file"] = copy.name, copy
-    _mapped[root, name] = np.memmap(path, dtype, "r")
-    return _mapped[root, name]
+        path = copy.name
+    while len(_mapped) >= MAPPED_FILES:
+        _mapped.popitem(last=False)
+    _mapped[root, name] = np.memmap(path, dtype, "r"), copy
+    return _mapped[root, name][0]

@@ -10,12 +10,17 @@ with its own list of partial scores per query, and a score is the sum of `parts`
    in some part (the uniform threshold); tasks collect the entries that do.
 3. Only those entries' scores are resolved, exactly, in whole numbers.
 
-Queries go in blocks of `block` (what is broadcast is bounded by that); rows are never shuffled, and a
-task passes on k entries per query at most, ties included, so copies of one vector cannot pile up.
+The whole numbers are written once, in order of the vectors' norms. No score exceeds the product of two
+norms, so rows whose norm is too small for every cutoff are left out of the second pass, whole row groups of
+the file by their statistics. Queries go in blocks of as many as `block_bytes` hold (what is broadcast is
+bounded by that, whatever the dimension), so the scans do not grow with the queries up to memory. A task
+works in slices of SLICE queries and as many rows as keep its products within `block_bytes`, rows are never
+shuffled, and it passes on k entries per query at most, ties included, so copies of one vector cannot pile up.
 
 Vectors that are null or hold null or non-finite components, and rows with a null id, take no part.
 Shorter vectors are filled up with zeros. Rows that repeat an id are candidates of their own, but none
-of a query's own id counts for it. Scores beyond 64 bits are held at its limits.
+of a query's own id counts for it. Scores beyond 64 bits are held at its limits. Other columns are not
+read; a table without rows or without queries gives none.
 """
 
 from __future__ import annotations
@@ -28,10 +33,12 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import scratch
+from .shared import scratch, written
 
-#: Rows scored at once in a task.
-CHUNK = 2048
+#: Rows and queries whose products are made at once in a task.
+CHUNK, SLICE = 2048, 2048
+#: Bytes of the queries of a block, of the products of a slice, and of the pairs scored at once.
+BLOCK_BYTES = 1 << 25
 _LIMIT = 1 << 63
 
 
@@ -65,38 +72,53 @@ def _best(q: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndar
     return order[np.arange(len(order)) - first < k]
 
 
-def _task(batches: Iterator[pd.DataFrame], block: Broadcast, cutoff: Broadcast | None, k: int, dims: int, parts: int, scale: float) -> Iterator[pd.DataFrame]:
+def _task(batches: Iterator[pd.DataFrame], block: Broadcast, cutoff: Broadcast | None, k: int, parts: int) -> Iterator[pd.DataFrame]:
     """A task's k best entries per query; without a cutoff of the first phase, with one of the second and third."""
     query_ids, queries = block.value
-    n, bounds = len(query_ids), np.linspace(0, dims, parts + 1).astype(int)
-    floor_ = None if cutoff is None else cutoff.value
-    held = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64))
+    dims = queries.shape[1]
+    bounds, floor_ = np.linspace(0, dims, parts + 1).astype(int), None if cutoff is None else cutoff.value
+    pairs = max(1, BLOCK_BYTES // (16 * dims))
+    slices = [slice(i, i + SLICE) for i in range(0, len(query_ids), SLICE)]
+    held = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)) for _ in slices]
+    step = max(1, min(CHUNK, BLOCK_BYTES // (8 * max(dims, min(SLICE, len(query_ids))))))
+    for batch in batches:
+        for at in range(0, len(batch), step):
+            ids = batch["id"].to_numpy()[at : at + step].astype(np.int64)
+            rows = np.vstack(batch["whole"].iloc[at : at + step].to_numpy())
+            for n, own in enumerate(slices):
+                asked, sure = queries[own], _exact(rows, queries[own])
+                chosen = np.zeros((len(asked), len(ids)), bool)
+                for a, b in zip(bounds, bounds[1:]):
+                    partial = asked[:, a:b] @ rows[:, a:b].T
+                    if floor_ is None:
+                        # one more, as a query's own row may be among them
+                        top = np.argpartition(-partial, min(k, len(ids) - 1), axis=1)[:, : k + 1]
+                        np.put_along_axis(chosen, top, True, axis=1)
+                    elif sure:
+                        chosen |= partial * parts >= floor_[own, None]
+                    else:
+                        chosen[:] = True
+                chosen &= query_ids[own, None] != ids[None, :]
+                q, r = np.nonzero(chosen)
+                score = np.concatenate([_scores(rows[r[i : i + pairs]], asked[q[i : i + pairs]]) for i in range(0, len(q), pairs)] or [np.empty(0, np.int64)])
+                if floor_ is not None:
+                    keep = score >= floor_[own][q]
+                    q, r, score = q[keep], r[keep], score[keep]
+                joined = tuple(np.concatenate(x) for x in zip(held[n], (q, ids[r], score)))
+                best = _best(*joined, k)
+                held[n] = tuple(x[best] for x in joined)
+    for own, (q, vec, score) in zip(slices, held):
+        yield pd.DataFrame({"q": (q + own.start).astype(np.int32), "vec": vec, "score": score})
+
+
+def _whole_vectors(batches: Iterator[pd.DataFrame], dims: int, scale: float) -> Iterator[pd.DataFrame]:
+    """id, asks, whole numbers and an upper bound of the norm of each vector."""
     for batch in batches:
         for at in range(0, len(batch), CHUNK):
-            ids = batch["id"].to_numpy()[at : at + CHUNK].astype(np.int64)
-            rows = whole(batch["vector"].iloc[at : at + CHUNK].tolist(), dims, scale)
-            sure = _exact(rows, queries)
-            chosen = np.zeros((n, len(ids)), bool)
-            for a, b in zip(bounds, bounds[1:]):
-                partial = queries[:, a:b] @ rows[:, a:b].T
-                if floor_ is None:
-                    # one more, as a query's own row may be among them
-                    top = np.argpartition(-partial, min(k, len(ids) - 1), axis=1)[:, : k + 1]
-                    np.put_along_axis(chosen, top, True, axis=1)
-                elif sure:
-                    chosen |= partial * parts >= floor_[:, None]
-                else:
-                    chosen[:] = True
-            chosen &= query_ids[:, None] != ids[None, :]
-            q, r = np.nonzero(chosen)
-            score = np.concatenate([_scores(rows[r[i : i + 65536]], queries[q[i : i + 65536]]) for i in range(0, len(q), 65536)] or [np.empty(0, np.int64)])
-            if floor_ is not None:
-                keep = score >= floor_[q]
-                q, r, score = q[keep], r[keep], score[keep]
-            held = tuple(np.concatenate(x) for x in zip(held, (q, ids[r], score)))
-            best = _best(*held, k)
-            held = tuple(x[best] for x in held)
-    yield pd.DataFrame({"q": held[0].astype(np.int32), "vec": held[1], "score": held[2]})
+            part = batch.iloc[at : at + CHUNK]
+            rows = whole(part["vector"].tolist(), dims, scale)
+            norm = np.sqrt((rows * rows).sum(axis=1)) * (1 + 1e-12) + 1e-9
+            yield pd.DataFrame({"id": part["id"], "asks": part["asks"], "norm": norm, "whole": list(rows)})
 
 
 def valid(vector: Column) -> Column:
@@ -105,7 +127,7 @@ def valid(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & F.forall(vector.cast("array<double>"), finite), F.lit(False))
 
 
-def top_k(df: DataFrame, key: str, vector: str, is_query: Column, k: int, scale: float = 256.0, parts: int = 4, block: int = 4096) -> DataFrame:
+def top_k(df: DataFrame, key: str, vector: str, is_query: Column, k: int, scale: float = 256.0, parts: int = 4, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """query, rank (from 1), key and score of the k best rows of df for each of its rows where is_query holds.
 
     Ties go to the smaller id. `key` must be a whole number. Results of a block of queries are written
@@ -115,32 +137,37 @@ def top_k(df: DataFrame, key: str, vector: str, is_query: Column, k: int, scale:
     flag = F.coalesce(is_query, F.lit(False)).alias("asks")
     rows = df.where(F.col(key).isNotNull() & valid(F.col(vector))).select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector"), flag)
     seen = rows.agg(F.max(F.size("vector")).alias("dims"), F.count_if("asks").alias("asking")).first()
-    dims, blocks = max(1, seen["dims"] or 0), -(-(seen["asking"] or 0) // block)
+    dims = max(1, seen["dims"] or 0)
+    blocks = -(-(seen["asking"] or 0) // max(1, block_bytes // (8 * dims)))
     parts = min(parts, dims)
     path, result = scratch(spark, "top_k"), "query long, rank int, vec long, score long"
     spark.createDataFrame([], result).write.parquet(path)
-    asking = rows.where("asks").select("id", "vector")
-    # blocks of even size by hash; a block's queries are collected, which `block` bounds up to chance
+    made = rows.mapInPandas(lambda x: _whole_vectors(x, dims, scale), "id long, asks boolean, norm double, whole array<double>")
+    # files hold ranges of norms, so that the second pass skips those below every cutoff
+    vectors = written(made.repartitionByRange("norm").sortWithinPartitions("norm"), "vectors")
+    asking = vectors.where("asks").select("id", "whole", "norm")
+    # blocks of even size by hash; a block's queries are collected, which block_bytes bounds up to chance
     numbered = asking.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(max(1, blocks))))
+    nth = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("score"), "vec"))
+    # two steps, so that no query's lists of all tasks meet in one place unreduced
+    reduced = lambda lists: lists.withColumn("salt", F.spark_partition_id() % 64).withColumn("rank", nth("q", "salt")).where(F.col("rank") <= k).withColumn("rank", nth("q")).where(F.col("rank") <= k)
     for b in range(blocks):
-        own = sorted(((r["id"], r["vector"]) for r in numbered.where(F.col("block") == b).collect()), key=lambda x: x[0])
+        own = sorted(((r["id"], r["norm"], r["whole"]) for r in numbered.where(F.col("block") == b).collect()), key=lambda x: x[0])
         if not own:
             continue
-        query_ids, queries = np.array([i for i, _ in own], np.int64), whole([np.array(v) for _, v in own], dims, scale)
-        sent = spark.sparkContext.broadcast((query_ids, queries))
-        schema, vectors = "q int, vec long, score long", rows.select("id", "vector")
-        lists = vectors.mapInPandas(lambda x: _task(x, sent, None, k, dims, parts, scale), schema)
-        # two steps, so that no query's lists of all tasks meet in one place unreduced
-        nth = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("score"), "vec"))
-        merged = lists.withColumn("salt", F.spark_partition_id() % 64).withColumn("nth", nth("q", "salt")).where(F.col("nth") <= k).withColumn("nth", nth("q")).where(F.col("nth") <= k)
+        query_ids, norms = np.array([x[0] for x in own], np.int64), np.array([x[1] for x in own])
+        sent = spark.sparkContext.broadcast((query_ids, np.array([x[2] for x in own], np.float64)))
+        schema = "q int, vec long, score long"
+        lists = vectors.select("id", "whole").mapInPandas(lambda x: _task(x, sent, None, k, parts), schema)
         least = np.full(len(own), -_LIMIT, np.int64)
-        for r in merged.groupBy("q").agg(F.count("*").alias("n"), F.min("score").alias("least")).where(F.col("n") == k).collect():
+        for r in reduced(lists).groupBy("q").agg(F.count("*").alias("n"), F.min("score").alias("least")).where(F.col("n") == k).collect():
             least[r["q"]] = r["least"]
         cut = spark.sparkContext.broadcast(least)
-        found = vectors.mapInPandas(lambda x: _task(x, sent, cut, k, dims, parts, scale), schema)
-        ranked = found.withColumn("salt", F.spark_partition_id() % 64).withColumn("nth", nth("q", "salt")).where(F.col("nth") <= k).withColumn("rank", nth("q")).where(F.col("rank") <= k)
+        # a row can reach a cutoff only if its norm does with the query's
+        needed = float((least / norms).min()) * (1 - 1e-12)
+        found = vectors.where(F.col("norm") >= needed).select("id", "whole").mapInPandas(lambda x: _task(x, sent, cut, k, parts), schema)
         names = spark.createDataFrame([(i, int(x)) for i, x in enumerate(query_ids)], "q int, query long")
-        ranked.join(F.broadcast(names), "q").select("query", F.col("rank").cast("int").alias("rank"), "vec", "score").write.mode("append").parquet(path)
+        reduced(found).join(F.broadcast(names), "q").select("query", F.col("rank").cast("int").alias("rank"), "vec", "score").write.mode("append").parquet(path)
         sent.unpersist()
         cut.unpersist()
     out = spark.read.schema(result).parquet(path)

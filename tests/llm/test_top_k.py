@@ -23,7 +23,7 @@ def run(spark, rows, k=5, **more):
     return sorted(tuple(r) for r in out.select("query", "rank", "vec_id", "score").collect())
 
 
-@pytest.mark.parametrize("more", [{}, {"parts": 1}, {"block": 2}])
+@pytest.mark.parametrize("more", [{}, {"parts": 1}, {"block_bytes": 150}])
 def test_against_brute_force(spark, more):
     r = random.Random(4)
     rows = [(i, [r.gauss(0, 1) for _ in range(9)]) for i in range(260)]
