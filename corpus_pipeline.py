@@ -3,6 +3,9 @@
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; all but the last
 return the columns of documents. `run` writes each stage as Parquet below the shared folder and rereads it.
 
+Null and empty texts, null and repeated ids, repeated rows, texts of any length and empty tables pass through
+every stage; columns of documents with any other names are kept as they are, whatever the operators call theirs.
+
 SQL can express neither the fitted classifier nor the tokens, so there is no SQL for the whole
 (tests compare the stages with brute-force versions).
 """
@@ -15,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm import near_duplicates, packing, pii, queries
+from quern.llm import quality as quality_op
 from quern.llm.shared import fresh, ship, written
 
 #: Keys of removed rows that may be broadcast (25 bytes each); beyond that the join is shuffled.
@@ -24,8 +28,9 @@ BROADCAST_IDS = 1_000_000
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rates as probably good; junk and toxic ones go."""
     ship(spark)
-    scored = queries.quality_scores(spark, docs, sf_dir)
-    return scored.where("kept").select(*docs.columns)
+    model = queries.quality_model(spark, docs, sf_dir)
+    (rated,) = fresh(docs, "rated")
+    return quality_op.scored(docs, "text", model, queries.GRADES, queries.MIN_GRADE, queries.MIN_TAIL, rated).where(F.col(rated)["kept"]).select(*docs.columns)
 
 
 def _row_key() -> Column:
@@ -58,7 +63,8 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with pseudonyms for private values; n_chars follows the text."""
-    mapped = pii.pseudonymise(docs, "text", pii.session_key(spark))
+    (kinds,) = fresh(docs, "kinds")
+    mapped = pii.pseudonymise(docs, "text", pii.session_key(spark), kinds)
     return mapped.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
