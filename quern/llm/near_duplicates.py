@@ -17,9 +17,12 @@ what links connect. Steps:
    Members of a bucket's largest component are compared with the others only.
 6. Components again, then the least id of each.
 
-No step collects links, and no step emits the pairs of a bucket whose members are already connected.
+No step collects links, and no step emits the pairs of a bucket whose members are already connected. A bucket
+of more than BLOCK members is cut into parts by the members' digests: what is known of the bucket is dealt to
+all parts, and members of two parts meet in a task of their own, so that no bucket lands in one task.
 
-Nulls and empty texts have no shingles: they are linked with nothing. A row with a null id is linked
+Texts of any length are taken whole; repeated rows are documents of one class; an empty table gives no rows;
+columns of df other than key and text are not read. Nulls and empty texts have no shingles: they are linked with nothing. A row with a null id is linked
 with nothing and has a null component. Rows that repeat an id are documents of their own.
 """
 
@@ -42,6 +45,8 @@ CACHE_WORDS = 100_000
 ODD_BITS = 2048
 #: Documents sketched at once.
 CHUNK = 1024
+#: Members of a bucket that one task takes.
+BLOCK = 512
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = 0x9E3779B97F4A7C15
@@ -207,6 +212,20 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return written(out, "components")
 
 
+def _parts(size: Column) -> Column:
+    return F.ceil(size / BLOCK).cast("int")
+
+
+def _dealt(members: DataFrame, name: str = "salt") -> DataFrame:
+    """Members (bucket, digest, size) with the part of their bucket that they are in."""
+    return members.withColumn(name, F.pmod(F.xxhash64("digest"), _parts(F.col("size"))).cast("int"))
+
+
+def _to_all(buckets: DataFrame, name: str = "salt") -> DataFrame:
+    """Rows (bucket, size) once for each part of their bucket."""
+    return buckets.withColumn(name, F.explode(F.sequence(F.lit(0), _parts(F.col("size")) - 1)))
+
+
 def _linked(overlap: Column, na: Column, nb: Column, threshold: tuple[int, int]) -> Column:
     part, whole = threshold
     return overlap * whole >= (na + nb - overlap) * part
@@ -227,8 +246,14 @@ def near_duplicates(df: DataFrame, key: str, text: str, threshold: tuple[int, in
     feat = written(features(df, key, text, words, bands, rows), "features")
     real = feat.where(F.col("digest").isNotNull() & F.col("id").isNotNull())
     members = real.select("digest", F.col("n_shingles").alias("n"), "keys").dropDuplicates(["digest"]).select("digest", "n", F.explode("keys").alias("bucket"))
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    cand = written(members.join(sizes, "bucket").select("bucket", "digest", "n", "size"), "candidates")
+    sizes = written(members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
+    large = sizes.where(F.col("size") > BLOCK)
+    # sizes of large buckets go to all tasks where their number is bounded; beyond that, members of a bucket stay together here
+    split = large.count() <= BROADCAST_IDS
+    known = members.join(F.broadcast(large), "bucket", "left") if split else members.withColumn("size", F.lit(None).cast("long"))
+    known = _dealt(known.withColumn("size", F.coalesce("size", F.lit(1)))).drop("size")
+    whole_sizes = _to_all(sizes) if split else sizes.withColumn("salt", F.lit(0))
+    cand = written(known.join(whole_sizes, ["bucket", "salt"]).select("bucket", "digest", "n", "size"), "candidates")
     heads = real.groupBy("digest").agg(F.min("id").alias("head"))
     classes = written(cand.groupBy("digest").agg(F.sum("size").alias("weight"), F.first("n").alias("n")).join(heads, "digest"), "classes")
     n_classes = classes.count()
@@ -237,8 +262,8 @@ def near_duplicates(df: DataFrame, key: str, text: str, threshold: tuple[int, in
     # the most connected member of each bucket against all others of the bucket
     close = lambda x, y: (F.least(x, y) * whole >= F.greatest(x, y) * part)
     ranked = cand.join(classes.select("digest", "weight"), "digest")
-    hubs = ranked.groupBy("bucket").agg(F.max(F.struct("weight", "digest", "n")).alias("hub"))
-    stars = cand.join(hubs, "bucket").where((F.col("digest") != F.col("hub.digest")) & close(F.col("n"), F.col("hub.n")))
+    hubs = ranked.groupBy("bucket").agg(F.max(F.struct("weight", "digest", "n")).alias("hub"), F.max("size").alias("size"))
+    stars = _dealt(cand).drop("size").join(_to_all(hubs), ["bucket", "salt"]).where((F.col("digest") != F.col("hub.digest")) & close(F.col("n"), F.col("hub.n")))
     star_pairs = written(stars.select(F.least("digest", "hub.digest").alias("a"), F.greatest("digest", "hub.digest").alias("b")).distinct(), "stars")
     links = written(verified(star_pairs, sets, threshold), "links")
     nodes = classes.select(F.col("digest").alias("node"))
@@ -246,19 +271,22 @@ def near_duplicates(df: DataFrame, key: str, text: str, threshold: tuple[int, in
 
     # what remains in different components of a bucket
     label = first.select(F.col("node").alias("digest"), "comp")
-    labelled = written(cand.select("bucket", "digest", "n").join(label, "digest"), "labelled")
-    mixed = labelled.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("bucket")
-    open_ = written(labelled.join(mixed, "bucket"), "open")
+    labelled = written(_dealt(cand).join(label, "digest"), "labelled")
+    mixed = labelled.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.max("size").alias("size")).where("x <> y").select("bucket", "size")
+    open_ = written(labelled.join(_to_all(mixed).drop("size"), ["bucket", "salt"]), "open")
     if not open_.isEmpty():
         odd = [f"o{i}" for i in range(ODD_BITS // 64)]
         marked = sets.select("digest", *[F.col("odd")[i].alias(c) for i, c in enumerate(odd)])
         # a bucket's largest component (copies of one text, as a rule) meets the others only, not itself
-        main = open_.groupBy("bucket", "comp").count().groupBy("bucket").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"))
-        full = open_.join(marked, "digest").join(main, "bucket").withColumn("main", F.col("comp") == F.col("main"))
-        x, y = full.where(~F.col("main")).alias("x"), full.alias("y")
+        counted = open_.groupBy("bucket", "comp").agg(F.count("*").alias("count"), F.max("size").alias("size"))
+        main = counted.groupBy("bucket").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"), F.max("size").alias("size"))
+        full = open_.join(marked, "digest").join(_to_all(main).drop("size"), ["bucket", "salt"]).withColumn("main", F.col("comp") == F.col("main"))
+        # every part of a bucket meets every part
+        x = _to_all(full.where(~F.col("main")), "other").alias("x")
+        y = _to_all(full.withColumnRenamed("salt", "other")).alias("y")
         differ = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in odd), F.lit(0))
         total = F.col("x.n") + F.col("y.n")
-        rest = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.comp") != F.col("y.comp")) & (F.col("y.main") | (F.col("x.comp") < F.col("y.comp"))) & (differ * (whole + part) <= total * (whole - part)))
+        rest = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.salt") == F.col("y.salt")) & (F.col("x.other") == F.col("y.other")) & (F.col("x.comp") != F.col("y.comp")) & (F.col("y.main") | (F.col("x.comp") < F.col("y.comp"))) & (differ * (whole + part) <= total * (whole - part)))
         rest = rest.select(F.least("x.digest", "y.digest").alias("a"), F.greatest("x.digest", "y.digest").alias("b")).distinct()
         more = verified(rest.join(star_pairs, ["a", "b"], "left_anti"), sets, threshold)
         links = written(links.union(more), "links")

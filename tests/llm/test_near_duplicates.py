@@ -111,3 +111,20 @@ def test_components(spark, edges):
     for a, b in edges:
         parent[find(a)] = find(b)
     assert len(comp) == 70 and all((comp[name(a)] == comp[name(b)]) == (find(a) == find(b)) for a, b in combinations(range(70), 2))
+
+
+def test_large_buckets(spark, monkeypatch):
+    """Buckets of more members than a part holds: near copies in one class of buckets, and texts that share most words but no link."""
+    monkeypatch.setattr(nd, "BLOCK", 4)
+    r = random.Random(8)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(60):
+        t = base.copy()
+        t[r.randrange(len(t))] = f"x{i}"
+        rows.append((i, " ".join(t)))
+    for i in range(60, 110):
+        t = base[:95] + [f"y{i}_{j}" for j in range(r.choice([3, 12, 20, 25]))]
+        rows.append((i, " ".join(t)))
+    got = nd.near_duplicates(spark.createDataFrame(rows, "k long, t string"), "k", "t").collect()
+    assert sorted((x["k"], x["n_shingles"], x["component_id"]) for x in got) == sorted(brute(rows))
