@@ -86,7 +86,8 @@ def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = lambda: F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10 == 0
     model = ngram_lm.train(docs.where(~held_out()), "text")
     scored = ngram_lm.score(docs, "doc_id", "text", model)
-    return scored.select("doc_id", held_out().alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score", "perplexity")
+    places = lambda c: F.round(c, 6).alias(c)  # noqa: E731 - sums of logarithms in another order differ beyond
+    return scored.select("doc_id", held_out().alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), places("base_score"), places("score"), places("perplexity"))
 
 
 def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,4 +160,38 @@ n AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) A
 SELECT query_id, rank::INT AS rank, vec_id, score FROM n WHERE rank <= 5
 """
 
-ORACLE_SQL: dict[str, str] = {"op7_top_k": TOP_K_SQL, "op6_near_duplicates": NEAR_SQL, "op9_rendezvous_shards": _shard_sql()}
+
+def _discounts_sql(name: str, counts: str, column: str) -> str:
+    """A table of the discounts d1 to d3 of a table's counts, and its sum and counts of counts."""
+    of = lambda i, x: f"CASE WHEN n1 = 0 OR n2 = 0 THEN 0.5 ELSE least(greatest({x}, 1e-3), {i}.0) END::DOUBLE AS d{i}"
+    y = "(n1 / (n1 + 2 * n2))"
+    sizes = ", ".join(f"count(*) FILTER (WHERE {column} = {k}) AS n{k}" for k in (1, 2, 3, 4))
+    return f"""{name}_n AS (SELECT sum({column})::DOUBLE AS total, count(*) AS n, {sizes} FROM {counts}),
+{name} AS (SELECT *, {of(1, f"1 - 2 * {y} * n2 / n1")}, {of(2, f"2 - 3 * {y} * n3 / n2")}, {of(3, f"CASE WHEN n3 > 0 THEN 3 - 4 * {y} * n4 / n3 ELSE 0.5 END")} FROM {name}_n)"""
+
+
+def _less(count: str, by: str) -> str:
+    return f"greatest({count} - CASE WHEN {count} = 0 THEN 0 WHEN {count} = 1 THEN {by}.d1 WHEN {count} = 2 THEN {by}.d2 ELSE {by}.d3 END, 0)"
+
+
+# The begin and the end of a text are tokens with a space, as no word has one.
+KNESER_NEY_SQL = rf"""
+WITH {CRC_SQL.replace("coalesce(text, '')", "coalesce(doc_id::VARCHAR, '')")},
+d AS (SELECT row_number() OVER () AS r, doc_id, crc.value % 10 = 0 AS held_out,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS ws FROM documents JOIN crc ON crc.body = coalesce(doc_id::VARCHAR, '')),
+u AS (SELECT r, held_out, unnest(list_concat([' begin'], ws)) AS v, unnest(list_concat(ws, [' end'])) AS w FROM d),
+c AS (SELECT w, count(*) AS c FROM u WHERE NOT held_out GROUP BY w), size AS (SELECT sum(c) AS n, count(*) AS v FROM c),
+pairs AS (SELECT v, w, count(*) AS c FROM u WHERE NOT held_out GROUP BY v, w), {_discounts_sql("two", "pairs", "c")},
+context AS (SELECT v, sum(c)::DOUBLE AS total, (min(two.d1) * count(*) FILTER (WHERE c = 1) + min(two.d2) * count(*) FILTER (WHERE c = 2) + min(two.d3) * count(*) FILTER (WHERE c > 2)) / sum(c) AS weight
+  FROM pairs, two GROUP BY v),
+follows AS (SELECT w, count(*) AS t FROM pairs GROUP BY w), {_discounts_sql("one", "follows", "t")},
+level AS (SELECT one.*, (d1 * n1 + d2 * n2 + d3 * (one.n - n1 - n2)) / total / (size.v + 1) AS least FROM one, size),
+scored AS (SELECT u.r, coalesce(c.c, 0) AS c, {_less("coalesce(follows.t, 0)", "level")} / level.total + level.least AS low, context.total, context.weight, {_less("coalesce(pairs.c, 0)", "two")} AS high
+  FROM u LEFT JOIN c ON c.w = u.w LEFT JOIN follows ON follows.w = u.w LEFT JOIN context ON context.v = u.v LEFT JOIN pairs ON pairs.v = u.v AND pairs.w = u.w, two, level),
+sums AS (SELECT r, count(*) AS n_tokens, count(*) FILTER (WHERE c > 0) AS n_known, sum(log10((c + 0.1) / (size.n + 0.1 * (size.v + 1)))) AS base_score,
+  sum(log10(CASE WHEN total IS NULL THEN low ELSE high / total + weight * low END)) AS score FROM scored, size GROUP BY r)
+SELECT doc_id, held_out, n_tokens, n_known, size.n::BIGINT AS train_tokens, round(base_score, 6) AS base_score, round(score, 6) AS score, round(pow(10, -score / n_tokens), 6) AS perplexity
+FROM d JOIN sums USING (r), size
+"""
+
+ORACLE_SQL: dict[str, str] = {"op7_top_k": TOP_K_SQL, "op6_near_duplicates": NEAR_SQL, "op9_rendezvous_shards": _shard_sql(), "op5_kneser_ney": KNESER_NEY_SQL}

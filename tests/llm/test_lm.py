@@ -53,11 +53,12 @@ def compare(rows, texts, model):
     for r, t in zip(rows, texts):
         want = model.score(t)
         assert (r["n_tokens"], r["n_known"]) == want[:2]
-        assert r["base_score"] == pytest.approx(want[2], rel=1e-9) and r["score"] == pytest.approx(want[3], rel=1e-9)
+        assert r["base_score"] == pytest.approx(want[2], rel=1e-9, abs=1e-6) and r["score"] == pytest.approx(want[3], rel=1e-9, abs=1e-6)
 
 
 def test_query_against_brute_force(spark, small, monkeypatch):
     monkeypatch.setattr(ngram_lm, "BUCKET_BYTES", 50_000)  # several buckets
+    monkeypatch.setattr(ngram_lm, "WORD_BUCKET_BYTES", 100_000)
     rows = {r["doc_id"]: r for r in queries.op5_kneser_ney(spark, DATA).collect()}
     out = [zlib.crc32(str(i).encode()) % 10 == 0 for i in small["doc_id"]]
     model = Brute([t for t, o in zip(small["text"], out) if not o])
@@ -81,6 +82,21 @@ def test_edges(spark, edge, empty):
     assert all(r["score"] == 0 and r["base_score"] == 0 and r["n_known"] == 0 for r in ngram_lm.score(edge, "doc_id", "text", none).collect())
 
 
+@pytest.mark.parametrize("buckets", [1, 2, 64, 1 << 20])
+def test_pairs_come_back(buckets):
+    """Numbers beyond 32 bits too, and a frequent context or word is spread."""
+    r = np.random.default_rng(3)
+    most = min(1 << 40, buckets << 24)
+    v, w = r.integers(0, 1 << 40, 5000), r.integers(0, most, 5000)
+    v[:1000], w[1000:2000] = 7, 5
+    bucket, keys = ngram_lm.pair_place(v, w, buckets)
+    for b, k, x, y in zip(bucket[::50], keys[::50], v[::50], w[::50]):
+        one, two = ngram_lm.pair_of(int(b), np.array([k]), buckets)
+        assert (one[0], two[0]) == (x, y)
+    if buckets == 64:
+        assert max(np.bincount(bucket[:1000], minlength=64).max(), np.bincount(bucket[1000:2000], minlength=64).max()) < 60
+
+
 def test_runs_round_trip():
     r = np.random.default_rng(1)
     for high in (5, 1 << 20, (1 << 64) - 1):
