@@ -23,21 +23,37 @@ def best_fit(sizes, limit):
     return n
 
 
-def test_plan_is_best_fit_decreasing():
+def planned(spark, sizes, limit):
+    """Sequences of the plan as lists of (offset, length), every piece checked to be placed once."""
+    counts = spark.createDataFrame(sorted(Counter(sizes).items()), "length long, n long")
+    seqs, seen = defaultdict(list), defaultdict(list)
+    for r in packing.plan(counts, limit).collect():
+        for k in range(r["lo"], r["hi"]):
+            seqs[r["first"] + (k - r["lo"]) // r["per"]].append((r["at"] + (k - r["lo"]) % r["per"] * r["length"], r["length"]))
+            seen[r["length"]].append(k)
+    assert {n: sorted(k) for n, k in seen.items()} == {n: list(range(k)) for n, k in Counter(sizes).items()}
+    for parts in seqs.values():
+        parts.sort()
+        assert [a for a, _ in parts] == [sum(n for _, n in parts[:i]) for i in range(len(parts))] and sum(n for _, n in parts) <= limit
+    return seqs
+
+
+def close(n, sizes, limit):
+    """Within one sequence and one per cent of best-fit decreasing."""
+    best = best_fit(sizes, limit)
+    return n <= best + max(1, best // 100)
+
+
+def test_plan(spark):
     r = random.Random(1)
-    for turn in range(200):
-        limit = r.choice([1, 5, 16, 64, 1024])
+    for turn in range(8):
+        limit = r.choice([16, 64, 1024])
         sizes = [r.randint(1, limit) for _ in range(r.randint(0, 300))] + [r.randint(1, max(1, limit // 7))] * (r.randint(0, 500) if turn % 3 == 0 else 0)
-        seqs, seen = defaultdict(list), Counter()
-        for length, lo, hi, first, at, per in packing.plan(Counter(sizes), limit):
-            for k in range(lo, hi):
-                seqs[first + (k - lo) // per].append((at + (k - lo) % per * length, length))
-                seen[length] += 1
-        assert seen == Counter(sizes)
-        for parts in seqs.values():
-            parts.sort()
-            assert [a for a, _ in parts] == [sum(n for _, n in parts[:i]) for i in range(len(parts))] and sum(n for _, n in parts) <= limit
-        assert len(seqs) == best_fit(sizes, limit) and sorted(seqs) == list(range(len(seqs)))
+        seqs = planned(spark, sizes, limit)
+        assert len(seqs) <= best_fit(sizes, limit) + max(2, len(seqs) // 25), (turn, limit)
+    assert planned(spark, [], 16) == {}
+    assert len(planned(spark, [1] * 100, 1)) == 100 and len(planned(spark, [5] * 1000, 1024)) == 5
+    assert len(planned(spark, [600] * 50 + [424] * 50, 1024)) == 50 and len(planned(spark, [1024] * 7 + [3], 1024)) == 8
 
 
 def test_cut():
@@ -74,7 +90,7 @@ def check(df, out):
             assert offset == at
             at += length
         assert at <= LIMIT
-    assert len(seqs) == best_fit([r["length"] for r in rows], LIMIT)
+    assert close(len(seqs), [r["length"] for r in rows], LIMIT)
 
 
 def test_documents(spark, small):
