@@ -43,7 +43,7 @@ from pyspark.sql import types as T
 from .shared import scratch, trim, written
 
 #: Pieces of a part of a length.
-PART_ROWS = 50_000
+PART_ROWS = 1_000
 #: Words kept in a worker, and the longest of them (characters).
 CACHE_ENTRIES, LONGEST_CACHED = 200_000, 64
 
