@@ -254,8 +254,8 @@ def near_duplicates(df: DataFrame, key: str, text: str, threshold: tuple[int, in
     known = _dealt(known.withColumn("size", F.coalesce("size", F.lit(1)))).drop("size")
     whole_sizes = _to_all(sizes) if split else sizes.withColumn("salt", F.lit(0))
     cand = written(known.join(whole_sizes, ["bucket", "salt"]).select("bucket", "digest", "n", "size"), "candidates")
-    heads = real.groupBy("digest").agg(F.min("id").alias("head"))
-    classes = written(cand.groupBy("digest").agg(F.sum("size").alias("weight"), F.first("n").alias("n")).join(heads, "digest"), "classes")
+    heads = written(real.groupBy("digest").agg(F.min("id").alias("head"), F.count("*").alias("size")), "heads")
+    classes = written(cand.groupBy("digest").agg(F.sum("size").alias("weight"), F.first("n").alias("n")).join(heads.select("digest", "head"), "digest"), "classes")
     n_classes = classes.count()
     sets = written(sets_of(df, key, text, classes.select(F.col("head").alias("id")).distinct(), n_classes, words).join(classes.select("digest"), "digest", "left_semi"), "sets")
 
@@ -295,7 +295,15 @@ def near_duplicates(df: DataFrame, key: str, text: str, threshold: tuple[int, in
     found = classes.select("digest", "head").join(first.select(F.col("node").alias("digest"), "comp"), "digest")
     least_id = found.groupBy("comp").agg(F.min("head").alias("component_id"))
     named = found.join(least_id, "comp").select("digest", "component_id")
-    final = heads.join(named, "digest", "left").select("digest", F.coalesce("component_id", "head").alias("component_id"))
-    out = feat.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.col("digest")).alias("digest")).join(final, "digest", "left")
+    final = heads.join(named, "digest", "left").select("digest", "size", F.coalesce("component_id", "head").alias("component_id"))
+    rows = feat.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.col("digest")).alias("digest"))
+    # sets of many rows are dealt to parts as buckets are, by the rows' ids
+    many = heads.where(F.col("size") > BLOCK).select("digest", "size")
+    if many.count() <= BROADCAST_IDS:
+        rows = rows.join(F.broadcast(many), "digest", "left").withColumn("salt", F.pmod(F.xxhash64("id"), _parts(F.coalesce("size", F.lit(1)))).cast("int")).drop("size")
+        final = _to_all(final)
+    else:
+        rows, final = rows.withColumn("salt", F.lit(0)), final.withColumn("salt", F.lit(0))
+    out = rows.join(final.drop("size"), ["digest", "salt"], "left")
     component = F.coalesce("component_id", "id")
     return out.select(F.col("id").alias(key), "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
