@@ -7,12 +7,15 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _shipped: set[str] = set()
+_made: list[list[str]] = []  # paths by open `tidied` block
 
 
 def ship(spark: SparkSession | None = None) -> None:
@@ -48,7 +51,23 @@ def shared_root(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
-    return f"{shared_root(spark)}/quern/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/quern/{name}-{uuid.uuid4().hex}"
+    for paths in _made[-1:]:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def tidied(spark: SparkSession) -> Iterator[None]:
+    """Remove what the block makes by `scratch`: for blocks that write their result elsewhere before they end."""
+    paths: list[str] = []
+    _made.append(paths)
+    try:
+        yield
+    finally:
+        _made.pop()
+        for path in paths:
+            delete(spark, path)
 
 
 def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import chars
 from quern.operators import quality, split
-from quern.sources import packaging, records, sinks
+from quern.sources import packaging, records, shared, sinks
 from quern.streaming import ingest
 
 
@@ -226,3 +226,17 @@ def test_streams(spark, tmp_path):
     events = ingest.arriving(spark, str(tmp_path / "ev"), "ts timestamp, k string, v double", "parquet")
     ingest.drain(ingest.event_windows(events, "ts", "k", "v"), str(tmp_path / "w"), str(tmp_path / "wk"))
     assert {(str(r["window_start"])[11:13], r["events"]) for r in spark.read.parquet(str(tmp_path / "w")).collect()} >= {("00", 2), ("01", 1)}
+
+
+def test_tidied(spark):
+    outer = shared.scratch(spark, "outer")
+    with pytest.raises(ZeroDivisionError), shared.tidied(spark):
+        inner = shared.scratch(spark, "inner")
+        spark.range(3).write.parquet(inner)
+        with shared.tidied(spark):
+            innermost = shared.scratch(spark, "innermost")
+            spark.range(3).write.parquet(innermost)
+        assert shared.exists(spark, inner) and not shared.exists(spark, innermost)
+        spark.range(3).write.parquet(outer)
+        raise ZeroDivisionError
+    assert shared.exists(spark, outer) and not shared.exists(spark, inner)
