@@ -10,9 +10,9 @@ from collections import OrderedDict
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources import shared
-from ..sources.shared import delete, scratch, written
+from ..sources.shared import delete, scratch, tidied, written
 
-__all__ = ["delete", "fresh", "map_array", "put_array", "scratch", "ship", "trim", "written"]
+__all__ = ["delete", "fresh", "map_array", "put_array", "scratch", "ship", "tidied", "trim", "written"]
 
 #: Rows of an Arrow batch: texts are long, and a worker holds a whole batch.
 BATCH_ROWS = 512
