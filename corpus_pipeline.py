@@ -1,7 +1,7 @@
 """From raw documents to packed training sequences: quality, near-duplicates, private values, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; all but the last
-return the columns of documents. `run` writes each stage as Parquet below the shared folder and rereads it.
+return the columns of documents. `run` writes each stage as Parquet below the shared folder and rereads it; only the last output stays there.
 
 Null and empty texts, null and repeated ids, repeated rows, texts of any length and empty tables pass through
 every stage; columns of documents with any other names are kept as they are, whatever the operators call theirs.
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from quern.llm import near_duplicates, packing, pii, queries
 from quern.llm import quality as quality_op
-from quern.llm.shared import fresh, ship, written
+from quern.llm.shared import delete, fresh, scratch, ship, tidied, written
 
 #: Keys of removed rows that may be broadcast (25 bytes each); beyond that the join is shuffled.
 BROADCAST_IDS = 1_000_000
@@ -85,8 +85,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over documents. A stage's own tables and its predecessor's go when its output is written."""
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        path = scratch(spark, name)
+        with tidied(spark):
+            done = stage(spark, docs, sf_dir)
+            done.write.option("compression", "zstd").parquet(path)
+        docs = spark.read.schema(done.schema).parquet(path)
+        if last:
+            delete(spark, last)
+        last = path
     return docs
