@@ -1,9 +1,12 @@
+from pathlib import Path
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from quern.llm import packing, pii, queries
+from quern.sources.shared import shared_root
 
 from .conftest import path
 from .test_near_duplicates import brute
@@ -37,7 +40,10 @@ def test_stages(spark):
 
 
 def test_run(spark):
+    folder = Path(shared_root(spark).removeprefix("file://")) / "quern"
+    before = set(folder.glob("*"))
     assert corpus_pipeline.run(spark, SF).count() > 0 and corpus_pipeline.ORACLE_SQL is None
+    assert [p.name.split("-")[0] for p in set(folder.glob("*")) - before] == ["best_fit_packing"]
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
