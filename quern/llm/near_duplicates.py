@@ -293,8 +293,15 @@ def near_duplicates(df: DataFrame, key: str, text: str, threshold: tuple[int, in
         first = components(nodes, links)
 
     found = classes.select("digest", "head").join(first.select(F.col("node").alias("digest"), "comp"), "digest")
-    least_id = found.groupBy("comp").agg(F.min("head").alias("component_id"))
-    named = found.join(least_id, "comp").select("digest", "component_id")
+    least_id = written(found.groupBy("comp").agg(F.min("head").alias("component_id"), F.count("*").alias("size")), "least")
+    # classes of a large component share a key: these few components go to all tasks where their number is bounded
+    crowded = least_id.where(F.col("size") > BLOCK)
+    if 0 < crowded.count() <= BROADCAST_IDS:
+        told = found.join(F.broadcast(crowded.select("comp", F.col("component_id").alias("told"))), "comp", "left")
+        small = told.where(F.col("told").isNull()).join(least_id.where(F.col("size") <= BLOCK), "comp").select("digest", "component_id")
+        named = small.union(told.where(F.col("told").isNotNull()).select("digest", "told"))
+    else:
+        named = found.join(least_id, "comp").select("digest", "component_id")
     final = heads.join(named, "digest", "left").select("digest", "size", F.coalesce("component_id", "head").alias("component_id"))
     rows = feat.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.col("digest")).alias("digest"))
     # sets of many rows are dealt to parts as buckets are, by the rows' ids
