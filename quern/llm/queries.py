@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, gif_media, hard_negatives, near_duplicates, ngram_lm, packing, pii, quality, sentence_pieces, sharding, token_count, top_k
+from . import chat, cross_tokenizer, gif_media, hard_negatives, near_duplicates, ngram_lm, packing, pii, quality, sentence_pieces, sharding, token_count, top_k
 from .shared import ship
 
 
@@ -124,6 +124,11 @@ def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return cross_tokenizer.align(docs, "doc_id", "text", _vocabulary("byte_bpe_50k.json"), _vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -137,6 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_gif_media": op10_gif_media,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_chat_format": op12_chat_format,
+    "op13_cross_tokenizer": op13_cross_tokenizer,
 }
 
 #: CRC-32 (reflected, polynomial 0xEDB88320) over the bytes of `text`, by a table made in SQL.

@@ -1,0 +1,144 @@
+import hashlib
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from quern.llm import cross_tokenizer, queries
+
+from .conftest import path
+
+A, B = path("byte_bpe_50k.json"), path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def tokens():
+    """Both sides' (id, bytes) of a text by the libraries alone."""
+    import sentencepiece
+    from tokenizers import Tokenizer, decoders
+
+    t, sp, level = Tokenizer.from_file(A), sentencepiece.SentencePieceProcessor(model_file=B), decoders.ByteLevel()
+    t.encode_special_tokens = True
+    shown = {chr(b): b for b in (*range(33, 127), *range(161, 173), *range(174, 256))}
+    shown |= {chr(256 + i): b for i, b in enumerate([*range(33), *range(127, 161), 173])}
+    assert level.decode([" ".join(shown)[0]]) is not None
+
+    def both(text):
+        if not text:
+            return [], []
+        a = [(i, bytes(shown[c] for c in t.id_to_token(i))) for i in t.encode(" " + text, add_special_tokens=False).ids]
+        b = [(i, bytes([int(sp.id_to_piece(i)[3:5], 16)]) if sp.is_byte(i) else sp.id_to_piece(i).replace("▁", " ").encode()) for i in sp.encode(text)]
+        return (a, b) if all(b"".join(x for _, x in side) == (" " + text).encode() for side in (a, b)) else ([], [])
+
+    return both
+
+
+def brute(rows, tokens):
+    ends = lambda side: [sum(len(x) for _, x in side[: i + 1]) for i in range(len(side))]
+    docs = []
+    for key, text in rows:
+        a, b = tokens(text)
+        end_a, end_b = ends(a), ends(b)
+        links, j = [], 0
+        for i, (x, raw) in enumerate(a):
+            begin = end_a[i] - len(raw)
+            while j and end_b[j - 1] > begin:
+                j -= 1
+            while j < len(b) and end_b[j] - len(b[j][1]) < end_a[i]:
+                if end_b[j] > begin:
+                    links.append((x, b[j][0]))
+                j += 1
+        cuts = sorted(set(end_a) & set(end_b))
+        groups = []
+        for lo, hi in zip([0, *cuts], cuts):
+            groups.append("|".join(",".join(str(side[i][0]) for i in range(len(side)) if lo < end[i] <= hi) for side, end in ((a, end_a), (b, end_b))))
+        docs.append((key, len(a), len(b), len(groups), links, ";".join(groups)))
+    count = Counter(p for d in docs for p in set(d[4]))
+    best = Counter()
+    for (a, _), n in count.items():
+        best[a] = max(best[a], n)
+    digest = lambda s: hashlib.sha256(s.encode()).hexdigest() if s else ""
+    out = [(k, na, nb, g, len(ls), sum(count[p] == best[p[0]] for p in ls), sum(count[p] for p in ls), digest(s)) for k, na, nb, g, ls, s in docs]
+    return sorted(out, key=repr), count, best
+
+
+def run(df, **more):
+    return sorted((tuple(r) for r in cross_tokenizer.align(df, "doc_id", "text", A, B, **more).collect()), key=repr)
+
+
+TEXTS = [
+    "", None, " ", "  ", "a", "Hello there, General Kenobi!", "<|endoftext|> <s> </s> <unk> <0x0A>", "one  two   three ", "naïve café — 日本語のテキスト 😀😀", "\n\n\tx\r\n", "a\x00b", "▁", "a▁b", "ﬁ ﬂ ℌ", "123 4567 89,012.5",
+    "don't won't I'll we've", "x" * 3000, "ab " * 500, "Ω≈ç√∫˜µ≤≥÷", " nbsp wide", "é combining",
+]
+
+
+def test_against_brute_force(spark, tokens):
+    r = random.Random(2)
+    words = "the of and token tokens alignment über naïve 42 3.14 don't 日本 x".split()
+    rows = list(enumerate(TEXTS)) + [(100 + i, r.choice([" ", "  ", "\n"]).join(r.choices(words, k=r.randrange(1, 40)))) for i in range(60)] + [(None, "the same"), (7, "the same")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"chunk": F.lit(1), "place": F.lit(2), "id": F.lit(3), "stripe": F.lit(4)}).repartition(3)
+    got = run(df)
+    assert got == brute(rows, tokens)[0]
+    assert next(x for x in got if x[0] == 12)[1:] == (0, 0, 0, 0, 0, 0, "")
+
+
+def test_small_chunks_and_parts(spark, tokens, monkeypatch):
+    """Chunks of a few links, counts and links of a stripe in many parts: the same rows."""
+    for name, value in (("CHUNK_LINKS", 20), ("PART_CHUNKS", 2), ("PART_LINKS", 15), ("CHARS", 50)):
+        monkeypatch.setattr(cross_tokenizer, name, value)
+    r = random.Random(3)
+    rows = [(i, " ".join(r.choices(["the", "their", "there", "theatre", "lathe"], k=12))) for i in range(80)] + [(200 + i, "the") for i in range(40)] + [(300, None)] * 20
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    want, count, best = brute(rows, tokens)
+    assert run(df) == want
+    ids_b = len(cross_tokenizer.bytes_of_b(B))
+    links = cross_tokenizer.linked(df, "doc_id", "text", A, B)
+    parts = links.where("stripe IS NOT NULL").select("stripe").distinct().withColumn("counters", F.lit(3))
+    counts = cross_tokenizer.pair_counts(links, parts, ids_b)
+    assert counts.count() == counts.select("stripe").distinct().count()
+    got = {(x["a"], x["b"]): x["n"] for x in cross_tokenizer.best_pairs(counts, ids_b).collect()}
+    assert got == {p: n for p, n in count.items() if n == best[p[0]]}
+
+
+def test_edges(spark, edge, empty, tokens):
+    rows = [(r["doc_id"], r["text"]) for r in edge.select("doc_id", "text").collect()]
+    got = run(edge)
+    sizes = {(x[0], x[1], x[2], x[4]) for x in got}
+    assert len(got) == len(rows) and sizes == {(k, len(a), len(b), len(a) + len(b) - x) for k, t in rows for a, b, x in [(*tokens(t), next(g[3] for g in got if g[0] == k and g[1] == len(tokens(t)[0])))]}
+    assert run(empty) == []
+
+
+def test_query(spark, tokens):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    got = queries.op13_cross_tokenizer(spark, "/root/testdata/sf0.001").select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+    small = [r for r in rows if len(r[1] or "") < 20_000]
+    have = {r["doc_id"]: tuple(r) for r in got.collect()}
+    assert len(have) == len(rows)
+    # links of whole texts by a merge of both sides' ends
+    count, best, docs = Counter(), Counter(), {}
+    for key, text in rows:
+        a, b = tokens(text)
+        links, i, j, x, y, groups, ga, gb = [], 0, 0, 0, 0, [], [], []
+        while i < len(a):
+            if not ga or ga[-1][0] != i:
+                ga.append((i, a[i][0]))
+            if not gb or gb[-1][0] != j:
+                gb.append((j, b[j][0]))
+            links.append((a[i][0], b[j][0]))
+            ea, eb = x + len(a[i][1]), y + len(b[j][1])
+            if ea <= eb:
+                i, x = i + 1, ea
+            if eb <= ea:
+                j, y = j + 1, eb
+            if ea == eb:
+                groups.append(",".join(str(v) for _, v in ga) + "|" + ",".join(str(v) for _, v in gb))
+                ga, gb = [], []
+        docs[key] = (len(a), len(b), len(groups), links, ";".join(groups))
+        count.update(set(links))
+    for (a, _), n in count.items():
+        best[a] = max(best[a], n)
+    for key, (na, nb, g, links, s) in docs.items():
+        digest = hashlib.sha256(s.encode()).hexdigest() if s else ""
+        assert have[key] == (key, na, nb, g, len(links), sum(count[p] == best[p[0]] for p in links), sum(count[p] for p in links), digest)
+    assert small
