@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 
 from .plans import pipelines
 from .sources import records, sinks
+from .sources.run_log import RunLog
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -21,7 +22,7 @@ def main(argv: list[str] | None = None) -> int:
     step.add_argument("--pages", help="saved API answers")
     step.add_argument("--exclude-section", action="append", default=[])
     step.add_argument("--out", required=True)
-    step.add_argument("--log", help="CSV of events, on the driver")
+    step.add_argument("--log", help="folder of the log of events")
     step.add_argument("--dry-run", action="store_true")
     step = steps.add_parser("sample", help="a tokenizer sample")
     step.add_argument("--source", required=True)
@@ -51,7 +52,7 @@ def main(argv: list[str] | None = None) -> int:
         if args.pages:
             found = records.fetched_pages(spark, args.pages).selectExpr("title", "CAST(NULL AS STRING) AS url", "extract")
             pages = records.paragraph_records(found, args.exclude_section, "wiki", run_id=settings.run_id)
-        pipelines.ingest(spark, settings, args.out, dataset, pages, sinks.RunLog(args.log, settings.run_id) if args.log else None).show()
+        pipelines.ingest(spark, settings, args.out, dataset, pages, RunLog(spark, args.log, settings.run_id)).show()
     elif args.step == "sample":
         pipelines.sample_texts(spark, settings, args.source, args.out).show()
     elif args.step == "validate":

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import os
-from contextlib import nullcontext
 from dataclasses import dataclass, field, fields, is_dataclass, replace
 from pathlib import Path
 
@@ -15,7 +14,7 @@ from ..functions import chars, text
 from ..operators import dedup, metrics, quality, sample, shards, split
 from ..operators.quality import CleaningRules, QualityRules
 from ..sources import records, sinks
-from ..sources.shared import exists, written
+from ..sources.run_log import Phase, RunLog
 
 SCRIPTS = {s.name: s for s in (chars.DEVANAGARI, chars.LATIN_SCRIPT)}
 
@@ -100,60 +99,65 @@ def normalised(rows: DataFrame, settings: Settings) -> DataFrame:
     return out.withColumns(chars.counts(F.col("final_text")) | {"cleaning_method": F.coalesce("cleaning_method", F.lit("deterministic_normalization"))})
 
 
-def filtered(rows: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
+def filtered(rows: DataFrame, settings: Settings, phase: Phase | None = None) -> tuple[DataFrame, DataFrame]:
     """Records that pass the quality rules, and those that do not (with reject_reason)."""
     found = quality.annotate(rows, "final_text", settings.rules).withColumn("devanagari_ratio", F.col("script_ratio"))
-    passed, rejected = quality.split_passed(written(found, "annotated"))  # both parts are read from what is annotated once
+    # both parts are read from what is annotated once, and counted by the job that writes it
+    passed, rejected = quality.split_passed((phase or Phase()).written(found, "annotated", F.col("reject_reason").isNull()))
     return records.conform(passed), rejected
 
 
-def deduplicated(rows: DataFrame, settings: Settings) -> DataFrame:
-    """Without exact and near-duplicates, the first by record_id kept."""
-    first = dedup.exact(rows.drop("dedup_hash"), "final_text", "record_id")
-    if settings.near_duplicates:
-        first = dedup.near(written(first, "exact"), "record_id", "final_text", "record_id").withColumn("near_dedup_cluster_id", F.col("canonical_id"))
-    return records.conform(first)
-
-
-def ingest(spark: SparkSession, settings: Settings, out: str, dataset: DataFrame | None = None, documents: DataFrame | None = None, log: sinks.RunLog | None = None) -> DataFrame:
+def ingest(spark: SparkSession, settings: Settings, out: str, dataset: DataFrame | None = None, documents: DataFrame | None = None, log: RunLog | None = None) -> DataFrame:
     """Records of all sources that are on, split and exported below `out`; the split profile is returned.
 
     `dataset` (id, text) is taken as it is; `documents` (records of pages or paragraphs) are normalised,
     filtered and deduplicated first. What the filter rejects goes to quarantine. Every exported file is
-    named by version, split and shard, listed in the manifest and registered with its rows and checksum.
+    named by version, split and shard, listed in the manifest and registered with its rows and checksum. Every
+    phase is logged with the rows that it took in, passed on and rejected. A run that is tried again replaces its own output.
     """
-    step = log.timed if log else lambda *_: nullcontext()
-    parts = []
+    log = log or RunLog(spark, None, settings.run_id)
+    parts, read = [], 0
     if dataset is not None and "dataset" in settings.sources:
-        parts.append(records.dataset_records(dataset, settings.source_name, settings.language, settings.script, settings.run_id))
+        with log.phase("load", "dataset", source_id=settings.source_name) as phase:
+            parts.append(phase.written(records.dataset_records(dataset, settings.source_name, settings.language, settings.script, settings.run_id), "dataset"))
+        read += log.out()
     if documents is not None and "documents" in settings.sources:
-        with step("filter", "documents"):
-            passed, rejected = filtered(normalised(documents, settings), settings)
+        with log.phase("filter", "documents") as phase:
+            passed, rejected = filtered(normalised(documents, settings), settings, phase)
             sinks.quarantine(rejected, f"{out}/quarantine", settings.run_id)
-        with step("deduplicate", "documents"):
-            parts.append(written(deduplicated(passed, settings), "deduplicated"))
+        with log.phase("exact_duplicates", "documents", log.out()) as phase:
+            parts.append(phase.written(dedup.exact(passed.drop("dedup_hash"), "final_text", "record_id"), "exact"))
+        if settings.near_duplicates:
+            with log.phase("near_duplicates", "documents", log.out()) as phase:
+                near = dedup.near(parts.pop(), "record_id", "final_text", "record_id").withColumn("near_dedup_cluster_id", F.col("canonical_id"))
+                parts.append(phase.written(near, "near"))
+        parts.append(records.conform(parts.pop()))
+        read += log.out()
     if not parts:
         raise ValueError("no source")
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    with step("split", "records"):
+    staged_at = f"{out}/staged/{settings.version}"
+    with log.phase("split", "records", read) as phase:
         # computed once, for sizes, shards and all formats
-        named = written(split.by_document(rows, "document_id", settings.seed, settings.validation, settings.test), "split")
-        sinks.with_shards(named, settings.shard_mb).write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/staged/{settings.version}")
-    staged = spark.read.parquet(f"{out}/staged/{settings.version}")
+        by_name = {name: F.col("split_name") == name for name in ("train", "validation", "test")}
+        named = phase.written(split.by_document(rows, "document_id", settings.seed, settings.validation, settings.test), "split", kinds=by_name)
+        sinks.with_shards(named, settings.shard_mb).write.mode("overwrite").option("compression", "zstd").parquet(staged_at)
+    staged = spark.read.parquet(staged_at)
     writers = {
-        "parquet": sinks.export_parquet, "jsonl": lambda rows, path: sinks.export_json_lines(rows, path, settings.metadata), "txt": lambda rows, path: sinks.export_text(rows, path, settings.separator),
+        "parquet": sinks.export_parquet, "jsonl": lambda rows, path, seen: sinks.export_json_lines(rows, path, settings.metadata, seen), "txt": lambda rows, path, seen: sinks.export_text(rows, path, settings.separator, seen),
     }
     for kind in settings.formats:
-        with step("export", kind):
-            writers[kind](staged, f"{out}/final/{kind}")
+        with log.phase("export", kind, read) as phase:
+            writers[kind](staged, f"{out}/final/{kind}", phase.seen)
             sinks.name_files(spark, f"{out}/final/{kind}", settings.version, kind)
     ratios = {"train": 1 - settings.validation - settings.test, "validation": settings.validation, "test": settings.test}
-    with step("manifest", "files"):
-        files = written(sinks.manifest(spark, f"{out}/final"), "manifest")
+    with log.phase("manifest", "files") as phase:
+        files = phase.written(sinks.manifest(spark, f"{out}/final"), "manifest")
         files.write.mode("overwrite").json(f"{out}/reports/manifest")
         sinks.manifest_head(staged, settings.version, settings.language, settings.script, ratios).write.mode("overwrite").json(f"{out}/reports/manifest_head")
         counts = staged.groupBy("split_name", "shard").agg(F.count("*").alias("row_count"))
-        sinks.file_registry(files, counts, settings.run_id).write.mode("append").option("header", True).csv(f"{out}/logs/file_registry")
+        registry = sinks.file_registry(files, counts, settings.run_id).drop("run_id")
+        sinks.replace_run(registry, f"{out}/logs/file_registry", settings.run_id, "csv", header=True)
         profile = metrics.profile(staged, spark)
         profile.write.mode("overwrite").json(f"{out}/reports/profile")
     return profile
@@ -193,16 +197,16 @@ def compare(spark: SparkSession, reports: list[dict], preferred: int = 32_000) -
 def tokenize(spark: SparkSession, settings: Settings, source: str, tokenizer: str, out: str, end_id: int) -> DataFrame:
     """JSON lines of a folder as packed sequences by split and file; the number of each is returned. Files that are there already are skipped."""
     raw = spark.read.schema("text string, _corrupt string").option("columnNameOfCorruptRecord", "_corrupt").json(source)
+    name = lambda path: F.regexp_extract(path, r"([^/]+?)(?:\.jsonl)?(?:\.gz)?$", 1).alias("file")
     rows = raw.where(F.col("_corrupt").isNull()).select(
-        F.regexp_extract("_metadata.file_path", r"([^/]+?)(?:\.jsonl)?(?:\.gz)?$", 1).alias("file"), F.monotonically_increasing_id().alias("line"), text.nfkc_words(F.coalesce("text", F.lit(""))).alias("t")
+        name("_metadata.file_path"), F.monotonically_increasing_id().alias("line"), text.nfkc_words(F.coalesce("text", F.lit(""))).alias("t")
     )
     fit = rows.where(quality.training_text(F.col("t"), settings.profile))
-    done = None
-    if exists(spark, f"{out}/sequences"):
-        done = spark.read.parquet(f"{out}/sequences").select("file").distinct()
+    done = sinks.finished(spark, f"{out}/parts")
+    if done is not None:
         fit = fit.join(done, "file", "left_anti")
     packed = shards.windows(shards.encode(fit, "t", tokenizer, "ids", end_id), "file", "line", "ids", settings.sequence_length)
-    sinks.packed(split.by_file(packed, "file", "sequence", settings.seed), f"{out}/sequences", done)
+    sinks.packed(split.by_file(packed, "file", "sequence", settings.seed), f"{out}/sequences", f"{out}/parts", spark.read.format("binaryFile").load(source).select(name("path")))
     sizes = spark.read.parquet(f"{out}/sequences").groupBy("split_name").agg(F.count("*").alias("sequences"))
     sizes.write.mode("overwrite").json(f"{out}/manifest")
     return sizes

@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import csv
-import hashlib
 import json
-import threading
-import time
-from contextlib import contextmanager
+from collections.abc import Callable
 from datetime import datetime, timezone
 from pathlib import Path
 
@@ -15,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import order, shards
-from .shared import filesystem
+from .shared import delete, exists, filesystem
 
-_lock = threading.Lock()
+#: What looks at rows right before they are written (run_log.Phase.seen).
+Seen = Callable[[DataFrame], DataFrame]
 
 
 def with_shards(records: DataFrame, megabytes: float = 256, seed: int = 42) -> DataFrame:
@@ -33,21 +30,40 @@ def with_shards(records: DataFrame, megabytes: float = 256, seed: int = 42) -> D
     return records.join(named, "record_id").select(*records.columns, "shard")
 
 
-def export_parquet(sharded: DataFrame, path: str) -> None:
-    sharded.repartition("split_name", "shard").write.mode("overwrite").option("compression", "zstd").partitionBy("split_name", "shard").parquet(path)
+def replace(rows: DataFrame, path: str, by: list[str], kind: str = "parquet", **options) -> None:
+    """Write rows in folders by the columns `by`; folders that are there and get rows are replaced as the job commits, others stay.
+
+    Run again, a job leaves what one run would. Spark removes and moves the folders in one commit.
+    """
+    options = {"compression": "zstd"} | options if kind == "parquet" else options
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**options).partitionBy(*by).format(kind).save(path)
+
+
+def replace_run(rows: DataFrame, path: str, run_id: str, kind: str = "parquet", **options) -> None:
+    """The rows of a run at path, instead of those that an earlier try of the run left there (also if there are none now)."""
+    own = f"{path}/run_id={run_id}"
+    if rows.isEmpty():
+        if exists(rows.sparkSession, own):
+            delete(rows.sparkSession, own)
+    else:
+        replace(rows.withColumn("run_id", F.lit(run_id)), path, ["run_id"], kind, **options)
 
 
-def export_json_lines(sharded: DataFrame, path: str, metadata: bool = True) -> None:
+def export_parquet(sharded: DataFrame, path: str, seen: Seen = lambda rows: rows) -> None:
+    seen(sharded.repartition("split_name", "shard")).write.mode("overwrite").option("compression", "zstd").partitionBy("split_name", "shard").parquet(path)
+
+
+def export_json_lines(sharded: DataFrame, path: str, metadata: bool = True, seen: Seen = lambda rows: rows) -> None:
     """gzip JSON lines with `text` and, if asked for, where it comes from."""
     fields = [F.col("final_text").alias("text"), *(["source_type", "document_id", "record_id"] if metadata else [])]
     lines = sharded.select("split_name", "shard", F.to_json(F.struct(*fields)).alias("value"))
-    lines.repartition("split_name", "shard").write.mode("overwrite").option("compression", "gzip").partitionBy("split_name", "shard").text(path)
+    seen(lines.repartition("split_name", "shard")).write.mode("overwrite").option("compression", "gzip").partitionBy("split_name", "shard").text(path)
 
 
-def export_text(sharded: DataFrame, path: str, separator: str = "\n\n") -> None:
+def export_text(sharded: DataFrame, path: str, separator: str = "\n\n", seen: Seen = lambda rows: rows) -> None:
     """gzip texts with a separator after each."""
     lines = sharded.select("split_name", "shard", F.col("final_text").alias("value"))
-    lines.repartition("split_name", "shard").write.mode("overwrite").option("compression", "gzip").option("lineSep", separator).partitionBy("split_name", "shard").text(path)
+    seen(lines.repartition("split_name", "shard")).write.mode("overwrite").option("compression", "gzip").option("lineSep", separator).partitionBy("split_name", "shard").text(path)
 
 
 # The ends of exported files' names.
@@ -108,19 +124,33 @@ def evaluation_report(step: int, validation: float, test: float, averages: dict,
 
 
 def quarantine(rows: DataFrame, path: str, run_id: str) -> None:
-    """Append rejected rows of a run; nothing is written without any."""
-    if not rows.isEmpty():
-        rows.withColumn("run_id", F.lit(run_id)).write.mode("append").option("compression", "zstd").parquet(path)
+    """The rejected rows of a run; a run that is tried again replaces its own. Nothing is written without any."""
+    replace_run(rows, path, run_id)
 
 
 def sample_file(sample: DataFrame, path: str) -> None:
     sample.select("value").write.mode("overwrite").text(path)
 
 
-def packed(sequences: DataFrame, path: str, done: DataFrame | None = None) -> None:
-    """Append packed sequences by split and file; files that are already there are skipped."""
-    rows = sequences if done is None else sequences.join(done.select("file").distinct(), "file", "left_anti")
-    rows.write.mode("append").option("compression", "zstd").partitionBy("split_name", "file").parquet(path)
+def packed(sequences: DataFrame, path: str, parts: str, files: DataFrame | None = None) -> None:
+    """Packed sequences by split and file, then a row (file, sequences) per file below `parts`: only with that row is a file done.
+
+    Files that are done are skipped. What a job left that ended before it wrote the rows is replaced by the next.
+    `files` (file) are those that were read: one without a full sequence is done too.
+    """
+    spark, done = sequences.sparkSession, finished(sequences.sparkSession, parts)
+    rows = sequences if done is None else sequences.join(done, "file", "left_anti")
+    replace(rows, path, ["split_name", "file"])
+    read = sequences.select("file").distinct() if files is None else files.select("file").distinct()
+    new = read if done is None else read.join(done, "file", "left_anti")
+    made = spark.read.schema(sequences.schema).parquet(path).groupBy("file").agg(F.count("*").alias("sequences")) if exists(spark, path) else spark.createDataFrame([], "file string, sequences long")
+    counted = new.join(made, "file", "left").select("file", F.coalesce("sequences", F.lit(0)).cast("long").alias("sequences"))
+    counted.coalesce(1).write.mode("append").parquet(parts)
+
+
+def finished(spark: SparkSession, parts: str) -> DataFrame | None:
+    """The files (file) that `packed` has done; None before its first."""
+    return spark.read.schema("file string, sequences long").parquet(parts).select("file").distinct() if exists(spark, parts) else None
 
 
 def manifest(spark: SparkSession, folder: str) -> DataFrame:
@@ -134,21 +164,7 @@ def checksum_map(spark: SparkSession, folder: str) -> dict[str, str]:
     return dict(sorted(shards.checksums(files).first()["checksums"].items()))
 
 
-def append_csv(path: str | Path, columns: list[str], row: dict) -> None:
-    """Append a row to a driver-side log, with a header if the file is new."""
-    path = Path(path)
-    with _lock:
-        path.parent.mkdir(parents=True, exist_ok=True)
-        new = not path.exists()
-        with path.open("a", newline="", encoding="utf-8") as out:
-            writer = csv.DictWriter(out, columns)
-            if new:
-                writer.writeheader()
-            writer.writerow({c: row.get(c, "") for c in columns})
-
-
-# The columns of the two logs.
-LOG = ["run_id", "timestamp", "phase", "component", "source_id", "record_id", "status", "records_in", "records_out", "records_rejected", "duration_seconds", "error_message", "notes"]
+# The columns of the registry of files.
 REGISTRY = ["run_id", "timestamp", "role", "stage", "source_id", "file_path", "file_name", "format", "size_bytes", "row_count", "sha256", "compression", "notes"]
 
 
@@ -156,39 +172,6 @@ def _now() -> str:
     return datetime.now(timezone.utc).isoformat()
 
 
-class RunLog:
-    """Appends events of a run to a CSV file."""
-
-    def __init__(self, path: str | Path, run_id: str):
-        self.path, self.run_id = path, run_id
-
-    def event(self, phase: str, component: str, status: str, **values) -> None:
-        append_csv(self.path, LOG, {"run_id": self.run_id, "timestamp": _now(), "phase": phase, "component": component, "status": status, "records_in": 0, "records_out": 0, "records_rejected": 0} | values)
-
-    @contextmanager
-    def timed(self, phase: str, component: str, source_id: str = ""):
-        """Logs the start, and the end or the failure with the seconds between."""
-        began = time.monotonic()
-        self.event(phase, component, "started", source_id=source_id)
-        try:
-            yield
-        except Exception as e:
-            self.event(phase, component, "failed", source_id=source_id, duration_seconds=round(time.monotonic() - began, 3), error_message=str(e))
-            raise
-        self.event(phase, component, "completed", source_id=source_id, duration_seconds=round(time.monotonic() - began, 3))
-
-
-def register_file(registry: str | Path, run_id: str, file: str | Path, role: str, stage: str, **values) -> dict:
-    """Append a file with its size and SHA-256; a missing file raises."""
-    file, digest = Path(file), hashlib.sha256()
-    with file.open("rb") as data:
-        for block in iter(lambda: data.read(1 << 20), b""):
-            digest.update(block)
-    row = {"run_id": run_id, "timestamp": _now(), "role": role, "stage": stage, "file_path": str(file), "file_name": file.name, "format": file.suffix.lstrip("."), "size_bytes": file.stat().st_size, "sha256": digest.hexdigest()} | values
-    append_csv(registry, REGISTRY, row)
-    return row
-
-
 def json_report(row: dict, path: str | Path) -> None:
     Path(path).parent.mkdir(parents=True, exist_ok=True)
     Path(path).write_text(json.dumps(row, ensure_ascii=False, indent=2), encoding="utf-8")

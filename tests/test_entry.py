@@ -5,7 +5,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from quern.plans.more_queries import ORACLE_SQL, QUERIES
+from quern.plans.run_queries import ORACLE_SQL, QUERIES
 
 DATA = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no test tables here")

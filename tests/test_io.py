@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import chars
 from quern.operators import quality, split
-from quern.sources import packaging, records, shared, sinks
+from quern.sources import records, shared, sinks
 from quern.streaming import ingest
 
 
@@ -135,26 +135,6 @@ def test_extraction_that_fails(spark):
     assert row["error"] == "one: broken" and row["text"] is None
 
 
-def test_package(spark, tmp_path):
-    source = tmp_path / "vocab_32000"
-    with pytest.raises(FileNotFoundError):
-        packaging.package(source, tmp_path / "out", "v1", source, source, source)
-    source.mkdir()
-    for name in packaging.FILES:
-        (source / name).write_text("{}")
-    (source / "tokenizer_metadata.json").write_text('{"vocab_size": 32000}')
-    for name in ("c.yaml", "r.json", "c.md"):
-        (tmp_path / name).write_text(name)
-    log = sinks.RunLog(tmp_path / "log.csv", "r")
-    out = packaging.package(source, tmp_path / "out", "v7", tmp_path / "c.yaml", tmp_path / "r.json", tmp_path / "c.md", log, tmp_path / "reg.csv")
-    assert (out / "VERSION").read_text() == "v7" and "32000" in (out / "README.md").read_text() and (out / packaging.COMPARISON).read_text() == "c.md"
-    sums = json.loads((out / "checksums.json").read_text())
-    assert set(sums) == {*packaging.FILES, packaging.CONFIG, packaging.VALIDATION, packaging.COMPARISON, "VERSION", "README.md"}
-    assert len((tmp_path / "reg.csv").read_text().splitlines()) == 1 + len(sums) + 1
-    (tmp_path / "validation_vocab_8.json").write_text("{}")
-    assert list(packaging.reports_of(tmp_path, [8, 16])) == [8]
-
-
 def test_evaluation_report():
     text = sinks.evaluation_report(5, 12.345, 13.0, {"script_ratio": 0.5, "unknowns": 1.25}, [{"prompt": "p", "generated": "g"}])
     assert "12.35" in text or "12.34" in text
@@ -187,23 +167,38 @@ def test_exports(spark, tmp_path):
     assert list(sums := sinks.checksum_map(spark, str(tmp_path / "final"))) == sorted(sums)
 
 
-def test_quarantine_and_logs(spark, tmp_path):
+def test_quarantine_of_runs(spark, tmp_path):
     path = str(tmp_path / "q")
     sinks.quarantine(spark.range(0), path, "r")
     assert not (tmp_path / "q").exists()
     sinks.quarantine(spark.range(2), path, "r1")
-    sinks.quarantine(spark.range(2), path, "r2")
-    assert spark.read.parquet(path).count() == 4
-    log = sinks.RunLog(tmp_path / "log.csv", "r")
-    with log.timed("load", "x"):
-        pass
-    with pytest.raises(KeyError), log.timed("load", "y"):
-        raise KeyError("k")
-    assert [line.split(",")[6] for line in (tmp_path / "log.csv").read_text().splitlines()[1:]] == ["started", "completed", "started", "failed"]
-    row = sinks.register_file(tmp_path / "reg.csv", "r", tmp_path / "log.csv", "log", "end")
-    assert len(row["sha256"]) == 64
-    with pytest.raises(FileNotFoundError):
-        sinks.register_file(tmp_path / "reg.csv", "r", tmp_path / "none", "log", "end")
+    sinks.quarantine(spark.range(3), path, "r2")
+    sinks.quarantine(spark.range(5, 6), path, "r1")  # tried again
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(0, "r2"), (1, "r2"), (2, "r2"), (5, "r1")]
+    sinks.quarantine(spark.range(0), path, "r1")
+    assert {r["run_id"] for r in spark.read.parquet(path).collect()} == {"r2"}
+
+
+def test_packed_files_are_done_once(spark, tmp_path, monkeypatch):
+    path, parts = str(tmp_path / "s"), str(tmp_path / "p")
+    rows = lambda *files: spark.createDataFrame([(n, [n], "train", f) for f in files for n in range(3)], "sequence long, input_ids array<int>, split_name string, file string")
+    sizes = lambda: {r["file"]: r["count"] for r in spark.read.parquet(path).groupBy("file").count().collect()}
+    sinks.packed(rows("a"), path, parts)
+    # a job that ends between its two writes
+    replace = sinks.replace
+
+    def broken(*args, **more):
+        replace(*args, **more)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(sinks, "replace", broken)
+    with pytest.raises(RuntimeError):
+        sinks.packed(rows("a", "b"), path, parts)
+    monkeypatch.setattr(sinks, "replace", replace)
+    assert {r["file"] for r in sinks.finished(spark, parts).collect()} == {"a"} and sizes() == {"a": 3, "b": 3}
+    sinks.packed(rows("a", "b", "c"), path, parts, spark.createDataFrame([("d",), ("c",), ("b",), ("a",)], "file string"))
+    assert sizes() == {"a": 3, "b": 3, "c": 3}
+    assert {r["file"]: r["sequences"] for r in spark.read.parquet(parts).collect()} == {"a": 3, "b": 3, "c": 3, "d": 0} and spark.read.parquet(parts).count() == 4
 
 
 def test_reports(spark, tmp_path):

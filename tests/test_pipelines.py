@@ -7,7 +7,7 @@ import pytest
 
 from quern.__main__ import main
 from quern.plans import pipelines
-from quern.sources import records, sinks
+from quern.sources import records, run_log
 
 HINDI = "यह एक अच्छा और लंबा वाक्य है जो जाँच के लिए लिखा गया है"
 
@@ -16,18 +16,25 @@ def test_ingest(spark, tmp_path):
     dataset = spark.createDataFrame([(f"d{i}", f"{HINDI} {i}") for i in range(30)], "id string, text string")
     pages = spark.createDataFrame([(f"t {i}", None, f"{HINDI} " * 3 + f"\n\n{'english only text ' * 9}\n\n{HINDI} {i} {HINDI}") for i in range(6)], "title string, url string, extract string")
     settings = pipelines.Settings(shard_mb=0.01, validation=0.1, test=0.1)
-    log = sinks.RunLog(tmp_path / "log.csv", "run")
+    log = run_log.RunLog(spark, str(tmp_path / "log"), "run")
     rows = pipelines.ingest(spark, settings, str(tmp_path), dataset, records.paragraph_records(pages, [], "w"), log).collect()
     # the first paragraph is the same on all pages, the English one is rejected
     assert sum(r["records"] for r in rows) == 30 + 1 + 6 and all(r["records"] for r in rows)
     assert spark.read.parquet(str(tmp_path / "quarantine")).count() == 6
     assert spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "final/parquet")).count() == 37
-    assert (tmp_path / "final/txt/train/v1_train_00000.txt.gz").exists() and (tmp_path / "log.csv").read_text().count("completed") == 7
+    assert (tmp_path / "final/txt/train/v1_train_00000.txt.gz").exists()
+    events = {(e["phase"], e["component"]): (e["records_in"], e["records_out"], e["records_rejected"]) for e in run_log.read(spark, str(tmp_path / "log")).where("status = 'completed'").collect()}
+    # 30 rows of the dataset; three paragraphs of each of six pages: six English, six the same, six of their own
+    want = {("load", "dataset"): (30, 30, 0), ("filter", "documents"): (18, 12, 6), ("exact_duplicates", "documents"): (12, 7, 5), ("near_duplicates", "documents"): (7, 7, 0), ("split", "records"): (37, 37, 0)}
+    assert {k: events[k] for k in want} == want and all(events["export", kind] == (37, 37, 0) for kind in settings.formats) and len(events) == 9
     head = spark.read.json(str(tmp_path / "reports/manifest_head")).first()
     assert head["corpus_version"] == "v1" and {s["source_type"] for s in head["sources"]} == {"huggingface_dataset", "wiki"}
     registry = spark.read.option("header", True).csv(str(tmp_path / "logs/file_registry"))
     assert registry.where("format = 'parquet'").agg({"row_count": "sum"}).first()[0] == 37 and registry.where("sha256 IS NULL").count() == 0
     assert spark.read.json(str(tmp_path / "reports/manifest")).where("split_name = 'train'").count() > 0
+    again = pipelines.ingest(spark, settings, str(tmp_path), dataset, records.paragraph_records(pages, [], "w")).collect()
+    assert sorted(again) == sorted(rows) and spark.read.parquet(str(tmp_path / "quarantine")).count() == 6
+    assert spark.read.option("header", True).csv(str(tmp_path / "logs/file_registry")).where("format = 'parquet'").agg({"row_count": "sum"}).first()[0] == 37
     with pytest.raises(ValueError):
         pipelines.ingest(spark, settings, str(tmp_path))
     with pytest.raises(ValueError):
