@@ -337,10 +337,13 @@ u AS (SELECT lang, doc_id, unnest(ids) AS id, generate_subscripts(ids, 1) AS j F
 q AS (SELECT lang, p // 512 AS sequence, list(id ORDER BY p) AS input_ids FROM o GROUP BY lang, p // 512 HAVING count(*) = 512)"""
 
 
-def _sequences(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+def _word_ids(docs: DataFrame) -> DataFrame:
     ids = F.transform(chars.words(F.col("text")), lambda w: F.conv(F.substring(digest(w), 1, 4), 16, 10).cast("int"))
-    return shards.windows(docs.select("lang", "doc_id", F.concat(ids, F.array(F.lit(0))).alias("ids")), "lang", "doc_id", "ids", 512)
+    return docs.select("lang", "doc_id", F.concat(ids, F.array(F.lit(0))).alias("ids"))
+
+
+def _sequences(spark, sf_dir):
+    return shards.windows(_word_ids(table(spark, sf_dir, "documents")), "lang", "doc_id", "ids", 512)
 
 
 def _ids_digest() -> Column:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import quality
 from ..sources import records, run_log
-from ..sources.shared import scratch
+from ..sources.shared import scratch, written
+from ..streaming import ingest, packing
 from . import pipelines
 from .more_queries import ORACLE_SQL, QUERIES
-from .registry import _CANONICAL, NORMALISED, REASON, T, _strip, query, table
+from .registry import _CANONICAL, _TOKENS, NORMALISED, REASON, T, _ids_digest, _strip, _word_ids, query, table
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
@@ -34,3 +36,45 @@ def ingest_log(spark, sf_dir):
     pipelines.ingest(spark, settings, out, documents=docs, log=run_log.RunLog(spark, f"{out}/log", "run"))
     done = run_log.read(spark, f"{out}/log").where("status = 'completed' AND phase <> 'manifest'")
     return done.select("phase", "component", "records_in", "records_out", "records_rejected", "notes")
+
+
+# Streams with state
+
+_SPAN = "INTERVAL 1 HOUR"
+_REPEATS = """e AS (SELECT event_id, ts FROM events UNION ALL SELECT event_id, ts + INTERVAL 10 MINUTE FROM events WHERE event_id % 3 = 0 UNION ALL SELECT event_id, ts + INTERVAL 9 DAY FROM events WHERE event_id % 5 = 0)"""
+
+
+def _arrive(rows: DataFrame, slices: range, path: str) -> None:
+    """Rows whose `_slice` is one of these, as files that arrive one after the other."""
+    for n in slices:
+        rows.where(F.col("_slice") == n).drop("_slice").coalesce(1).write.mode("append").parquet(path)
+
+
+@query(f"""WITH {_REPEATS}, g AS (SELECT event_id, ts, lag(ts) OVER (PARTITION BY event_id ORDER BY ts) AS before FROM e)
+SELECT event_id, ts FROM g WHERE before IS NULL OR ts - before > {_SPAN}""")
+def distinct_events(spark, sf_dir):
+    """A stream of events, of which some occur again within the hour and some after days, in slices of three days: the former go, the latter are events of their own."""
+    events = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    again = events.where("event_id % 3 = 0").withColumn("ts", F.expr("ts + INTERVAL '10' MINUTE")).unionByName(events.where("event_id % 5 = 0").withColumn("ts", F.expr("ts + INTERVAL '9' DAY")))
+    path = scratch(spark, "events")
+    day = F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date"))
+    _arrive(written(events.unionByName(again).withColumn("_slice", F.floor(day / 3)), "slices"), range(14), path)
+    stream = ingest.arriving(spark, path, events.schema, "parquet", files_per_batch=1)
+    out = scratch(spark, "distinct")
+    ingest.drain(ingest.distinct_within(stream, "event_id", "ts", "1 hour"), f"{out}/rows", f"{out}/state")
+    return spark.read.parquet(f"{out}/rows").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query(f"WITH {_TOKENS} SELECT lang, sequence, md5(array_to_string(input_ids, ',')) AS digest FROM q")
+def streamed_sequences(spark, sf_dir):
+    """The sequences of a stream of token arrays that arrives in five slices; the query ends after three of them and goes on from its checkpoint."""
+    path, out = scratch(spark, "tokens"), scratch(spark, "sequences")
+    rows = _word_ids(table(spark, sf_dir, "documents"))
+    last = rows.agg(F.max("doc_id")).first()[0]
+    cut = written(rows.withColumn("_slice", F.floor(F.col("doc_id") * 5 / (last + 1))), "slices")
+    for slices in (range(3), range(3, 5)):
+        _arrive(cut, slices, path)
+        with packing.rocksdb(spark):
+            stream = ingest.arriving(spark, path, rows.schema, "parquet", files_per_batch=1)
+            ingest.drain(packing.packed_stream(stream, "lang", "doc_id", "ids", 512), f"{out}/rows", f"{out}/state")
+    return spark.read.parquet(f"{out}/rows").select("lang", "sequence", _ids_digest())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,11 +17,23 @@ def arriving(spark: SparkSession, path: str, schema: T.StructType | str, kind: s
     return spark.readStream.format(kind).schema(schema).option("maxFilesPerTrigger", files_per_batch).load(path)
 
 
-def clean_stream(rows: DataFrame, column: str, rules: quality.QualityRules) -> DataFrame:
-    """Normalised texts that pass the rules, each hash once. State grows with distinct texts; a watermarked time column in dropDuplicatesWithinWatermark bounds it."""
+def distinct_within(rows: DataFrame, key: str, time: str, delay: str) -> DataFrame:
+    """Rows of a stream whose key did not occur within `delay` before; older ones are forgotten as the latest time moves on, so state holds the keys of that span only.
+
+    A key is forgotten at the end of the micro-batch that begins with the latest time `delay` past its span; until then
+    later occurrences go, too. Rows later than the latest time less `delay` are dropped. A null key is a key.
+    """
+    return rows.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
+
+
+def clean_stream(rows: DataFrame, column: str, rules: quality.QualityRules, time: str | None = None, delay: str = "1 day") -> DataFrame:
+    """Normalised texts that pass the rules, each hash once.
+
+    With a `time` column once within `delay`, which bounds the state; without one once for ever, and state grows with distinct texts.
+    """
     normal = rows.withColumn("final_text", text.normalise(F.coalesce(F.col(column), F.lit(""))))
-    passed = quality.annotate(normal, "final_text", rules).where("reject_reason IS NULL")
-    return passed.withColumn("dedup_hash", dedup.dedup_hash(F.col("final_text"))).dropDuplicates(["dedup_hash"])
+    passed = quality.annotate(normal, "final_text", rules).where("reject_reason IS NULL").withColumn("dedup_hash", dedup.dedup_hash(F.col("final_text")))
+    return passed.dropDuplicates(["dedup_hash"]) if time is None else distinct_within(passed, "dedup_hash", time, delay)
 
 
 def event_windows(events: DataFrame, time: str, kind: str, value: str, width: str = "1 hour", late: str = "1 hour") -> DataFrame:
@@ -28,6 +42,8 @@ def event_windows(events: DataFrame, time: str, kind: str, value: str, width: st
     return counted.select(F.col("window.start").alias("window_start"), kind, "events", "total")
 
 
-def drain(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
-    """Write all that is there as Parquet, then stop."""
-    stream.writeStream.outputMode(mode).format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path).awaitTermination()
+def drain(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> list[dict]:
+    """Write all that is there as Parquet, then stop; the progress of the last micro-batches. Started again with the same checkpoint, it goes on."""
+    query = stream.writeStream.outputMode(mode).format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
+    query.awaitTermination()
+    return [json.loads(p.json) for p in query.recentProgress]
