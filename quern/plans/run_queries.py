@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import quality
+from ..operators import dedup, history, quality
 from ..sources import records, run_log
 from ..sources.shared import scratch, written
 from ..streaming import ingest, packing
@@ -78,3 +78,14 @@ def streamed_sequences(spark, sf_dir):
             stream = ingest.arriving(spark, path, rows.schema, "parquet", files_per_batch=1)
             ingest.drain(packing.packed_stream(stream, "lang", "doc_id", "ids", 512), f"{out}/rows", f"{out}/state")
     return spark.read.parquet(f"{out}/rows").select("lang", "sequence", _ids_digest())
+
+
+@query(f"SELECT doc_id FROM documents WHERE lang NOT IN ('en', 'fr') AND sha256({T}) NOT IN (SELECT sha256({T}) FROM documents WHERE lang IN ('en', 'fr'))")
+def unseen_by_history(spark, sf_dir):
+    """Texts that two earlier runs did not see, by a history of prefixes and filters; the second of them was tried twice."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", dedup.dedup_hash(F.col("text")).alias("dedup_hash"))
+    past = history.History(spark, scratch(spark, "history"), digits=1, bits=1 << 14)
+    past.add(docs.where("lang = 'en'"), "first")
+    for _ in range(2):
+        past.add(past.unseen(docs.where("lang = 'fr'"), "second"), "second")
+    return past.unseen(docs.where("lang NOT IN ('en', 'fr')"), "third").select("doc_id")
