@@ -8,7 +8,8 @@ permutation, so equal values get equal pseudonyms in all documents and different
 - Strings: characters keep their class and place; each round shifts one half by a keyed hash of the
   other. Classes are digits, small and capital letters and, in secrets, symbols; other letters, marks
   and numbers move among those of their category within 64 neighbouring code points, so that every
-  script stays itself. Check digits are made anew. Secrets and local parts have any length.
+  script stays itself. Check digits are made anew. Secrets and local parts have any length. A secret in quotes is all
+  that they hold; one without ends before white space or a quote.
 - Numbers: a pair (l, r) in Z_a x Z_b, one shifted by a keyed hash of the other in turn: addresses
   2^16 x 2^16; dates 189 x 773, the days of a 400-year cycle (1800 to 2199), so that each is a date;
   days after the 12th, which alone are written dd/mm/yyyy, 9 x 9833, so that they stay such days;
@@ -24,7 +25,8 @@ All in one row: matches are taken out as an array, mapped by higher-order functi
 between the pieces of the text. Null texts stay null, texts without matches stay as they are, repeated
 rows are mapped alike, an empty table stays empty, texts of any length are mapped whole. Columns of df
 that are named like the list of kinds are replaced, all others pass. Numbers that fail validation are
-left alone. A permutation may map a value to itself (one of a single letter does so once in 26 keys):
+left alone. Not looked for: bearer and JWT tokens, keys of other makers than named above, IPv6, ten digits without
+separators, national phone numbers without `+`, dates in words or outside 1800 to 2199. A permutation may map a value to itself (one of a single letter does so once in 26 keys):
 such a value is not listed among the kinds.
 """
 
@@ -55,10 +57,17 @@ def _iban(length: int, lands: str) -> str:
     return f"(?:{lands.replace(' ', '|')})\\d{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}" + (f" ?[A-Z0-9]{{{rest}}}" if rest else "") + "(?![A-Za-z0-9])"
 
 
-# What follows the name of a secret: after `=` any value, after `:` one of 8 characters or of 4 with a digit or symbol, as prose has colons too.
-# Neither white space nor quotes are part of it, nor closing punctuation at its end.
-_NAME, _OPEN, _END = r"(?i:password|passwd|passphrase|passcode|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?[ \t]{0,3}", r"[ \t]{0,3}[\"']?", r"[^\s\"'.,;:!?)\]}>]"
-SECRET = rf"{_NAME}(?:={_OPEN}[^\s\"']*{_END}|:{_OPEN}(?:[^\s\"']{{7,}}{_END}|(?=[^\s\"']{{0,7}}[0-9#$%&*+/=@^|~_-])[^\s\"']{{3,}}{_END}))"
+# What follows the name of a secret, with any white space and one line break on each side of the sign. In quotes it runs to the
+# closing quote of the line (after `:` from 4 characters on). Else it ends before white space or a quote: after `=` any value, after `:`
+# one of 8 characters or of 4 with a digit or symbol, as prose has colons too (the latter only behind a line break). One closing sign
+# at its end is the sentence's, and brackets are; two signs and more are its own.
+_GAP = r"[ \t]*+(?:\r?\n[ \t]*+)?+"
+_NAME = r"(?i:password|passwd|passphrase|passcode|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?" + _GAP
+_OPEN, _END, _SIGNS = _GAP + r"[\"']?", r"[^\s\"'.,;:!?)\]}>]", r"[.,;:!?]{2,}+(?=[\s\"']|$)"
+_LAST = rf"(?:{_END}|{_SIGNS})"
+_ODD = r"(?=[^\s\"']{0,7}[0-9#$%&*+/=@^|~_-])[^\s\"']{3,}" + _LAST
+_QUOTED = r"(?:\"[^\"\r\n]{%d,}+(?=\"|$)|'[^'\r\n]{%d,}+(?='|$))"
+SECRET = rf"{_NAME}(?:=(?:{_GAP}{_QUOTED % (1, 1)}|{_OPEN}[^\s\"']*{_LAST})|:(?:{_GAP}{_QUOTED % (4, 4)}|[ \t]*+[\"']?(?:[^\s\"']{{7,}}{_LAST}|{_ODD})|{_OPEN}{_ODD}))"
 # The formats, tried in this order.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{M}\p{N}._%+-])[\p{L}\p{M}\p{N}._%+-]++@(?:[\p{L}\p{M}\p{N}-]{1,63}\.){1,126}[\p{L}\p{M}]{2,63}(?![\p{L}\p{M}\p{N}-])",
@@ -74,9 +83,9 @@ PATTERNS = {
     "phone": r"(?<![\w+])\+[1-9]\d{0,2}(?:[ .-]?\(?\d{1,4}\)?){2,6}(?!\w|\.\d)",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-# The classes within which characters move, and those of symbols in secrets. None of these symbols closes a value.
+# The classes within which characters move, and those of symbols in secrets.
 ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
-SYMBOLS = ("-_", "#$%&*+/=@^|~")
+SYMBOLS = ("-_", "#$%&*+/=@^|~", ".,;:!?")
 #: Categories of other characters that move, and the neighbours among which they do.
 CATEGORIES, BLOCK = ("Lu", "Ll", "Lt", "Lm", "Lo", "M", "N"), 64
 _DAY0, _DAYS = "1800-01-01", 146_097

@@ -28,7 +28,7 @@ def category(c):
 def alphabet_of(c, kind):
     """The characters among which c moves."""
     if c.isascii():
-        classes = ["0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", *(["-_", "#$%&*+/=@^|~"] if kind == "secret" else [])]
+        classes = ["0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", *(["-_", "#$%&*+/=@^|~", ".,;:!?"] if kind == "secret" else [])]
         return next((a for a in classes if c in a), c)
     first = ord(c) // 64 * 64
     return [x for x in map(chr, range(first, first + 64)) if category(x) == category(c)] if category(c) else c
