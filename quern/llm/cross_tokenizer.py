@@ -45,7 +45,7 @@ STRIPE = 256
 #: Distinct links and documents of a chunk, and characters encoded together.
 CHUNK_LINKS, CHUNK_DOCS, CHARS = 1 << 20, 1 << 15, 1 << 20
 #: Rows of chunks whose counts one task adds up, and links that one task scores.
-PART_CHUNKS, PART_LINKS = 1 << 11, 1 << 22
+PART_CHUNKS, PART_LINKS = 1 << 11, 1 << 19
 #: Pre-tokens kept in a worker, and the longest of them (characters).
 CACHE_ENTRIES, LONGEST_CACHED = 200_000, 64
 
