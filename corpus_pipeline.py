@@ -4,7 +4,7 @@ Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kep
 return the columns of documents. `run` writes each stage as Parquet below the shared folder and rereads it; only the last output stays there.
 
 Null and empty texts, null and repeated ids, repeated rows, texts of any length and empty tables pass through
-every stage; columns of documents with any other names are kept as they are, whatever the operators call theirs.
+every stage; columns of documents with any other names are kept as they are, of any types (maps, too), whatever the operators call theirs.
 
 SQL can express neither the fitted classifier nor the tokens, so there is no SQL for the whole
 (tests compare the stages with brute-force versions).
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from quern.llm import near_duplicates, packing, pii, queries
 from quern.llm import quality as quality_op
 from quern.llm.shared import delete, fresh, scratch, ship, tidied, written
+from quern.operators.dedup import row_hash
 
 #: Keys of removed rows that may be broadcast (25 bytes each); beyond that the join is shuffled.
 BROADCAST_IDS = 1_000_000
@@ -57,7 +58,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     again = touched.where("kept").select(key)
     if again.isEmpty():
         return out
-    one = keyed.join(small(again), key, "left_semi").groupBy(key).agg(F.min(F.struct(*docs.columns)).alias("one"))
+    one = keyed.join(small(again), key, "left_semi").groupBy(key).agg(F.min_by(F.struct(*docs.columns), row_hash(docs)).alias("one"))
     return out.unionByName(one.select("one.*"))
 
 

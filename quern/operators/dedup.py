@@ -21,12 +21,17 @@ def dedup_hash(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A hash of a row of any types: columns with maps, which have neither order nor hash, count as JSON."""
+    return F.xxhash64(*[F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name) for f in df.schema.fields])
+
+
 def first_of(df: DataFrame, by: str, order: str) -> DataFrame:
     """One row per value of `by`: the least by `order` (nulls last), then by a hash of the row, so that equal rows are one.
 
     An aggregate: rows are reduced before the shuffle, and a value that many rows share costs its partial results.
     """
-    place = F.struct(F.col(order).isNull(), F.col(order), F.xxhash64(*df.columns))
+    place = F.struct(F.col(order).isNull(), F.col(order), row_hash(df))
     return df.groupBy(F.col(by).alias("_by")).agg(F.min_by(F.struct(*df.columns), place).alias("_row")).select("_row.*")
 
 
