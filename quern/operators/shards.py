@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -14,8 +15,10 @@ from .order import running
 
 #: Rows with token arrays that one task places.
 ROW_BUCKET = 20_000
-#: Ids of a range that one task fills, as orders and sizes.
-RANGE_IDS = 1_000_000
+#: Ids of a range that one task fills, as orders and sizes, and ranges whose tables become one.
+RANGE_IDS, SPAN = 1_000_000, 256
+#: The table of a range or of neighbouring ones.
+FACTS = {"total": "long", "empty_out": "long", "empty_opened": "long", "starts": "binary", "outs": "binary", "opens": "binary"}
 
 
 def fill(sizes: np.ndarray, target: int, held: int = 0) -> np.ndarray:
@@ -68,47 +71,86 @@ def carried(row: dict, target: int, held: int) -> tuple[int, int]:
     return int(outs[at]), int(opens[at])
 
 
+def composed(tables: list[dict], target: int) -> dict:
+    """One table for neighbouring ranges: what they make of any fill the first is entered with.
+
+    Where a range opens a shard, what follows depends on its outcome only; where it opens none, the next range sees the
+    fill so much higher, so its rows are shifted by the range's total.
+    """
+    out = tables[0]
+    for row in tables[1:]:
+        starts, outs, opens = (np.frombuffer(out[c], np.int64) for c in ("starts", "outs", "opens"))
+        led = [carried(row, target, int(o)) for o in outs]
+        own = starts < out["total"]
+        later, last, opened = (np.frombuffer(row[c], np.int64) for c in ("starts", "outs", "opens"))
+        behind = later + out["total"] < target
+        starts = np.concatenate([starts[own], later[behind] + out["total"]])
+        outs = np.concatenate([np.array([x[0] for x in led], np.int64)[own], last[behind]])
+        opens = np.concatenate([opens[own] + np.array([x[1] for x in led], np.int64)[own], opened[behind]])
+        new = np.append(True, (outs[1:] != outs[:-1]) | (opens[1:] != opens[:-1])) if len(outs) else np.empty(0, bool)
+        held, more = carried(row, target, out["empty_out"])
+        out = {"total": out["total"] + row["total"], "empty_out": held, "empty_opened": out["empty_opened"] + more, "starts": starts[new].tobytes(), "outs": outs[new].tobytes(), "opens": opens[new].tobytes()}
+    return out
+
+
 def next_fit(df: DataFrame, by: str, order: str, size: str, target: int, blocks: int | None = None) -> DataFrame:
-    """by, order (unique in its group) and shard: exact next-fit, in ranges of RANGE_IDS ids or in `blocks` equal ones.
+    """by, order (unique in its group) and shard: exact next-fit, in ranges of RANGE_IDS rows or in about `blocks` even ones.
 
     Next-fit is a chain, but what a range does depends on its rows before only by the fill of the open shard.
-    So every range makes a table from the fill that comes in to the one that goes out, one task per group walks
-    these tables (a lookup for each range), and the ranges are filled with what they are entered with.
-    Ranges only share out the work: the shards are the same with any of them.
+    So every range makes a table from the fill that comes in to the one that goes out. Tables compose: those of
+    SPAN ranges become one, a task walks the spans of a group, each span walks its ranges, and the ranges are filled
+    with what they are entered with. No task sees the tables of a whole group. Ranges only share out the work: the shards
+    are the same with any of them, and where one holds every group there is nothing to share. Ranges are cut by
+    the number of rows, so ids may be as sparse as they like; a null group is a group.
     """
     rows = df.select(by, order, F.col(size).cast("long").alias("_size"))
-    bounds = rows.groupBy(by).agg(F.min(order).alias("_lo"), F.max(order).alias("_hi"))
-    width = F.lit(RANGE_IDS) if blocks is None else (F.col("_hi") - F.col("_lo") + 1) / blocks
-    block = F.floor((F.col(order) - F.col("_lo")) / width).cast("int")
+    most = rows.groupBy(by).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    width = RANGE_IDS if blocks is None else max(1, -(-most // blocks))
     kind = {c: df.schema[c].dataType.simpleString() for c in (by, order)}
     ship(df.sparkSession)
-    # a row per group is broadcast, so that rows are dealt by range and never by group alone
-    placed = rows.join(F.broadcast(bounds), by).withColumn("_block", block).select(by, order, "_size", "_block")
+    result = f"{by} {kind[by]}, {order} {kind[order]}, shard int"
+
+    def place(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values([order, "_size"])
+        base, held = (int(rows[c].iloc[0]) if c in rows else 0 for c in ("_base", "_held"))
+        return rows.assign(shard=base + fill(rows["_size"].to_numpy(), target, held))[[by, order, "shard"]]
+
+    if most <= width:
+        return rows.groupBy(by).applyInPandas(place, result)
+    block = F.floor(F.col("_place") / width).cast("int").alias("_block")
+    placed = written(running(rows, None, order, F.lit(1).cast("long"), "_place", by=(by,)).select(by, order, "_size", block), "ranges")
 
     def table(rows: pd.DataFrame) -> pd.DataFrame:
         sizes = rows.sort_values([order, "_size"])["_size"].to_numpy()
         return pd.DataFrame([{by: rows[by].iloc[0], "_block": rows["_block"].iloc[0]} | fill_table(sizes, target)])
 
-    def walk(tables: Iterator) -> Iterator[tuple]:
-        group, shard, held = None, 0, 0
-        for row in tables:
-            if row[by] != group:
-                group, shard, held = row[by], 0, 0
-            yield row[by], row["_block"], shard, held
+    def join_up(tables: pd.DataFrame) -> pd.DataFrame:
+        ordered = tables.sort_values("_block")
+        return pd.DataFrame([{by: ordered[by].iloc[0], "_span": ordered["_span"].iloc[0]} | composed(ordered[list(FACTS)].to_dict("records"), target)])
+
+    def walk(tables: pd.DataFrame, step: str) -> pd.DataFrame:
+        shard, held = (int(tables[c].iloc[0]) if c in tables else 0 for c in ("_base", "_held"))
+        entered = []
+        for row in tables.sort_values(step).to_dict("records"):
+            entered.append((row[by], row[step], shard, held))
             held, opened = carried(row, target, held)
             shard += opened
-
-    def place(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values([order, "_size"])
-        filled = fill(rows["_size"].to_numpy(), target, int(rows["_held"].iloc[0]))
-        return rows.assign(shard=rows["_base"] + filled)[[by, order, "shard"]]
-
-    facts = "total long, empty_out long, empty_opened long, starts binary, outs binary, opens binary"
-    tables = placed.groupBy(by, "_block").applyInPandas(table, f"{by} {kind[by]}, _block int, {facts}")
-    walked = tables.repartition(by).sortWithinPartitions(by, "_block").rdd.mapPartitions(walk)
-    entered = df.sparkSession.createDataFrame(walked, f"{by} {kind[by]}, _block int, _base long, _held long")
-    ready = placed.join(entered, [by, "_block"])
-    return ready.groupBy(by, "_block").applyInPandas(place, f"{by} {kind[by]}, {order} {kind[order]}, shard int")
+        return pd.DataFrame(entered, columns=[by, step, "_base", "_held"])
+
+    facts = ", ".join(f"{c} {t}" for c, t in FACTS.items())
+    ranges = placed.groupBy(by, "_block").applyInPandas(table, f"{by} {kind[by]}, _block int, {facts}")
+    tables = written(ranges.withColumn("_span", F.floor(F.col("_block") / SPAN).cast("int")), "tables")
+    spans = tables.groupBy(by, "_span").applyInPandas(join_up, f"{by} {kind[by]}, _span int, {facts}")
+    entries = lambda step: f"{by} {kind[by]}, {step} int, _base long, _held long"
+    into = spans.groupBy(by).applyInPandas(lambda t: walk(t, "_span"), entries("_span"))
+    within = _matched(tables, into, by, "_span").groupBy(by, "_span").applyInPandas(lambda t: walk(t, "_block"), entries("_block"))
+    return _matched(placed, within, by, "_block").groupBy(by, "_block").applyInPandas(place, result)
+
+
+def _matched(left: DataFrame, right: DataFrame, *keys: str) -> DataFrame:
+    """left with the other columns of right, on keys of which nulls match."""
+    other = right.select(*[F.col(k).alias(f"_right{i}") for i, k in enumerate(keys)], *[c for c in right.columns if c not in keys])
+    return left.join(other, reduce(lambda x, y: x & y, (F.col(k).eqNullSafe(F.col(f"_right{i}")) for i, k in enumerate(keys)))).drop(*[f"_right{i}" for i in range(len(keys))])
 
 
 def windows(tokens: DataFrame, by: str, order: str, column: str, length: int) -> DataFrame:

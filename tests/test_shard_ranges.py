@@ -39,3 +39,34 @@ def test_export_in_ranges(spark, monkeypatch):
     for split in ("train", "test"):
         mine = [x for x in got if x["split_name"] == split]
         assert [x["shard"] for x in mine] == shards.fill(np.array([len(x["final_text"]) for x in mine]), int(0.0005 * 1024 * 1024)).tolist()
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_composed_tables(seed):
+    """A table of many ranges says what walking them one by one does, for any fill."""
+    r = random.Random(seed)
+    target = r.choice([7, 50, 400])
+    ranges = [[r.choice([0, 1, 3, 8, 60, 500]) if r.random() < 0.5 else r.randrange(1, 12) for _ in range(r.randrange(1, 14))] for _ in range(9)]
+    tables = [shards.fill_table(np.array(x), target) for x in ranges]
+    for upto in (1, 2, 5, 9):
+        one = shards.composed(tables[:upto], target)
+        for held in range(0, target + 1, max(1, target // 60)):
+            want, opened = held, 0
+            for t in tables[:upto]:
+                want, more = shards.carried(t, target, want)
+                opened += more
+            assert shards.carried(one, target, held) == (want, opened)
+
+
+@pytest.mark.parametrize("blocks", [None, 3, 40])
+def test_sparse_ids_and_null_groups(spark, blocks, monkeypatch):
+    monkeypatch.setattr(shards, "SPAN", 4)
+    r = random.Random(8)
+    ids = [-(1 << 62), -5, 0, 1, 5 * 10**15, 9 * 10**18, *r.sample(range(10**17, 10**18), 200)]
+    rows = [(g, i, r.randrange(0, 40)) for g in ("a", None) for i in ids]
+    got = sorted((str(x["g"]), x["id"], x["shard"]) for x in shards.next_fit(spark.createDataFrame(rows, "g string, id long, size int"), "g", "id", "size", 100, blocks).collect())
+    want = []
+    for g in ("a", None):
+        own = sorted((i, s) for k, i, s in rows if k == g)
+        want += [(str(g), i, int(n)) for (i, _), n in zip(own, shards.fill(np.array([s for _, s in own]), 100))]
+    assert got == sorted(want)
