@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -14,7 +15,9 @@ from ..functions import chars
 from ..sources.shared import held, ship, written
 
 PRIME = 2_147_483_647
-PERMUTATIONS, BANDS = 128, 8
+PERMUTATIONS, THRESHOLD = 128, 0.85
+#: Steps of the integrals over similarities.
+STEPS = 2_000
 
 
 def dedup_hash(text: Column) -> Column:
@@ -56,6 +59,29 @@ def shingles(text: Column, size: int = 3) -> Column:
     return F.transform(F.array(chars.words(text)), runs)[0]
 
 
+@cache
+def band_choice(threshold: float = THRESHOLD, permutations: int = PERMUTATIONS, missed: float = 0.5) -> tuple[int, int]:
+    """Bands and rows a band, of at most `permutations` together, that err least about a threshold.
+
+    Two texts of similarity s share a band with probability 1 - (1 - s^rows)^bands. The error is the integral of that below
+    the threshold (chance links), weighed by 1 - missed, and of its complement above (missed links), weighed by missed.
+    """
+    if not (0 < threshold < 1 and 0 <= missed <= 1 and permutations > 0):
+        raise ValueError("the threshold must be between 0 and 1, and there must be permutations")
+
+    def middles(lo: float, hi: float) -> np.ndarray:
+        return lo + (np.arange(STEPS) + 0.5) * (hi - lo) / STEPS
+
+    below, above = middles(0.0, threshold), middles(threshold, 1.0)
+
+    def error(choice: tuple[int, int]) -> float:
+        bands, rows = choice
+        apart = lambda s: (1 - s**rows) ** bands
+        return (1 - missed) * float((1 - apart(below)).mean()) * threshold + missed * float(apart(above).mean()) * (1 - threshold)
+
+    return min(((b, r) for b in range(1, permutations + 1) for r in range(1, permutations // b + 1)), key=error)
+
+
 def permutations() -> tuple[np.ndarray, np.ndarray]:
     """Factors and summands of the hash family, from a linear rule."""
     i = np.arange(PERMUTATIONS, dtype=np.int64)
@@ -84,22 +110,21 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(hashes: Column) -> Column:
-    """A key per band of the hashes of a text's shingles."""
-    rows = PERMUTATIONS // BANDS
+def band_keys(hashes: Column, bands: int, rows: int) -> Column:
+    """A key per band of `rows` permutations of the hashes of a text's shingles."""
     ship()
 
     @F.pandas_udf("array<string>")
     def keys(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             signed = [signature(np.unique(h)) for h in batch]
-            yield pd.Series([[f"{b}:" + hashlib.md5(",".join(map(str, s[b * rows : (b + 1) * rows])).encode()).hexdigest() for b in range(BANDS)] for s in signed])
+            yield pd.Series([[f"{b}:" + hashlib.md5(",".join(map(str, s[b * rows : (b + 1) * rows])).encode()).hexdigest() for b in range(bands)] for s in signed])
 
     return keys(hashes)
 
 
-def canonical(df: DataFrame, key: str, text: str) -> DataFrame:
-    """df with canonical_id: the least id (as text) among the rows that share a band with this one.
+def canonical(df: DataFrame, key: str, text: str, threshold: float = THRESHOLD) -> DataFrame:
+    """df with canonical_id: the least id (as text) among the rows that share a band with this one; bands are chosen for the threshold.
 
     Equal texts are one from the start, and each bucket passes on its least id only, so copies and buckets
     cost what their rows cost, however many. Rows without an id take one of their bucket, or their text's hash.
@@ -107,15 +132,15 @@ def canonical(df: DataFrame, key: str, text: str) -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
     one = df.groupBy(F.md5(body.cast("binary")).alias("_text")).agg(F.min(F.col(key).cast("string")).alias("_id"), F.min(body).alias("_body"))
     hashed = held(one, "_hashes", shingle_hashes(chars.words(F.col("_body"))))
-    keyed = written(hashed.select("_text", "_id", F.explode(band_keys(F.col("_hashes"))).alias("_band")), "bands")
+    keyed = written(hashed.select("_text", "_id", F.explode(band_keys(F.col("_hashes"), *band_choice(threshold))).alias("_band")), "bands")
     least = keyed.groupBy("_band").agg(F.min("_id").alias("_least"))
     found = keyed.join(least, "_band").groupBy("_text").agg(F.coalesce(F.min("_least"), F.concat(F.lit("#"), F.col("_text"))).alias("canonical_id"))
     return df.withColumn("_text", F.md5(body.cast("binary"))).join(found, "_text").drop("_text")
 
 
-def near(df: DataFrame, key: str, text: str, order: str) -> DataFrame:
+def near(df: DataFrame, key: str, text: str, order: str, threshold: float = THRESHOLD) -> DataFrame:
     """df with canonical_id, one row (the first by `order`, nulls last) per canonical id. Links do not chain."""
-    return first_of(canonical(df, key, text), "canonical_id", order)
+    return first_of(canonical(df, key, text, threshold), "canonical_id", order)
 
 
 def deduplicate(df: DataFrame, key: str, text: str, order: str) -> DataFrame:

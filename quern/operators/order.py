@@ -10,6 +10,7 @@ Null keys are rows as others: first in the natural order, as the empty key in a
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -64,3 +65,37 @@ def buffer_shuffle(df: DataFrame, key: str, buffer: int, seed: int, out: str = "
     runs = running(df, None, key, F.lit(1).cast("long"), "_order_run").withColumn("_order_run", F.floor(F.col("_order_run") / buffer))
     within = Window.partitionBy("_order_run").orderBy(shuffle_key(seed, F.col(key)), key)
     return runs.withColumn(out, F.col("_order_run") * buffer + F.row_number().over(within) - 1).drop("_order_run")
+
+
+#: Rounds of a permutation, and steps after which a walk gives up (no row ever does: each leaves the range with chance 1 / sqrt(n)).
+ROUNDS, WALK = 4, 64
+
+
+def sides(n: int) -> tuple[int, int]:
+    """Two numbers near the root of n whose product is n or a little more."""
+    a = max(1, math.isqrt(max(0, n - 1)) + 1)
+    return a, max(1, -(-n // a))
+
+
+def permuted(place: Column, n: int, seed: int, epoch: int) -> Column:
+    """Where a place (0 to n - 1) goes in an epoch's permutation of 0 to n - 1, by the place alone: no sort, no state, another order each epoch.
+
+    A Feistel network over pairs of remainders permutes a little more than n numbers; what falls outside is permuted again until
+    it does not (its cycle leads back, and passes the few numbers outside only). Hashes are of seed, epoch and round.
+    """
+    a, b = sides(n)
+    mixed = lambda turn, x: F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:{epoch}:{turn}:"), x.cast("string")).cast("binary")), 1, 15), 16, 10).cast("long")
+
+    def turned(turn: int):
+        if turn % 2 == 0:
+            return lambda p: p.withField("l", (p["l"] + mixed(turn, p["r"])) % a)
+        return lambda p: p.withField("r", (p["r"] + mixed(turn, p["l"])) % b)
+
+    def step(x: Column) -> Column:
+        pair = F.array(F.struct(F.floor(x / b).alias("l"), (x % b).alias("r")))
+        for turn in range(ROUNDS):
+            pair = F.transform(pair, turned(turn))  # the one element binds the pair
+        return F.transform(pair, lambda p: p["l"] * b + p["r"])[0]
+
+    at = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), step(place.cast("long")), lambda x, _: F.when(x >= n, step(x)).otherwise(x))
+    return F.transform(F.array(at), lambda x: F.when(x < n, x).otherwise(F.raise_error(F.lit("a place left the range too often")).cast("long")))[0]

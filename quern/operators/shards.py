@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import ship, written
-from .order import running
+from .order import permuted, running
 
 #: Rows with token arrays that one task places.
 ROW_BUCKET = 20_000
@@ -171,9 +171,10 @@ def windows(tokens: DataFrame, by: str, order: str, column: str, length: int) ->
     return whole.where(F.size("input_ids") == length)
 
 
-def batches(sequences: DataFrame, part: str, order: str, column: str, size: int, factor: int = 1) -> DataFrame:
+def batches(sequences: DataFrame, part: str, order: str, column: str, size: int, factor: int = 1, epoch: int | None = None, seed: int = 0) -> DataFrame:
     """batch, place (in its batch, from 0) and input_ids of full batches of `size`: the parts in sorted order, one after the other.
 
+    With an epoch, in that epoch's order of all sequences (`order.permuted`), which each row finds by itself.
     `order` counts a part's sequences from 0. With a factor, that many neighbours (across parts) are one
     sequence. What does not fill a sequence or a batch is dropped.
     """
@@ -183,9 +184,12 @@ def batches(sequences: DataFrame, part: str, order: str, column: str, size: int,
     if factor > 1:
         rows = numbered.groupBy(F.floor(F.col("_k") / factor).alias("_g")).agg(F.array_sort(F.collect_list(F.struct("_k", column))).alias("_all"))
         numbered = rows.where(F.size("_all") == factor).select(F.col("_g").alias("_k"), F.flatten(F.transform("_all", lambda x: x[column])).alias(column))
-    full = F.floor((F.coalesce(F.lit(numbered.agg(F.max("_k")).first()[0]), F.lit(-1)) + 1) / size)
+    last = numbered.agg(F.max("_k")).first()[0]
+    n = 0 if last is None else last + 1
+    if epoch is not None:
+        numbered = numbered.withColumn("_k", permuted(F.col("_k"), n, seed, epoch))
     batch = F.floor(F.col("_k") / size)
-    return numbered.where(batch < full).select(batch.alias("batch"), (F.col("_k") % size).cast("int").alias("place"), column)
+    return numbered.where(batch < n // size).select(batch.alias("batch"), (F.col("_k") % size).cast("int").alias("place"), column)
 
 
 def full_batches(df: DataFrame, key: str, order: list[str], size: int) -> DataFrame:

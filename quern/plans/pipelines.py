@@ -31,6 +31,7 @@ class Settings:
     script: str = "Devanagari"
     remove_urls: bool = True
     near_duplicates: bool = True
+    near_threshold: float = dedup.THRESHOLD
     validation: float = 0.01
     test: float = 0.01
     seed: int = 42
@@ -129,7 +130,7 @@ def ingest(spark: SparkSession, settings: Settings, out: str, dataset: DataFrame
             parts.append(phase.written(dedup.exact(passed.drop("dedup_hash"), "final_text", "record_id"), "exact"))
         if settings.near_duplicates:
             with log.phase("near_duplicates", "documents", log.out()) as phase:
-                near = dedup.near(parts.pop(), "record_id", "final_text", "record_id").withColumn("near_dedup_cluster_id", F.col("canonical_id"))
+                near = dedup.near(parts.pop(), "record_id", "final_text", "record_id", settings.near_threshold).withColumn("near_dedup_cluster_id", F.col("canonical_id"))
                 parts.append(phase.written(near, "near"))
         parts.append(records.conform(parts.pop()))
         read += log.out()

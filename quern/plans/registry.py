@@ -256,20 +256,30 @@ def shingles(spark, sf_dir):
 
 
 _P = dedup.PRIME
-_CANONICAL = f"""WITH {_SHINGLES},
+def _canonical(bands: int, rows: int) -> str:
+    return f"""WITH {_SHINGLES},
 h AS (SELECT doc_id, list_transform(sh, lambda x: ('0x' || substr(md5(x), 1, 8))::BIGINT % {_P}) AS hs FROM s),
-p AS (SELECT i, (i * 1103515245 + 12345) % {_P - 1} + 1 AS a, (i * 69069 + 1) % {_P} AS b FROM range({dedup.PERMUTATIONS}) r(i)),
+p AS (SELECT i, (i * 1103515245 + 12345) % {_P - 1} + 1 AS a, (i * 69069 + 1) % {_P} AS b FROM range({bands * rows}) r(i)),
 m AS (SELECT doc_id, i, list_min(list_transform(hs, lambda x: (a * x + b) % {_P})) AS v FROM h, p),
-k AS (SELECT doc_id, (i // 16) || ':' || md5(string_agg(v::VARCHAR, ',' ORDER BY i)) AS band FROM m GROUP BY doc_id, i // 16),
+k AS (SELECT doc_id, (i // {rows}) || ':' || md5(string_agg(v::VARCHAR, ',' ORDER BY i)) AS band FROM m GROUP BY doc_id, i // {rows}),
 l AS (SELECT band, min(doc_id::VARCHAR) AS least FROM k GROUP BY band),
 c AS (SELECT doc_id, min(least) AS canonical_id FROM k JOIN l USING (band) GROUP BY doc_id)"""
 
 
+_CANONICAL = _canonical(8, 16)
+
+
 @query(_CANONICAL + " SELECT doc_id, canonical_id FROM c QUALIFY row_number() OVER (PARTITION BY canonical_id ORDER BY doc_id) = 1")
 def lsh_near_dedup(spark, sf_dir):
     return dedup.near(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text", "doc_id").select("doc_id", "canonical_id")
 
 
+@query(_canonical(9, 13) + " SELECT doc_id, canonical_id FROM c QUALIFY row_number() OVER (PARTITION BY canonical_id ORDER BY doc_id) = 1")
+def lsh_near_dedup_080(spark, sf_dir):
+    """With bands and rows chosen for a similarity of 0.8."""
+    return dedup.near(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text", "doc_id", threshold=0.8).select("doc_id", "canonical_id")
+
+
 @query(f"""{_CANONICAL.replace("FROM documents)", f"FROM (SELECT * FROM documents QUALIFY row_number() OVER (PARTITION BY sha256({T}) ORDER BY doc_id) = 1))", 1)}
 SELECT doc_id, canonical_id FROM c QUALIFY row_number() OVER (PARTITION BY canonical_id ORDER BY doc_id) = 1""")
 def full_dedup(spark, sf_dir):

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import dedup, history, quality
+from ..operators import dedup, history, quality, shards
 from ..sources import records, run_log
 from ..sources.shared import scratch, written
 from ..streaming import ingest, packing
 from . import pipelines
 from .more_queries import ORACLE_SQL, QUERIES
-from .registry import _CANONICAL, _TOKENS, NORMALISED, REASON, T, _ids_digest, _strip, _word_ids, query, table
+from .registry import _CANONICAL, _TOKENS, NORMALISED, REASON, T, _ids_digest, _sequences, _strip, _word_ids, query, table
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
@@ -89,3 +89,33 @@ def unseen_by_history(spark, sf_dir):
     for _ in range(2):
         past.add(past.unseen(docs.where("lang = 'fr'"), "second"), "second")
     return past.unseen(docs.where("lang NOT IN ('en', 'fr')"), "third").select("doc_id")
+
+
+# Loaders
+
+_SEED, _EPOCHS = 11, 3
+
+
+def _mixed(turn: int, x: str) -> str:
+    return f"('0x' || substr(md5('{_SEED}:' || e || ':{turn}:' || {x}), 1, 15))::BIGINT"
+
+
+def _step(rows: str) -> str:
+    """One pass of the permutation over rows (e, k, x), with the sides a and b of z."""
+    out = f"(SELECT e, k, a, b, n, x // b AS l, x % b AS r FROM {rows}, z)"
+    for turn in range(4):
+        new = f"(l + {_mixed(turn, 'r')}) % a AS l, r" if turn % 2 == 0 else f"l, (r + {_mixed(turn, 'l')}) % b AS r"
+        out = f"(SELECT e, k, a, b, n, {new} FROM {out})"
+    return f"(SELECT e, k, n, l * b + r AS x FROM {out})"
+
+
+@query(f"""WITH RECURSIVE {_TOKENS}, g AS (SELECT row_number() OVER (ORDER BY lang, sequence) - 1 AS k, input_ids FROM q),
+d AS (SELECT k // 2 AS k, flatten(list(input_ids ORDER BY k)) AS input_ids FROM g GROUP BY k // 2 HAVING count(*) = 2),
+z AS (SELECT n, a, greatest(1, ceil(n / a))::BIGINT AS b FROM (SELECT n, greatest(1, floor(sqrt(greatest(0, n - 1))) + 1)::BIGINT AS a FROM (SELECT coalesce(max(k), -1) + 1 AS n FROM d))),
+walk AS (SELECT e, k, x, n FROM {_step(f"(SELECT e, k, k AS x FROM d, range({_EPOCHS}) r(e))")} UNION ALL SELECT e, k, x, n FROM {_step("(SELECT e, k, x FROM walk WHERE x >= n)")})
+SELECT e::INT AS epoch, x // 4 AS batch, (x % 4)::INT AS place, md5(array_to_string(input_ids, ',')) AS digest FROM walk JOIN d USING (k) WHERE x < n AND x // 4 < n // 4""")
+def epoch_batches(spark, sf_dir):
+    """Full batches of three epochs, each in its own order of all sequences (neighbours joined by two)."""
+    rows = written(_sequences(spark, sf_dir), "sequences")
+    epochs = [shards.batches(rows, "lang", "sequence", "input_ids", 4, 2, e, _SEED).select(F.lit(e).alias("epoch"), "batch", "place", _ids_digest()) for e in range(_EPOCHS)]
+    return epochs[0].unionByName(epochs[1]).unionByName(epochs[2])
