@@ -88,6 +88,28 @@ def has_repeated_lines(text: Column) -> Column:
     return F.exists(F.array(F.filter(F.transform(F.split(text, LINE_END), strip), lambda x: x != "")), repeated)
 
 
+#: Names under which a text is looked for, in this order.
+TEXT_NAMES = ("text", "content", "sentence", "document", "data")
+
+
+def text_of_json(line: Column, names: tuple[str, ...] = TEXT_NAMES) -> Column:
+    """The text of a JSON object of any layout: its first of these fields that holds a string that is not blank, else all its string fields, in their order, by line.
+
+    Fields are VARIANT, so that no schema is needed; numbers, lists and objects are no text. Null for what is no object, empty for one without strings.
+    """
+    texts = lambda fields: F.transform(F.filter(F.map_entries(fields), lambda e: F.schema_of_variant(e["value"]) == "STRING"), lambda e: F.struct(e["key"].alias("key"), F.variant_get(e["value"], "$", "string").alias("text")))
+
+    def pick(found: Column) -> Column:
+        first = F.coalesce(*[F.get(F.filter(found, _named(n)), 0)["text"] for n in names])
+        return F.coalesce(first, F.array_join(found["text"], "\n"))
+
+    return F.transform(F.array(texts(F.from_json(line, "map<string, variant>"))), pick)[0]
+
+
+def _named(name: str):
+    return lambda e: (e["key"] == name) & (strip(e["text"]) != "")
+
+
 def first_text(*columns: Column) -> Column:
     """The first that is not blank; if all are, the ones that are set, by lines."""
     return F.coalesce(*[F.when(strip(c) != "", c) for c in columns], F.concat_ws("\n", *columns))

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text
 from ..operators import dedup, history, quality, shards
-from ..sources import records, run_log
+from ..sources import answers, records, run_log
 from ..sources.shared import scratch, written
 from ..streaming import ingest, packing
 from . import pipelines
 from .more_queries import ORACLE_SQL, QUERIES
-from .registry import _CANONICAL, _TOKENS, NORMALISED, REASON, T, _ids_digest, _sequences, _strip, _word_ids, query, table
+from .registry import _CANONICAL, _TOKENS, NORMALISED, REASON, T, _ids_digest, _sequences, _strip, _word_ids, digest, query, table
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
@@ -119,3 +120,56 @@ def epoch_batches(spark, sf_dir):
     rows = written(_sequences(spark, sf_dir), "sequences")
     epochs = [shards.batches(rows, "lang", "sequence", "input_ids", 4, 2, e, _SEED).select(F.lit(e).alias("epoch"), "batch", "place", _ids_digest()) for e in range(_EPOCHS)]
     return epochs[0].unionByName(epochs[1]).unionByName(epochs[2])
+
+
+# Continued answers, layouts without a schema
+
+_CHAINS = """p AS (SELECT page_id, page_id::VARCHAR AS title, regexp_extract_all(html, '<a href="/([^"#]+)"', 1) AS ls FROM pages), n AS (SELECT *, greatest(1, ceil(len(ls) / 2))::INT AS steps FROM p),
+k AS (SELECT *, CASE WHEN page_id % 5 = 2 THEN steps - 1 ELSE steps END AS have FROM n)"""
+
+
+@query(f"""WITH {_CHAINS}, l AS (SELECT title, have, unnest(ls) AS link, generate_subscripts(ls, 1) AS i FROM k)
+SELECT title, ((i - 1) // 2)::INT AS step, link, NULL::VARCHAR AS error FROM l WHERE (i - 1) // 2 < have
+UNION ALL SELECT title, have, NULL, CASE WHEN have = 0 THEN 'no answer to {{}}' ELSE 'no answer to {{"plcontinue": "' || title || '|' || have || '"}}' END FROM k WHERE have < steps""")
+def chained_links(spark, sf_dir):
+    """Links of pages out of saved answers of two links each, which continue one another; of every fifth page the last answer is missing."""
+    pages = table(spark, sf_dir, "pages").select("page_id", F.col("page_id").cast("string").alias("title"), F.regexp_extract_all("html", F.lit(r'<a href="/([^"#]+)"'), F.lit(1)).alias("ls"))
+    steps = F.greatest(F.lit(1), F.ceil(F.size("ls") / 2)).cast("int")
+    cut = pages.select("*", F.explode(F.sequence(F.lit(0), steps - 1)).alias("step"), steps.alias("steps")).where((F.col("page_id") % 5 != 2) | (F.col("step") < F.col("steps") - 1))
+    token = lambda n: F.struct(F.concat("title", F.lit("|"), n.cast("string")).alias("plcontinue"))
+    links = F.transform(F.slice("ls", F.col("step") * 2 + 1, F.lit(2)), lambda t: F.struct(t.alias("title")))
+    more = F.when(F.col("step") < F.col("steps") - 1, token(F.col("step") + 1)).alias("continue")
+    answer = F.to_json(F.struct(F.struct(F.create_map(F.col("title"), F.struct(links.alias("links"))).alias("pages")).alias("query"), more))
+    asked = F.when(F.col("step") > 0, token(F.col("step")))
+    path = scratch(spark, "answers")
+    # all answers of a title in one file
+    cut.select("title", F.to_json(F.struct("title", asked.alias("asked"), answer.alias("answer"))).alias("value")).repartition(8, "title").select("value").write.text(path)
+    return answers.saved_links(spark, path)
+
+
+_LAYOUT = "doc_id % 6"
+
+
+@query(f"""SELECT doc_id, md5(CASE {_LAYOUT} WHEN 0 THEN {T} WHEN 1 THEN '  ' || E'\\n' || lang || E'\\n' || source WHEN 2 THEN CASE WHEN {_strip(T)} <> '' THEN {T} ELSE lang END WHEN 3 THEN {T} || E'\\n' || source WHEN 4 THEN '' END) AS digest FROM documents""")
+def texts_of_any_layout(spark, sf_dir):
+    """Texts of JSON lines of six layouts, one of them no object: read as VARIANT, without a schema."""
+    docs, of = table(spark, sf_dir, "documents"), F.col("doc_id") % 6
+    t = F.coalesce("text", F.lit(""))
+    layouts = [
+        F.struct(F.lit(1).alias("n"), F.lit("x").alias("other"), t.alias("text")), F.struct(F.lit("  ").alias("text"), F.col("lang").alias("a"), F.struct(t.alias("text")).alias("nested"), F.col("source").alias("b")),
+        F.struct(F.col("lang").alias("data"), t.alias("content")), F.struct(t.alias("z"), F.array("lang").alias("list"), F.col("source").alias("a")), F.struct(F.col("n_chars").alias("text")),
+    ]
+    line = F.lit("[1, 2]")
+    for n, layout in enumerate(layouts):
+        line = F.when(of == n, F.to_json(layout)).otherwise(line)
+    path = scratch(spark, "layouts")
+    docs.select("doc_id", line.alias("line")).write.parquet(path)
+    return spark.read.parquet(path).select("doc_id", digest(text.text_of_json(F.col("line"))).alias("digest"))
+
+
+@query("""SELECT event_type, count(*) AS events, sum((props->>'k')::BIGINT)::BIGINT AS total, max((props->>'k')::INT) AS largest, count(*) FILTER (WHERE props->>'none' IS NOT NULL) AS others FROM events GROUP BY event_type""")
+def props_of_events(spark, sf_dir):
+    """Properties of events, read as VARIANT."""
+    rows = table(spark, sf_dir, "events").withColumn("v", F.try_parse_json("props"))
+    k = F.try_variant_get("v", "$.k", "long")
+    return rows.groupBy("event_type").agg(F.count("*").alias("events"), F.sum(k).alias("total"), F.max(k).cast("int").alias("largest"), F.count(F.try_variant_get("v", "$.none", "string")).alias("others"))
