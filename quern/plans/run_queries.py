@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import dedup, history, quality, shards
-from ..sources import answers, records, run_log
+from ..sources import answers, page_tables, records, run_log
 from ..sources.shared import scratch, written
 from ..streaming import ingest, packing
 from . import pipelines
-from .more_queries import ORACLE_SQL, QUERIES
+from .more_queries import ORACLE_SQL, QUERIES, _by_halves, _whole
 from .registry import _CANONICAL, _TOKENS, NORMALISED, REASON, T, _ids_digest, _sequences, _strip, _word_ids, digest, query, table
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -173,3 +173,26 @@ def props_of_events(spark, sf_dir):
     rows = table(spark, sf_dir, "events").withColumn("v", F.try_parse_json("props"))
     k = F.try_variant_get("v", "$.k", "long")
     return rows.groupBy("event_type").agg(F.count("*").alias("events"), F.sum(k).alias("total"), F.max(k).cast("int").alias("largest"), F.count(F.try_variant_get("v", "$.none", "string")).alias("others"))
+
+
+# Table functions
+
+
+@query(ORACLE_SQL["extraction_fallback"])
+def pages_by_table_function(spark, sf_dir):
+    """Pages by engines, page by page, in SQL."""
+    files = table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("document_id"), F.encode("html", "UTF-8").alias("content"))
+    page_tables.register(spark, [("halves", _by_halves), ("whole", _whole)])
+    files.createOrReplaceTempView("quern_page_files")
+    return spark.sql("SELECT document_id, page_number, md5(encode(text, 'UTF-8')) AS digest, engine, error FROM extract_pages(TABLE(quern_page_files))")
+
+
+@query(ORACLE_SQL["paragraph_explode"].replace("SELECT conv_id, 'p'", "SELECT conv_id::VARCHAR AS conv_id, 'p'"))
+def paragraphs_by_table_function(spark, sf_dir):
+    """Paragraphs of conversations, a turn at a time with a cursor, in SQL."""
+    order = F.struct("turn", "role", "text").alias("part")
+    turns = table(spark, sf_dir, "conversations").where("text IS NOT NULL").select(F.col("conv_id").cast("string").alias("document_id"), order, F.concat("text", F.lit("\n\n")).alias("text"))
+    page_tables.register(spark, [])
+    turns.createOrReplaceTempView("quern_turns")
+    found = spark.sql("SELECT * FROM split_paragraphs(TABLE(quern_turns) PARTITION BY document_id ORDER BY part)")
+    return found.select(F.col("document_id").alias("conv_id"), F.format_string("p%04d", "n").alias("paragraph_id"), digest(F.col("paragraph")).alias("digest"))
