@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import fresh
+from .shared import fresh, ship, written
 
 
 def _score(key: Column, shard: int, weight: float) -> Column:
@@ -50,31 +50,27 @@ def rendezvous(key: Column, weights: Sequence[float], grown: float | None = None
     )[0]
 
 
-def shard(df: DataFrame, key: str, weights: Sequence[float], grown: float | None = None, tie: Sequence[str] = (), buckets: int = 4096) -> DataFrame:
+def shard(df: DataFrame, key: str, weights: Sequence[float], grown: float | None = None, tie: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
     """All rows of df with `shard`, `slot` (gapless from 0 in each shard) and, if asked for, `grown_shard`.
 
-    Slots follow md5(key), key, then the columns `tie`. No task sorts a whole shard: a shard is cut
-    into `buckets` ranges of md5(key), counted first, so that a range knows how many rows precede it.
-    Only the counts (shards x buckets rows at most) are joined back.
+    Slots follow md5(key), key, then the columns `tie`, which must have an order. Shards are found once and written; rows are then
+    sorted by shard and slot order in ranges (`buckets` of them, or as many as the session shuffles to), and rows that
+    are equal in all of that by chance, so that neither null keys nor a hot one meet in one task. A range holds a run of each
+    of its shards; the counts of these runs (ranges + shards rows at most) say how many rows precede a run.
     """
-    hashed, part, before, spot = fresh(df, "_hash", "_part", "_before", "_spot")
+    ship(df.sparkSession)
+    hashed, part, first, before, spot, chance, row = fresh(df, "_hash", "_part", "_first", "_before", "_spot", "_chance", "_row")
     names = ["shard", "grown_shard"] if grown is not None else ["shard"]
     kept = [c for c in df.columns if c not in (*names, "slot")]
     name = F.coalesce(F.col(key).cast("string"), F.lit(""))
-    placed = (
-        df.select(*kept, F.md5(name.cast("binary")).alias(hashed), rendezvous(F.col(key), weights, grown).alias(spot))
-        .select(*kept, hashed, *[F.col(spot)[n].alias(n) for n in names])
-        .withColumn(part, (F.conv(F.substring(hashed, 1, 6), 16, 10).cast("long") * F.lit(buckets) / F.lit(1 << 24)).cast("int"))
-    )
-    ranges = (
-        placed.groupBy("shard", part)
-        .count()
-        .withColumn(before, F.sum("count").over(Window.partitionBy("shard").orderBy(part).rowsBetween(Window.unboundedPreceding, -1)))
-        .select("shard", part, F.coalesce(before, F.lit(0)).alias(before))
-    )
-    order = Window.partitionBy("shard", part).orderBy(hashed, key, *tie)
-    return (
-        placed.withColumn(spot, F.row_number().over(order))
-        .join(ranges, ["shard", part])
-        .select(*kept, *names, (F.col(before) + F.col(spot) - 1).cast("long").alias("slot"))
-    )
+    placed = df.select(*kept, F.md5(name.cast("binary")).alias(hashed), rendezvous(F.col(key), weights, grown).alias(spot), F.rand(9).alias(chance))
+    placed = written(placed.select(*kept, hashed, chance, *[F.col(spot)[n].alias(n) for n in names]), "placed")
+    order = ["shard", hashed, key, *tie, chance]
+    dealt = placed.repartitionByRange(*([buckets] if buckets else []), *order).sortWithinPartitions(*order)
+    numbered = written(dealt.select(*kept, *names, F.monotonically_increasing_id().alias(row)), "numbered")
+    numbered = numbered.withColumn(part, F.shiftright(row, 33))
+    runs = numbered.groupBy("shard", part).agg(F.count("*").alias(spot), F.min(row).alias(first))
+    ahead = F.sum(spot).over(Window.partitionBy("shard").orderBy(part).rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.select("shard", part, first, F.coalesce(ahead, F.lit(0)).alias(before))
+    slot = (F.col(before) + F.col(row) - F.col(first)).cast("long").alias("slot")
+    return numbered.join(F.broadcast(runs), ["shard", part]).select(*kept, *names, slot)
