@@ -33,7 +33,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import scratch, written
+from .shared import scratch, ship, written
 
 #: Rows and queries whose products are made at once in a task.
 CHUNK, SLICE = 2048, 2048
@@ -134,27 +134,28 @@ def top_k(df: DataFrame, key: str, vector: str, is_query: Column, k: int, scale:
     to the shared folder before the next block starts.
     """
     spark = df.sparkSession
+    ship(spark)
     flag = F.coalesce(is_query, F.lit(False)).alias("asks")
     rows = df.where(F.col(key).isNotNull() & valid(F.col(vector))).select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector"), flag)
     seen = rows.agg(F.max(F.size("vector")).alias("dims"), F.count_if("asks").alias("asking")).first()
     dims = max(1, seen["dims"] or 0)
-    blocks = -(-(seen["asking"] or 0) // max(1, block_bytes // (8 * dims)))
+    block_rows = max(1, block_bytes // (8 * dims))
     parts = min(parts, dims)
     path, result = scratch(spark, "top_k"), "query long, rank int, vec long, score long"
     spark.createDataFrame([], result).write.parquet(path)
     made = rows.mapInPandas(lambda x: _whole_vectors(x, dims, scale), "id long, asks boolean, norm double, whole array<double>")
     # files hold ranges of norms, so that the second pass skips those below every cutoff
     vectors = written(made.repartitionByRange("norm").sortWithinPartitions("norm"), "vectors")
-    asking = vectors.where("asks").select("id", "whole", "norm")
-    # blocks of even size by hash; a block's queries are collected, which block_bytes bounds up to chance
-    numbered = asking.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(max(1, blocks))))
+    # blocks by the place in which queries were written, so that a query id that repeats makes no block larger
+    place = F.monotonically_increasing_id()
+    asking = vectors.where("asks").select("id", "whole", "norm").repartition(max(1, -(-(seen["asking"] or 0) // block_rows)))
+    asking = written(asking.select("*", (place.bitwiseAND(F.lit((1 << 33) - 1)) / block_rows).cast("int").alias("nth"), F.shiftright(place, 33).cast("int").alias("part")), "queries")
     nth = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("score"), "vec"))
     # two steps, so that no query's lists of all tasks meet in one place unreduced
     reduced = lambda lists: lists.withColumn("salt", F.spark_partition_id() % 64).withColumn("rank", nth("q", "salt")).where(F.col("rank") <= k).withColumn("rank", nth("q")).where(F.col("rank") <= k)
-    for b in range(blocks):
-        own = sorted(((r["id"], r["norm"], r["whole"]) for r in numbered.where(F.col("block") == b).collect()), key=lambda x: x[0])
-        if not own:
-            continue
+    for b in sorted(asking.select("part", "nth").distinct().collect()):
+        block = asking.where((F.col("part") == b["part"]) & (F.col("nth") == b["nth"])).collect()  # block_rows at most
+        own = sorted(((r["id"], r["norm"], r["whole"]) for r in block), key=lambda x: x[0])
         query_ids, norms = np.array([x[0] for x in own], np.int64), np.array([x[1] for x in own])
         sent = spark.sparkContext.broadcast((query_ids, np.array([x[2] for x in own], np.float64)))
         schema = "q int, vec long, score long"
