@@ -19,7 +19,9 @@ what links connect. Steps:
 
 No step collects links, and no step emits the pairs of a bucket whose members are already connected. A bucket
 of more than BLOCK members is cut into parts by the members' digests: what is known of the bucket is dealt to
-all parts, and members of two parts meet in a task of their own, so that no bucket lands in one task.
+all parts, and members of two parts meet in a task of their own, so that no bucket lands in one task. Between a
+bucket's largest component and the others the larger side is dealt out once and the smaller goes to all of its parts; among o
+others there are o^2 / BLOCK rows and o^2 comparisons at most.
 
 Texts of any length are taken whole; repeated rows are documents of one class; an empty table gives no rows;
 columns of df other than key and text are not read. Nulls and empty texts have no shingles: they are linked with nothing. A row with a null id is linked
@@ -29,13 +31,14 @@ with nothing and has a null component. Rows that repeat an id are documents of t
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import trim, written
+from .shared import ship, trim, written
 
 #: Ids that may be broadcast (8 bytes each); beyond that the join is shuffled.
 BROADCAST_IDS = 1_000_000
@@ -216,9 +219,13 @@ def _parts(size: Column) -> Column:
     return F.ceil(size / BLOCK).cast("int")
 
 
+def _own_part(parts: Column) -> Column:
+    return F.pmod(F.xxhash64("digest"), parts).cast("int")
+
+
 def _dealt(members: DataFrame, name: str = "salt") -> DataFrame:
     """Members (bucket, digest, size) with the part of their bucket that they are in."""
-    return members.withColumn(name, F.pmod(F.xxhash64("digest"), _parts(F.col("size"))).cast("int"))
+    return members.withColumn(name, _own_part(_parts(F.col("size"))))
 
 
 def _to_all(buckets: DataFrame, name: str = "salt") -> DataFrame:
@@ -243,6 +250,7 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> D
 def near_duplicates(df: DataFrame, key: str, text: str, threshold: tuple[int, int] = (85, 100), words: int = 5, bands: int = 25, rows: int = 5) -> DataFrame:
     """A row per row of df: the id, n_shingles, component_id (the least id of its component) and kept."""
     part, whole = threshold
+    ship(df.sparkSession)
     feat = written(features(df, key, text, words, bands, rows), "features")
     real = feat.where(F.col("digest").isNotNull() & F.col("id").isNotNull())
     members = real.select("digest", F.col("n_shingles").alias("n"), "keys").dropDuplicates(["digest"]).select("digest", "n", F.explode("keys").alias("bucket"))
@@ -279,15 +287,27 @@ def near_duplicates(df: DataFrame, key: str, text: str, threshold: tuple[int, in
         marked = sets.select("digest", *[F.col("odd")[i].alias(c) for i, c in enumerate(odd)])
         # a bucket's largest component (copies of one text, as a rule) meets the others only, not itself
         counted = open_.groupBy("bucket", "comp").agg(F.count("*").alias("count"), F.max("size").alias("size"))
-        main = counted.groupBy("bucket").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"), F.max("size").alias("size"))
-        full = open_.join(marked, "digest").join(_to_all(main).drop("size"), ["bucket", "salt"]).withColumn("main", F.col("comp") == F.col("main"))
-        # every part of a bucket meets every part
-        x = _to_all(full.where(~F.col("main")), "other").alias("x")
-        y = _to_all(full.withColumnRenamed("salt", "other")).alias("y")
+        main = counted.groupBy("bucket").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"), F.max("count").alias("inside"), F.sum("count").alias("all"), F.max("size").alias("size"))
+        full = open_.join(marked, "digest").join(_to_all(main).drop("size"), ["bucket", "salt"]).drop("salt")
+        full = full.withColumn("main", F.col("comp") == F.col("main")).withColumn("outside", F.col("all") - F.col("inside"))
+        inner, outer = full.where("main"), full.where(~F.col("main"))
         differ = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in odd), F.lit(0))
         total = F.col("x.n") + F.col("y.n")
-        rest = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.salt") == F.col("y.salt")) & (F.col("x.other") == F.col("y.other")) & (F.col("x.comp") != F.col("y.comp")) & (F.col("y.main") | (F.col("x.comp") < F.col("y.comp"))) & (differ * (whole + part) <= total * (whole - part)))
-        rest = rest.select(F.least("x.digest", "y.digest").alias("a"), F.greatest("x.digest", "y.digest").alias("b")).distinct()
+
+        def near(x: DataFrame, y: DataFrame, on: list[str], apart: Column) -> DataFrame:
+            same = reduce(lambda a, b: a & b, (F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("bucket", *on)))
+            met = x.alias("x").join(y.alias("y"), same & apart & (differ * (whole + part) <= total * (whole - part)))
+            return met.select(F.least("x.digest", "y.digest").alias("a"), F.greatest("x.digest", "y.digest").alias("b"))
+
+        # the larger side of a bucket is dealt to parts once, the smaller goes to all of them
+        parts, wide = _parts(F.greatest("inside", "outside")), F.col("inside") >= F.col("outside")
+        spread = lambda rows, once: rows.withColumn("salt", F.explode(F.when(once, F.array(_own_part(parts))).otherwise(F.sequence(F.lit(0), parts - 1))))
+        between = near(spread(outer, ~wide), spread(inner, wide), ["salt"], F.lit(True))
+        # among the others every part meets every part
+        block = _parts(F.col("outside"))
+        every = lambda rows, own, other: rows.withColumn(own, _own_part(block)).withColumn(other, F.explode(F.sequence(F.lit(0), block - 1)))
+        among = near(every(outer, "salt", "other"), every(outer, "other", "salt"), ["salt", "other"], F.col("x.comp") < F.col("y.comp"))
+        rest = between.union(among).distinct()
         more = verified(rest.join(star_pairs, ["a", "b"], "left_anti"), sets, threshold)
         links = written(links.union(more), "links")
         first = components(nodes, links)
@@ -303,7 +323,10 @@ def near_duplicates(df: DataFrame, key: str, text: str, threshold: tuple[int, in
     else:
         named = found.join(least_id, "comp").select("digest", "component_id")
     final = heads.join(named, "digest", "left").select("digest", "size", F.coalesce("component_id", "head").alias("component_id"))
-    rows = feat.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.col("digest")).alias("digest"))
+    grouped = F.col("id").isNotNull() & F.col("digest").isNotNull()
+    # rows that no group takes do not go through the join, where they would all meet
+    alone = feat.where(~grouped).select(F.col("id").alias(key), "n_shingles", F.col("id").alias("component_id"), F.lit(True).alias("kept"))
+    rows = feat.where(grouped).select("id", "n_shingles", "digest")
     # sets of many rows are dealt to parts as buckets are, by the rows' ids
     many = heads.where(F.col("size") > BLOCK).select("digest", "size")
     if many.count() <= BROADCAST_IDS:
@@ -313,4 +336,4 @@ def near_duplicates(df: DataFrame, key: str, text: str, threshold: tuple[int, in
         rows, final = rows.withColumn("salt", F.lit(0)), final.withColumn("salt", F.lit(0))
     out = rows.join(final.drop("size"), ["digest", "salt"], "left")
     component = F.coalesce("component_id", "id")
-    return out.select(F.col("id").alias(key), "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
+    return out.select(F.col("id").alias(key), "n_shingles", component.alias("component_id"), (component == F.col("id")).alias("kept")).unionByName(alone)
