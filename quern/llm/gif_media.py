@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import fresh
+from .shared import fresh, ship
 
 #: Pixels in a row and rows in a frame that `store` writes.
 WIDTH, ROWS = 64, 2048
@@ -293,6 +293,7 @@ def _decode(data: bytes, max_pixels: int) -> Iterator[dict]:
 
 def store(df: DataFrame, payload: str, out: str = "media") -> DataFrame:
     """df with the column `out`: the GIF of the binary column `payload`, whose length is a positive multiple of WIDTH; null stays null."""
+    ship(df.sparkSession)
 
     @F.pandas_udf("binary")
     def stored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -304,6 +305,7 @@ def store(df: DataFrame, payload: str, out: str = "media") -> DataFrame:
 
 def frames(df: DataFrame, media: str, max_pixels: int = MAX_PIXELS) -> DataFrame:
     """One row per frame: the other columns of df and those of FRAME_SCHEMA (names that df has are replaced)."""
+    ship(df.sparkSession)
     made = T._parse_datatype_string(FRAME_SCHEMA).fields
     names = [f.name for f in made]
     kept = [c for c in df.columns if c not in names and c != media]
@@ -361,8 +363,10 @@ def loaded(data: bytes | None, max_pixels: int = MAX_PIXELS) -> dict:
 def load(df: DataFrame, media: str, out: str = "loaded", max_pixels: int = MAX_PIXELS) -> DataFrame:
     """df with the struct `out` (LOADED): what the stored GIF decodes to, as sums over the whole media value and as a list of its timed frames.
 
+    All frames of a media value, with 64 counts each, are one row: memory grows with the frames of one value (max_pixels bounds a frame).
     Digests and histograms leave the worker; the payload itself is the frames' `indices` in order.
     """
+    ship(df.sparkSession)
     kind = T._parse_datatype_string(LOADED)
 
     @F.pandas_udf(kind)

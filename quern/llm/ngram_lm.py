@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .near_duplicates import WordHashes, mix, word_list
-from .shared import delete, map_array, put_array, scratch, trim
+from .shared import delete, map_array, put_array, scratch, ship, trim
 
 #: Tokens sorted at once in a worker.
 CHUNK = 1 << 18
@@ -215,6 +215,7 @@ def _runs(keys: np.ndarray, counts: np.ndarray, bucket: np.ndarray, buckets: int
 def train(docs: DataFrame, text: str) -> Model:
     """Count docs and write the model's arrays to the shared folder."""
     spark = docs.sparkSession
+    ship(spark)
     texts = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
     seen = texts.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("texts")).first()
     model = Model(scratch(spark, "ngram_lm"), texts=seen["texts"])
@@ -379,6 +380,7 @@ def score_chunk(model: Model, words: np.ndarray, sizes: np.ndarray) -> dict[str,
 
 def score(docs: DataFrame, key: str, text: str, model: Model) -> DataFrame:
     """key, n_tokens, n_known, base_score, score (log10 of the text's probability) and perplexity of every row."""
+    ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     id_field = T.StructField("id", docs.schema[key].dataType)
     schema = T.StructType([id_field, *T._parse_datatype_string("n_tokens long, n_known long, base_score double, score double").fields])

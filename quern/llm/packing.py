@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import scratch, trim, written
+from .shared import scratch, ship, trim, written
 
 #: Pieces of a part of a length.
 PART_ROWS = 1_000
@@ -148,6 +148,7 @@ def cut(total: int, limit: int) -> list[tuple[int, int]]:
 
 def pieces(df: DataFrame, key: str, text: str, path: str, end_id: int, limit: int) -> DataFrame:
     """id, piece, start, length, ids_crc32 and ids (little-endian 32-bit) of every document's pieces."""
+    ship(df.sparkSession)
     id_type = df.schema[key].dataType
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

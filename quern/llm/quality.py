@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import fresh, trim
+from .shared import fresh, ship, trim
 
 #: Entries of a worker's cache of weights; it starts anew beyond that.
 CACHE_ENTRIES = 150_000
@@ -110,6 +110,7 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, n_grades: int, buckets: int,
 
 def train(docs: DataFrame, labels: DataFrame, key: str, text: str, grade: str, n_grades: int, buckets: int = 1 << 18, max_labelled: int = 12_000) -> Model | None:
     """Fit on at most max_labelled rated documents, the one of the least text hash where rows repeat an id; None without any."""
+    ship(docs.sparkSession)
     rated = labels.select(F.col(key).alias("id"), F.col(grade).cast("int").alias("grade")).dropna().groupBy("id").agg(F.min("grade").alias("grade"))
     chosen = rated.orderBy(F.xxhash64("id"), "id").limit(max_labelled)
 
@@ -137,6 +138,7 @@ def scored(docs: DataFrame, text: str, model: Model | None, n_grades: int, min_g
     kind = "struct<score:double,expected_grade:double,tail:array<double>>"
     if model is None:
         return docs.withColumn(out, F.lit(None).cast(kind)).withColumn(out, F.struct(f"{out}.*", F.lit(True).alias("kept")))
+    ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast((model.weights, model.thresholds))
 
     @F.pandas_udf(kind)

@@ -7,7 +7,9 @@ character that is no piece costs an unknown edge and is written as its bytes. Ti
 A model whose pieces hold the space mark only at their start cuts at spaces, so the search runs for
 each pre-token, and a bounded cache of the worker keeps recent ones. A text without spaces is searched whole.
 
-Null texts count as empty and have no ids. Decoding gives the text back (a space mark in the text itself
+Null texts count as empty and have no ids. Repeated rows are encoded each, an empty table stays empty, columns other than key and
+text are not read by `encode`; `decode` keeps all columns and replaces one named like its result. A very long text is
+one row of the batch: memory grows with it, about 30 bytes a character. Decoding gives the text back (a space mark in the text itself
 comes back as a space).
 """
 
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import token_count
+from .shared import ship
 
 SPACE = "▁"
 #: Added to the least score of a piece for an unknown character.
@@ -145,6 +148,7 @@ def codec(path: str) -> Codec:
 
 def encode(df: DataFrame, key: str, text: str, path: str) -> DataFrame:
     """key, text, ids (array of int) and score of every row. `path`: the model file, at the same place on every worker."""
+    ship(df.sparkSession)
     fields = [T.StructField("key", df.schema[key].dataType), *T._parse_datatype_string("text string, ids array<int>, score double").fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,6 +170,8 @@ def encode(df: DataFrame, key: str, text: str, path: str) -> DataFrame:
 def decode(df: DataFrame, ids: str, path: str, out: str = "decoded") -> DataFrame:
     """df with the column `out`: the text of the column ids (null stays null)."""
 
+    ship(df.sparkSession)
+
     @F.arrow_udf("string")
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         one = codec(path).decode
