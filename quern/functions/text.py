@@ -167,8 +167,10 @@ def chunks_at_paragraphs(text: Column, size: int = 6000, overlap: int = 200) ->
             to = lambda e: F.struct(F.greatest(at + 1, e - overlap).alias("at"), F.concat(state["done"], F.array(F.struct(at.alias("begin"), e.cast("int").alias("end")))).alias("done"))
             return F.transform(F.array(end), to)[0]
 
-        more = F.sequence(F.lit(0), F.greatest(F.lit(0), n - size))  # a window advances by a character at least
-        walked = F.aggregate(more, step, lambda state, _: F.when(state["at"] + size < n, advance(state)).otherwise(state))
+        # a window advances by a character at least; blocks of steps are left out once the end is reached, so that long texts cost their windows
+        some = F.sequence(F.lit(0), F.ceil(F.sqrt(F.greatest(F.lit(0), n - size))).cast("int"))
+        further = lambda state, f: F.when(state["at"] + size < n, f(state)).otherwise(state)
+        walked = F.aggregate(some, step, lambda outer, _: further(outer, lambda state: F.aggregate(some, state, lambda inner, _: further(inner, advance))))
         parts = lambda s: F.concat(F.transform(s["done"], lambda w: F.substring(t, w["begin"] + 1, w["end"] - w["begin"])), F.array(F.substring(t, s["at"] + 1, n)))
         return F.transform(F.array(walked), parts)[0]
 

@@ -447,21 +447,24 @@ def nucleus_cut(spark, sf_dir):
     return metrics.nucleus(rows, "l_orderkey", "l_linenumber", "p", 0.8).select("l_orderkey", "l_linenumber")
 
 
-_TIERS = ", ".join(str((k, *v)) for k, v in metrics.TIERS.items())
-
-
-@query(f"""WITH t(tier, h, l, a, kv, d, f, c, v) AS (SELECT col0, col1::BIGINT, col2::BIGINT, col3::BIGINT, col4::BIGINT, col5::BIGINT, col6::BIGINT, col7::BIGINT, col8::BIGINT FROM (VALUES {_TIERS})), p AS (SELECT *, v * h + l * (2 * h * h + 2 * h * kv * d + 3 * h * f + 2 * h) + h AS n FROM t)
-SELECT tier, n AS parameters, round((n * 12 / 1e9 + l * 2 * c * (h * 4 + a * c * 4 + f * 4) / 1e9)::DECIMAL(20, 12), 3)::DOUBLE AS training_gb, round((2 * l * c * kv * d * 2 / 1e9)::DECIMAL(20, 12), 4)::DOUBLE AS kv_cache_gb,
+@query("""WITH t AS (SELECT p_partkey, 64 * p_size::BIGINT AS h, 1 + p_partkey % 24 AS l, p_size::BIGINT AS a, 1 + p_size::BIGINT % 4 AS kv, 64 AS d, 172 * p_size::BIGINT AS f, 512 AS c, 32000 AS v FROM part),
+p AS (SELECT *, v * h + l * (2 * h * h + 2 * h * kv * d + 3 * h * f + 2 * h) + h AS n FROM t)
+SELECT p_partkey, n::BIGINT AS parameters, round((n * 12 / 1e9 + l * 2 * c * (h * 4 + a * c * 4 + f * 4) / 1e9)::DECIMAL(20, 12), 3)::DOUBLE AS training_gb, round((2 * l * c * kv * d * 2 / 1e9)::DECIMAL(20, 12), 4)::DOUBLE AS kv_cache_gb,
   n * 4.5 / 8 / 1e9 + 2 * l * c * kv * d * 2 / 1e9 < 6 AS fits FROM p""")
 def model_arithmetic(spark, sf_dir):
-    return metrics.tiers(spark).select(
-        "tier", metrics.parameters().alias("parameters"), F.round(metrics.training_gb(), 3).alias("training_gb"), F.round(metrics.kv_cache_gb(), 4).alias("kv_cache_gb"), metrics.fits().alias("fits")
+    """Sizes of models whose shapes are made of the parts' sizes and keys."""
+    size, key = F.col("p_size").cast("long"), F.col("p_partkey")
+    shape = {"hidden": 64 * size, "layers": 1 + key % 24, "heads": size, "kv_heads": 1 + size % 4, "head_dim": F.lit(64), "ffn": 172 * size, "context": F.lit(512), "vocab": F.lit(32_000)}
+    rows = table(spark, sf_dir, "part").select("p_partkey", *[c.cast("long").alias(n) for n, c in shape.items()])
+    return rows.select(
+        "p_partkey", metrics.parameters().alias("parameters"), F.round(metrics.training_gb(), 3).alias("training_gb"), F.round(metrics.kv_cache_gb(), 4).alias("kv_cache_gb"), metrics.fits().alias("fits")
     )
 
 
-@query("""SELECT i AS step, round(CASE WHEN i < 100 THEN 0.0003 * i / 100 ELSE 0.0003 * 0.5 * (1 + cos(pi() * (i - 100) / 900)) END, 12) AS rate FROM range(1000) r(i)""")
+@query("""SELECT i AS step, round(CASE WHEN i < 100 THEN 0.0003 * i / 100 ELSE 0.0003 * 0.5 * (1 + cos(pi() * (i - 100) / 900)) END, 12) AS rate FROM (SELECT event_id AS i FROM events)""")
 def learning_rate(spark, sf_dir):
-    return spark.range(1000).select(F.col("id").alias("step"), F.round(metrics.cosine_rate(F.col("id"), 100, 1000, 3e-4), 12).alias("rate"))
+    step = F.col("event_id")
+    return table(spark, sf_dir, "events").select(step.alias("step"), F.round(metrics.cosine_rate(step, 100, 1000, 3e-4), 12).alias("rate"))
 
 
 @query("SELECT s_suppkey, CASE WHEN g <= 0 THEN 'CPU_ONLY' WHEN g < 4 THEN 'MICRO' WHEN g < 10 THEN 'SMALL' WHEN g < 20 THEN 'MEDIUM' ELSE 'LARGE' END AS tier, CASE WHEN g < 50 THEN 'excellent' WHEN g < 100 THEN 'good' WHEN g < 200 THEN 'fair' ELSE 'poor' END AS band FROM (SELECT s_suppkey, s_acctbal / 400 AS g FROM supplier)")
