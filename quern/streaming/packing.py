@@ -10,22 +10,25 @@ array adds nothing, a null file is a file.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..sources.shared import ship
-
 #: The state store that transformWithState needs.
 STORE_SETTING, STORE = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Sequences that a task hands on at once.
 SLICE = 512
 
+# Spark also runs the processor in a process of the driver that is not given the session's files: the class goes there by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class TokenBuffer(StatefulProcessor):
     """Full sequences of a file; the rest of its tokens and the next number are its state."""
@@ -64,7 +67,6 @@ def rocksdb(spark: SparkSession) -> Iterator[None]:
 
 def packed_stream(tokens: DataFrame, file: str, order: str, ids: str, length: int) -> DataFrame:
     """file, sequence (from 0) and input_ids of a stream of token arrays; start it within `rocksdb`."""
-    ship(tokens.sparkSession)
     rows = tokens.select(F.col(file).alias("file"), F.col(order).cast("long").alias("order"), F.col(ids).cast("array<int>").alias("ids"))
     schema = f"file {tokens.schema[file].dataType.simpleString()}, sequence long, input_ids array<int>"
     made = rows.groupBy("file").transformWithStateInPandas(TokenBuffer(length), schema, "Append", "None")
