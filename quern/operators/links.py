@@ -48,5 +48,5 @@ def crawl_seeds(edges: DataFrame, seeds: DataFrame, max_depth: int) -> DataFrame
 
 
 def crawl_index(visited: DataFrame) -> DataFrame:
-    """One row: the sorted titles and their number."""
-    return visited.agg(F.array_sort(F.collect_set("title")).alias("titles"), F.countDistinct("title").alias("pages"))
+    """A row per first character of titles (prefix): the sorted titles and their number."""
+    return visited.groupBy(F.substring("title", 1, 1).alias("prefix")).agg(F.array_sort(F.collect_set("title")).alias("titles"), F.countDistinct("title").alias("pages"))

@@ -235,9 +235,10 @@ def joined_windows(sequences: DataFrame, by: str, factor: int) -> DataFrame:
 
 
 def checksums(files: DataFrame) -> DataFrame:
-    """One map from path to SHA-256 of a binaryFile scan, in the order of paths, without checksums.json itself."""
+    """folder and a map from path to SHA-256 of its files, in the order of paths, of a binaryFile scan; checksums.json itself is left out."""
     rows = files.where(~F.col("path").endswith("checksums.json")).select("path", F.sha2("content", 256).alias("sha256"))
-    return rows.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("path", "sha256")))).alias("checksums"))
+    folder = F.regexp_extract("path", "^(?:(.*)/)?[^/]*$", 1).alias("folder")
+    return rows.groupBy(folder).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("path", "sha256")))).alias("checksums"))
 
 
 def file_manifest(files: DataFrame) -> DataFrame:

@@ -489,11 +489,11 @@ def link_bfs(spark, sf_dir):
     return links.crawl(edges, edges.where(F.col("source").startswith("T")).select(F.col("source").alias("title")), 3)
 
 
-@query(f"WITH {_EDGES} SELECT md5(array_to_string(list_sort(list(DISTINCT title)), '|')) AS titles, count(DISTINCT title) AS pages FROM (SELECT source AS title FROM e UNION ALL SELECT target FROM e)")
+@query(f"WITH {_EDGES} SELECT substr(title, 1, 1) AS prefix, md5(array_to_string(list_sort(list(DISTINCT title)), '|')) AS titles, count(DISTINCT title) AS pages FROM (SELECT source AS title FROM e UNION ALL SELECT target FROM e) GROUP BY 1")
 def crawl_index(spark, sf_dir):
     edges = _edges(spark, sf_dir)
     index = links.crawl_index(edges.select(F.col("source").alias("title")).union(edges.select("target")))
-    return index.select(digest(F.array_join("titles", "|")).alias("titles"), "pages")
+    return index.select("prefix", digest(F.array_join("titles", "|")).alias("titles"), "pages")
 
 
 @query(f"WITH {_EDGES} SELECT DISTINCT target AS title FROM e WHERE NOT starts_with(target, 'Th') AND NOT regexp_matches(target, '[,.]$') AND regexp_matches(target, '^[A-Za-z]') AND NOT regexp_matches(target, 'ing')")

@@ -159,9 +159,9 @@ def manifest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def checksum_map(spark: SparkSession, folder: str) -> dict[str, str]:
-    """Checksums by path: a row per file, as artefact folders hold."""
+    """Checksums by path, of an artefact's few files."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    return dict(sorted(shards.checksums(files).first()["checksums"].items()))
+    return dict(sorted((path, digest) for row in shards.checksums(files).collect() for path, digest in row["checksums"].items()))
 
 
 # The columns of the registry of files.

@@ -249,7 +249,7 @@ def test_crawl(spark):
     seeds = spark.createDataFrame([("a",)], "title string")
     assert {r["title"]: r["depth"] for r in links.crawl(edges, seeds, 2).collect()} == {"a": 0, "b": 1, "c": 2}
     assert {r["title"] for r in links.crawl(edges, seeds, 9, max_pages=2).collect()} == {"a", "b"}
-    assert links.crawl_index(links.crawl(edges, seeds, 9)).first()["titles"] == ["a", "b", "c", "d"]
+    assert {r["prefix"]: r["titles"] for r in links.crawl_index(links.crawl(edges, seeds, 9)).collect()} == {"a": ["a"], "b": ["b"], "c": ["c"], "d": ["d"]}
 
 
 def test_crawl_seeds(spark):
