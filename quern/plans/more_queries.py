@@ -11,7 +11,7 @@ from ..sources import records, sinks
 from ..sources.shared import scratch, written
 from ..streaming import ingest
 from .registry import (
-    _CONV_SPLIT, _CONVERSATION, _EDGES, _TOKENS, NORMALISED, ORACLE_SQL, QUERIES, REASON, RULES, SCRIPT, SEED, SR, WORDS, N, S, T, _conversations, _edges, _sequences, _strip, digest, query, table,
+    _CONV_SPLIT, _CONVERSATION, _EDGES, _TOKENS, NORMALISED, ORACLE_SQL, QUERIES, REASON, RULES, SCRIPT, SEED, SR, WORDS, N, S, T, _conversations, _edges, _sequences, _strip, digest, query, streamed, table,
 )
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -432,7 +432,7 @@ GROUP BY 1, 2 HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 2 HOUR <= (SELE
 def watermarked_event_windows(spark, sf_dir):
     """Windows of a stream that its watermark, an hour behind the latest event, has closed."""
     out = scratch(spark, "stream")
-    stream = spark.readStream.format("parquet").schema(table(spark, sf_dir, "events").schema).option("pathGlobFilter", "events.parquet").load(sf_dir)
+    stream = streamed(spark, sf_dir, "events")
     ingest.drain(ingest.event_windows(stream.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "event_type", "value"), f"{out}/rows", f"{out}/state")
     return spark.read.parquet(f"{out}/rows").withColumns({"total": F.round("total", 4), "window_start": F.col("window_start").cast("timestamp_ntz")})
 
@@ -441,6 +441,6 @@ def watermarked_event_windows(spark, sf_dir):
 def cleaned_stream(spark, sf_dir):
     """Texts of a stream, normalised, that pass the rules, each once."""
     out = scratch(spark, "stream")
-    stream = spark.readStream.format("parquet").schema(table(spark, sf_dir, "documents").schema).option("pathGlobFilter", "documents.parquet").load(sf_dir)
+    stream = streamed(spark, sf_dir, "documents")
     ingest.drain(ingest.clean_stream(stream, "text", RULES).select(digest(F.col("final_text")).alias("digest")), f"{out}/rows", f"{out}/state")
     return spark.read.parquet(f"{out}/rows")

@@ -38,6 +38,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def streamed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a stream: one file or a folder of files. A stream starts from folders only, unless a pattern names the file."""
+    return spark.readStream.format("parquet").schema(table(spark, sf_dir, name).schema).load(f"{sf_dir}/{name}.parque[t]")
+
+
 def digest(c: Column) -> Column:
     return F.md5(c.cast("binary"))
 
@@ -517,9 +522,8 @@ def path_facts(spark, sf_dir):
 @query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS events, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
 def streaming_event_windows(spark, sf_dir):
     """The same windows from a stream over the event file, drained to a Parquet sink."""
-    schema = table(spark, sf_dir, "events").schema
     out = f"{shared_root(spark)}/quern/stream-{uuid.uuid4().hex}"
-    stream = spark.readStream.format("parquet").schema(schema).option("pathGlobFilter", "events.parquet").load(sf_dir)
+    stream = streamed(spark, sf_dir, "events")
     windows = stream.groupBy(F.window("ts", "1 hour"), "event_type").agg(F.count("*").alias("events"), F.sum("value").alias("total"))
     rows = windows.select(F.col("window.start").alias("window_start"), "event_type", "events", F.round("total", 4).alias("total"))
 

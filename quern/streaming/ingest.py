@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions import text
 from ..operators import dedup, quality
+from ..sources.shared import held
 
 
 def arriving(spark: SparkSession, path: str, schema: T.StructType | str, kind: str = "json", files_per_batch: int = 16) -> DataFrame:
@@ -31,7 +32,8 @@ def clean_stream(rows: DataFrame, column: str, rules: quality.QualityRules, time
 
     With a `time` column once within `delay`, which bounds the state; without one once for ever, and state grows with distinct texts.
     """
-    normal = rows.withColumn("final_text", text.normalise(F.coalesce(F.col(column), F.lit(""))))
+    # held, as every rule would normalise the text again otherwise
+    normal = held(rows, "final_text", text.normalise(F.coalesce(F.col(column), F.lit(""))))
     passed = quality.annotate(normal, "final_text", rules).where("reject_reason IS NULL").withColumn("dedup_hash", dedup.dedup_hash(F.col("final_text")))
     return passed.dropDuplicates(["dedup_hash"]) if time is None else distinct_within(passed, "dedup_hash", time, delay)
 
