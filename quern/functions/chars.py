@@ -13,6 +13,8 @@ SPACE_IN_LINE = r"\t\x0b-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028
 #: Decimal digits, superscripts, subscripts and circled digits.
 DIGIT = r"\p{Nd}\x{b2}\x{b3}\x{b9}\x{2070}\x{2074}-\x{2079}\x{2080}-\x{2089}\x{2460}-\x{2468}"
 LATIN = "A-Za-z"
+#: The characters of SPACE.
+SPACES = "".join(map(chr, [*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 #: Line ends that split lines.
 LINE_END = r"\r\n|[\n\x0b\f\r\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 
@@ -29,9 +31,15 @@ DEVANAGARI = Script("Devanagari", r"\x{0900}-\x{097F}")
 LATIN_SCRIPT = Script("Latin", r"A-Za-z\x{C0}-\x{24F}")
 
 
-def count_of(text: Column, inside: str) -> Column:
-    """Characters of text in the class."""
-    return F.length(F.regexp_replace(text, f"[^{inside}]+", ""))
+#: A word: ASCII first, as a negated class is tested range by range for every character.
+WORD = f"[!-~]++[^{SPACE}]*+|[^{SPACE}]++"
+
+
+def count_of(text: Column, inside: str, rare: bool = False) -> Column:
+    """Characters of text in the class. Long matches are cheap, so what is removed is the class unless it is rare."""
+    if rare:
+        return F.length(F.regexp_replace(text, f"[^{inside}]+", ""))
+    return F.length(text) - F.length(F.regexp_replace(text, f"[{inside}]+", ""))
 
 
 def _share(count: Column, total: Column) -> Column:
@@ -52,17 +60,17 @@ def char_ratios(text: Column, script: Script) -> dict[str, Column]:
     return {
         "script_ratio": script_ratio(t, script),
         "latin_ratio": _share(count_of(t, LATIN), total),
-        "digit_ratio": _share(count_of(t, DIGIT), total),
+        "digit_ratio": _share(count_of(t, DIGIT, rare=True), total),
         "symbol_ratio": _share(F.length(F.regexp_replace(t, rf"[\p{{L}}\p{{N}}{script.inside}{SPACE}]+", "")), total),
     }
 
 
 def word_count(text: Column) -> Column:
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(f"[^{SPACE}]+"))
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD))
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"[^{SPACE}]+"), F.lit(0))
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
 
 
 def counts(text: Column, chars_per_token: float = 4.5) -> dict[str, Column]:
@@ -82,7 +90,7 @@ def quality_score(ratio: Column, chars: Column, script_weight: float = 0.7, leng
 
 def strip(text: Column) -> Column:
     """Without white space at both ends."""
-    return F.regexp_replace(text, f"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def mostly_latin(text: Column, threshold: float = 0.7) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import chars, text
 from ..operators import links, metrics, order, quality, sample, shards, split
 from ..sources import records, sinks
-from ..sources.shared import scratch, written
+from ..sources.shared import held, scratch, written
 from ..streaming import ingest
 from .registry import (
     _CONV_SPLIT, _CONVERSATION, _EDGES, _TOKENS, NORMALISED, ORACLE_SQL, QUERIES, REASON, RULES, SCRIPT, SEED, SR, WORDS, N, S, T, _conversations, _edges, _sequences, _strip, digest, query, streamed, table,
@@ -241,7 +241,7 @@ _FIT = f"length(t) BETWEEN 30 AND 5000 AND length(regexp_replace(t, '[^{SCRIPT}]
 @query(f"""SELECT doc_id, md5(t) AS digest, {_FIT} AS fit_for_sample, length(t) BETWEEN 50 AND 50000 AND length(regexp_replace(t, '[^{SCRIPT}]+', '', 'g')) / nullif(length(t), 0) >= 0.6 AS fit_for_training
 FROM (SELECT doc_id, {_NFKC} AS t FROM documents)""")
 def nfkc_words(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("doc_id", text.nfkc_words(F.coalesce("text", F.lit(""))).alias("t"))
+    rows = held(table(spark, sf_dir, "documents").select("doc_id", "text"), "t", text.nfkc_words(F.coalesce("text", F.lit(""))))
     fit = quality.sampled_text(F.col("t"), chars.LATIN_SCRIPT)
     return rows.select("doc_id", digest(F.col("t")).alias("digest"), fit.alias("fit_for_sample"), quality.training_text(F.col("t"), chars.LATIN_SCRIPT).alias("fit_for_training"))
 
