@@ -17,6 +17,8 @@ from .order import permuted, running
 ROW_BUCKET = 20_000
 #: Ids of a range that one task fills, as orders and sizes, and ranges whose tables become one.
 RANGE_IDS, SPAN = 1_000_000, 256
+#: Characters that the tokenizers library takes at once (it keeps some hundred bytes a token).
+SLICE_CHARS = 250_000
 #: The table of a range or of neighbouring ones.
 FACTS = {"total": "long", "empty_out": "long", "empty_opened": "long", "starts": "binary", "outs": "binary", "opens": "binary"}
 
@@ -258,9 +260,24 @@ def encode(df: DataFrame, column: str, path: str, out: str = "ids", end_id: int
 
         tokenizer = Tokenizer.from_file(path)
         last = [] if end_id is None else [end_id]
+def slices(values: list, most: int) -> Iterator[list]:
+    """The values in order, in lists of a total length of `most` (a longer value is alone)."""
+    out, held = [], 0
+    for v in values:
+        if out and held + len(v) > most:
+            yield out
+            out, held = [], 0
+        out.append(v)
+        held += len(v)
+    if out:
+        yield out
+
+
         for batch in batches:
-            found = tokenizer.encode_batch([t or "" for t in batch], add_special_tokens=False)
-            yield pd.Series([e.ids + last for e in found])
+            ids = []  # as arrays; what the library keeps besides ids is there for a slice only
+            for texts in slices([t or "" for t in batch], SLICE_CHARS):
+                ids += [np.array(e.ids + last, np.int32) for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+            yield pd.Series(ids, dtype=object)
 
     return df.withColumn(out, encoded(F.col(column)))
 
@@ -275,6 +292,6 @@ def decode(df: DataFrame, column: str, path: str, out: str = "text", skip_specia
 
         tokenizer = Tokenizer.from_file(path)
         for batch in batches:
-            yield pd.Series(tokenizer.decode_batch([[int(i) for i in ids] for ids in batch], skip_special_tokens=skip_special))
+            yield pd.Series([t for ids in slices(list(batch), SLICE_CHARS // 4) for t in tokenizer.decode_batch([i.tolist() for i in ids], skip_special_tokens=skip_special)], dtype=object)
 
     return df.withColumn(out, decoded(F.col(column)))
