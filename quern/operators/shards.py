@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.shared import ship, written
+from ..sources.shared import held, ship, written
 from .order import permuted, running
 
 #: Rows with token arrays that one task places.
@@ -162,7 +162,8 @@ def windows(tokens: DataFrame, by: str, order: str, column: str, length: int) ->
     row is cut into the parts that fall into one sequence, so a shuffle moves parts, not tokens.
     """
     # written, as tokens are dear: sums read the sizes alone
-    full = written(tokens.select(by, order, column, F.size(column).cast("long").alias("_size")).where("_size > 0"), "tokens")
+    made = held(tokens.select(by, order, F.col(column).alias("_made")), column, F.col("_made")).drop("_made")
+    full = written(made.withColumn("_size", F.size(column).cast("long")).where("_size > 0"), "tokens")
     placed = running(full, None, order, F.col("_size"), "_at", by=(by,), rows=ROW_BUCKET)
     first, last = F.floor(F.col("_at") / length), F.floor((F.col("_at") + F.size(column) - 1) / length)
     parts = placed.withColumn("_seq", F.explode(F.sequence(first, last)))
@@ -180,18 +181,27 @@ def batches(sequences: DataFrame, part: str, order: str, column: str, size: int,
     `order` counts a part's sequences from 0. With a factor, that many neighbours (across parts) are one
     sequence. What does not fill a sequence or a batch is dropped.
     """
+    return batched(*numbered(sequences, part, order, column, factor), column, size, epoch, seed)
+
+
+def numbered(sequences: DataFrame, part: str, order: str, column: str, factor: int = 1) -> tuple[DataFrame, int]:
+    """_k (from 0) and the tokens of all sequences in the order of `batches`, and their number: for several epochs, write them once."""
     ends = sequences.groupBy(part).agg((F.max(order) + 1).alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row per part
-    numbered = sequences.join(ends.select(part, before.alias("_o")), part).select((F.col("_o") + F.col(order)).alias("_k"), column)
+    total = ends.agg(F.sum("_n")).first()[0] or 0
+    out = sequences.join(ends.select(part, before.alias("_o")), part).select((F.col("_o") + F.col(order)).alias("_k"), column)
     if factor > 1:
-        rows = numbered.groupBy(F.floor(F.col("_k") / factor).alias("_g")).agg(F.array_sort(F.collect_list(F.struct("_k", column))).alias("_all"))
-        numbered = rows.where(F.size("_all") == factor).select(F.col("_g").alias("_k"), F.flatten(F.transform("_all", lambda x: x[column])).alias(column))
-    last = numbered.agg(F.max("_k")).first()[0]
-    n = 0 if last is None else last + 1
+        rows = out.groupBy(F.floor(F.col("_k") / factor).alias("_g")).agg(F.array_sort(F.collect_list(F.struct("_k", column))).alias("_all"))
+        out = rows.where(F.size("_all") == factor).select(F.col("_g").alias("_k"), F.flatten(F.transform("_all", lambda x: x[column])).alias(column))
+    return out, total // factor
+
+
+def batched(rows: DataFrame, n: int, column: str, size: int, epoch: int | None = None, seed: int = 0) -> DataFrame:
+    """The batches of `numbered` sequences."""
     if epoch is not None:
-        numbered = numbered.withColumn("_k", permuted(F.col("_k"), n, seed, epoch))
+        rows = rows.withColumn("_k", permuted(F.col("_k"), n, seed, epoch))
     batch = F.floor(F.col("_k") / size)
-    return numbered.where(batch < n // size).select(batch.alias("batch"), (F.col("_k") % size).cast("int").alias("place"), column)
+    return rows.where(batch < n // size).select(batch.alias("batch"), (F.col("_k") % size).cast("int").alias("place"), column)
 
 
 def full_batches(df: DataFrame, key: str, order: list[str], size: int) -> DataFrame:
@@ -250,16 +260,6 @@ def file_manifest(files: DataFrame) -> DataFrame:
     return files.select("path", *[c.alias(n) for n, c in path_facts(F.col("path")).items()], F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256"))
 
 
-def encode(df: DataFrame, column: str, path: str, out: str = "ids", end_id: int | None = None) -> DataFrame:
-    """df with the ids of a tokenizers file (loaded once per worker) and, if given, an end id after them."""
-    ship()
-
-    @F.pandas_udf("array<int>")
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        last = [] if end_id is None else [end_id]
 def slices(values: list, most: int) -> Iterator[list]:
     """The values in order, in lists of a total length of `most` (a longer value is alone)."""
     out, held = [], 0
@@ -273,6 +273,16 @@ def slices(values: list, most: int) -> Iterator[list]:
         yield out
 
 
+def encode(df: DataFrame, column: str, path: str, out: str = "ids", end_id: int | None = None) -> DataFrame:
+    """df with the ids of a tokenizers file (loaded once per worker) and, if given, an end id after them."""
+    ship()
+
+    @F.pandas_udf("array<int>")
+    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        last = [] if end_id is None else [end_id]
         for batch in batches:
             ids = []  # as arrays; what the library keeps besides ids is there for a slice only
             for texts in slices([t or "" for t in batch], SLICE_CHARS):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import written
 from .order import rank
 
 
@@ -46,6 +47,7 @@ def by_file(df: DataFrame, file: str, sequence: str, seed: int = 42, share: floa
 
     A file with fewer sequences than the pool gives all of them to it.
     """
+    df = written(df, "sequences")  # read for sizes, buckets and places
     sizes = df.groupBy(file).agg(F.count("*").alias("_n"))
     pool = F.least(F.greatest(F.lit(least), F.floor(F.col("_n") * share)), F.col("_n"))
     ranked = rank(df, seed, sequence, "_rank", by=(file,)).join(sizes, file)
