@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import chars, text
 from ..operators import dedup, links, metrics, quality, sample, shards, split
-from ..sources.shared import shared_root
+from ..sources.shared import held, shared_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -414,9 +414,9 @@ SELECT sum(len(list_filter(ids, lambda i: i = 0))) / sum(len(ids)) AS unk_rate,
   avg((back = t)::INT::DOUBLE) AS roundtrip_success_rate FROM k""")
 def token_metrics(spark, sf_dir):
     words = chars.words(F.col("text"))
-    docs = table(spark, sf_dir, "documents").select(F.coalesce("text", F.lit("")).alias("text"), words.alias("w"))
+    docs = held(table(spark, sf_dir, "documents").select(F.coalesce("text", F.lit("")).alias("text")), "w", words)
     ids = F.transform("w", lambda x: F.conv(F.substring(digest(x), 1, 2), 16, 10).cast("int"))
-    return metrics.token_metrics(docs.withColumn("ids", ids), F.col("text"), F.col("ids"), 0, F.array_join("w", " "))
+    return metrics.token_metrics(held(docs, "ids", ids), F.col("text"), F.col("ids"), 0, F.array_join("w", " "))
 
 
 @query("SELECT event_type, round(exp(avg(value / 100)), 6) AS perplexity, count(value) AS batches FROM events GROUP BY event_type")
