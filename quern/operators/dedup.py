@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -90,23 +91,42 @@ def permutations() -> tuple[np.ndarray, np.ndarray]:
 
 def shingle_hashes(words: Column, size: int = 3) -> Column:
     """The leading 32 bits of MD5 of every run of `size` words, below PRIME (runs that repeat repeat)."""
+    ship()
+
+    @F.pandas_udf("array<long>")
+    def hashes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([run_hashes([w.encode() for w in words], size) for words in batch], dtype=object)
+
+    return hashes(words)
 
-    def runs(w: Column) -> Column:
-        n = F.greatest(F.lit(1), F.size(w) - size + 1)
-        return F.transform(F.sequence(F.lit(1), n), lambda i: F.conv(F.substring(F.md5(F.array_join(F.slice(w, i, size), " ").cast("binary")), 1, 8), 16, 10).cast("long") % PRIME)
 
-    return F.transform(F.array(words), runs)[0]  # the one element binds the words
+def run_hashes(words: list[bytes], size: int) -> np.ndarray:
+    """`shingle_hashes` of a text's words."""
+    whole, at = b" ".join(words), [0, *accumulate(len(w) + 1 for w in words)]
+    if len(words) <= size:
+        digests = hashlib.md5(whole).digest()
+    else:
+        digests = b"".join([hashlib.md5(whole[a : b - 1]).digest() for a, b in zip(at, at[size:])])
+    return np.frombuffer(digests, ">u4")[::4].astype(np.int64) % PRIME
 
 
 def signature(hashes: np.ndarray) -> np.ndarray:
     """The least value of each permutation over the hashes of shingles. PRIME is 2^31 - 1, so a remainder is a sum of bits above and below."""
     a, b = permutations()
     out = np.full(PERMUTATIONS, PRIME, np.int64)
-    for at in range(0, len(hashes), 256):  # bounded memory for long texts
-        x = hashes[at : at + 256, None] * a[None, :] + b[None, :]
+    x, y = np.empty((2, 64, PERMUTATIONS), np.int64)
+    for at in range(0, len(hashes), 64):  # bounded memory for long texts, within a core's cache
+        h = hashes[at : at + 64, None]
+        v, w = x[: len(h)], y[: len(h)]
+        np.multiply(h, a, out=v)
+        v += b
         for _ in range(2):
-            x = (x & PRIME) + (x >> 31)
-        np.minimum(out, np.where(x == PRIME, 0, x).min(axis=0), out)
+            np.right_shift(v, 31, out=w)
+            v &= PRIME
+            v += w
+        v[v == PRIME] = 0
+        np.minimum(out, v.min(axis=0), out)
     return out
 
 

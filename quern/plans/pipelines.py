@@ -15,6 +15,7 @@ from ..operators import dedup, metrics, quality, sample, shards, split
 from ..operators.quality import CleaningRules, QualityRules
 from ..sources import records, sinks
 from ..sources.run_log import Phase, RunLog
+from ..sources.shared import held
 
 SCRIPTS = {s.name: s for s in (chars.DEVANAGARI, chars.LATIN_SCRIPT)}
 
@@ -96,7 +97,7 @@ def load(path: str | Path) -> Settings:
 def normalised(rows: DataFrame, settings: Settings) -> DataFrame:
     """Records with final_text and its counts."""
     t = text.normalise(F.coalesce(text.source_text(F.col("cleaned_text"), F.col("raw_text")), F.lit("")), settings.remove_urls)
-    out = rows.withColumn("final_text", t)
+    out = held(rows.withColumn("_final", t).drop("final_text"), "final_text", F.col("_final")).drop("_final")  # made once, whatever is counted of it
     return out.withColumns(chars.counts(F.col("final_text")) | {"cleaning_method": F.coalesce("cleaning_method", F.lit("deterministic_normalization"))})
 
 
