@@ -279,10 +279,10 @@ def tokenizer_round_trip(spark, sf_dir):
 @query(f"SELECT doc_id, {REASON} AS reject_reason, 'r1' AS run_id FROM documents WHERE ({REASON}) IS NOT NULL")
 def quarantine_rows(spark, sf_dir):
     path = scratch(spark, "quarantine")
-    rejected = quality.split_passed(quality.annotate(table(spark, sf_dir, "documents"), "text", RULES))[1]
+    rejected = written(quality.split_passed(quality.annotate(table(spark, sf_dir, "documents"), "text", RULES))[1].select("doc_id", "reject_reason"), "rejected")
     for _ in range(2):  # a run that is tried again replaces its own rows
-        sinks.quarantine(rejected.select("doc_id", "reject_reason"), path, "r1")
-    sinks.quarantine(rejected.where("false").select("doc_id", "reject_reason"), path, "r2")
+        sinks.quarantine(rejected, path, "r1")
+    sinks.quarantine(rejected.where("false"), path, "r2")
     return spark.read.parquet(path)
 
 
