@@ -122,7 +122,7 @@ def validation_sentences(spark, sf_dir):
 
 @query("SELECT i AS id, r_name AS text FROM range(500) q(i) JOIN region ON r_regionkey = i % 5")
 def synthetic_rows(spark, sf_dir):
-    names = [r["r_name"] for r in table(spark, sf_dir, "region").orderBy("r_regionkey").collect()]  # five rows
+    names = table(spark, sf_dir, "region").select(F.col("r_regionkey").cast("long").alias("_n"), F.col("r_name").alias("text"))
     return records.synthetic(spark, names, 500)
 
 

@@ -248,8 +248,9 @@ def reports(spark: SparkSession, paths: list[str]) -> DataFrame:
     return rows.withColumn("thresholds", filled)
 
 
-def synthetic(spark: SparkSession, lines: list[str], rows: int = 500) -> DataFrame:
-    """id and text: given paragraphs over and over."""
-    base = spark.createDataFrame(list(enumerate(lines)), "_n long, text string")
-    return spark.range(rows).withColumn("_n", F.col("id") % len(lines)).join(F.broadcast(base), "_n").select("id", "text")
+def synthetic(spark: SparkSession, lines: list[str] | DataFrame, rows: int = 500) -> DataFrame:
+    """id and text: given paragraphs over and over; those of a table (_n from 0, text) are joined to the ids, not collected."""
+    base = lines if isinstance(lines, DataFrame) else spark.createDataFrame(list(enumerate(lines)), "_n long, text string")
+    ids = spark.range(rows).crossJoin(base.agg(F.count("*").alias("_of"))).withColumn("_n", F.col("id") % F.col("_of"))
+    return ids.join(base, "_n").select("id", "text")
 
