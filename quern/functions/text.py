@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,6 +19,34 @@ DECORATIVE = "★☆✓✗✔✘•◦▪▫►◄→←↑↓"
 _EXTRACT_HEADING = r"==+[ \t\n\x0b\f\r]*([^\n]*?)[ \t\n\x0b\f\r]*==+"
 
 
+#: Words whose ids a worker keeps, and their longest length: most words of a text were met before.
+KEPT_WORDS, KEPT_LENGTH = 200_000, 64
+
+
+class _WordIds(dict):
+    def __missing__(self, word: str) -> int:
+        found = int.from_bytes(hashlib.md5(word.encode()).digest()[:2])
+        if len(word) <= KEPT_LENGTH and len(self) < KEPT_WORDS:
+            self[word] = found
+        return found
+
+
+def word_ids(text: Column) -> Column:
+    """The leading 16 bits of each word's MD5, then 0 for the end of the text (`str.split` cuts at SPACE); a null text is empty.
+
+    In Arrow batches: Spark has these functions, but not within generated code where they run over the words of an array.
+    """
+    ship()
+
+    @F.pandas_udf("array<int>")
+    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known = _WordIds()
+        for batch in batches:
+            yield pd.Series([np.array([*map(known.__getitem__, (t or "").split()), 0], np.int32) for t in batch], dtype=object)
+
+    return ids(text)
+
+
 def _form(name: str):
     ship()
 

@@ -158,20 +158,38 @@ def _matched(left: DataFrame, right: DataFrame, *keys: str) -> DataFrame:
 def windows(tokens: DataFrame, by: str, order: str, column: str, length: int) -> DataFrame:
     """Sequences of exactly `length` tokens: a group's token arrays in order (a whole number, unique in its group), cut across their borders; the tail is dropped.
 
-    Rows give by, sequence (from 0) and input_ids. Offsets are running sums over buckets of the order; each
-    row is cut into the parts that fall into one sequence, so a shuffle moves parts, not tokens.
+    Rows give by, sequence (from 0) and input_ids.
     """
-    # written, as tokens are dear: sums read the sizes alone
+    whole = gathered(parts(written(sized(tokens, by, order, column), "tokens"), by, order, column, length), by)
+    return whole.where(F.size("input_ids") == length)
+
+
+def sized(tokens: DataFrame, by: str, order: str, column: str) -> DataFrame:
+    """by, order, the token array and its `_size`, where it has tokens. To be written before `parts`, as tokens are dear: sums read the sizes alone."""
     made = held(tokens.select(by, order, F.col(column).alias("_made")), column, F.col("_made")).drop("_made")
-    full = written(made.withColumn("_size", F.size(column).cast("long")).where("_size > 0"), "tokens")
-    placed = running(full, None, order, F.col("_size"), "_at", by=(by,), rows=ROW_BUCKET)
+    return made.withColumn("_size", F.size(column).cast("long")).where("_size > 0")
+
+
+def parts(rows: DataFrame, by: str, order: str, column: str, length: int, before: DataFrame | None = None) -> DataFrame:
+    """by, sequence, _from (the place in the group) and _part of `sized` rows.
+
+    Offsets are running sums over buckets of the order; each row is cut into the parts that fall into one
+    sequence, so a shuffle moves parts, not tokens. `before` has by and `_before`, the tokens of a group that precede these rows.
+    """
+    placed = running(rows, None, order, F.col("_size"), "_at", by=(by,), rows=ROW_BUCKET)
+    if before is not None:
+        past = before.select(F.col(by).alias("_group"), "_before")
+        placed = placed.join(past, F.col(by).eqNullSafe(F.col("_group")), "left").withColumn("_at", F.col("_at") + F.coalesce("_before", F.lit(0)))
     first, last = F.floor(F.col("_at") / length), F.floor((F.col("_at") + F.size(column) - 1) / length)
-    parts = placed.withColumn("_seq", F.explode(F.sequence(first, last)))
+    pieces = placed.withColumn("_seq", F.explode(F.sequence(first, last)))
     start = F.greatest(F.lit(0), F.col("_seq") * length - F.col("_at"))
     end = F.least(F.size(column).cast("long"), (F.col("_seq") + 1) * length - F.col("_at"))
-    cut = parts.select(by, F.col("_seq").alias("sequence"), (F.col("_at") + start).alias("_from"), F.slice(column, (start + 1).cast("int"), (end - start).cast("int")).alias("_part"))
-    whole = cut.groupBy(by, "sequence").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_from", "_part"))), lambda x: x["_part"])).alias("input_ids"))
-    return whole.where(F.size("input_ids") == length)
+    return pieces.select(by, F.col("_seq").alias("sequence"), (F.col("_at") + start).alias("_from"), F.slice(column, (start + 1).cast("int"), (end - start).cast("int")).alias("_part"))
+
+
+def gathered(pieces: DataFrame, by: str) -> DataFrame:
+    """by, sequence and input_ids: the `parts` of each sequence, joined in their order."""
+    return pieces.groupBy(by, "sequence").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_from", "_part"))), lambda x: x["_part"])).alias("input_ids"))
 
 
 def batches(sequences: DataFrame, part: str, order: str, column: str, size: int, factor: int = 1, epoch: int | None = None, seed: int = 0) -> DataFrame:

@@ -353,8 +353,7 @@ q AS (SELECT lang, p // 512 AS sequence, list(id ORDER BY p) AS input_ids FROM o
 
 
 def _word_ids(docs: DataFrame) -> DataFrame:
-    ids = F.transform(chars.words(F.col("text")), lambda w: F.conv(F.substring(digest(w), 1, 4), 16, 10).cast("int"))
-    return docs.select("lang", "doc_id", F.concat(ids, F.array(F.lit(0))).alias("ids"))
+    return docs.select("lang", "doc_id", text.word_ids(F.col("text")).alias("ids"))
 
 
 def _sequences(spark, sf_dir):
@@ -362,7 +361,7 @@ def _sequences(spark, sf_dir):
 
 
 def _ids_digest() -> Column:
-    return digest(F.array_join(F.transform("input_ids", lambda i: i.cast("string")), ",")).alias("digest")
+    return digest(F.btrim(F.to_json("input_ids"), F.lit("[]"))).alias("digest")  # joined by commas: no string per id
 
 
 @query(f"WITH {_TOKENS} SELECT lang, sequence, md5(array_to_string(input_ids, ',')) AS digest FROM q")

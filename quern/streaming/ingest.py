@@ -13,9 +13,10 @@ from ..operators import dedup, quality
 from ..sources.shared import held
 
 
-def arriving(spark: SparkSession, path: str, schema: T.StructType | str, kind: str = "json", files_per_batch: int = 16) -> DataFrame:
-    """Rows of files as they appear in a folder."""
-    return spark.readStream.format(kind).schema(schema).option("maxFilesPerTrigger", files_per_batch).load(path)
+def arriving(spark: SparkSession, path: str, schema: T.StructType | str, kind: str = "json", files_per_batch: int | None = 16) -> DataFrame:
+    """Rows of files as they appear in a folder; without a number of files, a micro-batch takes all that are there."""
+    stream = spark.readStream.format(kind).schema(schema)
+    return (stream if files_per_batch is None else stream.option("maxFilesPerTrigger", files_per_batch)).load(path)
 
 
 def distinct_within(rows: DataFrame, key: str, time: str, delay: str) -> DataFrame:

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quern.functions import chars
+from quern.functions import chars, text
 from quern.operators import dedup, sample, shards, split
 from quern.plans.run_queries import QUERIES
 from quern.streaming import ingest
@@ -76,6 +76,24 @@ def test_tokenizer_takes_slices(spark):
     assert [r["back"] for r in back.orderBy("n").collect()] == [t or "" for _, t in texts]
 
 
+def test_word_ids(spark, monkeypatch):
+    texts = [*ODD, "many words many words", "w" * 100, None]
+    want = [[*(int(hashlib.md5(w.encode()).hexdigest()[:4], 16) for w in (t or "").split()), 0] for t in texts]
+    rows = spark.createDataFrame(list(enumerate(texts)), "n int, t string")
+    for most in (text.KEPT_WORDS, 2):
+        monkeypatch.setattr(text, "KEPT_WORDS", most)
+        made = rows.select("n", text.word_ids(F.col("t")).alias("ids"))
+        assert [r["ids"] for r in made.orderBy("n").collect()] == want and "conv(" not in plan(made)
+
+
+@tables
+def test_words_of_sequences_are_hashed_in_batches(spark):
+    from quern.plans.registry import _word_ids
+
+    made = _word_ids(spark.read.parquet(str(DATA / "documents.parquet")))
+    assert "ArrowEvalPython" in plan(made) and "conv(" not in plan(made)
+
+
 def test_runs_and_signatures():
     words = [f"w{i % 90}".encode() for i in range(500)]
     want = [int(hashlib.md5(b" ".join(words[i : i + 3])).hexdigest()[:8], 16) % dedup.PRIME for i in range(498)]

@@ -1,12 +1,17 @@
 """Streams with state: token buffers that outlive a restart, duplicates that are forgotten in time."""
 
 import random
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from quern.operators import shards
+from quern.plans.run_queries import QUERIES
 from quern.streaming import ingest, packing
 
+DATA = Path("/root/testdata/sf0.001")
+
 
 def feed(spark, rows, folder, schema):
     spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
@@ -74,3 +79,60 @@ def test_clean_stream_forgets(spark, tmp_path):
         out = str(tmp_path / f"out{time}")
         ingest.drain(ingest.clean_stream(stream, "text", QualityRules(script=chars.LATIN_SCRIPT), time, "5 days").select("dedup_hash", F.col("ts")), out, str(tmp_path / f"state{time}"))
         assert spark.read.parquet(out).count() == count
+
+
+def test_packed_arrivals_equal_the_batch(spark, tmp_path):
+    r = random.Random(2)
+    schema = "file string, line long, ids array<int>"
+    rows = [(r.choice(["a", "b", "c", None]), n, [r.randrange(1000) for _ in range(r.randrange(0, 30))] if n % 11 else None) for n in range(300)]
+    # a file that fills its sequences exactly and goes on later, one that comes once, one that never fills any
+    rows += [("full", 10, [1] * 16), ("full", 20, [2] * 32), ("full", 250, [3] * 16), ("once", 5, [4] * 20), ("short", 70, [5] * 3)]
+    source, out, state = (str(tmp_path / x) for x in ("in", "out", "state"))
+    whole = lambda df: sorted((str(x["file"]), x["sequence"], x["input_ids"]) for x in df.collect())
+    for begin in range(0, 300, 60):  # a new query each time, from the same checkpoint
+        new = [x for x in rows if begin <= x[1] < begin + 60]
+        spark.createDataFrame(r.sample(new, len(new)), schema).repartition(3).write.mode("append").parquet(source)
+        stream = ingest.arriving(spark, source, schema, "parquet", files_per_batch=None)
+        got = whole(packing.pack_arrivals(stream, "file", "line", "ids", 16, out, state))
+        want = shards.windows(spark.createDataFrame([x for x in rows if x[1] < begin + 60], schema), "file", "line", "ids", 16)
+        assert got == whole(want)
+    assert len(got) > 200 and ("full", 3, [3] * 16) in got
+    kept = spark.read.parquet(out).where("open = 'true'")
+    assert sorted(kept.select("batch").distinct().toPandas()["batch"]) == [3, 4] and kept.where("batch = 4").count() == 7  # a row per file
+    assert all(kept.selectExpr("size(input_ids) < 16 AS fits").toPandas()["fits"])
+
+
+def test_a_micro_batch_that_runs_again(spark, tmp_path):
+    schema = "file string, line long, ids array<int>"
+    source, out, state = (str(tmp_path / x) for x in ("in", "out", "state"))
+
+    def run():
+        stream = ingest.arriving(spark, source, schema, "parquet", files_per_batch=1)
+        return sorted((x["sequence"], x["input_ids"]) for x in packing.pack_arrivals(stream, "file", "line", "ids", 4, out, state).collect())
+
+    for n in range(3):  # a file is a micro-batch
+        feed(spark, [("a", n, [n] * 6)], source, schema)
+    first = run()
+    assert first == [(0, [0] * 4), (1, [0, 0, 1, 1]), (2, [1] * 4), (3, [2] * 4)]
+    for f in (tmp_path / "state/commits").glob("*2*"):  # it ended before it was noted that the last one is done
+        f.unlink()
+    feed(spark, [("a", 3, [3] * 2)], source, schema)
+    assert run() == [*first, (4, [2, 2, 3, 3])]
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="no test tables here")
+def test_slices_are_many_files(spark, tmp_path, monkeypatch):
+    """A slice is written by many tasks, and no group of a task is a language."""
+    docs = spark.read.parquet(str(DATA / "documents.parquet"))
+    docs.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    seen, arriving = [], ingest.arriving
+
+    def watched(spark, path, *args, **more):
+        seen.append(spark.read.parquet(path).inputFiles())
+        return arriving(spark, path, *args, **more)
+
+    monkeypatch.setattr(ingest, "arriving", watched)
+    monkeypatch.setattr(packing, "packed_stream", None)
+    got = sorted(map(tuple, QUERIES["streamed_sequences"](spark, str(tmp_path)).collect()))
+    assert [len(s) for s in seen] == [3, 6, 9, 12, 15]
+    assert got == sorted(map(tuple, QUERIES["pack_sequences"](spark, str(DATA)).collect())) and got
