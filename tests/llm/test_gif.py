@@ -1,6 +1,7 @@
 import hashlib
 import random
 import struct
+import sys
 
 import numpy as np
 import pytest
@@ -225,3 +226,56 @@ def test_edges(edge, empty):
     assert len(out) == edge.count() and all(r["payload_bytes"] >= 64 for r in out)
     assert gif.load(gif.store(pad(empty), "p"), "media").count() == 0
     assert np.sum([r["n_frames"] > 1 for r in out]) >= 2
+
+
+def lines_run(f):
+    """What f returns, and how many lines of the operator ran for it: its work in Python, whatever the machine."""
+    count, before = 0, sys.gettrace()
+
+    def trace(frame, event, _):
+        nonlocal count
+        if frame.f_code.co_filename != gif.__file__:
+            return None
+        count += event == "line"
+        return trace
+
+    sys.settrace(trace)
+    try:
+        return f(), count
+    finally:
+        sys.settrace(before)
+
+
+def test_work_per_byte():
+    r = random.Random(4)
+    words = ["".join(r.choices("etaoinshr", k=r.randint(2, 9))) for _ in range(400)]
+    payload = " ".join(r.choices(words, k=9000)).encode()[: 500 * gif.WIDTH]
+    media, writing = lines_run(lambda: gif.encode_payload(payload))
+    # 5 lines a byte that goes on with a code, 6 where a code ends
+    assert writing < 6 * len(payload) + 2000
+    read, reading = lines_run(lambda: gif.loaded(media))
+    # pixels and codes are arrays: lines are run per block and table only
+    assert reading < len(media) // 255 * 10 + 2000 and reading < 0.2 * len(payload)
+    assert read["payload_sha256"] == hashlib.sha256(payload).hexdigest() and sum(read["histogram"]) == len(payload)
+
+
+@pytest.mark.parametrize(
+    "payload, digest",
+    [(bytes(64), "53bc8cb2f17340d45c74698527c65bd9cd6083874b3b672db0b7c09cea6b491c"), (bytes(range(256)) * 1200, "25deedef61a6fa4facf2465d03998c16394f9a0fbae30f0b711f93f728abcfec"), (b"a rose is a rose is a rose. " * 16_000, "b029d6701379bcf1ebc0cc05d3bf4de96c0255aa64413853127808bc1fac7478")],
+    ids=["zeros", "ramp", "words"],
+)
+def test_stored_form_stays(payload, digest):
+    assert hashlib.sha256(gif.encode_payload(payload)).hexdigest() == digest
+
+
+def test_partial_frames_over_a_covering_one():
+    cover = control(1, 0) + image(0, 0, 2, 2, [1, 2, 3, 1])
+    for disposal, then in ((1, [3, 2, 3, 2]), (2, [0, 2, 3, 2]), (3, [1, 2, 3, 2])):
+        shown = frames_of(movie(cover, control(disposal, 0) + image(0, 0, 1, 1, [3]), image(1, 1, 1, 1, [2])))
+        assert [canvas(f) for f in shown] == [[1, 2, 3, 1], [3, 2, 3, 1], then]
+    for disposal, then in ((1, [1, 2, 3, 2]), (2, [0, 0, 0, 2]), (3, [2, 2, 2, 2])):
+        under = control(1, 0) + image(0, 0, 2, 2, [2, 2, 2, 2])
+        media = movie(under, control(disposal, 0) + image(0, 0, 2, 2, [1, 2, 3, 1]), image(1, 1, 1, 1, [2]))
+        assert canvas(frames_of(media)[2]) == then
+        assert [f["histogram"].tolist() for f in frames_of(media)] == [f["histogram"].tolist() for f in gif.decode(media, rgb=False)]
+        assert all(sum(f["histogram"]) == 4 and np.count_nonzero(f["histogram"]) == len(set(canvas(f))) for f in frames_of(media))
