@@ -24,10 +24,22 @@ def distinct_within(rows: DataFrame, key: str, time: str, delay: str) -> DataFra
 
     A key is forgotten at the end of the micro-batch that begins with the latest time `delay` past its span; until then
     later occurrences go, too. Rows later than the latest time less `delay` are dropped. A null key is a key.
+    Which row of a key stays is open where a micro-batch brings several: `first_within` gives the earliest.
     """
     return rows.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
+def first_within(rows: DataFrame, key: str, time: str, span: str, late: str = "1 hour") -> DataFrame:
+    """Keys of a stream and their times of which none of the key's own lies at most `span` before, in whatever order a micro-batch brings them.
+
+    These are the begins of the key's sessions. A begin is given out once the latest time less `late` has reached the end of its
+    session (its last time and `span`), which state holds until then; earlier rows of no open session are dropped. So a stream that ends needs a row
+    that much after its last one. A null key is a key; rows without a time are dropped.
+    """
+    sessions = rows.withWatermark(time, late).groupBy(key, F.session_window(time, span)).agg(F.count("*"))
+    return sessions.select(key, F.col("session_window.start").alias(time))
+
+
 def clean_stream(rows: DataFrame, column: str, rules: quality.QualityRules, time: str | None = None, delay: str = "1 day") -> DataFrame:
     """Normalised texts that pass the rules, each hash once.
 

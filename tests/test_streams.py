@@ -3,11 +3,12 @@
 import random
 from pathlib import Path
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from quern.operators import shards
-from quern.plans.run_queries import QUERIES
+from quern.plans.run_queries import ORACLE_SQL, QUERIES
 from quern.streaming import ingest, packing
 
 DATA = Path("/root/testdata/sf0.001")
@@ -63,6 +64,30 @@ def test_duplicates_within_a_span(spark, tmp_path):
     assert max(totals) <= 6 and totals[-1] <= 4  # the first keys are forgotten
 
 
+def test_the_earliest_of_a_span(spark, tmp_path):
+    """Whatever order a micro-batch brings: its largest file, which is read first, holds the later times."""
+    import datetime
+
+    schema = "k long, ts timestamp"
+    source, out, state = (str(tmp_path / x) for x in ("in", "out", "state"))
+    at = lambda hour, minute=0, us=0: datetime.datetime(2024, 1, 1) + datetime.timedelta(hours=hour, minutes=minute, microseconds=us)
+    late = [(k, at(2, 10)) for k in range(50)] + [(90, at(6)), (91, at(4, 0, 1)), (None, at(5))]
+    early = [(k, at(2)) for k in range(25)] + [(90, at(3, 30)), (91, at(3)), (92, at(3)), (92, at(4)), (None, at(4, 30)), (93, None)]
+    first = [(k, at(2, 10)) for k in range(25, 50)] + [(k, at(2)) for k in range(25)] + [(90, at(3, 30)), (90, at(6)), (91, at(3)), (91, at(4, 0, 1)), (92, at(3)), (None, at(4, 30))]
+
+    def run(times):
+        spark.createDataFrame(times, schema).coalesce(1).write.mode("append").parquet(f"{source}/{len(list(tmp_path.glob('in/*')))}")
+        stream = ingest.arriving(spark, f"{source}/*", schema, "parquet", files_per_batch=None)
+        ingest.drain(ingest.first_within(stream, "k", "ts", "1 hour"), out, state)
+        return sorted(map(tuple, spark.read.parquet(out).collect()), key=repr)
+
+    spark.createDataFrame(early, schema).coalesce(1).write.parquet(f"{source}/early")
+    # at 5:00, an hour before the latest time, three sessions are open; that of 90 then goes on
+    assert set(run(late)) == set(first) - {(90, at(6)), (91, at(4, 0, 1)), (None, at(4, 30))}
+    more = run([(90, at(6, 30)), (95, at(30))])
+    assert more == sorted(first, key=repr)  # 95 waits
+
+
 def test_clean_stream_forgets(spark, tmp_path):
     from quern.functions import chars
     from quern.operators.quality import QualityRules
@@ -136,3 +161,23 @@ def test_slices_are_many_files(spark, tmp_path, monkeypatch):
     got = sorted(map(tuple, QUERIES["streamed_sequences"](spark, str(tmp_path)).collect()))
     assert [len(s) for s in seen] == [3, 6, 9, 12, 15]
     assert got == sorted(map(tuple, QUERIES["pack_sequences"](spark, str(DATA)).collect())) and got
+
+
+def test_distinct_events_of_any_times(spark, tmp_path):
+    """Files deal repeats out in any order; times lie outside the slices or are none; ids are null or occur often."""
+    import datetime
+
+    r, start = random.Random(3), datetime.datetime(2024, 1, 2)
+    when = lambda: start + datetime.timedelta(minutes=10 * r.randrange(-6000, 12000))
+    rows = [(3 * n, when()) for n in range(300)] + [(r.randrange(60), when()) for _ in range(200)] + [(n, None) for n in (0, 0, 7, 9000, 9001, 9001)]
+    rows += [(None, start), (None, start + datetime.timedelta(minutes=20)), (None, None)]
+    rows += [(8000 + n, start + datetime.timedelta(minutes=m)) for n, gap in enumerate((59, 60, 61, 120)) for m in (0, gap, 2 * gap)]
+    path = str(tmp_path / "events.parquet")
+    for part in range(3):
+        df = spark.createDataFrame(rows[part::3], "event_id long, ts timestamp").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+        df.coalesce(1).write.mode("append").parquet(path)
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW events AS SELECT * FROM '{path}/*.parquet'")
+    want = con.sql(f"SELECT event_id, ts FROM ({ORACLE_SQL['distinct_events']})").fetchall()
+    got = QUERIES["distinct_events"](spark, str(tmp_path)).select("event_id", "ts").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
